@@ -27,9 +27,14 @@ TOKEN_RE = r"([0-9]+(?:\.[0-9]+)?)\s*([万千kK元/]?)"
 BONUS_RE = r"([0-9]+)\s*薪"
 
 
+# Characters Python's str.strip() removes (whitespace incl. the common Unicode spaces).
+PY_WHITESPACE = (" \t\n\r\x0b\x0c\x1c\x1d\x1e\x1f\x85\xa0\u1680\u2000\u2001\u2002\u2003"
+                 "\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000")
+
+
 def py_strip(c: Column) -> Column:
-    """Strip leading/trailing whitespace like ``str.strip``."""
-    return F.regexp_replace(c, r"^[\s 　]+|[\s 　]+$", "")
+    """Strip leading/trailing whitespace like ``str.strip`` (no regex)."""
+    return F.btrim(c, F.lit(PY_WHITESPACE))
 
 
 def _contains_any(text: Column, words) -> Column:

@@ -54,8 +54,8 @@ parsed AS (
     CASE WHEN nk % 9 IN (0, 1, 2, 3) THEN '一线' WHEN nk % 9 IN (5, 6) THEN '新一线' ELSE '其他' END AS city_tier,
     CASE ck % 8 WHEN 0 THEN '不限' WHEN 1 THEN '大专' WHEN 2 THEN '本科' WHEN 3 THEN '硕士'
       WHEN 4 THEN '博士' WHEN 5 THEN '大专' WHEN 6 THEN 'MBA' ELSE '不限' END AS education,
-    CASE seq % 7 WHEN 1 THEN 1.0 WHEN 2 THEN 3.0 WHEN 3 THEN 5.0 WHEN 4 THEN 1.0 ELSE 0.0 END AS exp_min,
-    CASE seq % 7 WHEN 1 THEN 3.0 WHEN 2 THEN 5.0 WHEN 3 THEN 5.0 WHEN 4 THEN 1.0 ELSE 0.0 END AS exp_max,
+    CAST(CASE seq % 7 WHEN 1 THEN 1 WHEN 2 THEN 3 WHEN 3 THEN 5 WHEN 4 THEN 1 ELSE 0 END AS DOUBLE) AS exp_min,
+    CAST(CASE seq % 7 WHEN 1 THEN 3 WHEN 2 THEN 5 WHEN 3 THEN 5 WHEN 4 THEN 1 ELSE 0 END AS DOUBLE) AS exp_max,
     CASE seq % 7 WHEN 0 THEN '经验不限' WHEN 1 THEN '1-3年' WHEN 2 THEN '3-5年经验' WHEN 3 THEN '5年及以上'
       WHEN 4 THEN '1年以下' WHEN 5 THEN '在校/应届' ELSE NULL END AS experience,
     trim(cname) AS company_name,
