@@ -247,4 +247,8 @@ JOB_PAGE_SUGGEST = "搜索发现"
 WAF_MARKERS = ["滑块", "aliyun_waf"]
 WAF_PREFIX = 2000
 MIN_BODY_LENGTH = 100
+# Crawl scope: target cities (substring filter) and rows per keyword.
+TARGET_CITIES = ["北京", "上海", "广州", "深圳", "杭州", "成都", "武汉", "南京", "西安", "长沙"]
+JOBS_PER_KEYWORD = 800
+PAGE_SIZE = 50
 # ------------------------------------------------------------ END FIXED VALUES

@@ -87,42 +87,51 @@ def with_salary(df: DataFrame, text_col: str = "salary_text") -> DataFrame:
                                       F.lit(""))))
         return _to_monthly(p["n"].cast("double"), unit, text)
 
-    values = F.slice(F.transform(kept, with_unit), 1, 2)
-    v1 = F.try_element_at(values, F.lit(1))
-    v2 = F.coalesce(F.try_element_at(values, F.lit(2)), v1)
-    bonus_txt = F.regexp_extract(text, BONUS_RE, 1)
-    df = df.withColumn("_sal_v", F.struct(
-        F.least(v1, v2).alias("lo"), F.greatest(v1, v2).alias("hi"),
-        F.exists(kept, lambda p: F.lower(p["u"]).isin("千", "k")).alias("monthly_unit"),
-        bonus_txt.alias("bonus"),
-        (F.col(text_col).isNull() | (text == "")
-         | _contains_any(text, dims.SALARY_NEGOTIABLE_WORDS)
-         | (F.size(kept) == 0)).alias("invalid"),
-        (text.contains("天") | text.contains("日")).alias("daily"),
-        text.contains("时").alias("hourly"),
-        (text.contains("年") & ~text.contains("经验") & ~text.contains("工作")).alias("annual"),
-    ))
-    v = F.col("_sal_v")
-    has_bonus = v["bonus"] != ""
-    bonus_annual = has_bonus & (v["hi"] > dims.BONUS_ANNUAL_THRESHOLD) & ~v["monthly_unit"]
-    day = F.lit(dims.WORKDAYS_PER_MONTH)
-    hour = F.lit(float(dims.HOURS_PER_DAY))
+    # Flat intermediate columns (not struct fields): Catalyst never inlines a
+    # non-trivial column referenced several times, so the array lambdas run once.
+    df = df.withColumn("_sal_vals", F.slice(F.transform(kept, with_unit), 1, 2))
+    vals = F.col("_sal_vals")
+    df = df.withColumns({
+        "_sal_lo": F.array_min(vals),
+        "_sal_hi": F.array_max(vals),
+        "_sal_mu": F.exists(kept, lambda p: F.lower(p["u"]).isin("千", "k")),
+        "_sal_bonus": F.regexp_extract(text, BONUS_RE, 1),
+        "_sal_invalid": (F.col(text_col).isNull() | (text == "")
+                         | _contains_any(text, dims.SALARY_NEGOTIABLE_WORDS) | (F.size(kept) == 0)),
+    })
+    # Period conversion as one multiplier/divisor pair (null divisor = monthly
+    # already): x*21.75/1 == x*21.75, x*174/1 == x*8*21.75 (x*8 is exact),
+    # x*1/12 == x/12, x*1/N == x/N, so results equal the step-by-step form.
+    daily = text.contains("天") | text.contains("日")
+    hourly = text.contains("时")
+    annual = text.contains("年") & ~text.contains("经验") & ~text.contains("工作")
+    has_bonus = F.col("_sal_bonus") != ""
+    bonus_annual = has_bonus & (F.col("_sal_hi") > dims.BONUS_ANNUAL_THRESHOLD) & ~F.col("_sal_mu")
+    day = dims.WORKDAYS_PER_MONTH
+    df = df.withColumns({
+        "_sal_m": F.when(daily, F.lit(day)).when(hourly, F.lit(day * dims.HOURS_PER_DAY)).otherwise(F.lit(1.0)),
+        "_sal_d": (F.when(daily | hourly, F.lit(1.0)).when(annual & ~has_bonus, F.lit(12.0))
+                   .when(bonus_annual, F.col("_sal_bonus").try_cast("double"))),
+    })
 
     def period(x):
-        return (F.when(v["daily"], F.bround(x * day, 0))
-                .when(v["hourly"], F.bround(x * hour * day, 0))
-                .when(v["annual"] & ~has_bonus, F.bround(x / 12, 0))
-                .when(bonus_annual, F.bround(x / v["bonus"].try_cast("double"), 0))
-                .otherwise(x))
+        return F.when(F.col("_sal_d").isNull(), x).otherwise(
+            F.bround(x * F.col("_sal_m") / F.col("_sal_d"), 0))
 
     null = F.lit(None).cast("double")
-    df = df.withColumn("_sal_p", F.when(~v["invalid"], F.struct(
-        period(v["lo"]).alias("lo"), period(v["hi"]).alias("hi"))))
-    p = F.col("_sal_p")
-    return (df.withColumn("salary_min", F.coalesce(F.bround(p["lo"], 0), null))
-              .withColumn("salary_max", F.coalesce(F.bround(p["hi"], 0), null))
-              .withColumn("salary_avg", F.coalesce(F.bround((p["lo"] + p["hi"]) / 2, 0), null))
-              .drop("_sal_text", "_sal_kept", "_sal_v", "_sal_p"))
+    ok = ~F.col("_sal_invalid")
+    df = df.withColumns({"_sal_plo": F.when(ok, period(F.col("_sal_lo"))).otherwise(null),
+                         "_sal_phi": F.when(ok, period(F.col("_sal_hi"))).otherwise(null)})
+    lo, hi = F.col("_sal_plo"), F.col("_sal_phi")
+    tmp = ["_sal_text", "_sal_kept", "_sal_vals", "_sal_lo", "_sal_hi", "_sal_mu", "_sal_bonus",
+           "_sal_invalid", "_sal_m", "_sal_d", "_sal_plo", "_sal_phi"]
+    out = F.struct(F.bround(lo, 0).alias("salary_min"), F.bround(hi, 0).alias("salary_max"),
+                   F.bround((lo + hi) / 2, 0).alias("salary_avg"))
+    keep = [c for c in df.columns if c not in tmp and c not in ("salary_min", "salary_max", "salary_avg")]
+    # The results leave through a one-row generator: Catalyst can neither push
+    # a later filter on them below it nor collapse later projections into the
+    # parse, so the parse expressions are evaluated exactly once per row.
+    return df.select(*keep, F.inline_outer(F.array(out)))
 
 
 def is_negotiable(col) -> Column:

@@ -59,20 +59,19 @@ def with_city(df: DataFrame, city_col: str = "city", out_city: str = "city",
     shorts = sorted({s for _, s in dims.CITY_ALIAS}, key=lambda s: (-len(s), order[s]))
     fulls = F.array(*[F.struct(F.lit(f).alias("full"), F.lit(s).alias("short")) for f, s in dims.CITY_ALIAS])
     short_arr = F.array(*[F.lit(s) for s in shorts])
-    df = df.withColumn("_city_m", F.struct(
-        F.try_element_at(F.filter(fulls, lambda x: t.contains(x["full"])), F.lit(1)).alias("full"),
-        F.try_element_at(F.filter(short_arr, lambda x: t.startswith(x)), F.lit(1)).alias("short")))
-    m = F.col("_city_m")
-    rest = F.substring(t, F.length(m["short"]) + 1, 1 << 20)
+    df = df.withColumns({
+        "_city_full": F.try_element_at(F.filter(fulls, lambda x: t.contains(x["full"])), F.lit(1)),
+        "_city_short": F.try_element_at(F.filter(short_arr, lambda x: t.startswith(x)), F.lit(1))})
+    full, short = F.col("_city_full"), F.col("_city_short")
+    rest = F.substring(t, F.length(short) + 1, 1 << 20)
     rest = F.regexp_replace(F.regexp_replace(py_strip(rest), "^-+", ""), "^·+", "")
-    city = (F.when(m["full"].isNotNull(), m["full"]["short"])
-             .when(m["short"].isNotNull(), m["short"]).otherwise(t))
-    district = (F.when(m["full"].isNotNull(), py_strip(F.replace(t, m["full"]["full"], F.lit(""))))
-                 .when(m["short"].isNotNull(), rest).otherwise(F.lit("")))
+    city = F.when(full.isNotNull(), full["short"]).when(short.isNotNull(), short).otherwise(t)
+    district = (F.when(full.isNotNull(), py_strip(F.replace(t, full["full"], F.lit(""))))
+                 .when(short.isNotNull(), rest).otherwise(F.lit("")))
     blank = F.col(city_col).isNull() | (F.col(city_col) == "")
     df = df.withColumn(out_district, F.when(blank, F.lit(None)).otherwise(F.nullif(district, F.lit(""))))
     df = df.withColumn(out_city, F.when(blank, F.lit(None)).otherwise(city))
-    return df.drop("_city_t", "_city_m")
+    return df.drop("_city_t", "_city_full", "_city_short")
 
 
 def split_area(col) -> Column:

@@ -144,10 +144,9 @@ def fill_missing(df: DataFrame, approx_global: bool = False) -> DataFrame:
         med = lambda c: F.percentile_approx(F.col(c), 0.5, 10000)
     else:
         med = lambda c: F.percentile(F.col(c), F.lit(0.5))
-    glob = staged.agg(*[med(c).alias(c) for c in SALARY_COLS])
-    filled = staged.withColumns({
-        c: F.coalesce(F.col(c), glob.select(c).scalar()) for c in SALARY_COLS
-    })
+    # one single-row aggregate, consumed once as a scalar subquery
+    glob = staged.agg(F.struct(*[med(c).alias(c) for c in SALARY_COLS]).alias("g")).scalar()
+    filled = staged.withColumns({c: F.coalesce(F.col(c), glob[c]) for c in SALARY_COLS})
     return filled.withColumns({
         "exp_min": F.coalesce(F.col("exp_min"), F.lit(0.0)),
         "exp_max": F.coalesce(F.col("exp_max"), F.lit(0.0)),

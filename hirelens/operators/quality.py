@@ -45,7 +45,7 @@ def validate(df: DataFrame) -> DataFrame:
     valid_cities = F.array(*[F.lit(c) for c in dims.VALID_CITIES])
     fuzzy = F.exists(valid_cities, lambda v: city.contains(v) | v.contains(city))
     pub = F.col("publish_date").cast("string")
-    pub_d = F.try_to_date(F.substring(pub, 1, 10), F.lit("yyyy-M-d"))
+    pub_d = F.try_to_date(F.substring(pub, 1, 10), "yyyy-M-d")
     edu = F.col("education")
     url = F.col("job_url")
 
@@ -68,16 +68,22 @@ def validate(df: DataFrame) -> DataFrame:
         issue(url.isNull() | (url == ""), "url_empty", F.lit("job_url为空")),
     ]
     arr = F.filter(F.array(*checks), lambda x: x.isNotNull())
-    return (df.withColumn("issues", arr)
-              .withColumn("n_issues", F.size("issues"))
-              .withColumn("issue_codes", F.array_join(F.transform("issues", lambda x: x["code"]), ",")))
+    df = df.withColumn("issues", arr)
+    # codes as a plain string array: aggregations explode this, never the structs
+    return (df.withColumn("codes", F.transform("issues", lambda x: x["code"]))
+              .withColumn("n_issues", F.size("codes"))
+              .withColumn("issue_codes", F.array_join("codes", ",")))
 
 
 def validation_summary(validated: DataFrame) -> DataFrame:
     """FLT-8: totals and per-code breakdown as (code, n) rows; the special
     codes ``_total``, ``_clean`` and ``_issues`` hold the totals."""
-    per_code = (validated.select(F.explode("issues").alias("i"))
-                         .groupBy(F.col("i.code").alias("code")).agg(F.count(F.lit(1)).alias("n")))
+    # explode_outer + a filter on the generated column: an inner explode makes
+    # Catalyst infer ``size(codes) > 0`` and push it below the parsing
+    # projections, where it would be expanded into the parse expressions.
+    per_code = (validated.select(F.explode_outer("codes").alias("code"))
+                         .where(F.col("code").isNotNull())
+                         .groupBy("code").agg(F.count(F.lit(1)).alias("n")))
     totals = validated.agg(F.count(F.lit(1)).alias("_total"),
                            F.sum((F.col("n_issues") == 0).cast("long")).alias("_clean"),
                            F.sum((F.col("n_issues") > 0).cast("long")).alias("_issues"))
@@ -102,9 +108,9 @@ def null_census(df: DataFrame) -> DataFrame:
     """AGG-19: missing cells per column and in total, one aggregate pass."""
     aggs = [F.sum(F.col(c).isNull().cast("long")).alias(c) for c in df.columns]
     wide = df.agg(*aggs)
-    pairs = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).alias("missing")) for c in df.columns])
-    long = wide.select(F.explode(pairs).alias("p")).select("p.column", "p.missing")
-    total = long.agg(F.lit("_total").alias("column"), F.sum("missing").alias("missing"))
+    pairs = F.array(*[F.struct(F.lit(c).alias("col_name"), F.col(c).alias("missing")) for c in df.columns])
+    long = wide.select(F.explode(pairs).alias("p")).select("p.col_name", "p.missing")
+    total = long.agg(F.lit("_total").alias("col_name"), F.sum("missing").alias("missing"))
     return long.unionByName(total)
 
 
