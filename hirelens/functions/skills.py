@@ -6,7 +6,7 @@ Tags live as ``array<string>`` inside the pipeline and are joined with
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from hirelens import dims
@@ -24,12 +24,15 @@ def regex_skills(text) -> Column:
                        lambda m: F.trim(m))
 
 
-def dict_skills(text) -> Column:
-    """STR-8: dictionary entries (length > 1) contained case-insensitively."""
-    low = F.lower(F.coalesce(_c(text), F.lit("")))
+def dict_skills(low) -> Column:
+    """STR-8: dictionary entries (length > 1) contained case-insensitively in
+    an already lower-cased text column.
+
+    One ``CASE`` per word inside an array (codegen'd) with nulls dropped; the
+    lower-casing happens once, in its own column, not once per word."""
+    low = _c(low)
     words = [w for w in dims.SKILL_DICT if len(w) > 1]
-    arr = F.array(*[F.lit(w) for w in words])
-    return F.filter(arr, lambda s: F.instr(low, F.lower(s)) > 0)
+    return F.array_compact(F.array(*[F.when(low.contains(w.lower()), F.lit(w)) for w in words]))
 
 
 def keyword_skills(keyword) -> Column:
@@ -42,11 +45,20 @@ def keyword_skills(keyword) -> Column:
     return out
 
 
-def extract_skills(title, industry, keyword) -> Column:
-    """SET-3: regex hits + dictionary hits + keyword rules over title, industry, keyword."""
-    text = F.concat_ws(" ", F.coalesce(_c(title), F.lit("")), F.coalesce(_c(industry), F.lit("")),
-                       F.coalesce(_c(keyword), F.lit("")))
-    return F.array_distinct(F.concat(regex_skills(text), dict_skills(text), keyword_skills(keyword)))
+def with_extracted_skills(df: DataFrame, title: str, industry: str, keyword: str,
+                          out: str = "extracted", only_when=None) -> DataFrame:
+    """SET-3: regex hits + dictionary hits + keyword rules over
+    ``title industry keyword`` as a new array column ``out``.
+
+    ``only_when`` (a boolean column) limits the work to the rows that need it.
+    """
+    text = F.concat_ws(" ", F.coalesce(F.col(title), F.lit("")), F.coalesce(F.col(industry), F.lit("")),
+                       F.coalesce(F.col(keyword), F.lit("")))
+    cond = only_when if only_when is not None else F.lit(True)
+    df = df.withColumn("_sk_text", F.when(cond, text))
+    df = df.withColumn("_sk_low", F.lower("_sk_text"))
+    arr = F.array_distinct(F.concat(regex_skills("_sk_text"), dict_skills("_sk_low"), keyword_skills(keyword)))
+    return df.withColumn(out, F.when(cond, arr)).drop("_sk_text", "_sk_low")
 
 
 def alias_tags(tags) -> Column:
@@ -58,7 +70,7 @@ def alias_tags(tags) -> Column:
 def normalize_tag_array(tags) -> Column:
     """SET-2: alias, strip, drop blanks, distinct, sort (binary order)."""
     aliased = F.filter(F.transform(alias_tags(tags), F.trim), lambda x: x != "")
-    return F.array_sort(F.array_distinct(aliased))
+    return F.sort_array(F.array_distinct(aliased))
 
 
 def is_blank_tags(col) -> Column:
@@ -66,16 +78,16 @@ def is_blank_tags(col) -> Column:
     return c.isNull() | c.isin(*dims.BLANK_TAG_MARKERS)
 
 
-def clean_tags(tags, title, industry, keyword) -> Column:
+def clean_tags(tags, extracted) -> Column:
     """STR-10: the cleaned tag array.
 
     Given tags (not null / '' / 'nan' / '无') are split, aliased, de-duplicated
-    and sorted. Blank tags are replaced by extracted skills; when nothing is
-    extracted the value stays missing (null array).
+    and sorted. Blank tags are replaced by the extracted skills; when nothing
+    is extracted the value stays missing (null array).
     """
     given = normalize_tag_array(split_tags(tags))
-    extracted = normalize_tag_array(extract_skills(title, industry, keyword))
-    return F.when(~is_blank_tags(tags), given).when(F.size(extracted) > 0, extracted)
+    ext = normalize_tag_array(_c(extracted))
+    return F.when(~is_blank_tags(tags), given).when(F.size(ext) > 0, ext)
 
 
 def tags_text(arr) -> Column:

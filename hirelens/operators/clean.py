@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from hirelens import dims
 from hirelens.functions.salary import is_negotiable, py_strip, with_salary
-from hirelens.functions.skills import clean_tags, tags_text
+from hirelens.functions.skills import clean_tags, is_blank_tags, tags_text, with_extracted_skills
 from hirelens.functions.text import (city_tier, clean_experience, normalize_date,
                                      normalize_education, with_city)
 
@@ -69,8 +69,9 @@ def clean_exp(df: DataFrame) -> DataFrame:
 def clean_skill_tags(df: DataFrame) -> DataFrame:
     """STR-10: cleaned tag array ``skill_arr`` and its text ``skill_tags``.
     Missing tags with nothing extractable keep their original value."""
-    arr = clean_tags("skill_tags", "job_title", "industry", "keyword")
-    df = df.withColumn("skill_arr", arr)
+    df = with_extracted_skills(df, "job_title", "industry", "keyword", "_extracted",
+                               only_when=is_blank_tags(F.col("skill_tags")))
+    df = df.withColumn("skill_arr", clean_tags("skill_tags", "_extracted")).drop("_extracted")
     return df.withColumn("skill_tags", F.when(F.col("skill_arr").isNull(), F.col("skill_tags"))
                          .otherwise(tags_text("skill_arr")))
 
