@@ -6,7 +6,7 @@ are aggregates and windows over a log of fetched rows or events.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from hirelens.operators.joins import contains_any
@@ -24,3 +24,32 @@ def page_funnel(rows: DataFrame, page_size: int, cities) -> DataFrame:
                   F.count(F.when(F.col("in_city"), 1)).alias("in_city"),
                   F.count(F.when(F.col("in_city") & (F.col("seq") == F.col("first_seq")), 1)).alias("new"))
              .orderBy("page"))
+
+
+def global_sequence(df: DataFrame, order_cols: list[str], out: str = "seq_no") -> DataFrame:
+    """WIN-3: a gap-free 1..N number in ``order_cols`` order without a
+    single-partition sort.
+
+    The leading (numeric) order column is cut into ``shuffle.partitions``
+    ranges at approximate quantiles computed once (a bounded list of
+    boundaries baked into the plan, so every branch buckets a row the same
+    way). Rows are numbered inside their range, and each range adds the row
+    count of all earlier ranges; that offset table has one row per range and
+    is the only thing broadcast.
+    """
+    spark = df.sparkSession
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    lead = order_cols[0]
+    probs = [i / n for i in range(1, n)]
+    bounds = sorted(set(df.approxQuantile(lead, probs, 0.001))) if n > 1 else []
+    arr = F.array(*[F.lit(float(b)) for b in bounds]) if bounds else F.array().cast("array<double>")
+    bucket = F.size(F.filter(arr, lambda b: b < F.col(lead).cast("double")))
+    b = df.withColumn("_b", bucket)
+    local = b.withColumn("_local", F.row_number().over(Window.partitionBy("_b").orderBy(*order_cols)))
+    counts = b.groupBy("_b").agg(F.count(F.lit(1)).alias("_n"))
+    offsets = counts.withColumn(
+        "_off", F.sum("_n").over(Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)))
+    offsets = offsets.select("_b", F.coalesce(F.col("_off"), F.lit(0)).alias("_off"))
+    return (local.join(F.broadcast(offsets), "_b")
+                 .withColumn(out, F.col("_local") + F.col("_off"))
+                 .drop("_b", "_local", "_off"))
