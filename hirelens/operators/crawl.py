@@ -53,3 +53,56 @@ def global_sequence(df: DataFrame, order_cols: list[str], out: str = "seq_no") -
     return (local.join(F.broadcast(offsets), "_b")
                  .withColumn(out, F.col("_local") + F.col("_off"))
                  .drop("_b", "_local", "_off"))
+
+
+def failure_streaks(events: DataFrame, key: str = "user_id", ts: str = "ts", tie: str = "event_id",
+                    is_fail=None, chunk: str = "hour") -> DataFrame:
+    """WIN-5 / WIN-6: length of the run of consecutive failures ending at each
+    failed event (reset by any success), per key in (ts, tie) order.
+
+    Two levels so a key holding a third of all events is never one window
+    partition: (1) windows per (key, time chunk) number failures since the
+    last success inside the chunk and summarize the chunk (trailing failures,
+    any success); (2) a window over the small chunk table per key carries
+    the open run into the next chunk; failures before the first success of a
+    chunk add that carry.
+    """
+    fail = is_fail if is_fail is not None else (F.col("event_type") == "error")
+    e = events.withColumn("_fail", fail).withColumn("_chunk", F.date_trunc(chunk, F.col(ts).cast("timestamp")))
+    w = Window.partitionBy(key, "_chunk").orderBy(ts, tie)
+    e = e.withColumn("_run", F.sum(F.when(~F.col("_fail"), 1).otherwise(0)).over(
+        w.rowsBetween(Window.unboundedPreceding, 0)))
+    wr = Window.partitionBy(key, "_chunk", "_run").orderBy(ts, tie)
+    # inside a run the success (if any) comes first, then failures only
+    e = e.withColumn("_local", F.when(F.col("_fail"), F.row_number().over(wr)
+                                      - F.when(F.col("_run") > 0, 1).otherwise(0)))
+    chunks = (e.groupBy(key, "_chunk")
+               .agg(F.max(F.when(~F.col("_fail"), 1).otherwise(0)).alias("_has_ok"),
+                    F.max("_run").alias("_last_run"),
+                    F.count(F.when(F.col("_fail"), 1)).alias("_nfail"))
+               )
+    trailing = (e.where(F.col("_fail")).groupBy(key, "_chunk", "_run").agg(F.count(F.lit(1)).alias("_t")))
+    chunks = (chunks.join(trailing.withColumnRenamed("_run", "_last_run"), [key, "_chunk", "_last_run"], "left")
+                    .withColumn("_trail", F.coalesce(F.col("_t"), F.lit(0))).drop("_t"))
+    # carry into chunk c = failures at the end of earlier chunks since the last chunk with a success
+    wc = Window.partitionBy(key).orderBy("_chunk")
+    chunks = chunks.withColumn("_grp", F.sum("_has_ok").over(wc.rowsBetween(Window.unboundedPreceding, 0)))
+    wg = Window.partitionBy(key, "_grp").orderBy("_chunk").rowsBetween(Window.unboundedPreceding, 0)
+    chunks = chunks.withColumn("_open", F.sum("_trail").over(wg))     # open run after this chunk
+    chunks = chunks.withColumn("_carry", F.coalesce(F.lag("_open").over(wc), F.lit(0)))
+    out = e.join(chunks.select(key, "_chunk", "_carry"), [key, "_chunk"])
+    streak = F.when(F.col("_fail"), F.col("_local") + F.when(F.col("_run") == 0, F.col("_carry")).otherwise(0))
+    return out.withColumn("streak", streak).drop("_fail", "_chunk", "_run", "_local", "_carry")
+
+
+def streak_summary(streaks: DataFrame, key: str = "user_id", trip: int = 2, cool: int = 3,
+                   give_up: int = 5) -> DataFrame:
+    """Breaker counts per key: opens (streak reaches ``trip``), cool-downs
+    (``cool``), give-ups (``give_up``), and the longest streak."""
+    s = F.col("streak")
+    return streaks.groupBy(key).agg(
+        F.count(F.lit(1)).alias("n_events"), F.count(s).alias("n_failures"),
+        F.coalesce(F.max(s), F.lit(0)).alias("max_streak"),
+        F.count(F.when(s == trip, 1)).alias("breaker_trips"),
+        F.count(F.when(s == cool, 1)).alias("cooldowns"),
+        F.count(F.when(s == give_up, 1)).alias("give_ups"))

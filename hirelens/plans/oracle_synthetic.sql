@@ -1,0 +1,28 @@
+WITH a AS (
+  SELECT o.o_orderkey AS k, CAST(o.o_orderdate AS DATE) AS anchor, c.c_name AS company, c.c_mktsegment AS industry,
+    ['北京', '上海', '深圳', '杭州', '广州', '成都', '武汉', '南京', '西安', '长沙', '苏州', '郑州', '天津', '重庆', '东莞', '厦门', '合肥', '青岛', '大连', '济南'][((o.o_orderkey * 48271 + 11) % 2147483647) % 20 + 1] AS city, CAST(((o.o_orderkey * 69621 + 7) % 2147483647) % 4 AS INT) AS kw,
+    ((o.o_orderkey * 16807 + 3) % 2147483647) % 100 < 15 AS neg, ((o.o_orderkey * 39373 + 5) % 2147483647) AS r_lo, ((o.o_orderkey * 40692 + 13) % 2147483647) AS r_hi,
+    CASE WHEN ((o.o_orderkey * 40014 + 17) % 2147483647) % 100 < 10 THEN '不限' WHEN ((o.o_orderkey * 40014 + 17) % 2147483647) % 100 < 35 THEN '大专' WHEN ((o.o_orderkey * 40014 + 17) % 2147483647) % 100 < 80 THEN '本科' WHEN ((o.o_orderkey * 40014 + 17) % 2147483647) % 100 < 98 THEN '硕士' WHEN ((o.o_orderkey * 40014 + 17) % 2147483647) % 100 < 100 THEN '博士' END AS education, CASE WHEN ((o.o_orderkey * 37237 + 23) % 2147483647) % 100 < 5 THEN '50-150人' WHEN ((o.o_orderkey * 37237 + 23) % 2147483647) % 100 < 15 THEN '150-500人' WHEN ((o.o_orderkey * 37237 + 23) % 2147483647) % 100 < 40 THEN '500-1000人' WHEN ((o.o_orderkey * 37237 + 23) % 2147483647) % 100 < 75 THEN '1000-5000人' WHEN ((o.o_orderkey * 37237 + 23) % 2147483647) % 100 < 90 THEN '5000-10000人' WHEN ((o.o_orderkey * 37237 + 23) % 2147483647) % 100 < 100 THEN '10000人以上' END AS company_size, CAST(((o.o_orderkey * 45742 + 19) % 2147483647) % 7 AS INT) AS ei,
+    CAST(2 + ((o.o_orderkey * 31541 + 29) % 2147483647) % 7 AS INT) AS nsk, ((o.o_orderkey * 22229 + 31) % 2147483647) AS r_rot, CAST(((o.o_orderkey * 27011 + 37) % 2147483647) % 91 AS INT) AS dd,
+    ['工程师', '专家', '经理', '总监', '实习生', ''][((o.o_orderkey * 33413 + 41) % 2147483647) % 6 + 1] AS suffix
+  FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey),
+b AS (SELECT *, ['数据分析', 'Python开发', 'AI算法', '大数据开发'][kw + 1] AS keyword,
+        CAST(floor([8000, 10000, 15000, 12000][kw + 1] * (CASE city WHEN '北京' THEN 1400 WHEN '上海' THEN 1350 WHEN '深圳' THEN 1300 WHEN '杭州' THEN 1150 WHEN '广州' THEN 1050 WHEN '成都' THEN 850 WHEN '武汉' THEN 800 WHEN '南京' THEN 950 WHEN '西安' THEN 750 WHEN '长沙' THEN 750 WHEN '苏州' THEN 900 WHEN '郑州' THEN 700 WHEN '天津' THEN 800 WHEN '重庆' THEN 750 WHEN '东莞' THEN 750 ELSE 800 END) / 1000000) * 1000 AS BIGINT) AS lo,
+        CAST(floor([15000, 18000, 25000, 20000][kw + 1] * (CASE city WHEN '北京' THEN 1400 WHEN '上海' THEN 1350 WHEN '深圳' THEN 1300 WHEN '杭州' THEN 1150 WHEN '广州' THEN 1050 WHEN '成都' THEN 850 WHEN '武汉' THEN 800 WHEN '南京' THEN 950 WHEN '西安' THEN 750 WHEN '长沙' THEN 750 WHEN '苏州' THEN 900 WHEN '郑州' THEN 700 WHEN '天津' THEN 800 WHEN '重庆' THEN 750 WHEN '东莞' THEN 750 ELSE 800 END) / 1000000) * 1000 AS BIGINT) AS hi,
+        [['Python', 'SQL', 'Excel', 'Pandas', 'Java', 'JavaScript', 'TypeScript', 'Go', 'Golang', 'Rust', 'C++', 'C', 'C#'], ['Python', 'Scala', 'Kotlin', 'Swift', 'PHP', 'Ruby', 'Perl', 'Shell', 'Bash', 'MATLAB', 'R'], ['Python', 'Machine Learning', 'TensorFlow', 'SQL', 'MySQL', 'PostgreSQL', 'Oracle', 'MongoDB', 'Redis', 'Elasticsearch', 'ClickHouse', 'HBase', 'Neo4j'], ['Hadoop', 'Spark', 'SQL', 'Hive', 'TDengine', 'Doris', 'Flink', 'Kafka', 'Storm', 'Airflow', 'Zookeeper']][kw + 1] AS pool FROM a),
+m AS (SELECT *, lo + r_lo % greatest(hi - 2000 - lo + 1, 1) AS mn FROM b),
+x AS (SELECT *, mn + 2000 + r_hi % greatest(least(20000, hi - mn) - 2000 + 1, 1) AS mx FROM m)
+SELECT k AS seq, keyword, keyword || suffix AS job_title,
+  CASE WHEN neg THEN '面议' ELSE CAST(mn // 1000 AS STRING) || '-' || CAST(mx // 1000 AS STRING) || 'K' END AS salary_text,
+  CASE WHEN neg THEN NULL ELSE CAST(mn AS DOUBLE) END AS salary_min,
+  CASE WHEN neg THEN NULL ELSE CAST(mx AS DOUBLE) END AS salary_max,
+  CASE WHEN neg THEN NULL ELSE round_even((mn + mx) / 2, 0) END AS salary_avg,
+  city, CASE city WHEN '北京' THEN '一线' WHEN '上海' THEN '一线' WHEN '广州' THEN '一线' WHEN '深圳' THEN '一线' WHEN '杭州' THEN '新一线' WHEN '成都' THEN '新一线' WHEN '武汉' THEN '新一线' WHEN '南京' THEN '新一线' WHEN '西安' THEN '新一线' WHEN '长沙' THEN '新一线' ELSE '其他' END AS city_tier, education,
+  ['经验不限', '1年以下', '1-3年', '3-5年', '5-7年', '7-10年', '10年以上'][ei + 1] AS experience,
+  [0.0, 0.0, 1.0, 3.0, 5.0, 7.0, 10.0][ei + 1] AS exp_min, [0.0, 1.0, 3.0, 5.0, 7.0, 10.0, 999.0][ei + 1] AS exp_max,
+  company AS company_name, company_size, industry,
+  array_to_string(list_slice(pool || pool, CAST(r_rot % len(pool) AS INT) + 1,
+                             CAST(r_rot % len(pool) AS INT) + least(nsk, len(pool))), ', ') AS skill_tags,
+  anchor - dd AS publish_date,
+  'https://jobs.example.com/all/' || CAST(k + 10000000 AS STRING) || '.html' AS job_url
+FROM x
