@@ -251,4 +251,19 @@ MIN_BODY_LENGTH = 100
 TARGET_CITIES = ["北京", "上海", "广州", "深圳", "杭州", "成都", "武汉", "南京", "西安", "长沙"]
 JOBS_PER_KEYWORD = 800
 PAGE_SIZE = 50
+# Segment names of cluster profiles, by rule (see hirelens.ml.profile).
+SEGMENT_NAMES = {
+    "senior_high_pay": "高薪资深岗", "very_high_pay": "超高薪技术岗", "high_edu_high_pay": "高学历高薪岗",
+    "high_pay_tech": "高薪技术岗", "senior_tech": "高级技术岗", "mid_senior_tpl": "中高级{}技术岗",
+    "entry_analyst": "入门分析岗", "junior_entry": "初级入门岗", "mid_tech": "中级技术岗", "junior_general": "初级通用岗",
+}
+# Model settings.
+RF_TREES, RF_DEPTH, RF_MIN_INSTANCES, SEED = 200, 15, 2, 42
+GBT_ITER, GBT_DEPTH, GBT_STEP = 200, 6, 0.1
+KMEANS_K_RANGE = list(range(2, 10))
+KMEANS_MAX_ITER = 300
+SILHOUETTE_FLOOR, KMEANS_FALLBACK_K = 0.2, 4
+TFIDF_MAX_FEATURES, TFIDF_MIN_DF, TFIDF_MAX_DF = 100, 2, 0.8
+SVD_DIM = 5
+TRAIN_SHARE_TENTHS = 8
 # ------------------------------------------------------------ END FIXED VALUES
