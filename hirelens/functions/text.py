@@ -75,10 +75,12 @@ def with_city(df: DataFrame, city_col: str = "city", out_city: str = "city",
 
 
 def split_area(col) -> Column:
-    """STR-6: ``广州·天河区`` -> struct(city, district) on ``·`` or ``-``."""
-    parts = F.split(F.regexp_replace(_c(col), "·", "-"), "-")
+    """STR-6: ``广州·天河区`` -> struct(city, district) on ``·`` or ``-``;
+    blank input -> ('', ''), no separator -> district ''."""
+    c = _c(col)
+    parts = F.split(F.regexp_replace(F.coalesce(c, F.lit("")), "·", "-"), "-")
     return F.struct(py_strip(F.try_element_at(parts, F.lit(1))).alias("city"),
-                    py_strip(F.try_element_at(parts, F.lit(2))).alias("district"))
+                    F.coalesce(py_strip(F.try_element_at(parts, F.lit(2))), F.lit("")).alias("district"))
 
 
 def city_tier(col) -> Column:

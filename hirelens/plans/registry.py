@@ -7,7 +7,7 @@ from hirelens.plans import catalog
 
 def _load():
     # each module registers its queries into catalog.QUERIES / catalog.ORACLE on import
-    from hirelens.plans import q_stats, q_ops, q_ingest, q_crawl, q_io, q_stream, q_ml  # noqa: F401
+    from hirelens.plans import q_stats, q_ops, q_ingest, q_crawl, q_io, q_stream, q_ml, q_extra  # noqa: F401
 
 
 def queries():
