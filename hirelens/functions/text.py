@@ -130,21 +130,33 @@ def parse_experience(col) -> Column:
 def clean_experience(df: DataFrame, text_col: str = "experience") -> DataFrame:
     """STR-5: keep given (exp_min, exp_max) when both set and (min > 0 or the
     text is 经验不限), else parse the text (blank -> 0,0); then a max above 30
-    (the open-ended 999 marker) collapses to the min."""
-    parsed = parse_experience(F.col(text_col))
+    (the open-ended 999 marker) collapses to the min.
+
+    The stripped text and its numbers are staged as columns so each is
+    computed once per row."""
     raw = F.col(text_col)
-    blank = raw.isNull() | (raw == "")
+    df = df.withColumn("_exp_t", py_strip(raw))
+    t = F.col("_exp_t")
+    df = df.withColumn("_exp_n", F.regexp_extract_all(t, F.lit(NUM_RE), 1))
+    n1 = F.try_element_at(F.col("_exp_n"), F.lit(1)).cast("double")
+    n2 = F.try_element_at(F.col("_exp_n"), F.lit(2)).cast("double")
+    none = F.lit(False)
+    for w in dims.EXP_NONE_WORDS:
+        none = none | t.contains(w)
+    zero = F.lit(0.0)
+    blank = raw.isNull() | (raw == "") | (t == "")
+    p_lo = F.when(blank | none, zero).when(n1.isNotNull(), n1).otherwise(zero)
+    p_hi = (F.when(blank | none, zero)
+            .when(t.contains(dims.EXP_OPEN_WORD) & n1.isNotNull(), F.lit(dims.EXP_OPEN_MAX))
+            .when(n2.isNotNull(), n2).when(n1.isNotNull(), n1).otherwise(zero))
     if "exp_min" in df.columns and "exp_max" in df.columns:
         keep = (F.col("exp_min").isNotNull() & F.col("exp_max").isNotNull()
                 & ((F.col("exp_min") > 0) | (F.coalesce(raw, F.lit("")) == "经验不限")))
-        emin = F.when(keep, F.col("exp_min")).when(blank, 0.0).otherwise(parsed["exp_min"])
-        emax = F.when(keep, F.col("exp_max")).when(blank, 0.0).otherwise(parsed["exp_max"])
-    else:
-        emin = F.when(blank, 0.0).otherwise(parsed["exp_min"])
-        emax = F.when(blank, 0.0).otherwise(parsed["exp_max"])
-    df = df.withColumn("exp_min", emin.cast("double")).withColumn("exp_max", emax.cast("double"))
+        p_lo = F.when(keep, F.col("exp_min")).otherwise(p_lo)
+        p_hi = F.when(keep, F.col("exp_max")).otherwise(p_hi)
+    df = df.withColumns({"exp_min": p_lo.cast("double"), "exp_max": p_hi.cast("double")})
     return df.withColumn("exp_max", F.when(F.col("exp_max") > dims.EXP_CAP, F.col("exp_min"))
-                         .otherwise(F.col("exp_max")))
+                         .otherwise(F.col("exp_max"))).drop("_exp_t", "_exp_n")
 
 
 def experience_text(emin, emax) -> Column:

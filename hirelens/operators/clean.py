@@ -145,9 +145,10 @@ def fill_missing(df: DataFrame, approx_global: bool = False) -> DataFrame:
         med = lambda c: F.percentile_approx(F.col(c), 0.5, 10000)
     else:
         med = lambda c: F.percentile(F.col(c), F.lit(0.5))
-    # one single-row aggregate, consumed once as a scalar subquery
+    # one single-row aggregate, evaluated once as a scalar subquery into one column
     glob = staged.agg(F.struct(*[med(c).alias(c) for c in SALARY_COLS]).alias("g")).scalar()
-    filled = staged.withColumns({c: F.coalesce(F.col(c), glob[c]) for c in SALARY_COLS})
+    filled = staged.withColumn("_g", glob)
+    filled = filled.withColumns({c: F.coalesce(F.col(c), F.col("_g")[c]) for c in SALARY_COLS}).drop("_g")
     return filled.withColumns({
         "exp_min": F.coalesce(F.col("exp_min"), F.lit(0.0)),
         "exp_max": F.coalesce(F.col("exp_max"), F.lit(0.0)),
@@ -180,9 +181,14 @@ def standardize(raw: DataFrame) -> DataFrame:
 
 
 def clean_postings(raw: DataFrame, approx_global: bool = False) -> DataFrame:
-    """Full §3.1 pipeline: standardize -> dedup -> fill -> outliers."""
-    df = standardize(raw)
-    df = deduplicate(df)
+    """Full §3.1 pipeline: standardize -> dedup -> fill -> outliers.
+
+    The deduplicated rows feed three consumers (the row side of the city
+    join, the per-city aggregate and the global median), so they are written
+    once to the shared folder and read back (see ``session.materialize``).
+    """
+    from hirelens.session import materialize
+    df = materialize(deduplicate(standardize(raw)), "dedup-postings")
     df = fill_missing(df, approx_global=approx_global)
     return remove_outliers(df)
 

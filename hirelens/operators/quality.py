@@ -118,8 +118,9 @@ def pipeline_counters(raw: DataFrame) -> DataFrame:
     """AGG-20: raw, dedup removed, outliers removed, cleaned, retention %,
     plus distinct companies and industries (AGG-17), as one row."""
     from hirelens.operators.clean import deduplicate, fill_missing, remove_outliers, standardize
+    from hirelens.session import materialize
     std = standardize(raw)
-    dd = deduplicate(std)
+    dd = materialize(deduplicate(std), "dedup-postings")
     filled = fill_missing(dd)
     clean = remove_outliers(filled)
     n_raw = raw.agg(F.count(F.lit(1))).scalar()

@@ -134,10 +134,9 @@ def q_negotiable_ratio(spark, sf_dir):
     SELECT seq, city, round_even(f_min, 4) AS salary_min, round_even(f_max, 4) AS salary_max,
            round_even(f_avg, 4) AS salary_avg, bump AS bumped FROM filled"""))
 def q_impute_salary(spark, sf_dir):
-    from hirelens.operators.clean import deduplicate, fill_missing
-    from hirelens.functions.salary import is_negotiable
-    from hirelens.operators.clean import city_salary_stats
-    d = deduplicate(standardized(spark, sf_dir))
+    from hirelens.operators.clean import city_salary_stats, deduplicate, fill_missing
+    from hirelens.session import materialize
+    d = materialize(deduplicate(standardized(spark, sf_dir)), "dedup-postings")
     ratio = city_salary_stats(d).select("city", "neg_ratio")
     f = fill_missing(d).join(ratio, "city", "left")
     bumped = F.coalesce(F.col("neg_ratio") > 0.3, F.lit(False)) & F.coalesce(

@@ -86,3 +86,19 @@ def load_tables(spark: SparkSession, sf_dir: str, names=None) -> dict:
 
 def table(spark: SparkSession, sf_dir: str, name: str):
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+
+
+def materialize(df, name: str):
+    """Write ``df`` once as Parquet under the shared checkpoint folder and
+    return a frame reading it back.
+
+    Used where one intermediate feeds several consumers (a join with its own
+    aggregate, scalar subqueries): Spark does not reuse exchanges whose plans
+    carry lambda expressions, so without this the producer runs once per
+    consumer. It also cuts lineage: a lost executor re-reads Parquet instead
+    of recomputing the upstream plan.
+    """
+    spark = df.sparkSession
+    path = unique_dir(spark, name)
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
