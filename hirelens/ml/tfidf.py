@@ -62,16 +62,28 @@ def tfidf(docs: DataFrame) -> DataFrame:
 
 
 def gram(weights: DataFrame, k: int = dims.TFIDF_MAX_FEATURES) -> DataFrame:
-    """XᵀX of the doc x term weight matrix as (i, j, g) for i <= j."""
-    per_doc = weights.groupBy("seq").agg(F.collect_list(F.struct("idx", "weight")).alias("v"))  # <= 100 per doc
+    """XᵀX of the doc x term weight matrix as (i, j, g) for i <= j.
+
+    Each document's (<= 100) entries are gathered into two aligned arrays;
+    every Arrow batch of documents is scattered into a dense block and
+    multiplied once (one BLAS call per batch), the per-partition 100x100
+    result is summed by a grouped aggregate."""
+    per_doc = (weights.groupBy("seq").agg(F.collect_list(F.struct("idx", "weight")).alias("v"))
+                      .select(F.transform("v", lambda x: x["idx"]).alias("ii"),
+                              F.transform("v", lambda x: x["weight"]).alias("ww")))
 
     def block(batches):
         g = np.zeros((k, k))
         for pdf in batches:
-            for v in pdf["v"]:
-                idx = np.fromiter((e["idx"] for e in v), dtype=np.int64)
-                val = np.fromiter((e["weight"] for e in v), dtype=np.float64)
-                g[np.ix_(idx, idx)] += np.outer(val, val)
+            if pdf.empty:
+                continue
+            lens = pdf["ii"].map(len).to_numpy()
+            rows = np.repeat(np.arange(len(pdf)), lens)
+            cols = np.concatenate(pdf["ii"].to_list()).astype(np.int64)
+            vals = np.concatenate(pdf["ww"].to_list()).astype(np.float64)
+            x = np.zeros((len(pdf), k))
+            np.add.at(x, (rows, cols), vals)
+            g += x.T @ x
         i, j = np.nonzero(np.triu(g))
         yield pd.DataFrame({"i": i.astype("int64"), "j": j.astype("int64"), "g": g[i, j]})
 

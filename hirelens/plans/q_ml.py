@@ -135,7 +135,9 @@ def q_svd_gram(spark, sf_dir):
 
 def _svd_coords(spark, sf_dir):
     from hirelens.ml.tfidf import gram, project, svd_components
-    w = _weights(spark, sf_dir)
+    from hirelens.session import materialize
+    # the weights feed the Gram aggregate and the projection: write them once
+    w = materialize(_weights(spark, sf_dir), "tfidf-weights")
     k = int(w.agg(F.max("idx")).first()[0] or 0) + 1
     comps, _vals = svd_components(gram(w, dims.TFIDF_MAX_FEATURES).collect(), dims.TFIDF_MAX_FEATURES)
     return project(w, comps[:dims.TFIDF_MAX_FEATURES]), k
