@@ -113,23 +113,28 @@ BREAKER_OUT = ("user_id long, n_events long, n_failures long, max_streak long, b
 
 def _breaker(key, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
     """Per source: consecutive failures (reset on success); counts when the
-    run reaches 2 (breaker opens), 3 (cool-down) and 5 (give up)."""
+    run reaches 2 (breaker opens), 3 (cool-down) and 5 (give up).
+    Vectorized per micro-batch: a success starts a new run; a failure's
+    streak is its rank among the failures of its run, plus the open streak
+    carried in from earlier batches for the first run."""
+    import numpy as np
     if state.exists:
         streak, mx, trips, cools, gives, n, nf = state.get
     else:
         streak = mx = trips = cools = gives = n = nf = 0
     batch = pd.concat(list(pdfs), ignore_index=True).sort_values(["ts", "event_id"])
-    for is_err in (batch["event_type"] == "error").tolist():
-        n += 1
-        if is_err:
-            nf += 1
-            streak += 1
-            mx = max(mx, streak)
-            trips += streak == 2
-            cools += streak == 3
-            gives += streak == 5
-        else:
-            streak = 0
+    err = (batch["event_type"] == "error").to_numpy()
+    if len(err):
+        run = np.cumsum(~err)
+        ranks = pd.Series(err.astype(np.int64)).groupby(run).cumsum().to_numpy()
+        s = np.where(err, ranks + np.where(run == 0, streak, 0), 0)
+        n += len(err)
+        nf += int(err.sum())
+        mx = max(mx, int(s.max()))
+        trips += int((s == 2).sum())
+        cools += int((s == 3).sum())
+        gives += int((s == 5).sum())
+        streak = int(s[-1])
     state.update((streak, mx, trips, cools, gives, n, nf))
     yield pd.DataFrame([{"user_id": key[0], "n_events": n, "n_failures": nf, "max_streak": mx,
                          "breaker_trips": trips, "cooldowns": cools, "give_ups": gives}])
