@@ -42,9 +42,14 @@ def enrich_from_detail(base: DataFrame, detail: DataFrame, key: str, fields: lis
     return j.withColumns(upd).drop("_dk", *[f"_d_{f}" for f in fields])
 
 
-def skip_done(df: DataFrame, done: DataFrame, key: str) -> DataFrame:
-    """JON-4 / JON-5: drop rows whose key is already in the done-set."""
-    return df.join(done.select(key).distinct(), key, "left_anti")
+def skip_done(df: DataFrame, done: DataFrame, key: str, bounded: bool = False) -> DataFrame:
+    """JON-4 / JON-5: drop rows whose key is already in the done-set.
+
+    ``bounded`` marks a done-set of known small size (e.g. the finished
+    keywords of a crawl plan), which is broadcast; a data-sized set (seen
+    URLs) is left to the planner."""
+    d = done.select(key).distinct()
+    return df.join(F.broadcast(d) if bounded else d, key, "left_anti")
 
 
 def first_n_per_group(df: DataFrame, group: str, order_cols: list, n: int) -> DataFrame:

@@ -153,7 +153,7 @@ def q_resume_anti(spark, sf_dir):
     r = raw(spark, sf_dir).withColumn("page", F.floor(F.col("seq") / dims.PAGE_SIZE).cast("long"))
     done_keywords = spark.createDataFrame([("数据分析",)], "keyword string")   # finished keyword set
     stored = r.where(F.col("seq") % 3 == 0).select("job_url")               # URLs of a previous run
-    todo = skip_done(r, done_keywords, "keyword").where(F.col("page") > 2)  # resume after page 2
+    todo = skip_done(r, done_keywords, "keyword", bounded=True).where(F.col("page") > 2)  # resume after page 2
     todo = todo.where(contains_any("city", dims.TARGET_CITIES))
     todo = skip_done(todo, stored, "job_url")
     out = first_n_per_group(todo, "keyword", [F.col("page"), F.col("seq")], dims.JOBS_PER_KEYWORD)
