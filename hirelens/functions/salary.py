@@ -13,7 +13,7 @@ The grammar (one pass, no Python per row):
 6. min/max of the first two values;
 7. period: 天/日 -> x21.75, 时 -> x8x21.75, 年 (without 经验/工作 and
    without N薪) -> /12, N薪 with max > 80000 and no 千/k unit -> /N;
-8. half-to-even rounding (``bround``) everywhere a rounding happens.
+8. half-to-even rounding (``bround``, MTH-4) everywhere a rounding happens.
 """
 
 from __future__ import annotations

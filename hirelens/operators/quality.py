@@ -36,7 +36,10 @@ def parsed_postings(raw: DataFrame) -> DataFrame:
 
 
 def validate(df: DataFrame) -> DataFrame:
-    """FLT-7: add ``issues`` (array of (code, detail)), ``n_issues``, ``issue_codes``."""
+    """FLT-7: add ``issues`` (array of (code, detail)), ``n_issues``, ``issue_codes``.
+
+    Numbers are read with ``try_cast`` (FLT-9: unparseable -> null, never an
+    error); dates must parse as y-M-d and fall in 2000..2030 (DAT-4)."""
     title = F.col("job_title")
     smin = F.col("salary_min").try_cast("double")
     smax = F.col("salary_max").try_cast("double")

@@ -41,7 +41,7 @@ _CLEANED: dict = {}
 
 
 def cleaned(spark, sf_dir) -> DataFrame:
-    """The cleaned postings table, written once per session and input folder.
+    """The cleaned postings table (SNK-2), written once per session and input folder.
 
     Like the clean -> analyze split of the original tool, the cleaning job
     runs once and writes Parquet (partitioned by keyword, the dashboard's

@@ -294,3 +294,52 @@ def q_token_extract_documents(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
     return (docs.select("doc_id", F.explode(F.regexp_extract_all("text", F.lit(IP_PORT), 1)).alias("token"))
                 .groupBy("doc_id", "token").agg(F.count(F.lit(1)).alias("n")))
+
+
+@register("payload_new_api", """
+    SELECT CAST(o_orderkey AS STRING) AS job_id,
+      CASE WHEN o_orderkey % 53 = 0 THEN '' ELSE 'Job-' || o_orderpriority END AS job_title,
+      CAST(10 + o_custkey % 20 AS STRING) || '-' || CAST(20 + o_orderkey % 10 AS STRING) || 'K' AS salary_text,
+      CASE o_orderkey % 3 WHEN 0 THEN '广州' WHEN 1 THEN '深圳' ELSE '' END AS city,
+      CASE o_orderkey % 3 WHEN 0 THEN '天河区' WHEN 1 THEN '南山区' ELSE '' END AS district,
+      CASE WHEN o_orderkey % 3 < 2 THEN '一线' ELSE '其他' END AS city_tier,
+      CASE o_orderkey % 3 WHEN 0 THEN '3-5年' WHEN 1 THEN '1年以下' ELSE '' END AS experience,
+      CASE o_orderkey % 3 WHEN 0 THEN 3.0 WHEN 1 THEN 1.0 ELSE 0.0 END AS exp_min,
+      CASE o_orderkey % 3 WHEN 0 THEN 5.0 WHEN 1 THEN 1.0 ELSE 0.0 END AS exp_max,
+      CASE o_orderkey % 4 WHEN 0 THEN '本科' WHEN 1 THEN '硕士' WHEN 2 THEN '' ELSE '大专' END AS education,
+      c_name AS company_name, '' AS company_size, c_mktsegment AS industry,
+      CASE WHEN o_orderkey % 2 = 0 THEN 'Python, Spark' ELSE '' END AS skill_tags,
+      strftime(CAST(o_orderdate AS DATE), '%Y-%m-%d') AS publish_date,
+      'https://jobs.example.com/all/' || CAST(o_orderkey AS STRING) || '.html' AS job_url
+    FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey""")
+def q_payload_new_api(spark, sf_dir):
+    """PRJ-3: newer search-API items (area strings, tag arrays) to postings."""
+    from hirelens.sources.payload import explode_items, project_new_api_items
+    o = table(spark, sf_dir, "orders")
+    c = table(spark, sf_dir, "customer")
+    k, ck = F.col("o_orderkey"), F.col("o_custkey")
+    s = lambda x: x.cast("string")
+    item = F.to_json(F.struct(
+        k.alias("jobId"),
+        F.when(k % 53 == 0, F.lit("")).otherwise(F.concat(F.lit("Job-"), F.col("o_orderpriority"))).alias("jobName"),
+        F.concat(s(10 + ck % 20), F.lit("-"), s(20 + k % 10), F.lit("K")).alias("provideSalaryString"),
+        F.when(k % 3 == 0, F.lit("广州·天河区")).alias("jobAreaString"),
+        F.when(k % 3 == 1, F.lit("深圳-南山区")).alias("workAreaString"),
+        F.when(k % 3 == 0, F.lit("3-5年")).when(k % 3 == 1, F.lit("1年以下")).alias("workYearString"),
+        F.when(k % 4 == 0, F.lit("本科")).when(k % 4 == 1, F.lit("硕士")).when(k % 4 == 3, F.lit("大专"))
+        .alias("degreeString"),
+        F.col("c_name").alias("companyName"), F.col("c_mktsegment").alias("industryType1Str"),
+        F.when(k % 2 == 0, F.array(F.lit("Python"), F.lit("Spark"))).alias("tags_arr"),
+        F.when(k % 2 == 1, F.lit("SQL")).alias("tags_str"),
+        F.date_format(F.to_date("o_orderdate"), "yyyy-MM-dd").alias("issueDateString"),
+    ))
+    item = F.regexp_replace(item, '"tags_(arr|str)":', '"jobTags":')
+    rows = o.join(c, o.o_custkey == c.c_custkey).select(F.floor(k / 50).cast("long").alias("page"), k.alias("k"),
+                                                        item.alias("item"))
+    pages = rows.groupBy("page").agg(F.array_sort(F.collect_list(F.struct("k", "item"))).alias("its"))  # <= 50
+    payload = F.concat(F.lit('{"engine_search_result":['), F.array_join(F.transform("its", lambda x: x["item"]), ","),
+                       F.lit("]}"))
+    p = project_new_api_items(explode_items(pages.select("page", payload.alias("payload"))))
+    return p.select("job_id", "job_title", "salary_text", "city", "district", "city_tier", "experience", "exp_min",
+                    "exp_max", "education", "company_name", "company_size", "industry", "skill_tags", "publish_date",
+                    "job_url")
