@@ -77,24 +77,27 @@ def with_salary(df: DataFrame, text_col: str = "salary_text") -> DataFrame:
 
     df = df.withColumn("_sal_kept", F.filter(pairs, lambda p: ~near_bonus(p)))
     kept = F.col("_sal_kept")
-
-    def with_unit(p, i):
-        nxt = F.filter(kept, lambda q, j: (j > i) & (q["u"] != ""))
-        prv = F.filter(kept, lambda q, j: (j < i) & (q["u"] != ""))
-        unit = (F.when(p["u"] != "", p["u"])
-                .otherwise(F.coalesce(F.try_element_at(nxt, F.lit(1))["u"],
-                                      F.try_element_at(prv, F.lit(-1))["u"],
-                                      F.lit(""))))
-        return _to_monthly(p["n"].cast("double"), unit, text)
-
-    # Flat intermediate columns (not struct fields): Catalyst never inlines a
-    # non-trivial column referenced several times, so the array lambdas run once.
-    df = df.withColumn("_sal_vals", F.slice(F.transform(kept, with_unit), 1, 2))
+    # units with blanks as null, and the numbers: two linear passes
+    df = df.withColumns({"_sal_u": F.transform(kept, lambda p: F.nullif(p["u"], F.lit(""))),
+                         "_sal_n": F.transform(kept, lambda p: p["n"].cast("double"))})
+    u, n = F.col("_sal_u"), F.col("_sal_n")
+
+    def first_unit(start):
+        # first non-blank unit at positions >= start (1-based), via array_compact: no lambda
+        return F.try_element_at(F.array_compact(F.slice(u, start, F.greatest(F.size(u) - start + 1, F.lit(0)))),
+                                F.lit(1))
+
+    # only the first two values matter: unit = own, else next to the right, else previous
+    u1 = F.coalesce(F.try_element_at(u, F.lit(1)), first_unit(2), F.lit(""))
+    u2 = F.coalesce(F.try_element_at(u, F.lit(2)), first_unit(3), F.try_element_at(u, F.lit(1)), F.lit(""))
+    m1 = _to_monthly(F.try_element_at(n, F.lit(1)), u1, text)
+    m2 = _to_monthly(F.try_element_at(n, F.lit(2)), u2, text)
+    df = df.withColumn("_sal_vals", F.array_compact(F.array(m1, m2)))
     vals = F.col("_sal_vals")
     df = df.withColumns({
         "_sal_lo": F.array_min(vals),
         "_sal_hi": F.array_max(vals),
-        "_sal_mu": F.exists(kept, lambda p: F.lower(p["u"]).isin("千", "k")),
+        "_sal_mu": F.arrays_overlap(F.array_compact(u), F.array(F.lit("千"), F.lit("k"), F.lit("K"))),
         "_sal_bonus": F.regexp_extract(text, BONUS_RE, 1),
         "_sal_invalid": (F.col(text_col).isNull() | (text == "")
                          | _contains_any(text, dims.SALARY_NEGOTIABLE_WORDS) | (F.size(kept) == 0)),
@@ -123,7 +126,7 @@ def with_salary(df: DataFrame, text_col: str = "salary_text") -> DataFrame:
     df = df.withColumns({"_sal_plo": F.when(ok, period(F.col("_sal_lo"))).otherwise(null),
                          "_sal_phi": F.when(ok, period(F.col("_sal_hi"))).otherwise(null)})
     lo, hi = F.col("_sal_plo"), F.col("_sal_phi")
-    tmp = ["_sal_text", "_sal_kept", "_sal_vals", "_sal_lo", "_sal_hi", "_sal_mu", "_sal_bonus",
+    tmp = ["_sal_text", "_sal_kept", "_sal_u", "_sal_n", "_sal_vals", "_sal_lo", "_sal_hi", "_sal_mu", "_sal_bonus",
            "_sal_invalid", "_sal_m", "_sal_d", "_sal_plo", "_sal_phi"]
     out = F.struct(F.bround(lo, 0).alias("salary_min"), F.bround(hi, 0).alias("salary_max"),
                    F.bround((lo + hi) / 2, 0).alias("salary_avg"))

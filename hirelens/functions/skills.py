@@ -73,6 +73,21 @@ def normalize_tag_array(tags) -> Column:
     return F.sort_array(F.array_distinct(aliased))
 
 
+def normalize_tag_text(text) -> Column:
+    """STR-10 for a comma-separated tag string in two array passes: split,
+    strip + alias per item, drop blanks; then distinct and sort. (Alias
+    values have no surrounding blanks or commas, so the original's second
+    split/strip pass is the identity.)"""
+    from hirelens.functions.salary import py_strip
+    m = lit_map(dims.SKILL_ALIAS)
+
+    def one(x):
+        t = py_strip(x)
+        return F.coalesce(F.try_element_at(m, t), t)
+    items = F.filter(F.transform(F.split(F.coalesce(_c(text), F.lit("")), ","), one), lambda x: x != "")
+    return F.sort_array(F.array_distinct(items))
+
+
 def is_blank_tags(col) -> Column:
     c = _c(col)
     return c.isNull() | c.isin(*dims.BLANK_TAG_MARKERS)
@@ -85,7 +100,7 @@ def clean_tags(tags, extracted) -> Column:
     and sorted. Blank tags are replaced by the extracted skills; when nothing
     is extracted the value stays missing (null array).
     """
-    given = normalize_tag_array(split_tags(tags))
+    given = normalize_tag_text(tags)
     ext = normalize_tag_array(_c(extracted))
     return F.when(~is_blank_tags(tags), given).when(F.size(ext) > 0, ext)
 

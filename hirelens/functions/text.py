@@ -57,11 +57,19 @@ def with_city(df: DataFrame, city_col: str = "city", out_city: str = "city",
     df = df.withColumn("_city_t", py_strip(F.col(city_col)))
     order = {s: i for i, (_, s) in enumerate(dims.CITY_ALIAS)}
     shorts = sorted({s for _, s in dims.CITY_ALIAS}, key=lambda s: (-len(s), order[s]))
+    # first matching entry found by a codegen'd CASE returning only its index
+    full_idx = None
+    for i, (f, _s) in enumerate(dims.CITY_ALIAS):
+        full_idx = F.when(t.contains(f), F.lit(i + 1)) if full_idx is None else full_idx.when(t.contains(f), F.lit(i + 1))
+    short_idx = None
+    for i, sh in enumerate(shorts):
+        short_idx = (F.when(t.startswith(sh), F.lit(i + 1)) if short_idx is None
+                     else short_idx.when(t.startswith(sh), F.lit(i + 1)))
     fulls = F.array(*[F.struct(F.lit(f).alias("full"), F.lit(s).alias("short")) for f, s in dims.CITY_ALIAS])
     short_arr = F.array(*[F.lit(s) for s in shorts])
     df = df.withColumns({
-        "_city_full": F.try_element_at(F.filter(fulls, lambda x: t.contains(x["full"])), F.lit(1)),
-        "_city_short": F.try_element_at(F.filter(short_arr, lambda x: t.startswith(x)), F.lit(1))})
+        "_city_full": F.try_element_at(fulls, full_idx),
+        "_city_short": F.try_element_at(short_arr, short_idx)})
     full, short = F.col("_city_full"), F.col("_city_short")
     rest = F.substring(t, F.length(short) + 1, 1 << 20)
     rest = F.regexp_replace(F.regexp_replace(py_strip(rest), "^-+", ""), "^·+", "")

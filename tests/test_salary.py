@@ -15,6 +15,9 @@ CASES = [
     ("8000-12000", 8000, 12000, 10000), ("25-15K", 15000, 25000, 20000), ("20", 20, 20, 20),
     ("1.5千以下/月", 1500, 1500, 1500), ("3-5年经验 10-15K", 3000, 5000, 4000), (None, None, None, None),
     ("  15-25K  ", 15000, 25000, 20000), ("待遇面议", None, None, None),
+    # unit inheritance: next unit to the right first, else the previous one
+    ("10-15-20万", 100000, 150000, 125000), ("5千-8", 5000, 8000, 6500), ("8-5千", 5000, 8000, 6500),
+    ("3-5-8K", 3000, 5000, 4000), ("2万-30", 20000, 300000, 160000),
 ]
 
 
