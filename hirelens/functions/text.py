@@ -77,9 +77,12 @@ def with_city(df: DataFrame, city_col: str = "city", out_city: str = "city",
     district = (F.when(full.isNotNull(), py_strip(F.replace(t, full["full"], F.lit(""))))
                  .when(short.isNotNull(), rest).otherwise(F.lit("")))
     blank = F.col(city_col).isNull() | (F.col(city_col) == "")
-    df = df.withColumn(out_district, F.when(blank, F.lit(None)).otherwise(F.nullif(district, F.lit(""))))
-    df = df.withColumn(out_city, F.when(blank, F.lit(None)).otherwise(city))
-    return df.drop("_city_t", "_city_full", "_city_short")
+    out = F.struct(F.when(blank, F.lit(None)).otherwise(city).alias(out_city),
+                   F.when(blank, F.lit(None)).otherwise(F.nullif(district, F.lit(""))).alias(out_district))
+    keep = [c for c in df.columns if c not in ("_city_t", "_city_full", "_city_short", out_city, out_district)]
+    # results leave through a one-row generator so later filters on the city
+    # are not pushed down and expanded into the matching expressions
+    return df.select(*keep, F.inline_outer(F.array(out)))
 
 
 def split_area(col) -> Column:

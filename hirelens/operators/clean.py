@@ -114,8 +114,18 @@ def first_per_key(df: DataFrame, keys, order_col: str = "seq", keep: str = "firs
 
 
 def deduplicate(df: DataFrame) -> DataFrame:
+    """WIN-1: first row (smallest seq) per (company, title, avg-or--1).
+
+    ``min(seq)`` per key is a hash aggregate with partial aggregation (a key
+    with a third of all rows collapses inside each map task); the rows are
+    then kept by a semi-join on (key, seq), which is hash-partitioned on the
+    row's own seq as well, so a hot key spreads over all tasks. This is
+    cheaper than carrying whole rows through a sort-based struct aggregate."""
     keys = dedup_key_cols()
-    return first_per_key(df, keys, "seq", "first").select(*df.columns)
+    names = ["_k_company", "_k_title", "_k_salary"]
+    keyed = df.select("*", *keys)
+    firsts = keyed.groupBy(*names).agg(F.min("seq").alias("seq"))
+    return keyed.join(firsts, names + ["seq"], "left_semi").select(*df.columns)
 
 
 def city_salary_stats(df: DataFrame) -> DataFrame:
