@@ -54,7 +54,7 @@ def q_table_store(spark, sf_dir):
     rows.write.insertInto(name)
     spark.createDataFrame([], rows.schema).write.insertInto(name, overwrite=True)
     rows.write.insertInto(name)
-    return spark.sql(f"SELECT keyword, count(*) AS n, round(sum(salary_avg), 2) AS salary_sum FROM {name} "
+    return spark.sql(f"SELECT keyword, count(*) AS n, bround(sum(salary_avg), 2) AS salary_sum FROM {name} "
                      "GROUP BY keyword")
 
 
