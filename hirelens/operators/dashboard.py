@@ -136,7 +136,8 @@ def chart_scatter(df: DataFrame, n: int = 10, jitter_seed: int | None = None) ->
     x = F.col("city_idx").cast("double")
     if jitter_seed is not None:
         x = _r(x + (F.rand(jitter_seed) * 0.8 - 0.4), 2)
-    return pts.select("city", "city_idx", x.alias("x"), _r(F.col("salary_avg")).alias("y"), "seq")
+    return pts.select("city", F.col("city_idx").cast("long").alias("city_idx"), x.alias("x"),
+                      _r(F.col("salary_avg")).alias("y"), "seq")
 
 
 def kpi(df: DataFrame) -> DataFrame:

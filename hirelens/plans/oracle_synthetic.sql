@@ -19,7 +19,7 @@ SELECT k AS seq, keyword, keyword || suffix AS job_title,
   CASE WHEN neg THEN NULL ELSE round_even((mn + mx) / 2, 0) END AS salary_avg,
   city, CASE city WHEN '北京' THEN '一线' WHEN '上海' THEN '一线' WHEN '广州' THEN '一线' WHEN '深圳' THEN '一线' WHEN '杭州' THEN '新一线' WHEN '成都' THEN '新一线' WHEN '武汉' THEN '新一线' WHEN '南京' THEN '新一线' WHEN '西安' THEN '新一线' WHEN '长沙' THEN '新一线' ELSE '其他' END AS city_tier, education,
   ['经验不限', '1年以下', '1-3年', '3-5年', '5-7年', '7-10年', '10年以上'][ei + 1] AS experience,
-  [0.0, 0.0, 1.0, 3.0, 5.0, 7.0, 10.0][ei + 1] AS exp_min, [0.0, 1.0, 3.0, 5.0, 7.0, 10.0, 999.0][ei + 1] AS exp_max,
+  CAST([0.0, 0.0, 1.0, 3.0, 5.0, 7.0, 10.0][ei + 1] AS DOUBLE) AS exp_min, CAST([0.0, 1.0, 3.0, 5.0, 7.0, 10.0, 999.0][ei + 1] AS DOUBLE) AS exp_max,
   company AS company_name, company_size, industry,
   array_to_string(list_slice(pool || pool, CAST(r_rot % len(pool) AS INT) + 1,
                              CAST(r_rot % len(pool) AS INT) + least(nsk, len(pool))), ', ') AS skill_tags,

@@ -22,12 +22,14 @@ s AS (
     CASE k % 3 WHEN 0 THEN (20 + k % 10) * 1000.0 WHEN 1 THEN 10000.0 + (1 + k % 9) * 1000.0 END AS b
   FROM g WHERE k % 53 <> 0)
 SELECT CAST(k AS STRING) AS job_id, page, pos, 'Job-' || prio AS job_title,
-  least(a, b) AS salary_min, greatest(a, b) AS salary_max, round_even((a + b) / 2, 0) AS salary_avg,
+  CAST(least(a, b) AS DOUBLE) AS salary_min, CAST(greatest(a, b) AS DOUBLE) AS salary_max,
+  CAST(round_even((a + b) / 2, 0) AS DOUBLE) AS salary_avg,
   CASE ck % 3 WHEN 0 THEN '北京' WHEN 1 THEN '上海' ELSE '未知' END AS city,
   CASE ck % 3 WHEN 0 THEN '海淀区' WHEN 1 THEN '浦东' ELSE '' END AS district,
   CASE k % 4 WHEN 0 THEN '本科' WHEN 1 THEN '硕士' WHEN 2 THEN '不限' ELSE '大专' END AS education,
   CASE k % 3 WHEN 0 THEN '3-5年' WHEN 1 THEN '经验不限' ELSE '0.0年' END AS experience,
-  CASE k % 3 WHEN 0 THEN 3.0 ELSE 0.0 END AS exp_min, CASE k % 3 WHEN 0 THEN 5.0 ELSE 0.0 END AS exp_max,
+  CAST(CASE k % 3 WHEN 0 THEN 3 ELSE 0 END AS DOUBLE) AS exp_min,
+  CAST(CASE k % 3 WHEN 0 THEN 5 ELSE 0 END AS DOUBLE) AS exp_max,
   c_name AS company_name, c_mktsegment AS industry,
   CASE WHEN k % 2 = 0 THEN 'Python, SQL' ELSE 'Java, Go' END AS skill_tags,
   strftime(d, '%Y-%m-%d') AS publish_date,
@@ -304,8 +306,8 @@ def q_token_extract_documents(spark, sf_dir):
       CASE o_orderkey % 3 WHEN 0 THEN '天河区' WHEN 1 THEN '南山区' ELSE '' END AS district,
       CASE WHEN o_orderkey % 3 < 2 THEN '一线' ELSE '其他' END AS city_tier,
       CASE o_orderkey % 3 WHEN 0 THEN '3-5年' WHEN 1 THEN '1年以下' ELSE '' END AS experience,
-      CASE o_orderkey % 3 WHEN 0 THEN 3.0 WHEN 1 THEN 1.0 ELSE 0.0 END AS exp_min,
-      CASE o_orderkey % 3 WHEN 0 THEN 5.0 WHEN 1 THEN 1.0 ELSE 0.0 END AS exp_max,
+      CAST(CASE o_orderkey % 3 WHEN 0 THEN 3 WHEN 1 THEN 1 ELSE 0 END AS DOUBLE) AS exp_min,
+      CAST(CASE o_orderkey % 3 WHEN 0 THEN 5 WHEN 1 THEN 1 ELSE 0 END AS DOUBLE) AS exp_max,
       CASE o_orderkey % 4 WHEN 0 THEN '本科' WHEN 1 THEN '硕士' WHEN 2 THEN '' ELSE '大专' END AS education,
       c_name AS company_name, '' AS company_size, c_mktsegment AS industry,
       CASE WHEN o_orderkey % 2 = 0 THEN 'Python, Spark' ELSE '' END AS skill_tags,

@@ -31,11 +31,19 @@ def _rows(cols, rows):
     return sorted((tuple(_norm(r[i]) for i in order) for r in rows), key=repr)
 
 
+SPARK_TO_DUCK = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR", "date": "DATE",
+                 "boolean": "BOOLEAN", "float": "FLOAT"}
+
+
 @pytest.mark.parametrize("name", sorted(ORACLE))
 def test_query_matches_oracle(spark, duck, name):
     sdf = E.queries()[name](spark, SF_SMALL)
     res = duck.sql(ORACLE[name])
     assert sorted(sdf.columns) == sorted(res.columns)
+    duck_types = dict(zip(res.columns, [str(t) for t in res.types]))
+    for f in sdf.schema.fields:
+        st = f.dataType.simpleString()
+        assert SPARK_TO_DUCK.get(st, st) == duck_types[f.name], (f.name, st, duck_types[f.name])
     assert _rows(sdf.columns, [tuple(r) for r in sdf.collect()]) == _rows(res.columns, res.fetchall())
 
 
