@@ -49,3 +49,34 @@ def test_filter_after_parse_keeps_plan_small(spark):
     df = spark.createDataFrame([(c[0],) for c in CASES], "salary_text string")
     q = with_salary(df).where(F.col("salary_avg").between(0, 1e6) & (F.col("salary_min") > 0))
     assert len(q._jdf.queryExecution().optimizedPlan().toString()) < 60000
+
+
+# FIXED VALUES: one or two rows per salary-text shape of the original tool's
+# exported postings table, with the (min, max, avg) it stored for them.
+EXPORT_GOLDENS = [
+    ("8千-1万", 8000.0, 10000.0, 9000.0),
+    ("8千-1.3万", 8000.0, 13000.0, 10500.0),
+    ("1-1.7万", 10000.0, 17000.0, 13500.0),
+    ("1.5-3万", 15000.0, 30000.0, 22500.0),
+    ("1.5-2万·13薪", 15000.0, 20000.0, 17500.0),
+    ("1.5-2万·15薪", 15000.0, 20000.0, 17500.0),
+    ("15-18万/年", 12500.0, 15000.0, 13750.0),
+    ("20-30万/年", 16667.0, 25000.0, 20834.0),
+    ("8千-1万·14薪", 8000.0, 10000.0, 9000.0),
+    ("8千-1.1万·13薪", 8000.0, 11000.0, 9500.0),
+    ("6-7.5千", 6000.0, 7500.0, 6750.0),
+    ("5-8千", 5000.0, 8000.0, 6500.0),
+    ("300元/天", 6525.0, 6525.0, 6525.0),
+    ("500元/天", 10875.0, 10875.0, 10875.0),
+    ("5-7千·13薪", 5000.0, 7000.0, 6000.0),
+    ("5.5-7.5千·13薪", 5500.0, 7500.0, 6500.0),
+    ("3千及以下", 3000.0, 3000.0, 3000.0),
+]
+
+
+def test_export_goldens(spark):
+    from hirelens.functions.salary import with_salary
+    df = spark.createDataFrame([(i, g[0]) for i, g in enumerate(EXPORT_GOLDENS)], "i int, salary_text string")
+    got = {r.i: (r.salary_min, r.salary_max, r.salary_avg) for r in with_salary(df).collect()}
+    for i, (text, *exp) in enumerate(EXPORT_GOLDENS):
+        assert got[i] == tuple(exp), text
