@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from hirelens import dims
-from hirelens.functions.text import _c, lit_map, split_tags
+from hirelens.functions.text import _c, lit_map
 
 # Java regex: "R" must not be followed by a Unicode word character
 # (Python's \b semantics on str, which treats CJK as word characters).

@@ -3,8 +3,6 @@ returns the sink's contents."""
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
-
 from hirelens import dims
 from hirelens.plans.catalog import raw, register
 from hirelens.plans.q_crawl import STREAK_ORACLE

@@ -165,7 +165,6 @@ def stream_upsert(spark: SparkSession, postings: DataFrame) -> DataFrame:
     from hirelens.sinks.store import upsert, write_version
     src = stage_slices(postings, "seq", 3, "upsert-drop")
     s = read_stream(spark, src, postings.schema, _files_per_slice(spark))
-    table_dir = unique_dir(spark, "stream-upsert-table")
     ckpt = unique_dir(spark, "stream-upsert-ckpt")
     current = {"path": None}
 
@@ -176,7 +175,6 @@ def stream_upsert(spark: SparkSession, postings: DataFrame) -> DataFrame:
 
     q = s.writeStream.foreachBatch(sink).option("checkpointLocation", ckpt).trigger(availableNow=True).start()
     q.awaitTermination()
-    _ = table_dir
     return spark.read.parquet(current["path"]).drop("_batch")
 
 
