@@ -74,3 +74,18 @@ def test_svd_project_covers_all_docs(spark):
     import __spark_entry__ as E
     q = E.queries()
     assert q["svd_project"](spark, SF_SMALL).count() == q["reg_features"](spark, SF_SMALL).count()
+
+
+def test_normalizers_idempotent(spark):
+    """Normalizing already normalized city, education and tag text changes nothing."""
+    from hirelens.functions.skills import normalize_tag_text
+    from hirelens.functions.text import normalize_education, with_city
+    from hirelens.sources.fixtures import raw_postings
+    raw = raw_postings(spark, SF_SMALL).select("seq", "city", "education", "skill_tags")
+    once = with_city(raw).withColumn("education", normalize_education("education")) \
+        .withColumn("skill_tags", F.array_join(normalize_tag_text("skill_tags"), ", "))
+    twice = with_city(once.drop("district")).withColumn("education", normalize_education("education")) \
+        .withColumn("skill_tags", F.array_join(normalize_tag_text("skill_tags"), ", "))
+    cols = ["seq", "city", "education", "skill_tags"]
+    assert sorted(tuple(r) for r in once.select(*cols).collect()) == \
+        sorted(tuple(r) for r in twice.select(*cols).collect())
