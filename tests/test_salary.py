@@ -18,6 +18,8 @@ CASES = [
     # unit inheritance: next unit to the right first, else the previous one
     ("10-15-20万", 100000, 150000, 125000), ("5千-8", 5000, 8000, 6500), ("8-5千", 5000, 8000, 6500),
     ("3-5-8K", 3000, 5000, 4000), ("2万-30", 20000, 300000, 160000),
+    # more than four tokens: the general path
+    ("1-2-3-4-5K", 1000, 2000, 1500), ("10-15K·13薪 补贴2000元 3-5人", 10000, 15000, 12500),
 ]
 
 
