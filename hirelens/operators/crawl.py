@@ -30,20 +30,36 @@ def global_sequence(df: DataFrame, order_cols: list[str], out: str = "seq_no") -
     """WIN-3: a gap-free 1..N number in ``order_cols`` order without a
     single-partition sort.
 
-    The leading (numeric) order column is cut into ``shuffle.partitions``
-    ranges at approximate quantiles computed once (a bounded list of
-    boundaries baked into the plan, so every branch buckets a row the same
-    way). Rows are numbered inside their range, and each range adds the row
-    count of all earlier ranges; that offset table has one row per range and
-    is the only thing broadcast.
+    The (numeric) leading order column is cut into ``shuffle.partitions``
+    ranges at approximate quantiles computed once; a leading value that
+    covers several quantiles (a hot page) gets extra cuts on the second order
+    column, so it is split over several ranges as well. The cut list is
+    bounded by the partition count and baked into the plan, so every branch
+    assigns a row to the same range. Rows are numbered inside their range and
+    each range adds the row count of all earlier ranges; that offset table
+    has one row per range and is the only thing broadcast.
     """
     spark = df.sparkSession
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     lead = order_cols[0]
     probs = [i / n for i in range(1, n)]
-    bounds = sorted(set(df.approxQuantile(lead, probs, 0.001))) if n > 1 else []
-    arr = F.array(*[F.lit(float(b)) for b in bounds]) if bounds else F.array().cast("array<double>")
-    bucket = F.size(F.filter(arr, lambda b: b < F.col(lead).cast("double")))
+    raw_bounds = df.approxQuantile(lead, probs, 0.001) if n > 1 else []
+    cuts = []  # (lead value, second value or None): a row is above a cut when its key is larger
+    for v in sorted(set(raw_bounds)):
+        k = raw_bounds.count(v)
+        if k > 1 and len(order_cols) > 1:
+            sub = df.where(F.col(lead) == v).approxQuantile(order_cols[1], [j / k for j in range(1, k)], 0.001)
+            cuts += [(float(v), float(x)) for x in sorted(set(sub))]
+        cuts.append((float(v), None))
+    lv = F.col(lead).cast("double")
+    above = []
+    for v, second in cuts:
+        if second is None:
+            above.append(F.when(lv > v, 1).otherwise(0))
+        else:
+            sv = F.col(order_cols[1]).cast("double")
+            above.append(F.when((lv > v) | ((lv == v) & (sv > second)), 1).otherwise(0))
+    bucket = sum(above[1:], above[0]) if above else F.lit(0)
     b = df.withColumn("_b", bucket)
     local = b.withColumn("_local", F.row_number().over(Window.partitionBy("_b").orderBy(*order_cols)))
     counts = b.groupBy("_b").agg(F.count(F.lit(1)).alias("_n"))

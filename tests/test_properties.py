@@ -89,3 +89,17 @@ def test_normalizers_idempotent(spark):
     cols = ["seq", "city", "education", "skill_tags"]
     assert sorted(tuple(r) for r in once.select(*cols).collect()) == \
         sorted(tuple(r) for r in twice.select(*cols).collect())
+
+
+def test_global_sequence_splits_hot_leading_value(spark):
+    """A page holding 60% of the rows is spread over several ranges and the
+    numbering stays gap-free and ordered."""
+    from hirelens.operators.crawl import global_sequence
+    df = spark.range(0, 6000).select(F.when(F.col("id") < 3600, 5).otherwise(F.col("id")).alias("page"),
+                                     F.col("id").alias("pos"))
+    out = global_sequence(df, ["page", "pos"]).orderBy("seq_no").collect()
+    assert [r.seq_no for r in out] == list(range(1, 6001))
+    assert [(r.page, r.pos) for r in out] == sorted((r.page, r.pos) for r in out)
+    # the hot page's rows land in more than one range
+    parts = df.where("page = 5").approxQuantile("pos", [0.5], 0.001)
+    assert parts and 0 < parts[0] < 3599
