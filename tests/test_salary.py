@@ -82,3 +82,32 @@ def test_export_goldens(spark):
     got = {r.i: (r.salary_min, r.salary_max, r.salary_avg) for r in with_salary(df).collect()}
     for i, (text, *exp) in enumerate(EXPORT_GOLDENS):
         assert got[i] == tuple(exp), text
+
+
+def test_salary_invariants_on_generated_texts(spark):
+    """Generated salary-like texts: min <= avg <= max when parsed, nulls for
+    negotiable text, never an error (one Spark job for all examples)."""
+    from hypothesis import HealthCheck, given, settings
+    from hypothesis import strategies as st
+
+    from hirelens.functions.salary import with_salary
+    token = st.one_of(st.integers(0, 300).map(str), st.floats(0, 99, allow_nan=False).map(lambda x: f"{x:.1f}"))
+    unit = st.sampled_from(["", "K", "k", "千", "万", "元", "/"])
+    tail = st.sampled_from(["", "/月", "/年", "/天", "/小时", "·13薪", "·14薪", " 3-5年经验", "面议", "以下", "及以上"])
+    text = st.builds(lambda a, ua, b, ub, t: f"{a}{ua}-{b}{ub}{t}", token, unit, token, unit, tail)
+    samples = []
+
+    @settings(max_examples=300, suppress_health_check=list(HealthCheck), deadline=None)
+    @given(text)
+    def collect(t):
+        samples.append(t)
+
+    collect()
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(samples)], "i int, salary_text string")
+    for r in with_salary(df).collect():
+        t = samples[r.i]
+        if "面议" in t:
+            assert (r.salary_min, r.salary_max, r.salary_avg) == (None, None, None), t
+        elif r.salary_min is not None:
+            assert r.salary_min <= r.salary_max, t
+            assert r.salary_min - 0.5 <= r.salary_avg <= r.salary_max + 0.5, t
