@@ -138,19 +138,22 @@ def city_salary_stats(df: DataFrame) -> DataFrame:
                    *[F.percentile(F.col(c), F.lit(0.5)).alias(f"med_{c}") for c in SALARY_COLS]))
 
 
-def fill_missing(df: DataFrame, approx_global: bool = False) -> DataFrame:
+def fill_missing(df: DataFrame, approx_global: bool = False, keep_flag: bool = False) -> DataFrame:
     """T10/T11: city median fill -> x1.1 for negotiable rows of cities whose
     negotiable ratio (on the deduplicated rows) exceeds 0.3 -> global median
-    of the adjusted column; then city -> 未知, exp -> 0."""
+    of the adjusted column; then city -> 未知, exp -> 0. ``keep_flag`` keeps
+    a ``bumped`` column marking the rows that got the x1.1 factor."""
     stats = city_salary_stats(df)
     j = df.join(stats, on="city", how="left")
     high = F.coalesce(F.col("neg_ratio") > dims.NEGOTIABLE_RATIO_LIMIT, F.lit(False))
     bump = high & F.coalesce(F.col("salary_text").contains(dims.NEGOTIABLE_MARK), F.lit(False))
-    staged = j.withColumns({
-        c: F.when(bump, F.coalesce(F.col(c), F.col(f"med_{c}")) * dims.NEGOTIABLE_FACTOR)
+    staged = j.withColumn("bumped", bump).withColumns({
+        c: F.when(F.col("bumped"), F.coalesce(F.col(c), F.col(f"med_{c}")) * dims.NEGOTIABLE_FACTOR)
             .otherwise(F.coalesce(F.col(c), F.col(f"med_{c}")))
         for c in SALARY_COLS
     }).drop("neg_ratio", *[f"med_{c}" for c in SALARY_COLS])
+    if not keep_flag:
+        staged = staged.drop("bumped")
     if approx_global:
         med = lambda c: F.percentile_approx(F.col(c), 0.5, 10000)
     else:

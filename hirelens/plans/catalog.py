@@ -134,16 +134,13 @@ def q_negotiable_ratio(spark, sf_dir):
     SELECT seq, city, round_even(f_min, 4) AS salary_min, round_even(f_max, 4) AS salary_max,
            round_even(f_avg, 4) AS salary_avg, bump AS bumped FROM filled"""))
 def q_impute_salary(spark, sf_dir):
-    from hirelens.operators.clean import city_salary_stats, deduplicate, fill_missing
+    from hirelens.operators.clean import deduplicate, fill_missing
     from hirelens.session import materialize
     d = materialize(deduplicate(standardized(spark, sf_dir)), "dedup-postings")
-    ratio = city_salary_stats(d).select("city", "neg_ratio")
-    f = fill_missing(d).join(ratio, "city", "left")
-    bumped = F.coalesce(F.col("neg_ratio") > 0.3, F.lit(False)) & F.coalesce(
-        F.col("salary_text").contains("面议"), F.lit(False))
+    f = fill_missing(d, keep_flag=True)
     return f.select("seq", F.when(F.col("city") == "未知", None).otherwise(F.col("city")).alias("city"),
                     F.bround("salary_min", 4).alias("salary_min"), F.bround("salary_max", 4).alias("salary_max"),
-                    F.bround("salary_avg", 4).alias("salary_avg"), bumped.alias("bumped"))
+                    F.bround("salary_avg", 4).alias("salary_avg"), "bumped")
 
 
 CLEAN_SELECT = """SELECT seq, keyword, job_title, round_even(salary_min, 4) AS salary_min,
