@@ -153,11 +153,12 @@ def kpi(df: DataFrame) -> DataFrame:
     best = per_city.agg(F.min_by(F.struct("city", "m"), F.struct(-F.col("m"), F.col("city"))).alias("b"))
     tags = blocklisted_tags(df).groupBy("tag").agg(F.count(F.lit(1)).alias("c"))
     top = tags.agg(F.min_by(F.col("tag"), F.struct(-F.col("c"), F.col("tag"))).alias("t"))
-    return df.agg(F.count(F.lit(1)).alias("total_jobs"), _r(F.avg(s)).cast("long").alias("avg_salary")).select(
-        "total_jobs", "avg_salary",
-        best.select(F.col("b.city")).scalar().alias("top_city"),
-        _r(best.select(F.col("b.m")).scalar()).cast("long").alias("top_city_salary"),
-        F.coalesce(top.select("t").scalar(), F.lit("--")).alias("top_skill"))
+    totals = df.agg(F.count(F.lit(1)).alias("total_jobs"), _r(F.avg(s)).cast("long").alias("avg_salary"))
+    # each single-row aggregate is consumed once (one subquery execution each)
+    return totals.withColumns({"_b": best.scalar(), "_t": top.scalar()}).select(
+        "total_jobs", "avg_salary", F.col("_b.city").alias("top_city"),
+        _r(F.col("_b.m")).cast("long").alias("top_city_salary"),
+        F.coalesce(F.col("_t"), F.lit("--")).alias("top_skill"))
 
 
 def dashboard(df: DataFrame, city: str = "", education: str = "", keyword: str = "",
