@@ -101,7 +101,7 @@ def mix(docs: DataFrame, weights: list[float] = (1, 2, 3), most: int = 3, cut: b
                 .agg(F.sum("size").alias("words"), F.min("h").alias("lo"), F.max("h").alias("hi")))
         run = Window.partitionBy("key").orderBy("bucket")
         ends = (hist.withColumn("upto", F.sum("words").over(run))
-                .join(_small(plan), "key").where(F.col("before") + F.col("upto") >= F.col("rest"))
+                .join(_small(plan.select("key", "rest", "before")), "key").where(F.col("before") + F.col("upto") >= F.col("rest"))
                 .groupBy("key").agg(F.min_by(F.struct("bucket", "upto", "words", "lo", "hi"), "bucket").alias("b"))
                 .select("key", F.col("b.bucket").alias("bucket"), F.col("b.words").alias("words"),
                         (F.col("b.upto") - F.col("b.words")).alias("more"),

@@ -7,6 +7,7 @@ Each applies its operator with production parameters to its whole table.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from hirelens.session import unique_dir
 
@@ -23,6 +24,32 @@ def tokenizer_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+# ---------------------------------------------------------- 2: substrings
+
+def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from hirelens.llm.substrings import dedup_windows
+    out = dedup_windows(_table(spark, sf_dir, "documents"), words=20)
+    return out.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept_text").cast("binary"), 256).alias("kept_sha256"))
+
+
+# -------------------------------------------------------------- 4: quality
+
+def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from hirelens.llm.quality import judge
+    judged = judge(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+    return judged.select(F.col("id").alias("doc_id"), "n_words", "word_chars", "n_symbols", "n_dup_lines",
+                         "n_repeat_words", "base_failed", "kept", "rule")
+
+
+# -------------------------------------------------------------- 5: simhash
+
+def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from hirelens.llm.simhash import near_duplicates
+    out = near_duplicates(_table(spark, sf_dir, "documents"), words=3, most=3)
+    return out.select(F.col("id").alias("doc_id"), F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"),
+                      F.col("component").alias("component_id"))
+
+
 # ---------------------------------------------------------------- 6: urls
 
 #: fixed values: (host, path, verdict)
@@ -89,6 +116,40 @@ FROM x
 """
 
 
+# --------------------------------------------------------------- 9: lines
+
+def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from hirelens.llm.lines import dedup_lines
+    out = dedup_lines(_table(spark, sf_dir, "documents"))
+    return out.select("doc_id", F.col("__n_lines").alias("n_lines"), F.col("__n_removed").alias("n_removed"),
+                      F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256).alias("kept_sha256"))
+
+
+OP9_SQL = r"""
+WITH l AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) - 1 AS pos
+           FROM documents WHERE text IS NOT NULL),
+w AS (SELECT * FROM l WHERE regexp_matches(line, '[^\x20\x09-\x0D]')),
+c AS (SELECT line, length(line) AS n, min((doc_id::HUGEINT << 31) + pos) AS place FROM w GROUP BY line),
+b AS (SELECT line, place, n, n AS m FROM c WHERE n >= 20 UNION ALL SELECT line, place, n, n - 1 FROM c WHERE n >= 21),
+k AS (SELECT line, place, n, m, 0 AS q, left(line, (m // 2)::BIGINT) AS part FROM b
+      UNION ALL SELECT line, place, n, m, 1, right(line, (m - m // 2)::BIGINT) FROM b),
+p AS (SELECT DISTINCT x.line AS a, x.n AS an, x.place AS ap, y.line AS b, y.n AS bn, y.place AS bp
+      FROM k x JOIN k y ON x.m = y.m AND x.q = y.q AND x.part = y.part AND x.place > y.place),
+near AS (SELECT DISTINCT a AS line FROM p WHERE CASE
+      WHEN an = bn THEN len(list_filter(range(0, an), lambda i: left(a, i) = left(b, i) AND substr(a, i + 2) = substr(b, i + 2))) > 0
+      WHEN an = bn + 1 THEN len(list_filter(range(0, an), lambda i: left(a, i) || substr(a, i + 2) = b)) > 0
+      WHEN bn = an + 1 THEN len(list_filter(range(0, bn), lambda i: left(b, i) || substr(b, i + 2) = a)) > 0
+      ELSE false END),
+j AS (SELECT l.doc_id, l.pos, l.line,
+        c.place IS NOT NULL AND (near.line IS NOT NULL OR (l.doc_id::HUGEINT << 31) + l.pos > c.place) AS gone
+      FROM l LEFT JOIN c ON l.line = c.line LEFT JOIN near ON l.line = near.line),
+d AS (SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_removed,
+        coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT gone), '') AS kept FROM j GROUP BY doc_id)
+SELECT x.doc_id, coalesce(n_lines, 0) AS n_lines, coalesce(n_removed, 0) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+FROM documents x LEFT JOIN d ON x.doc_id = d.doc_id
+"""
+
+
 # ---------------------------------------------------------- 10: token files
 
 def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -99,12 +160,17 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op2_substring_dedup": op2_substring_dedup,
+    "op4_quality_rules": op4_quality_rules,
+    "op5_simhash": op5_simhash,
     "op6_url_filter": op6_url_filter,
     "op7_source_mix": op7_source_mix,
+    "op9_line_dedup": op9_line_dedup,
     "op10_token_files": op10_token_files,
 }
 
 ORACLE = {
     "op6_url_filter": OP6_SQL,
     "op7_source_mix": OP7_SQL,
+    "op9_line_dedup": OP9_SQL,
 }

@@ -24,8 +24,9 @@ import numpy as np
 
 from hirelens.llm.common import process_cache
 
-#: chunks remembered per worker; when more come, the memory starts anew
-REMEMBERED = 400_000
+#: chunks of a generation that a worker remembers; when it is full, the one
+#: before it is forgotten (two generations are some 200 MB)
+REMEMBERED = 450_000
 LONGEST_CHUNK = 64
 
 _CHUNK = re.compile(r"[ \n]?\S+|\s+(?!\S)|\s+")
@@ -61,62 +62,65 @@ class Encoder:
         self.tokenizer.encode_special_tokens = True  # their strings are ordinary text
         self.dtype = id_dtype(self.tokenizer.get_vocab_size())
         self.kind = _kind(path)
-        self.known: dict[str, bytes | None] = {}
+        self.known: dict[str | bytes, bytes | None] = {}
+        self.before: dict[str | bytes, bytes | None] = {}
 
     def _plainly(self, texts: list[str]) -> list[bytes]:
         out = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(e.ids, self.dtype).tobytes() for e in out]
 
-    def _learn(self, chunks) -> dict[str, bytes | None]:
-        """Ids of ``chunks`` (None where the text must be encoded whole)."""
-        known = self.known
-        if len(known) > REMEMBERED:
-            known.clear()
+    def _learn(self, chunks) -> dict[str | bytes, bytes]:
+        """Remembers the ids of ``chunks`` (None where the text must be encoded
+        whole) and returns those of chunks too long to be remembered."""
+        if len(self.known) > REMEMBERED:
+            self.before, self.known = self.known, {}
+        known, before = self.known, self.before
         long, stems, tails = {}, {}, []
         for c in chunks:
             if c in known:
                 continue
-            if "<|" in c or (c[-1].isspace() and not _PLAIN_SPACE.issuperset(c)):
+            if c in before:
+                known[c] = before[c]
+                continue
+            text = c if self.kind == "byte" else c.decode()
+            if "<|" in text or (text[-1].isspace() and not _PLAIN_SPACE.issuperset(text)):
                 known[c] = None
-            elif len(c) > LONGEST_CHUNK:
-                long[c] = None
-            elif c[-1] in ".," and len(c) > 1 and c[-2] < "İ" and c[-2].isalpha():
+            elif len(text) > LONGEST_CHUNK:
+                long[c] = text
+            elif text[-1] in ".," and len(text) > 1 and text[-2] < "\u0130" and text[-2].isalpha():
                 tails.append(c)
-                if c[:-1] not in known:
-                    stems[c[:-1]] = None
-                if c[-1] not in known:
-                    stems[c[-1]] = None
+                for part, said in ((c[:-1], text[:-1]), (c[-1:], text[-1])):
+                    if part not in known:
+                        stems[part] = said
             else:
-                stems[c] = None
+                stems[c] = text
         if stems:
-            known.update(zip(stems, self._plainly(list(stems))))
+            known.update(zip(stems, self._plainly(list(stems.values()))))
         for c in tails:
-            known[c] = known[c[:-1]] + known[c[-1]]
-        if long:
-            long.update(zip(long, self._plainly(list(long))))
-        return long
+            known[c] = known[c[:-1]] + known[c[-1:]]
+        return dict(zip(long, self._plainly(list(long.values())))) if long else long
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """The ids of each text (null: none) as little-endian bytes."""
         texts = [t or "" for t in texts]
         if self.kind == "whole":
             return self._plainly(texts)
-        cut = _CHUNK.findall if self.kind == "byte" else _ascii_words
+        cut = _CHUNK.findall if self.kind == "byte" else _lower_words
         parts = [cut(t) for t in texts]
-        get = self.known.get
         long = self._learn(set().union(*parts)) if parts else {}
-        out: list[bytes] = []
+        known, out = self.known, []
         for text, chunks in zip(texts, parts):
             try:
-                out.append(b"".join(map(self.known.__getitem__, chunks)))
+                out.append(b"".join(map(known.__getitem__, chunks)))
             except (KeyError, TypeError):  # a long chunk, or one that needs the whole text
-                ids = [long.get(c, b"") if (k := get(c, 0)) == 0 else k for c in chunks]
+                ids = [long[c] if c in long else known[c] for c in chunks]
                 out.append(self._plainly([text])[0] if None in ids else b"".join(ids))
         return out
 
 
-def _ascii_words(text: str) -> list[str]:
-    return [w.decode() for w in text.encode().split()]
+def _lower_words(text: str) -> list[bytes]:
+    """Words cut at ASCII white space; the word-end file lower-cases anyway."""
+    return text.encode().lower().split()
 
 
 def encoder(path: str) -> Encoder:
@@ -127,7 +131,7 @@ def encoder(path: str) -> Encoder:
     return cache[("encoder", path)]
 
 
-def some_texts(texts: list[str | None], most: int = 1 << 20):
+def some_texts(texts: list[str | None], most: int = 4 << 20):
     """Index ranges of about ``most`` characters, to bound what is in memory."""
     lo, size = 0, 0
     for i, t in enumerate(texts):
