@@ -9,7 +9,7 @@ ids equal those of encoding the text in one call (a test compares them):
   after it, longer runs are chunks of their own, cut as the file's own
   pattern cuts them (all but the last character, then the last);
 * word-end files drop white space, so a text may be cut at any of it;
-* between a letter and a final full stop or comma, both kinds cut.
+* between a letter and a final run of marks, both kinds cut.
 
 Texts with other white space than space, tab, line feed and carriage return,
 or with the opening of a special token, are encoded in one call.
@@ -19,17 +19,20 @@ from __future__ import annotations
 
 import json
 import re
+from itertools import accumulate, chain, pairwise
 
 import numpy as np
 
 from hirelens.llm.common import process_cache
 
 #: chunks of a generation that a worker remembers; when it is full, the one
-#: before it is forgotten (two generations are some 200 MB)
-REMEMBERED = 450_000
+#: before it is forgotten (two generations are some 260 MB)
+REMEMBERED = 600_000
 LONGEST_CHUNK = 64
 
 _CHUNK = re.compile(r"[ \n]?\S+|\s+(?!\S)|\s+")
+#: marks that may be cut off behind a letter (not the apostrophe: contractions)
+_ENDS = '.,;:!?&*#%$|)"'
 _PLAIN_SPACE = frozenset(" \n\t\r")
 
 
@@ -66,8 +69,10 @@ class Encoder:
         self.before: dict[str | bytes, bytes | None] = {}
 
     def _plainly(self, texts: list[str]) -> list[bytes]:
-        out = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(e.ids, self.dtype).tobytes() for e in out]
+        out = [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        raw = np.fromiter(chain.from_iterable(out), self.dtype).tobytes()
+        at = [0, *accumulate(len(ids) * self.dtype.itemsize for ids in out)]
+        return [raw[a:b] for a, b in pairwise(at)]
 
     def _learn(self, chunks) -> dict[str | bytes, bytes]:
         """Remembers the ids of ``chunks`` (None where the text must be encoded
@@ -76,9 +81,7 @@ class Encoder:
             self.before, self.known = self.known, {}
         known, before = self.known, self.before
         long, stems, tails = {}, {}, []
-        for c in chunks:
-            if c in known:
-                continue
+        for c in chunks - known.keys():
             if c in before:
                 known[c] = before[c]
                 continue
@@ -87,17 +90,18 @@ class Encoder:
                 known[c] = None
             elif len(text) > LONGEST_CHUNK:
                 long[c] = text
-            elif text[-1] in ".," and len(text) > 1 and text[-2] < "\u0130" and text[-2].isalpha():
-                tails.append(c)
-                for part, said in ((c[:-1], text[:-1]), (c[-1:], text[-1])):
+            elif (stem := text.rstrip(_ENDS)) != text and stem and stem[-1] < "\u0130" and stem[-1].isalpha():
+                cut = len(c) - len(text) + len(stem)  # the ends are ASCII: as many bytes as characters
+                tails.append((c, c[:cut], c[cut:]))
+                for part, said in ((c[:cut], stem), (c[cut:], text[len(stem):])):
                     if part not in known:
                         stems[part] = said
             else:
                 stems[c] = text
         if stems:
             known.update(zip(stems, self._plainly(list(stems.values()))))
-        for c in tails:
-            known[c] = known[c[:-1]] + known[c[-1:]]
+        for c, stem, end in tails:
+            known[c] = known[stem] + known[end]
         return dict(zip(long, self._plainly(list(long.values())))) if long else long
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
@@ -131,7 +135,7 @@ def encoder(path: str) -> Encoder:
     return cache[("encoder", path)]
 
 
-def some_texts(texts: list[str | None], most: int = 4 << 20):
+def some_texts(texts: list[str | None], most: int = 8 << 20):
     """Index ranges of about ``most`` characters, to bound what is in memory."""
     lo, size = 0, 0
     for i, t in enumerate(texts):
