@@ -116,6 +116,17 @@ FROM x
 """
 
 
+# ------------------------------------------------------------- 8: packing
+
+PACK_COLUMNS = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
+
+
+def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from hirelens.llm.packing import pack
+    packed = pack(_table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"), END_ID)
+    return packed.placed.select(*PACK_COLUMNS[:2], F.col("length").cast("long").alias("length"), *PACK_COLUMNS[3:])
+
+
 # --------------------------------------------------------------- 9: lines
 
 def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -165,6 +176,7 @@ QUERIES = {
     "op5_simhash": op5_simhash,
     "op6_url_filter": op6_url_filter,
     "op7_source_mix": op7_source_mix,
+    "op8_packing": op8_packing,
     "op9_line_dedup": op9_line_dedup,
     "op10_token_files": op10_token_files,
 }
