@@ -32,6 +32,13 @@ def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept_text").cast("binary"), 256).alias("kept_sha256"))
 
 
+# ----------------------------------------------------------- 3: embeddings
+
+def op3_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from hirelens.llm.embeddings import near_duplicates
+    return near_duplicates(_table(spark, sf_dir, "embeddings"), cosine=0.95)
+
+
 # -------------------------------------------------------------- 4: quality
 
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -172,6 +179,7 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op2_substring_dedup": op2_substring_dedup,
+    "op3_embedding_dedup": op3_embedding_dedup,
     "op4_quality_rules": op4_quality_rules,
     "op5_simhash": op5_simhash,
     "op6_url_filter": op6_url_filter,
