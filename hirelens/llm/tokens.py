@@ -17,6 +17,7 @@ or with the opening of a special token, are encoded in one call.
 
 from __future__ import annotations
 
+import gc
 import json
 import re
 from itertools import accumulate, chain, pairwise
@@ -26,8 +27,8 @@ import numpy as np
 from hirelens.llm.common import process_cache
 
 #: chunks of a generation that a worker remembers; when it is full, the one
-#: before it is forgotten (two generations are some 260 MB)
-REMEMBERED = 600_000
+#: before it is forgotten (two generations are some 180 MB)
+REMEMBERED = 400_000
 LONGEST_CHUNK = 64
 
 _CHUNK = re.compile(r"[ \n]?\S+|\s+(?!\S)|\s+")
@@ -110,15 +111,21 @@ class Encoder:
         if self.kind == "whole":
             return self._plainly(texts)
         cut = _CHUNK.findall if self.kind == "byte" else _lower_words
-        parts = [cut(t) for t in texts]
-        long = self._learn(set().union(*parts)) if parts else {}
-        known, out = self.known, []
-        for text, chunks in zip(texts, parts):
-            try:
-                out.append(b"".join(map(known.__getitem__, chunks)))
-            except (KeyError, TypeError):  # a long chunk, or one that needs the whole text
-                ids = [long[c] if c in long else known[c] for c in chunks]
-                out.append(self._plainly([text])[0] if None in ids else b"".join(ids))
+        collects = gc.isenabled()
+        gc.disable()  # millions of strings and no cycles
+        try:
+            parts = [cut(t) for t in texts]
+            long = self._learn(set().union(*parts)) if parts else {}
+            known, out = self.known, []
+            for text, chunks in zip(texts, parts):
+                try:
+                    out.append(b"".join(map(known.__getitem__, chunks)))
+                except (KeyError, TypeError):  # a long chunk, or one that needs the whole text
+                    ids = [long[c] if c in long else known[c] for c in chunks]
+                    out.append(self._plainly([text])[0] if None in ids else b"".join(ids))
+        finally:
+            if collects:
+                gc.enable()
         return out
 
 
@@ -135,7 +142,7 @@ def encoder(path: str) -> Encoder:
     return cache[("encoder", path)]
 
 
-def some_texts(texts: list[str | None], most: int = 8 << 20):
+def some_texts(texts: list[str | None], most: int = 2 << 20):
     """Index ranges of about ``most`` characters, to bound what is in memory."""
     lo, size = 0, 0
     for i, t in enumerate(texts):
