@@ -37,7 +37,7 @@ from hirelens.llm.common import (drop, mix, range_hashes, run_hashes, shuffle_wi
                                  written)
 
 #: bytes of text in a block, and windows of which a shard holds the cells
-BLOCK_BYTES = 24 << 20
+BLOCK_BYTES = 6 << 20
 DEPTH = 2
 CELLS_PER_WINDOW = 4
 _SALTS = (np.uint64(0x5851F42D4C957F2D), np.uint64(0x14057B7EF767814F), np.uint64(0x2545F4914F6CDD1D))
