@@ -119,9 +119,15 @@ def cells_of(hi: np.ndarray, depth: int, bits: int) -> list[np.ndarray]:
 
 
 def _sketch(block: Block, depth: int, bits: int):
-    """(cells ascending, whether the block hits each once)."""
+    """(cells ascending, whether the block hits each once, order: the hits in
+    order of cell, place: which cell each of these hits)."""
     cells = np.concatenate(cells_of(block.hi, depth, bits)) if len(block.hi) else np.zeros(0, np.uint64)
-    return np.unique(cells, return_counts=True)
+    order = np.argsort(cells)
+    cells = cells[order]
+    new = np.ones(len(cells), bool)
+    new[1:] = cells[1:] != cells[:-1]
+    place = np.cumsum(new) - 1
+    return cells[new], np.bincount(place) == 1, order, place
 
 
 def _cut(values: np.ndarray, bits: int, shards: int) -> np.ndarray:
@@ -179,8 +185,8 @@ def dedup_windows(docs: DataFrame, words: int = 20, depth: int = DEPTH, cells: i
 
     def sketch(key, table):
         block = Block(table, words)
-        values, count = _sketch(block, depth, bits)
-        out = [(s, key[0].as_py(), np.packbits(count[a:b] == 1).tobytes(), pack_sorted(values[a:b]))
+        values, once, _, _ = _sketch(block, depth, bits)
+        out = [(s, key[0].as_py(), np.packbits(once[a:b]).tobytes(), pack_sorted(values[a:b]))
                for s, a, b in _shard_slices(values, depth, bits, shards)]
         return _rows(out, *_CELLS)
 
@@ -205,15 +211,14 @@ def dedup_windows(docs: DataFrame, words: int = 20, depth: int = DEPTH, cells: i
 
     def repeated(block: Block, back: pa.Table) -> np.ndarray:
         """Windows whose count is over one in every row of the sketch."""
-        values, _ = _sketch(block, depth, bits)
+        values, _, order, place = _sketch(block, depth, bits)
         over = np.zeros(len(values), bool)
         got = dict(zip(back.column("shard").to_pylist(), back.column("bits").to_pylist()))
         for s, a, b in _shard_slices(values, depth, bits, shards):
             over[a:b] = np.unpackbits(np.frombuffer(got[s], np.uint8), count=b - a).astype(bool)
-        out = np.ones(len(block.hi), bool)
-        for c in cells_of(block.hi, depth, bits):
-            out &= over[np.searchsorted(values, c)]
-        return out
+        hit = np.empty(len(order), bool)
+        hit[order] = over[place]
+        return hit.reshape(depth, -1).all(axis=0)
 
     def candidates(block: Block, back: pa.Table):
         """(window numbers estimated repeated in order of key, where each key
