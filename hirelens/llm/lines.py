@@ -44,14 +44,16 @@ def _place(doc_id: Column, pos: Column) -> Column:
     return (at + pos.cast("decimal(10,0)")).cast("decimal(31,0)")
 
 
-def _half_keys(line: Column, n: Column) -> Column:
-    """Hashes of the halves that a line within one edit must share: of the
-    line as the shorter of the two (base n) and as the longer (base n - 1)."""
+def _half_keys(line: Column, n: Column) -> list[Column]:
+    """Hashes k0..k3 of the halves that a line within one edit must share: the
+    first and the last half of the line as the shorter of the two (base n),
+    then as the longer (base n - 1)."""
     def halves(m: Column) -> list[Column]:
         cut = F.floor(m / 2).cast("int")
         return [F.xxhash64(m, F.lit(0), F.substring(line, F.lit(1), cut)),
                 F.xxhash64(m, F.lit(1), F.right(line, (m - cut)))]
-    return F.when(n >= NEAR_CHARS + 1, F.array(*halves(n), *halves(n - 1))).when(n >= NEAR_CHARS, F.array(*halves(n)))
+    own, less = halves(n), halves(n - 1)
+    return [F.when(n >= NEAR_CHARS + (q > 1), h).alias(f"k{q}") for q, h in enumerate(own + less)]
 
 
 def repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -63,30 +65,35 @@ def repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     n = F.char_length("line")
     lines = written(worded.select(
         "doc_id", "pos", _place(F.col("doc_id"), F.col("pos")).alias("place"), F.xxhash64("line").alias("h1"),
-        F.xxhash64(F.lit(1), "line").alias("h2"), _half_keys(F.col("line"), n).alias("halves")), "lines")
-    # every row of a class has the same halves
-    classes = written(lines.groupBy("h1", "h2").agg(F.min("place").alias("place"), F.max("place").alias("last"),
-                                                    F.first("halves").alias("halves")), "line-classes")
-
-    # candidates: classes that share a half with another class
-    keyed = classes.where("halves IS NOT NULL").select("place", F.explode("halves").alias("half"))
+        F.xxhash64(F.lit(1), "line").alias("h2"), n.alias("n"), *_half_keys(F.col("line"), n)), "lines")
+    # every row of a class has the same length and halves
+    classes = written(lines.groupBy("h1", "h2").agg(
+        F.min("place").alias("place"), F.max("place").alias("last"), F.first("n").alias("n"),
+        *[F.first(k).alias(k) for k in ("k0", "k1", "k2", "k3")]), "line-classes")
+
+    # candidates: classes that share a half with another class, and the
+    # positions at which an edit leaves that half alone
+    keyed = classes.where("k0 IS NOT NULL").select("place", "n", F.posexplode(F.array("k0", "k1", "k2", "k3")).alias("q", "half")) \
+        .where("half IS NOT NULL")
     shared = written(keyed.groupBy("half").agg(F.count(F.lit(1)).alias("k")).where("k > 1").select("half"), "line-halves")
-    wanted = written(keyed.join(shared, "half").select("place").distinct(), "line-wanted")
-    where = written(
-        classes.join(wanted, "place").select("h1", "h2", "place")
-        .join(lines.select("doc_id", "pos", "place"), "place").select("doc_id", "pos", "place").distinct(), "line-where")
+    middle = F.floor((F.col("n") - F.when(F.col("q") > 1, 1).otherwise(0)) / 2).cast("int")
+    front = F.col("q") % 2 == 0
+    wanted = written(keyed.join(shared, "half").groupBy("place").agg(
+        F.min(F.when(front, middle + 1).otherwise(1)).alias("lo"),
+        F.max(F.when(front, F.col("n")).otherwise(middle + 1)).alias("hi")), "line-wanted")
+    where = written(wanted.join(lines.select("doc_id", "pos", "place"), "place").distinct(), "line-where")
     spelled = written(
         text.where("text IS NOT NULL")
         .join(_checked(where), text["doc_id"].eqNullSafe(where["doc_id"]))
-        .select("place", F.element_at(F.split("text", "\n"), F.col("pos") + 1).alias("line"))
+        .select("place", "lo", "hi", F.element_at(F.split("text", "\n"), F.col("pos") + 1).alias("line"))
         .dropDuplicates(["place"]), "line-candidates")
 
     # their variants, and the earliest line at each
     line = F.col("line")
-    variants = spelled.select("place", line, F.explode(F.sequence(F.lit(1), F.char_length(line))).alias("i")).select(
-        "place", "i",
-        F.xxhash64(F.concat(F.substring(line, F.lit(1), F.col("i") - 1), F.substring(line, F.col("i") + 1, F.char_length(line))))
-        .alias("v"))
+    without = F.transform(F.sequence("lo", "hi"), lambda i: F.xxhash64(F.concat(
+        F.substring(line, F.lit(1), i - 1), F.substring(line, i + 1, F.length(line)))))
+    variants = written(spelled.select("place", "lo", F.posexplode(without).alias("i", "v"))
+                       .select("place", (F.col("i") + F.col("lo")).alias("i"), "v"), "line-variants")
     first = written(variants.groupBy("v", "i").agg(F.min("place").alias("witness"), F.count(F.lit(1)).alias("k"))
                     .where("k > 1").select("v", "i", "witness"), "line-buckets")
     swapped = variants.join(first, ["v", "i"]).where("place > witness").select("place", "witness")
@@ -98,7 +105,7 @@ def repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     # verified on the texts
     other = spelled.select(F.col("place").alias("witness"), F.col("line").alias("theirs"))
     near = F.levenshtein("line", "theirs", 1)
-    sure = claims.join(spelled, "place").join(other, "witness").where((near >= 0) & (near <= 1)) \
+    sure = claims.join(spelled.select("place", "line"), "place").join(other, "witness").where((near >= 0) & (near <= 1)) \
         .select("place").distinct()
     near_classes = written(sure.withColumn("near", F.lit(True)), "line-near")
 
@@ -109,7 +116,7 @@ def repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         .where("near OR place > first") \
         .groupBy("doc_id").agg(F.collect_set("pos").alias("gone"))
     out = written(gone, "line-gone")
-    drop(lines, classes, shared, wanted, where, spelled, first, whole, claims, near_classes, bad)
+    drop(lines, classes, shared, wanted, where, spelled, variants, first, whole, claims, near_classes, bad)
     return out
 
 
