@@ -59,22 +59,31 @@ def best_pattern(value: np.ndarray, size: np.ndarray, room: int) -> tuple[float,
     return float(best[room]), copies
 
 
-def column_generation(size: np.ndarray, need: np.ndarray, room: int, gap: float = 1e-3,
-                      rounds: int = 20_000) -> tuple[np.ndarray, np.ndarray]:
+def column_generation(size: np.ndarray, need: np.ndarray, room: int, gap: float = 2e-3,
+                      rounds: int = 2000) -> tuple[np.ndarray, np.ndarray]:
     """(patterns as rows, how often each is used) of the relaxed cutting-stock
-    problem: as few sequences as possible with exactly ``need`` pieces of each
-    class. Any basis is feasible, so stopping early costs only padding."""
+    problem: as few sequences as possible with at least ``need`` pieces of
+    each class (sizes ascending). A basis has a column per class: a pattern, or
+    the surplus of a class, which costs nothing and makes prices nonnegative.
+    Any basis is feasible, so stopping early costs only padding."""
     m = len(size)
-    patterns = np.diag(room // size)
+    basis = np.diag(room // size).astype(float)  # a row per column of the program
+    cost = np.ones(m)
     inverse = np.diag(1.0 / (room // size))
     used = need / (room // size)
     for k in range(rounds):
-        price = inverse.sum(axis=0)
-        worth, copies = best_pattern(price, size, room)
-        now = used.sum()
-        if worth <= 1 + 1e-9 or now - price @ need / worth <= gap * now:
-            break
-        step = inverse @ copies
+        price = cost @ inverse
+        low = int(price.argmin())
+        if price[low] < -1e-9:
+            column, c = np.zeros(m), 0.0
+            column[low] = -1
+        else:
+            worth, copies = best_pattern(price, size, room)
+            now = cost @ used
+            if worth <= 1 + 1e-7 or now - price @ need / worth <= gap * now:
+                break
+            column, c = copies.astype(float), 1.0
+        step = inverse @ column
         up = step > 1e-9
         if not up.any():
             break
@@ -84,14 +93,15 @@ def column_generation(size: np.ndarray, need: np.ndarray, room: int, gap: float
         t = ratio[r]
         used = np.maximum(used - t * step, 0)
         used[r] = t
-        patterns[r] = copies
+        basis[r], cost[r] = column, c
         row = inverse[r] / step[r]
         inverse -= np.outer(step, row)
         inverse[r] = row
-        if k % 200 == 199:
-            inverse = np.linalg.inv(patterns.T.astype(float))
+        if k % 250 == 249:  # against rounding
+            inverse = np.linalg.inv(basis.T)
             used = np.maximum(inverse @ need, 0)
-    return patterns, used
+    real = cost > 0
+    return basis[real].astype(np.int64), used[real]
 
 
 def whole_patterns(size: np.ndarray, need: np.ndarray, room: int) -> list[tuple[int, dict[int, int]]]:
