@@ -11,6 +11,8 @@ more and a part of a further pass, so the passes are nested.
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -67,25 +69,39 @@ def source_targets(totals: DataFrame, weights: list[float], most: int) -> DataFr
     return t.select("key", "source_size", target.alias("target"))
 
 
-def mix(docs: DataFrame, weights: list[float] = (1, 2, 3), most: int = 3, cut: bool = True,
-        id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
-    """Per row of ``docs``: doc_id, source, size, source_size, target, taken.
-
-    ``cut``: the document in which the budget ends gives just the words that
-    are left (rows of one id share them in proportion); otherwise it is taken
-    whole if that comes nearer to the target, or not at all. Empty and null
-    texts have size 0 and are taken as 0. A null source is a source. An empty
-    table gives no rows. Extra columns are ignored. No document is taken more
-    than ``most`` times.
-    """
+@dataclass
+class Mix:
+    """What each source gives: ``plan`` has a row per source with how often it
+    is taken whole and the hash up to which a further pass goes."""
+    plan: DataFrame
+    most: int
+    cut: bool
+
+    def taken(self, rows: DataFrame) -> DataFrame:
+        """``rows`` (with key, h and size) with source_size, target and taken."""
+        left = F.col("rest") - F.col("before")
+        here = (F.floor(F.col("size") * left / F.col("words")) if self.cut
+                else F.when(2 * left >= F.col("words"), F.col("size")).otherwise(0))
+        part = (F.when(F.col("h") < F.col("at"), F.col("size"))
+                .when((F.col("h") == F.col("at")) & (F.col("words") > 0), here).otherwise(0))
+        plan = _small(self.plan.select("key", "source_size", "target", "full", "rest", "before", "words", "at"))
+        most = (F.lit(self.most) - F.col("full")) * F.col("size")
+        return rows.join(plan, "key").withColumn(
+            "taken", (F.col("full") * F.col("size") + F.least(part.cast("long"), most)).cast("long")) \
+            .drop("full", "rest", "before", "words", "at")
+
+
+def _keyed(docs: DataFrame, id_col: str, text_col: str, source_col: str) -> list[Column]:
     source = docs[source_col].cast("string")
-    rows = written(docs.select(
-        docs[id_col].alias("doc_id"), source.alias("source"), words_in(docs[text_col]).alias("size"),
-        F.coalesce(F.concat(F.lit("s"), source), F.lit("n")).alias("key"), doc_hash(docs[id_col]).alias("h")),
-        "mix-sizes")
+    return [source.alias("source"), words_in(docs[text_col]).alias("size"),
+            F.coalesce(F.concat(F.lit("s"), source), F.lit("n")).alias("key"), doc_hash(docs[id_col]).alias("h")]
+
+
+def budgets(rows: DataFrame, weights: list[float], most: int, cut: bool) -> Mix:
+    """The mix of ``rows`` (key, source, size, h), read once per level."""
     totals = rows.groupBy("key").agg(F.first("source").alias("source"), F.sum("size").alias("source_size"))
     plan = written(
-        source_targets(totals, list(weights), most)
+        source_targets(totals, weights, most)
         .withColumn("full", F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0).cast("long"))
         .withColumn("rest", F.round(F.col("target") - F.col("full") * F.col("source_size")).cast("long"))
         .withColumn("prefix", F.lit(0).cast("long")).withColumn("before", F.lit(0).cast("long")),
@@ -117,12 +133,33 @@ def mix(docs: DataFrame, weights: list[float] = (1, 2, 3), most: int = 3, cut: b
         if not plan.where("several").limit(1).count():
             break
 
-    left = F.col("rest") - F.col("before")
-    here = (F.floor(F.col("size") * left / F.col("words")) if cut
-            else F.when(2 * left >= F.col("words"), F.col("size")).otherwise(0))
-    part = (F.when(F.col("h") < F.col("at"), F.col("size"))
-            .when((F.col("h") == F.col("at")) & (F.col("words") > 0), here).otherwise(0))
-    return (rows.join(_small(plan.select("key", "source_size", "target", "full", "rest", "before", "words", "at")), "key")
-            .select("doc_id", "source", "size", "source_size", "target",
-                    (F.col("full") * F.col("size") + F.least(part.cast("long"),
-                     (F.lit(most) - F.col("full")) * F.col("size"))).cast("long").alias("taken")))
+    return Mix(plan, most, cut)
+
+
+def mix(docs: DataFrame, weights: list[float] = (1, 2, 3), most: int = 3, cut: bool = True,
+        id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
+    """Per row of ``docs``: doc_id, source, size, source_size, target, taken.
+
+    ``cut``: the document in which the budget ends gives just the words that
+    are left (rows of one id share them in proportion); otherwise it is taken
+    whole if that comes nearer to the target, or not at all. Empty and null
+    texts have size 0 and are taken as 0. A null source is a source. An empty
+    table gives no rows. Extra columns are ignored. No document is taken more
+    than ``most`` times.
+    """
+    rows = written(docs.select(docs[id_col].alias("doc_id"), *_keyed(docs, id_col, text_col, source_col)), "mix-sizes")
+    out = budgets(rows, list(weights), most, cut).taken(rows)
+    return out.select("doc_id", "source", "size", "source_size", "target", "taken")
+
+
+def mixed(docs: DataFrame, weights: list[float] = (1, 2, 3), most: int = 3,
+          id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
+    """``docs`` as the mix takes them: whole documents, each as often as it is
+    taken; documents without words, which count for nothing, are not taken.
+    Columns and their order stay; texts are not shuffled."""
+    sizes = written(docs.select(*_keyed(docs, id_col, text_col, source_col)), "mix-sizes")
+    plan = budgets(sizes, list(weights), most, cut=False)
+    names = [f"c{i}" for i in range(len(docs.columns))]
+    rows = docs.select(*[docs[c].alias(n) for c, n in zip(docs.columns, names)], *_keyed(docs, id_col, text_col, source_col))
+    copies = plan.taken(rows).where("taken > 0").withColumn("__copy", F.explode(F.sequence(F.lit(1).cast("long"), F.floor(F.col("taken") / F.col("size")))))
+    return copies.select(*[F.col(n).alias(c) for c, n in zip(docs.columns, names)])

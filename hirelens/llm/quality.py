@@ -17,6 +17,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from hirelens.llm.common import range_hashes, run_hashes, steps, text_bytes, word_spans, written
 
@@ -111,20 +112,30 @@ def stats_of(data: np.ndarray, offsets: np.ndarray) -> dict[str, np.ndarray]:
     return out
 
 
-def text_stats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, COUNTS) per row; a null or empty text has zeros."""
+def with_stats(docs: DataFrame, text_col: str = "text") -> DataFrame:
+    """The columns of ``docs`` as c0, c1, ... and COUNTS, in one pass without a
+    shuffle; a null or empty text has zeros."""
+    at = docs.columns.index(text_col)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            data, offsets = text_bytes(batch.column(1))
+            data, offsets = text_bytes(batch.column(at))
             parts = [stats_of(data[offsets[lo]:offsets[hi]], offsets[lo:hi + 1] - offsets[lo])
                      for lo, hi in steps(offsets)]
             cols = [pa.array(np.concatenate([p[c] for p in parts]).astype(np.int64) if parts else np.zeros(0, np.int64))
                     for c in COUNTS]
-            yield pa.RecordBatch.from_arrays([batch.column(0), *cols], names=["id", *COUNTS])
+            yield pa.RecordBatch.from_arrays([*batch.columns, *cols],
+                                             names=[*(f"c{i}" for i in range(batch.num_columns)), *COUNTS])
+
+    named = docs.toDF(*[f"c{i}" for i in range(len(docs.columns))])
+    schema = StructType([*named.schema.fields, *(StructField(c, LongType()) for c in COUNTS)])
+    return named.mapInArrow(run, schema)
 
-    kind = docs.schema[id_col].dataType.simpleString()
-    return docs.select(docs[id_col].alias("id"), docs[text_col].alias("text")).mapInArrow(
-        run, f"id {kind}, " + ", ".join(f"{c} long" for c in COUNTS))
+
+def text_stats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(id, COUNTS) per row."""
+    rows = docs.select(docs[id_col].alias("id"), docs[text_col].alias("text"))
+    return with_stats(rows).withColumnRenamed("c0", "id").drop("c1")
 
 
 # --------------------------------------------------------------- features
@@ -269,16 +280,20 @@ def learn_rules(x: np.ndarray, y: np.ndarray, names: list[str], precision: float
     return rules
 
 
-def fit(stats: DataFrame, labels: DataFrame, sample: int = 20_000, **options) -> list[Rule]:
-    """Rules from ``labels`` (doc_id, quality; 0: reject) and the documents'
-    ``stats`` (id, COUNTS). The fit sees a bounded sample: ``sample`` labelled
-    documents at most, those with the smallest hash of their id, so that every
-    run of the same data learns the same list. Null ids and labels are left
-    out; an id labelled in two ways counts as labelled by the smaller. Without
-    labels of both kinds there are no rules."""
+def labelled_sample(labels: DataFrame, sample: int) -> DataFrame:
+    """(doc_id, quality) of at most ``sample`` labelled documents, those with
+    the smallest hash of their id, so that every run on the same data learns
+    the same list. Null ids and labels are left out; an id labelled in two
+    ways counts as labelled by the smaller."""
     marks = labels.where("doc_id IS NOT NULL AND quality IS NOT NULL").groupBy("doc_id").agg(F.min("quality").alias("quality"))
-    marks = marks.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
-    rows = stats.join(F.broadcast(marks), stats["id"] == marks["doc_id"])  # at most ``sample`` rows of two numbers
+    return written(marks.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample), "quality-labels")
+
+
+def fit(stats: DataFrame, marks: DataFrame, **options) -> list[Rule]:
+    """Rules from a bounded sample of labelled documents (``marks``: doc_id,
+    quality; 0: reject) and their ``stats`` (id, COUNTS). Without labels of
+    both kinds there are no rules."""
+    rows = stats.join(F.broadcast(marks), stats["id"] == marks["doc_id"])  # a bounded sample of two numbers a row
     names = list(FEATURES)
     got = rows.select(F.xxhash64("doc_id").alias("h"), "doc_id", "quality", *[feature(f).alias(f) for f in names]) \
         .dropDuplicates(["doc_id"]).toPandas().sort_values(["h", "doc_id"])
@@ -299,7 +314,20 @@ def judge(docs: DataFrame, labels: DataFrame, sample: int = 20_000, id_col: str
     table gives no rows; repeated rows are judged alike; other columns are
     ignored."""
     stats = written(text_stats(docs, id_col, text_col), "quality-stats")
-    rules = fit(stats, labels, sample, **options)
+    rules = fit(stats, labelled_sample(labels, sample), **options)
     return (stats.withColumn("base_failed", base_failed())
             .withColumn("rule", F.when(~F.col("base_failed"), rule_number(rules)))
             .withColumn("kept", ~F.col("base_failed") & F.col("rule").isNull()))
+
+
+def keep_good(docs: DataFrame, labels: DataFrame, sample: int = 20_000, id_col: str = "doc_id",
+              text_col: str = "text", **options) -> DataFrame:
+    """``docs`` without the rows that the base or the learned list rejects;
+    columns and their order stay. One pass over the texts besides that over
+    the labelled ones, and no shuffle of texts."""
+    marks = labelled_sample(labels, sample)
+    own = docs.select(docs[id_col].alias("id"), docs[text_col].alias("text"))
+    learned = own.join(F.broadcast(marks.select(F.col("doc_id").alias("id"))), "id", "left_semi")
+    rules = fit(written(text_stats(learned, "id"), "quality-sample"), marks, **options)
+    judged = with_stats(docs, text_col).where(~base_failed() & verdict(rules))
+    return judged.select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(docs.columns)])
