@@ -130,15 +130,16 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     NEAR_CHARS characters go only if an equal line is earlier. An empty table
     gives no rows.
     """
-    gone = repeated_lines(docs, id_col, text_col)
-    gone = gone.withColumnsRenamed({"doc_id": "__id", "gone": "__gone"})
-    parts = F.split(docs[text_col], "\n")
-    kept = F.filter(parts, lambda line, i: ~F.array_contains(F.col("__gone"), i))
-    joined = docs.join(_checked(gone), docs[id_col].eqNullSafe(gone["__id"]), "left")
-    text = F.when(F.col("__gone").isNull(), docs[text_col]).otherwise(F.array_join(kept, "\n"))
-    count = F.coalesce(F.size(parts).cast("long"), F.lit(0).cast("long"))
-    removed = F.coalesce(F.size("__gone").cast("long"), F.lit(0).cast("long"))
+    gone = repeated_lines(docs, id_col, text_col).toDF("gone_id", "gone")
+    named = docs.toDF(*[f"c{i}" for i in range(len(docs.columns))])
+    at = docs.columns.index(text_col)
+    own, key = F.col(f"c{at}"), F.col(f"c{docs.columns.index(id_col)}")
+    joined = named.join(_checked(gone), key.eqNullSafe(F.col("gone_id")), "left")
+    parts = F.split(own, "\n")
+    kept = F.filter(parts, lambda line, i: ~F.array_contains("gone", i))
+    text = F.when(F.col("gone").isNull(), own).otherwise(F.array_join(kept, "\n"))
+    none = F.lit(0).cast("long")
     return joined.select(
-        *[text.alias(c) if c == text_col else docs[c] for c in docs.columns],
-        F.when(docs[text_col].isNull(), F.lit(0).cast("long")).otherwise(count).alias("__n_lines"),
-        F.when(docs[text_col].isNull(), F.lit(0).cast("long")).otherwise(removed).alias("__n_removed"))
+        *[(text if i == at else F.col(f"c{i}")).alias(c) for i, c in enumerate(docs.columns)],
+        F.when(own.isNull(), none).otherwise(F.size(parts).cast("long")).alias("__n_lines"),
+        F.when(own.isNull() | F.col("gone").isNull(), none).otherwise(F.size("gone").cast("long")).alias("__n_removed"))
