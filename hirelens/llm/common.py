@@ -22,7 +22,7 @@ from hirelens.session import unique_dir
 WORD = r"[^\x20\x09-\x0D]+"
 
 #: bytes of text that one vectorized step looks at; a longer text is one step
-STEP_BYTES = 4 << 20
+STEP_BYTES = 1 << 20
 
 _IS_WORD_BYTE = np.ones(256, bool)
 _IS_WORD_BYTE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = False
@@ -129,6 +129,24 @@ def process_cache() -> dict:
     return sys.modules.setdefault("_hirelens_process", types.ModuleType("_hirelens_process")).__dict__
 
 
+def start_task(kind: str) -> None:
+    """Workers outlive their tasks. When one goes over to another kind of work,
+    what it kept for the one before is given back to the system."""
+    import ctypes
+    import gc
+    cache = process_cache()
+    if cache.get("kind") not in (None, kind):
+        for key in [k for k in cache if not (isinstance(k, str) and k.startswith("__"))]:
+            del cache[key]
+        gc.collect()
+        pa.default_memory_pool().release_unused()
+        try:
+            ctypes.CDLL(None).malloc_trim(0)
+        except (OSError, AttributeError):  # another C library than glibc
+            pass
+    cache["kind"] = kind
+
+
 def powers(lane: int, n: int, inverse: bool = False) -> np.ndarray:
     """base**0 .. base**(n-1) modulo 2**64, kept for the next call."""
     cache = process_cache()
@@ -137,11 +155,11 @@ def powers(lane: int, n: int, inverse: bool = False) -> np.ndarray:
         base = _BASES[lane]
         if inverse:
             base = pow(base, -1, 1 << 64)
-        size = max(n, STEP_BYTES // 2)
+        size = max(n, STEP_BYTES + 2)
         have = np.full(size, base, np.uint64)
         have[0] = 1
         np.cumprod(have, out=have)
-        if size <= 2 * STEP_BYTES:
+        if size <= 4 * STEP_BYTES:
             cache[("powers", lane, inverse)] = have
     return have[:n]
 

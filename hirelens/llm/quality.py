@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from hirelens.llm.common import range_hashes, run_hashes, steps, text_bytes, word_spans, written
+from hirelens.llm.common import range_hashes, run_hashes, start_task, steps, text_bytes, word_spans, written
 
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_upper", "n_digits",
           "n_stops", "n_capital_words", "n_long_words")
@@ -118,6 +118,7 @@ def with_stats(docs: DataFrame, text_col: str = "text") -> DataFrame:
     at = docs.columns.index(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        start_task("hash")
         for batch in batches:
             data, offsets = text_bytes(batch.column(at))
             parts = [stats_of(data[offsets[lo]:offsets[hi]], offsets[lo:hi + 1] - offsets[lo])

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from hirelens.llm.common import components, drop, steps, text_bytes, word_spans, written
+from hirelens.llm.common import components, drop, start_task, steps, text_bytes, word_spans, written
 
 BITS = 64
 _LOWER = np.arange(256, dtype=np.uint8)
@@ -78,6 +78,7 @@ def fingerprints(docs: DataFrame, words: int = 3, id_col: str = "doc_id", text_c
     repeats; fp is a signed long with the fingerprint's bits. Texts without
     words (null too) have 0."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        start_task("hash")
         for batch in batches:
             data, offsets = text_bytes(batch.column(1))
             parts = [fingerprints_of(data[offsets[lo]:offsets[hi]], offsets[lo:hi + 1] - offsets[lo], words)

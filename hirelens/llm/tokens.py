@@ -24,7 +24,7 @@ from itertools import accumulate, chain, pairwise
 
 import numpy as np
 
-from hirelens.llm.common import process_cache
+from hirelens.llm.common import process_cache, start_task
 
 #: chunks of a generation that a worker remembers; when it is full, the one
 #: before it is forgotten (two generations are some 180 MB)
@@ -136,6 +136,7 @@ def _lower_words(text: str) -> list[bytes]:
 
 def encoder(path: str) -> Encoder:
     """The worker's encoder of a file; the file is loaded once per process."""
+    start_task("encode")
     cache = process_cache()
     if ("encoder", path) not in cache:
         cache[("encoder", path)] = Encoder(path)
