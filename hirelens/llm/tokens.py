@@ -27,8 +27,8 @@ import numpy as np
 from hirelens.llm.common import process_cache, start_task
 
 #: chunks of a generation that a worker remembers; when it is full, the one
-#: before it is forgotten (two generations are some 180 MB)
-REMEMBERED = 400_000
+#: before it is forgotten (two generations are some 300 MB)
+REMEMBERED = 700_000
 LONGEST_CHUNK = 64
 
 _CHUNK = re.compile(r"[ \n]?\S+|\s+(?!\S)|\s+")
@@ -143,7 +143,7 @@ def encoder(path: str) -> Encoder:
     return cache[("encoder", path)]
 
 
-def some_texts(texts: list[str | None], most: int = 2 << 20):
+def some_texts(texts: list[str | None], most: int = 4 << 20):
     """Index ranges of about ``most`` characters, to bound what is in memory."""
     lo, size = 0, 0
     for i, t in enumerate(texts):
