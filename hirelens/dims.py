@@ -236,20 +236,14 @@ HIGH_EDUCATION = ["硕士", "博士"]
 BLOCK_STATUS = [403, 429, 503, 504]
 BLOCK_REDIRECT_WORDS = ["verify", "captcha"]
 BLOCK_BODY_WORDS = ["验证", "captcha", "滑块", "请稍后再试", "访问频率", "ip限制"]
-BLOCK_BODY_PREFIX = 500
 JSON_OK_CODES = ["0", "200"]
 # "page has jobs": salary-like token pattern and the long-text rule.
 SALARY_TOKEN_PATTERN = "[0-9]+[kK千]-?[0-9]*[kK万千]?"
-JOB_PAGE_MIN_TOKENS = 2
-JOB_PAGE_LONG_TEXT = 2000
 JOB_PAGE_MARKER = "Python"
 JOB_PAGE_SUGGEST = "搜索发现"
 WAF_MARKERS = ["滑块", "aliyun_waf"]
-WAF_PREFIX = 2000
-MIN_BODY_LENGTH = 100
-# Crawl scope: target cities (substring filter) and rows per keyword.
+# Crawl scope: target cities (substring filter).
 TARGET_CITIES = ["北京", "上海", "广州", "深圳", "杭州", "成都", "武汉", "南京", "西安", "长沙"]
-JOBS_PER_KEYWORD = 800
 PAGE_SIZE = 50
 # Segment names of cluster profiles, by rule (see hirelens.ml.profile).
 SEGMENT_NAMES = {
@@ -262,8 +256,9 @@ RF_TREES, RF_DEPTH, RF_MIN_INSTANCES, SEED = 200, 15, 2, 42
 GBT_ITER, GBT_DEPTH, GBT_STEP = 200, 6, 0.1
 KMEANS_K_RANGE = list(range(2, 10))
 KMEANS_MAX_ITER = 300
+KMEANS_STARTS = 10
 SILHOUETTE_FLOOR, KMEANS_FALLBACK_K = 0.2, 4
-TFIDF_MAX_FEATURES, TFIDF_MIN_DF, TFIDF_MAX_DF = 100, 2, 0.8
+TFIDF_MIN_DF, TFIDF_MAX_DF = 2, 0.8
 SVD_DIM = 5
 TRAIN_SHARE_TENTHS = 8
 # ------------------------------------------------------------ END FIXED VALUES

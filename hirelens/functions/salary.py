@@ -111,10 +111,13 @@ def with_salary(df: DataFrame, text_col: str = "salary_text") -> DataFrame:
     has_bonus = F.col("_sal_bonus") != ""
     bonus_annual = has_bonus & (F.col("_sal_hi") > dims.BONUS_ANNUAL_THRESHOLD) & ~F.col("_sal_mu")
     day = dims.WORKDAYS_PER_MONTH
+    # a yearly amount over zero months has no monthly value: the row yields null
+    no_months = bonus_annual & ~(daily | hourly) & (F.col("_sal_bonus").try_cast("double") == 0)
     df = df.withColumns({
+        "_sal_invalid": F.col("_sal_invalid") | F.coalesce(no_months, F.lit(False)),
         "_sal_m": F.when(daily, F.lit(day)).when(hourly, F.lit(day * dims.HOURS_PER_DAY)).otherwise(F.lit(1.0)),
         "_sal_d": (F.when(daily | hourly, F.lit(1.0)).when(annual & ~has_bonus, F.lit(12.0))
-                   .when(bonus_annual, F.col("_sal_bonus").try_cast("double"))),
+                   .when(bonus_annual, F.nullif(F.col("_sal_bonus").try_cast("double"), F.lit(0.0)))),
     })
 
     def period(x):

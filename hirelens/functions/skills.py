@@ -113,10 +113,3 @@ def tags_text(arr) -> Column:
     """Array -> stored text form ``a, b, c``."""
     return F.array_join(_c(arr), ", ")
 
-
-def tag_list_from_payload(col) -> Column:
-    """STR-11: a JSON array of strings is joined with ', '; a string passes through."""
-    c = _c(col)
-    as_arr = F.from_json(c, "array<string>")
-    return F.when(F.trim(c).startswith("["), F.array_join(as_arr, ", ")).otherwise(
-        F.get_json_object(F.concat(F.lit('{"v":'), c, F.lit("}")), "$.v"))

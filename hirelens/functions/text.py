@@ -36,12 +36,6 @@ def map_or_default(col, d: dict, default=None) -> Column:
     return F.coalesce(hit, F.lit(default))
 
 
-def is_blank(col) -> Column:
-    """Null or empty after strip."""
-    c = _c(col)
-    return c.isNull() | (py_strip(c) == "")
-
-
 # ----------------------------------------------------------------- STR-2, STR-6
 def with_city(df: DataFrame, city_col: str = "city", out_city: str = "city",
               out_district: str = "district") -> DataFrame:
@@ -71,7 +65,7 @@ def with_city(df: DataFrame, city_col: str = "city", out_city: str = "city",
         "_city_full": F.try_element_at(fulls, full_idx),
         "_city_short": F.try_element_at(short_arr, short_idx)})
     full, short = F.col("_city_full"), F.col("_city_short")
-    rest = F.substring(t, F.length(short) + 1, 1 << 20)
+    rest = F.substring(t, F.length(short) + 1, F.length(t))
     rest = F.regexp_replace(F.regexp_replace(py_strip(rest), "^-+", ""), "^·+", "")
     city = F.when(full.isNotNull(), full["short"]).when(short.isNotNull(), short).otherwise(t)
     district = (F.when(full.isNotNull(), py_strip(F.replace(t, full["full"], F.lit(""))))
@@ -171,13 +165,22 @@ def clean_experience(df: DataFrame, text_col: str = "experience") -> DataFrame:
 
 
 def experience_text(emin, emax) -> Column:
-    """PRJ-7: ``min-max年`` when max is set (and not open-ended), else ``min年``."""
+    """PRJ-7: ``min-max年`` when max is set, else ``min年``."""
     lo, hi = _c(emin), _c(emax)
     fmt = lambda x: F.format_string("%.1f", x)  # noqa: E731  (Python prints floats as 3.0)
     return F.when(hi.isNotNull() & (hi != 0),
                   F.concat(fmt(lo), F.lit("-"), fmt(hi), F.lit("年"))).otherwise(F.concat(fmt(lo), F.lit("年")))
 
 
+def open_experience_text(emin, emax, open_from: int = 999) -> Column:
+    """PRJ-4: ``min-max年``, or ``min年以上`` without a maximum or with one of
+    ``open_from`` or more (which stands for no upper end)."""
+    lo, hi = _c(emin), _c(emax)
+    fmt = lambda x: F.format_string("%.1f", x)
+    closed = hi.isNotNull() & (hi != 0) & (hi < open_from)
+    return F.when(closed, F.concat(fmt(lo), F.lit("-"), fmt(hi), F.lit("年"))).otherwise(F.concat(fmt(lo), F.lit("年以上")))
+
+
 # ----------------------------------------------------------------- DAT-1..DAT-5
 def normalize_date(col) -> Column:
     """DAT-1: first 10 characters as ``y-M-d`` or ``y/M/d``; null when neither parses."""
@@ -192,13 +195,6 @@ def week_label(date_col) -> Column:
     return F.concat_ws("/", start.cast("string"), F.date_add(start, 6).cast("string"))
 
 
-def epoch_to_date(col) -> Column:
-    """DAT-3: epoch seconds -> ``yyyy-MM-dd`` (UTC session zone); 0/null -> 未知."""
-    c = _c(col)
-    return F.when(c.isNull() | (c == 0), F.lit(dims.UNKNOWN)).otherwise(
-        F.date_format(F.timestamp_seconds(c), "yyyy-MM-dd"))
-
-
 # ------------------------------------------------------------------ ARR-1, MTH-2
 def split_tags(col) -> Column:
     """``a, b ,c`` -> array of stripped non-empty items."""

@@ -20,6 +20,7 @@ def bins_table(spark: SparkSession, spec) -> DataFrame:
 
 def assign_bins(df: DataFrame, col: str, bins: DataFrame, out: str = "bin") -> DataFrame:
     """Left-closed [lo, hi) assignment; values outside every bin keep a null label."""
-    b = F.broadcast(bins)
+    from hirelens.session import checked_broadcast
+    b = checked_broadcast(bins)
     j = df.join(b, (F.col(col) >= b["lo"]) & (F.col(col) < b["hi"]), "left")
     return j.withColumnRenamed("label", out).drop("lo", "hi")

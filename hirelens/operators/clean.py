@@ -93,24 +93,22 @@ def dedup_key_cols():
 
 def first_per_key(df: DataFrame, keys, order_col: str = "seq", keep: str = "first") -> DataFrame:
     """WIN-1 / WIN-8 / SET-5: keep one whole row per key, the one with the
-    smallest (``first``) or largest (``last``) ``order_col``.
+    smallest (``first``) or largest (``last``) ``order_col``, a number that is
+    unique within a key.
 
-    Expressed as ``min/max(struct(order, row))`` per key: a hash aggregate
-    with map-side partial aggregation, so a key holding a third of all rows
-    is reduced inside each map task before the shuffle instead of landing
-    whole in one window partition.
+    The order's minimum or maximum per key is a hash aggregate with partial
+    aggregation (a key with a third of all rows collapses inside each map
+    task); whole rows are then kept by a semi-join on (key, order), which
+    spreads a hot key over its orders. Null keys are a key.
     """
-    cols = [c for c in df.columns if c != order_col]
-    packed = F.struct(F.col(order_col).alias("_o"), *[F.col(c) for c in cols])
-    agg = F.min(packed) if keep == "first" else F.max(packed)
-    key_names = []
-    keyed = df
-    for i, k in enumerate(keys):
-        name = f"_key{i}"
-        keyed = keyed.withColumn(name, F.col(k) if isinstance(k, str) else k)
-        key_names.append(name)
-    out = keyed.groupBy(*key_names).agg(agg.alias("_row"))
-    return out.select(F.col("_row._o").alias(order_col), *[F.col(f"_row.{c}").alias(c) for c in cols])
+    names = [f"_key{i}" for i in range(len(keys))]
+    keyed = df.withColumns({n: F.col(k) if isinstance(k, str) else k for n, k in zip(names, keys)})
+    pick = F.min(order_col) if keep == "first" else F.max(order_col)
+    best = keyed.groupBy(*names).agg(pick.alias("_best")).select(*[F.col(n).alias(f"_b{n}") for n in names], "_best")
+    same = F.col(order_col).eqNullSafe(F.col("_best"))
+    for n in names:
+        same = same & F.col(n).eqNullSafe(F.col(f"_b{n}"))
+    return keyed.join(best, same, "left_semi").select(*df.columns)
 
 
 def deduplicate(df: DataFrame) -> DataFrame:
@@ -171,9 +169,13 @@ def fill_missing(df: DataFrame, approx_global: bool = False, keep_flag: bool = F
 
 def remove_outliers(df: DataFrame) -> DataFrame:
     """FLT-3: salary null or within [0, 1e6] (0 is kept, T12), title present."""
+    return df.where(not_outlier())
+
+
+def not_outlier():
     ok_salary = F.col("salary_avg").isNull() | F.col("salary_avg").between(0, dims.OUTLIER_SALARY_MAX)
     ok_title = F.col("job_title").isNotNull() & (F.col("job_title") != "")
-    return df.where(ok_salary & ok_title)
+    return ok_salary & ok_title
 
 
 def parse_dates(df: DataFrame) -> DataFrame:
@@ -196,15 +198,14 @@ def standardize(raw: DataFrame) -> DataFrame:
 def clean_postings(raw: DataFrame, approx_global: bool = False) -> DataFrame:
     """Full §3.1 pipeline: standardize -> dedup -> fill -> outliers.
 
-    The deduplicated rows feed three consumers (the row side of the city
-    join, the per-city aggregate and the global median), so they are written
-    once to the shared folder and read back (see ``session.materialize``).
+    The standardized rows are both sides of the dedup join and the
+    deduplicated rows feed three consumers (the row side of the city join,
+    the per-city aggregate and the global median), so each is written once to
+    the shared folder and read back (see ``session.materialize``): every text
+    is parsed once.
     """
     from hirelens.session import materialize
-    df = materialize(deduplicate(standardize(raw)), "dedup-postings")
+    df = materialize(deduplicate(materialize(standardize(raw), "standardized")), "dedup-postings")
     df = fill_missing(df, approx_global=approx_global)
     return remove_outliers(df)
 
-
-def negotiable_flag(df: DataFrame) -> DataFrame:
-    return df.withColumn("is_face", is_negotiable("salary_text").cast("int"))

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from hirelens import dims
+from hirelens.session import checked_broadcast
 
 
 def city_dimension(spark: SparkSession) -> DataFrame:
@@ -24,7 +25,7 @@ def city_dimension(spark: SparkSession) -> DataFrame:
 def enrich_city(df: DataFrame, dim: DataFrame) -> DataFrame:
     """JON-1: broadcast left equi-join on a dimension + defaults
     (tier -> 其他, province -> the city itself)."""
-    j = df.join(F.broadcast(dim), "city", "left")
+    j = df.join(checked_broadcast(dim), "city", "left")
     return j.withColumns({
         "tier": F.coalesce(F.col("tier"), F.lit(dims.TIER_OTHER)),
         "province": F.coalesce(F.col("province"), F.col("city")),
@@ -45,20 +46,22 @@ def enrich_from_detail(base: DataFrame, detail: DataFrame, key: str, fields: lis
 def skip_done(df: DataFrame, done: DataFrame, key: str, bounded: bool = False) -> DataFrame:
     """JON-4 / JON-5: drop rows whose key is already in the done-set.
 
-    ``bounded`` marks a done-set of known small size (e.g. the finished
-    keywords of a crawl plan), which is broadcast; a data-sized set (seen
-    URLs) is left to the planner."""
+    ``bounded`` marks a done-set that is probably small (e.g. the finished
+    keywords of a crawl plan): its size is checked and, if it is, it is
+    broadcast; a data-sized set (seen URLs) is left to the planner."""
     d = done.select(key).distinct()
-    return df.join(F.broadcast(d) if bounded else d, key, "left_anti")
+    return df.join(checked_broadcast(d) if bounded else d, key, "left_anti")
 
 
-def first_n_per_group(df: DataFrame, group: str, order_cols: list, n: int) -> DataFrame:
-    """WIN-7: first ``n`` rows per group in the given order.
+def first_n_per_group(df: DataFrame, group: str, order_cols: list, n: int | None = None) -> DataFrame:
+    """WIN-7: first ``n`` rows per group in the given order; all without ``n``.
 
     ``row_number() <= n`` with small ``n`` is planned with a partial
     WindowGroupLimit before the shuffle, so a group holding a third of the
     data ships at most ``n`` rows per map task.
     """
+    if n is None:
+        return df
     w = Window.partitionBy(group).orderBy(*order_cols)
     return df.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= n).drop("_rn")
 
@@ -70,14 +73,6 @@ def contains_any(col, words) -> "F.Column":
     return F.coalesce(F.exists(arr, lambda w: c.contains(w)), F.lit(False))
 
 
-def union_batches(*frames: DataFrame) -> DataFrame:
-    """SET-1: union by name; missing columns become null."""
-    out = frames[0]
-    for f in frames[1:]:
-        out = out.unionByName(f, allowMissingColumns=True)
-    return out
-
-
 def skill_bridge(df: DataFrame) -> DataFrame:
     """JON-6: the (job_id, skill_name) bridge table from the tag arrays."""
     from hirelens.functions.text import split_tags

@@ -18,8 +18,9 @@ from hirelens.functions.text import normalize_date, normalize_education, with_ci
 
 
 def _fmt_num(c):
-    # Python's str(float): 5000.0 -> "5000.0"; Spark's cast gives the same for these values
-    return c.cast("double").cast("string")
+    # plain decimal notation of any size, as "5000.0" or "12000000.5"
+    text = F.regexp_replace(c.cast("double").cast("decimal(30,6)").cast("string"), r"0+$", "")
+    return F.when(text.endswith("."), F.concat(text, F.lit("0"))).otherwise(text)
 
 
 def parsed_postings(raw: DataFrame) -> DataFrame:
@@ -56,26 +57,27 @@ def validate(df: DataFrame) -> DataFrame:
         return F.when(cond, F.struct(F.lit(code).alias("code"), detail.alias("detail")))
 
     checks = [
-        issue(title.isNull() | (py_strip(title) == ""), "title_empty", F.lit("岗位名为空")),
+        issue(title.isNull() | (py_strip(title) == ""), "title_empty", F.lit("no title")),
         issue(both & (smin > smax), "salary_min_gt_max",
-              F.concat(F.lit("薪资min("), _fmt_num(smin), F.lit(") > max("), _fmt_num(smax), F.lit(")"))),
-        issue(both & (smin <= 0), "salary_min_nonpositive", F.concat(F.lit("薪资min为0或负数: "), _fmt_num(smin))),
-        issue(both & (smax > dims.OUTLIER_SALARY_MAX), "salary_too_high", F.concat(F.lit("薪资异常高: "), _fmt_num(smax))),
+              F.concat_ws(" ", F.lit("minimum"), _fmt_num(smin), F.lit("above maximum"), _fmt_num(smax))),
+        issue(both & (smin <= 0), "salary_min_nonpositive", F.concat(F.lit("minimum not positive: "), _fmt_num(smin))),
+        issue(both & (smax > dims.OUTLIER_SALARY_MAX), "salary_too_high", F.concat(F.lit("maximum too high: "), _fmt_num(smax))),
         issue(city.isNotNull() & (city != "") & (city != dims.UNKNOWN_CITY) & ~fuzzy,
-              "city_unknown", F.concat(F.lit("无法识别的城市: "), city)),
-        issue(pub.isNotNull() & (pub != "") & pub_d.isNull(), "date_format", F.concat(F.lit("日期格式异常: "), pub)),
+              "city_unknown", F.concat(F.lit("city not known: "), city)),
+        issue(pub.isNotNull() & (pub != "") & pub_d.isNull(), "date_format", F.concat(F.lit("not a date: "), pub)),
         issue(pub_d.isNotNull() & ~F.year(pub_d).between(2000, 2030), "date_year",
-              F.concat(F.lit("日期年份异常: "), pub)),
+              F.concat(F.lit("year out of range: "), pub)),
         issue(edu.isNotNull() & (edu != "") & ~edu.isin(*dims.VALID_EDUCATION), "education_domain",
-              F.concat(F.lit("学历不在枚举中: "), edu)),
-        issue(url.isNull() | (url == ""), "url_empty", F.lit("job_url为空")),
+              F.concat(F.lit("education not known: "), edu)),
+        issue(url.isNull() | (url == ""), "url_empty", F.lit("no url")),
     ]
     arr = F.filter(F.array(*checks), lambda x: x.isNotNull())
     df = df.withColumn("issues", arr)
     # codes as a plain string array: aggregations explode this, never the structs
     return (df.withColumn("codes", F.transform("issues", lambda x: x["code"]))
               .withColumn("n_issues", F.size("codes"))
-              .withColumn("issue_codes", F.array_join("codes", ",")))
+              .withColumn("issue_codes", F.array_join("codes", ","))
+              .withColumn("issue_details", F.array_join(F.transform("issues", lambda x: x["detail"]), "; ")))
 
 
 RULE_CODES = ["title_empty", "salary_min_gt_max", "salary_min_nonpositive", "salary_too_high", "city_unknown",
@@ -127,64 +129,80 @@ def null_census(df: DataFrame) -> DataFrame:
 
 def pipeline_counters(raw: DataFrame) -> DataFrame:
     """AGG-20: raw, dedup removed, outliers removed, cleaned, retention %,
-    plus distinct companies and industries (AGG-17), as one row."""
-    from hirelens.operators.clean import deduplicate, fill_missing, remove_outliers, standardize
+    plus distinct companies and industries (AGG-17), as one row. Filling
+    changes no row count, so one pass over the filled rows counts both sides
+    of the outlier filter."""
+    from hirelens.operators.clean import deduplicate, fill_missing, not_outlier, standardize
     from hirelens.session import materialize
-    std = standardize(raw)
-    dd = materialize(deduplicate(std), "dedup-postings")
-    filled = fill_missing(dd)
-    clean = remove_outliers(filled)
+    filled = fill_missing(materialize(deduplicate(materialize(standardize(raw), "standardized")), "dedup-postings"))
+    good = not_outlier()
     n_raw = raw.agg(F.count(F.lit(1))).scalar()
-    n_dd = dd.agg(F.count(F.lit(1))).scalar()
-    n_filled = filled.agg(F.count(F.lit(1))).scalar()
-    stats = clean.agg(F.count(F.lit(1)).alias("cleaned_count"),
-                      F.count_distinct("company_name").alias("companies"),
-                      F.count_distinct("industry").alias("industries"))
+    stats = filled.agg(F.count(F.lit(1)).alias("n"), F.count_if(good).alias("cleaned_count"),
+                       F.count_distinct(F.when(good, F.col("company_name"))).alias("companies"),
+                       F.count_distinct(F.when(good, F.col("industry"))).alias("industries"))
     return stats.select(
-        n_raw.alias("raw_count"), (n_raw - n_dd).alias("dedup_removed"),
-        (n_filled - F.col("cleaned_count")).alias("outliers_removed"), "cleaned_count",
+        n_raw.alias("raw_count"), (n_raw - F.col("n")).alias("dedup_removed"),
+        (F.col("n") - F.col("cleaned_count")).alias("outliers_removed"), "cleaned_count",
         F.bround(F.col("cleaned_count") * 100.0 / n_raw, 1).alias("retention_pct"),
         "companies", "industries")
 
 
 # ------------------------------------------------------------- fetched pages
-def classify_response(status, url, body, json_body=None):
+def api_error_code(body, keys=("code", "status", "errno")):
+    """JSN-2: the first of ``keys`` whose value is not empty: null, 0, false and
+    "" are passed over, the text "0" is not. Null for other than JSON objects."""
+    doc = F.try_parse_json(body)
+    out = None
+    for k in keys:
+        value = F.try_variant_get(doc, f"$.{k}", "string")
+        kind = F.schema_of_variant(F.try_variant_get(doc, f"$.{k}", "variant"))
+        empty = (value.isNull() | (value == "") | ((kind == "BOOLEAN") & (value == "false"))
+                 | (~kind.isin("STRING", "BOOLEAN") & (value.try_cast("double") == 0)))
+        one = F.when(~F.coalesce(empty, F.lit(True)), value)
+        out = one if out is None else F.coalesce(out, one)
+    return out
+
+
+def classify_response(status, url, body, json_body=None, body_prefix: int = 500, least_length: int = 100):
     """FLT-10 + JSN-2: block reason of a fetched response (null = fine).
 
     Ordered checks: missing response, blocking HTTP status, redirect to a
-    verify/captcha page, body shorter than 100, block words in the first 500
-    characters (lower-cased), JSON ``code``/``status``/``errno`` not 0/200.
+    verify/captcha page, body shorter than ``least_length``, block words in the
+    first ``body_prefix`` characters (lower-cased; an article may mention
+    them further down), error code of a JSON body not 0/200.
     """
-    body_low = F.lower(F.substring(body, 1, dims.BLOCK_BODY_PREFIX))
+    body_low = F.lower(F.substring(body, 1, body_prefix))
     url_low = F.lower(url)
     word = None
     for w in dims.BLOCK_BODY_WORDS:
         cond = body_low.contains(w)
         word = F.when(cond, F.lit(w)) if word is None else word.when(cond, F.lit(w))
-    jb = json_body if json_body is not None else body
-    code = F.coalesce(*[F.nullif(F.get_json_object(jb, f"$.{k}"), F.lit("")) for k in ("code", "status", "errno")])
+    code = api_error_code(json_body if json_body is not None else body)
     redirect = F.lit(False)
     for w in dims.BLOCK_REDIRECT_WORDS:
         redirect = redirect | url_low.contains(w)
     return (F.when(status.isNull() & body.isNull(), F.lit("no_response"))
              .when(status.isin(*dims.BLOCK_STATUS), F.concat(F.lit("http_"), status.cast("string")))
              .when(redirect, F.lit("redirect_verify"))
-             .when(F.length(body) < dims.MIN_BODY_LENGTH, F.lit("too_short"))
+             .when(F.length(body) < least_length, F.lit("too_short"))
              .when(word.isNotNull(), F.concat(F.lit("block_word:"), word))
-             .when(code.isNotNull() & ~code.isin(*dims.JSON_OK_CODES) & (code != "false") & (code != "null"),
-                   F.concat(F.lit("api_code:"), code)))
+             .when(code.isNotNull() & ~code.isin(*dims.JSON_OK_CODES), F.concat(F.lit("api_code:"), code)))
 
 
-def page_has_jobs(text) -> "F.Column":
-    """FLT-11: >= 2 salary-like tokens, or long text with the marker (and no
-    search-suggestion banner); WAF markers near the top mean no."""
-    head = F.substring(text, 1, dims.WAF_PREFIX)
+def page_has_jobs(text, waf_prefix: int = 2000, long_text: int = 2000, least_cards: int = 2, cards=None) -> "F.Column":
+    """FLT-11: >= ``least_cards`` salary-like tokens (or job cards, if their
+    number is given), or a text of over ``long_text`` characters with the marker
+    (and no search-suggestion banner); WAF markers in the first ``waf_prefix``
+    characters mean no."""
+    head = F.substring(text, 1, waf_prefix)
     waf = head.contains(dims.WAF_MARKERS[0]) | F.lower(head).contains(dims.WAF_MARKERS[1])
     tokens = F.size(F.regexp_extract_all(text, F.lit(dims.SALARY_TOKEN_PATTERN), 0))
-    long_ok = ((F.length(text) > dims.JOB_PAGE_LONG_TEXT) & text.contains(dims.JOB_PAGE_MARKER)
-               & ~text.contains(dims.JOB_PAGE_SUGGEST))
-    return F.when(waf, F.lit(False)).otherwise((tokens >= dims.JOB_PAGE_MIN_TOKENS) | long_ok)
+    long_ok = (F.length(text) > long_text) & text.contains(dims.JOB_PAGE_MARKER) & ~text.contains(dims.JOB_PAGE_SUGGEST)
+    some = (tokens >= least_cards) | long_ok
+    if cards is not None:
+        some = some | F.coalesce(cards >= least_cards, F.lit(False))
+    return F.when(waf, F.lit(False)).otherwise(some)
 
 
 __all__ = ["parsed_postings", "validate", "validation_summary", "negotiable_ratio", "null_census",
-           "pipeline_counters", "classify_response", "page_has_jobs", "is_negotiable"]
+           "pipeline_counters", "api_error_code", "classify_response", "page_has_jobs", "is_negotiable"]

@@ -33,7 +33,7 @@ def q_payload_search(spark, sf_dir):
              .when(F.col("page") % 3 == 1, F.concat(F.lit('{"resultbody":{"items":'), lst, F.lit("}}")))
              .otherwise(F.concat(F.lit('{"meta":{"list":[1,2]},"result":{"data":{"list":{"items":'), lst,
                                  F.lit("}}}}"))))
-    found = pages.select("page", find_job_list(deep).alias("list_json"))
+    found = find_job_list(pages.select("page", deep.alias("payload")))
     items = found.select("page", F.posexplode(F.from_json("list_json", "array<string>")).alias("pos", "item"))
     return items.select(F.get_json_object("item", "$.jobId").alias("job_id"), "page",
                         F.col("pos").cast("long").alias("pos"))
@@ -44,7 +44,7 @@ def q_payload_search(spark, sf_dir):
 def q_table_store(spark, sf_dir):
     """SNK-6 / SNK-7: a partitioned Parquet table by DDL, filled, emptied
     (INSERT OVERWRITE with no rows: the truncate of an external table) and
-    filled again; then read back through SQL."""
+    filled again; then dropped from the catalog and read back by its folder."""
     c = cleaned(spark, sf_dir)
     loc = unique_dir(spark, "job-listing")
     name = f"job_listing_{uuid.uuid4().hex[:8]}"
@@ -54,36 +54,35 @@ def q_table_store(spark, sf_dir):
     rows.write.insertInto(name)
     spark.createDataFrame([], rows.schema).write.insertInto(name, overwrite=True)
     rows.write.insertInto(name)
-    return spark.sql(f"SELECT keyword, count(*) AS n, bround(sum(salary_avg), 2) AS salary_sum FROM {name} "
-                     "GROUP BY keyword")
+    spark.sql(f"DROP TABLE {name}")  # external: the files stay
+    stored = spark.read.parquet(loc)
+    return stored.groupBy("keyword").agg(F.count(F.lit(1)).alias("n"), F.bround(F.sum("salary_avg"), 2).alias("salary_sum"))
 
 
 @register("result_cache", with_clean("""
-    SELECT 'city_salary' AS result_name, 2 AS version, count(DISTINCT city) AS n_items FROM clean
-    UNION ALL SELECT 'experience_bins', 1, count(DISTINCT CASE WHEN exp_min < 1 THEN 0 WHEN exp_min < 2 THEN 1
-        WHEN exp_min < 3 THEN 2 WHEN exp_min < 5 THEN 3 WHEN exp_min < 7 THEN 4 WHEN exp_min < 10 THEN 5
-        WHEN exp_min < 15 THEN 6 WHEN exp_min < 100 THEN 7 END) FROM clean
-    UNION ALL SELECT 'industry_top15', 1, least(count(DISTINCT industry), 15) FROM clean"""))
+    SELECT 'city_salary' AS result_name, 2 AS version, city AS item, count(salary_avg) AS n FROM clean GROUP BY city
+    UNION ALL SELECT 'experience_bins', 1, CASE WHEN exp_min < 1 THEN '0-1年' WHEN exp_min < 3 THEN '1-3年' WHEN exp_min < 5 THEN '3-5年'
+        WHEN exp_min < 7 THEN '5-7年' WHEN exp_min < 10 THEN '7-10年' ELSE '10年+' END, count(*) FROM clean
+        WHERE exp_min >= 0 AND exp_min < 100 GROUP BY 3"""))
 def q_result_cache(spark, sf_dir):
-    """SNK-8 / SNK-9: named analysis results stored as JSON text in a keyed
-    cache table; a re-run of one analysis replaces only its entry."""
-    from hirelens.operators.stats import city_salary, experience_bins, industry_top
+    """SNK-8 / SNK-9: named analysis results as keyed rows of JSON text; a
+    re-run of one analysis replaces its rows only. A row per result row, so
+    no result is gathered into one cell."""
+    from hirelens.functions.text import bin_label
     from hirelens.sinks.store import upsert, write_version
     c = cleaned(spark, sf_dir)
 
     def entry(name, df, version):
-        # results are aggregates (bounded by their group count), so one JSON cell each
-        return df.agg(F.to_json(F.collect_list(F.struct(*df.columns))).alias("json")).select(
-            F.lit(name).alias("result_name"), F.lit(version).alias("_batch"), F.lit(0).alias("seq"), "json")
-
-    v1 = entry("city_salary", city_salary(c), 1).unionByName(entry("experience_bins", experience_bins(c), 1)) \
-                                                .unionByName(entry("industry_top15", industry_top(c, 15), 1))
-    p1 = write_version(spark, upsert(None, v1, "result_name"), "result-cache")
-    p2 = write_version(spark, upsert(spark.read.parquet(p1), entry("city_salary", city_salary(c), 2), "result_name"),
-                       "result-cache")
-    cache = spark.read.parquet(p2)
-    return cache.select("result_name", F.col("_batch").alias("version"),
-                        F.json_array_length("json").cast("long").alias("n_items"))
+        row = F.to_json(F.struct(*df.columns), {"ignoreNullFields": "false"})
+        return df.select(F.concat_ws("|", F.lit(name), F.col("item")).alias("entry"), F.lit(name).alias("result_name"),
+                         F.lit(version).alias("_batch"), F.lit(0).alias("seq"), row.alias("json"))
+
+    city = c.groupBy(F.col("city").alias("item")).agg(F.count("salary_avg").alias("n"))
+    bins = c.withColumn("item", bin_label("exp_min", dims.DASH_EXP_BINS)).where("item IS NOT NULL").groupBy("item").agg(F.count(F.lit(1)).alias("n"))
+    p1 = write_version(spark, upsert(None, entry("city_salary", city, 1).unionByName(entry("experience_bins", bins, 1)), "entry"), "result-cache")
+    p2 = write_version(spark, upsert(spark.read.parquet(p1), entry("city_salary", city, 2), "entry"), "result-cache")
+    cache = spark.read.parquet(p2).withColumn("r", F.from_json("json", "item STRING, n BIGINT"))
+    return cache.select("result_name", F.col("_batch").alias("version"), F.col("r.item").alias("item"), F.col("r.n").alias("n"))
 
 
 @register("value_counts_report", with_clean("""

@@ -96,8 +96,10 @@ def q_payload_explode(spark, sf_dir):
     SELECT o_orderkey AS job_id,
       CASE WHEN o_orderkey % 2 = 0 THEN 'Spark, Kafka' ELSE 'Flink' END AS skill_tags,
       CASE o_orderkey % 3 WHEN 0 THEN '硕士' WHEN 1 THEN '本科' ELSE NULL END AS education,
-      CASE o_orderkey % 3 WHEN 2 THEN NULL ELSE CAST(1 + o_orderkey % 5 AS DOUBLE) END AS exp_min,
-      CASE o_orderkey % 3 WHEN 2 THEN NULL ELSE CAST(3 + o_orderkey % 5 AS DOUBLE) END AS exp_max,
+      CASE WHEN o_orderkey % 3 = 2 THEN NULL ELSE CAST(1 + o_orderkey % 5 AS DOUBLE) END AS exp_min,
+      CASE WHEN o_orderkey % 3 = 2 THEN NULL WHEN o_orderkey % 7 = 0 THEN 999.0 ELSE CAST(3 + o_orderkey % 5 AS DOUBLE) END AS exp_max,
+      CASE WHEN o_orderkey % 3 = 2 THEN NULL WHEN o_orderkey % 7 = 0 THEN CAST(1 + o_orderkey % 5 AS VARCHAR) || '.0年以上'
+           ELSE CAST(1 + o_orderkey % 5 AS VARCHAR) || '.0-' || CAST(3 + o_orderkey % 5 AS VARCHAR) || '.0年' END AS experience,
       CASE WHEN o_orderkey % 4 = 0 THEN '500-1000人' ELSE NULL END AS company_size
     FROM orders""")
 def q_detail_payload(spark, sf_dir):
@@ -108,13 +110,14 @@ def q_detail_payload(spark, sf_dir):
     tags = F.when(k % 2 == 0, F.to_json(F.array(F.lit("Spark"), F.lit("Kafka")))).otherwise(F.lit('"Flink"'))
     edu = F.when(k % 3 == 0, F.lit('"degreeName":"硕士及以上",')).when(k % 3 == 1, F.lit('"degree":"本科",')).otherwise(F.lit(""))
     exp = F.when(k % 3 != 2, F.concat(F.lit('"workingYears":"'), (1 + k % 5).cast("string"), F.lit("-"),
-                                      (3 + k % 5).cast("string"), F.lit('年",'))).otherwise(F.lit(""))
+                                      F.when(k % 7 == 0, F.lit("999")).otherwise((3 + k % 5).cast("string")),
+                                      F.lit('年",'))).otherwise(F.lit(""))
     inner = F.concat(F.lit("{"), edu, exp, F.lit('"jobTags":'), tags, F.lit("}"))
     wrap = F.element_at(F.array(F.lit("jobDetail"), F.lit("detail"), F.lit("data")), (k % 3 + 1).cast("int"))
     company = F.when(k % 4 == 0, F.lit(',"companyInfo":{"companySize":" 500-1000人 "}')).otherwise(F.lit(""))
     payload = F.concat(F.lit('{"'), wrap, F.lit('":'), inner, company, F.lit("}"))
     d = project_detail(o.select(k.alias("job_id"), payload.alias("payload")))
-    return d.select("job_id", "skill_tags", "education", "exp_min", "exp_max",
+    return d.select("job_id", "skill_tags", "education", "exp_min", "exp_max", "experience",
                     F.nullif(F.col("company_size"), F.lit("")).alias("company_size"))
 
 
@@ -211,6 +214,12 @@ def q_html_cards(spark, sf_dir):
                             "n_chars": F.col("n_chars").cast("long")})
 
 
+#: error members of a JSON body; the first that is not empty counts
+API_CODES = ['"code": 403', '"code": 0, "status": 500', '"code": false, "errno": "0"', '"code": "", "status": null, "errno": -1', '"code": 200']
+#: what each gives as a reason
+API_REASONS = ["api_code:403", "api_code:500", None, "api_code:-1", None]
+
+
 def _fetched(spark, sf_dir):
     p = table(spark, sf_dir, "pages")
     pid = F.col("page_id")
@@ -218,9 +227,15 @@ def _fetched(spark, sf_dir):
                .when(pid % 19 == 0, None).otherwise(200))
     url = F.when(pid % 17 == 0, F.concat("url", F.lit("?verify=1"))).otherwise(F.col("url"))
     body = (F.when(pid % 19 == 0, F.lit(None)).when(pid % 13 == 0, F.substring("html", 1, 60))
-             .when(pid % 23 == 0, F.lit('{"code": 403, "message": "denied", "pad": "' + "x" * 120 + '"}'))
+             .when(pid % 23 == 0, F.element_at(F.array(*[F.lit('{' + c + ', "message": "denied", "pad": "' + "x" * 120 + '"}') for c in API_CODES]),
+                                               (F.floor(pid / 23) % len(API_CODES) + 1).cast("int")))
+             .when(pid % 29 == 1, F.concat(F.lit("<p>请稍后再试</p>"), F.col("html")))
              .otherwise(F.col("html")))
-    return p.select("page_id", status.alias("status"), url.alias("url"), body.alias("body"), "html")
+    html = (F.when(pid % 7 == 0, F.concat(F.col("html"), F.lit("<p>15K-20K</p><p>8千</p>")))
+             .when(pid % 7 == 1, F.concat(F.col("html"), F.lit("<p>Python 30K</p>")))
+             .when(pid % 7 == 2, F.concat(F.lit("<p>滑块</p>"), F.col("html"), F.lit("<p>15K 20K</p>")))
+             .when(pid % 7 == 3, F.concat(F.col("html"), F.lit("<p>Python 搜索发现</p>"))).otherwise(F.col("html")))
+    return p.select("page_id", status.alias("status"), url.alias("url"), body.alias("body"), html.alias("html"))
 
 
 @register("page_quality", f"""
@@ -230,12 +245,13 @@ def _fetched(spark, sf_dir):
              WHEN page_id % 19 = 0 THEN NULL ELSE 200 END AS status,
         CASE WHEN page_id % 17 = 0 THEN url || '?verify=1' ELSE url END AS url,
         CASE WHEN page_id % 19 = 0 THEN NULL WHEN page_id % 13 = 0 THEN substr(html, 1, 60)
-             WHEN page_id % 23 = 0 THEN '{{"code": 403, "message": "denied", "pad": "{"x" * 120}"}}' ELSE html END AS body,
-        html FROM pages),
+             WHEN page_id % 23 = 0 THEN repeat('x', 200) WHEN page_id % 29 = 1 THEN '<p>请稍后再试</p>' || html ELSE html END AS body,
+        CASE page_id % 7 WHEN 0 THEN html || '<p>15K-20K</p><p>8千</p>' WHEN 1 THEN html || '<p>Python 30K</p>'
+             WHEN 2 THEN '<p>滑块</p>' || html || '<p>15K 20K</p>' WHEN 3 THEN html || '<p>Python 搜索发现</p>' ELSE html END AS html
+      FROM pages),
     c AS (SELECT *, lower(substr(body, 1, 500)) AS low,
-            coalesce(nullif(json_extract_string(CASE WHEN json_valid(body) THEN body END, '$.code'), ''),
-                     nullif(json_extract_string(CASE WHEN json_valid(body) THEN body END, '$.status'), ''),
-                     nullif(json_extract_string(CASE WHEN json_valid(body) THEN body END, '$.errno'), '')) AS code
+            CASE WHEN page_id % 23 = 0 AND page_id % 13 <> 0 AND page_id % 19 <> 0 THEN
+              [{", ".join("NULL" if r is None else "'" + r + "'" for r in API_REASONS)}][page_id // 23 % {len(API_CODES)} + 1] END AS api
           FROM f)
     SELECT page_id, status,
       CASE WHEN status IS NULL AND body IS NULL THEN 'no_response'
@@ -243,8 +259,7 @@ def _fetched(spark, sf_dir):
            WHEN contains(lower(url), 'verify') OR contains(lower(url), 'captcha') THEN 'redirect_verify'
            WHEN length(body) < 100 THEN 'too_short'
            {" ".join(f"WHEN contains(low, '{w}') THEN 'block_word:{w}'" for w in dims.BLOCK_BODY_WORDS)}
-           WHEN code IS NOT NULL AND code NOT IN ('0', '200', 'false', 'null') THEN 'api_code:' || code
-      END AS reason,
+           ELSE api END AS reason,
       CASE WHEN contains(substr(html, 1, 2000), '滑块') OR contains(lower(substr(html, 1, 2000)), 'aliyun_waf') THEN false
            ELSE len(regexp_extract_all(html, '{dims.SALARY_TOKEN_PATTERN}')) >= 2
                 OR (length(html) > 2000 AND contains(html, 'Python') AND NOT contains(html, '搜索发现')) END AS has_jobs
@@ -290,10 +305,16 @@ IP_PORT = "([0-9]{1,3}\\.[0-9]{1,3}\\.[0-9]{1,3}\\.[0-9]{1,3}:[0-9]{2,5})"
 
 @register("token_extract_documents", f"""
     SELECT doc_id, t AS token, count(*) AS n
-    FROM documents, unnest(regexp_extract_all(text, '{IP_PORT}', 1)) AS u(t) GROUP BY doc_id, t""")
+    FROM (SELECT doc_id, CASE WHEN doc_id % 3 = 0 THEN text || ' via 10.0.' || CAST(doc_id % 256 AS VARCHAR) || '.7:80' || CAST(doc_id % 90 + 10 AS VARCHAR)
+            || ', 10.0.1.1:8080 and 10.0.1.1:8080.' ELSE text END AS text FROM documents),
+         unnest(regexp_extract_all(text, '{IP_PORT}', 1)) AS u(t) GROUP BY doc_id, t""")
 def q_token_extract_documents(spark, sf_dir):
-    """STR-14: ip:port tokens in free text."""
+    """STR-14: ip:port tokens in free text (every third text names some)."""
     docs = table(spark, sf_dir, "documents")
+    i = F.col("doc_id")
+    docs = docs.withColumn("text", F.when(i % 3 == 0, F.concat(
+        "text", F.lit(" via 10.0."), (i % 256).cast("string"), F.lit(".7:80"), (i % 90 + 10).cast("string"),
+        F.lit(", 10.0.1.1:8080 and 10.0.1.1:8080."))).otherwise(F.col("text")))
     return (docs.select("doc_id", F.explode(F.regexp_extract_all("text", F.lit(IP_PORT), 1)).alias("token"))
                 .groupBy("doc_id", "token").agg(F.count(F.lit(1)).alias("n")))
 

@@ -1,9 +1,7 @@
-"""File round trip and synthetic-generation queries."""
+"""File round trips."""
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
@@ -11,14 +9,6 @@ from hirelens.plans.catalog import cleaned, register
 from hirelens.plans.oracle_base import with_clean
 from hirelens.session import table, unique_dir
 
-_HERE = os.path.dirname(os.path.abspath(__file__))
-
-
-def _read(name):
-    with open(os.path.join(_HERE, name), encoding="utf-8") as f:
-        return f.read()
-
-
 CSV_SCHEMA = StructType([StructField("seq", StringType()), StructField("job_title", StringType()),
                          StructField("salary_avg", DoubleType()), StructField("city", StringType()),
                          StructField("district", StringType()), StructField("skill_tags", StringType())])
@@ -56,12 +46,35 @@ def q_io_roundtrip(spark, sf_dir):
                                           .unionByName(summary(pq, "parquet", "district"))
 
 
-@register("synthetic_postings", _read("oracle_synthetic.sql"))
-def q_synthetic_postings(spark, sf_dir):
-    from hirelens.sources.synthetic import synthetic_postings
-    o = table(spark, sf_dir, "orders")
-    c = table(spark, sf_dir, "customer")
-    keys = o.join(c, o.o_custkey == c.c_custkey).select(
-        F.col("o_orderkey").alias("k"), F.to_date("o_orderdate").alias("anchor"),
-        F.col("c_name").alias("company"), F.col("c_mktsegment").alias("industry"))
-    return synthetic_postings(keys)
+NASTY_SQL = """SELECT CAST(c_custkey AS VARCHAR) AS id, CASE c_custkey % 6
+        WHEN 0 THEN 'say "' || c_name || '", twice ""' WHEN 1 THEN 'two' || chr(10) || 'lines, and "' || chr(10) || '" a third'
+        WHEN 2 THEN c_name || ',' || c_mktsegment WHEN 3 THEN '"' WHEN 4 THEN '王' || chr(92) || c_name ELSE c_name END AS note,
+      c_acctbal AS number FROM {customer}"""
+
+
+@register("csv_rows", NASTY_SQL.replace("{customer}", "customer"))
+def q_csv_rows(spark, sf_dir):
+    """SRC-1 / SNK-1: fields with quotes, commas, line feeds and backslashes
+    through CSV and back, in two appended writes."""
+    from hirelens.sinks.files import read_csv, write_csv
+    rows = spark.sql(NASTY_SQL.replace("AS VARCHAR", "AS STRING"), customer=table(spark, sf_dir, "customer"))
+    path = f"{unique_dir(spark, 'csv-rows')}/csv"
+    half = F.col("id").cast("long") % 2 == 0
+    write_csv(rows.where(half).withColumn("extra", F.lit(1)), path, ["id", "note", "number"])
+    write_csv(rows.where(~half), path, ["id", "note", "number"], append=True)
+    return read_csv(spark, path, StructType([StructField("id", StringType()), StructField("note", StringType()), StructField("number", DoubleType())]))
+
+
+@register("result_documents", with_clean("""
+    SELECT 'education' AS name, education AS label, count(*) AS n FROM clean GROUP BY education
+    UNION ALL SELECT 'keyword', keyword, count(*) FROM clean GROUP BY keyword"""))
+def q_result_documents(spark, sf_dir):
+    """SNK-9 / SRC-3: analysis results merged into one JSON folder and read
+    back; a missing folder gives no rows."""
+    from hirelens.sinks.files import read_result_documents, write_result_documents
+    c = cleaned(spark, sf_dir)
+    base = unique_dir(spark, "results")
+    write_result_documents({k: c.groupBy(F.col(k).alias("label")).agg(F.count(F.lit(1)).alias("n")) for k in ("education", "keyword")}, f"{base}/merged")
+    rows = read_result_documents(spark, f"{base}/merged").unionByName(read_result_documents(spark, f"{base}/missing"))
+    r = F.from_json("row", "label STRING, n BIGINT")
+    return rows.select("name", r["label"].alias("label"), r["n"].alias("n"))

@@ -3,6 +3,7 @@ clustering and profiles."""
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from hirelens import dims
@@ -46,50 +47,75 @@ def q_reg_summary(spark, sf_dir):
     return target_summary(_feats(spark, sf_dir))
 
 
-@register("reg_linear_metrics", with_clean(FEATS_SQL + """,
-    fit AS (SELECT regr_slope(salary_log, exp_avg) AS b, regr_intercept(salary_log, exp_avg) AS a
-            FROM feats WHERE seq % 10 < 8),
-    pred AS (SELECT exp(salary_log) - 1 AS y, exp(a + b * exp_avg) - 1 AS p FROM feats, fit WHERE seq % 10 >= 8)
-    SELECT round_even((SELECT b FROM fit), 6) AS slope, round_even((SELECT a FROM fit), 6) AS intercept,
-      round_even(1 - sum((y - p) ^ 2) / sum((y - (SELECT avg(y) FROM pred)) ^ 2), 6) AS r2,
-      round_even(sqrt(avg((y - p) ^ 2)), 3) AS rmse, round_even(avg(abs(y - p)), 3) AS mae
-    FROM pred"""))
-def q_reg_linear_metrics(spark, sf_dir):
-    """ML-2/3/6: OLS of log salary on mean experience (train: seq % 10 < 8)."""
-    from hirelens.ml.regress import one_feature_ols
-    m = one_feature_ols(_feats(spark, sf_dir), "exp_avg")
-    return m.select(F.bround("slope", 6).alias("slope"), F.bround("intercept", 6).alias("intercept"),
-                    F.bround("r2", 6).alias("r2"), F.bround("rmse", 3).alias("rmse"), F.bround("mae", 3).alias("mae"))
+OLS_COLUMNS = ["city_tier_enc", "education_enc", "exp_avg", "skill_count", "is_face", "company_size_enc"]
 
 
-_FITTED: dict = {}
+def _gauss_sql() -> str:
+    """Normal equations of the six features, solved by elimination as a chain of
+    one-row tables (the SQL twin of the fit)."""
+    x = ["1.0", *OLS_COLUMNS, "salary_log"]
+    n = len(OLS_COLUMNS) + 1
+    sums = ", ".join(f"sum(({x[i]}) * ({x[j]})) AS a{i}_{j}" for i in range(n) for j in range(n + 1))
+    steps = [f"e0 AS (SELECT {sums} FROM feats WHERE seq % 10 < 8)"]
+    for k in range(n):
+        cols = []
+        for i in range(n):
+            for j in range(n + 1):
+                cols.append(f"a{i}_{j} / a{k}_{k} AS a{i}_{j}" if i == k else f"a{i}_{j} - a{i}_{k} * a{k}_{j} / a{k}_{k} AS a{i}_{j}")
+        steps.append(f"e{k + 1} AS (SELECT {', '.join(cols)} FROM e{k})")
+    beta = ", ".join(f"a{i}_{n} AS b{i}" for i in range(n))
+    steps.append(f"fit AS (SELECT {beta} FROM e{n})")
+    line = "b0 + " + " + ".join(f"b{i + 1} * {c}" for i, c in enumerate(OLS_COLUMNS))
+    steps.append(f"pred AS (SELECT exp(salary_log) - 1 AS y, exp({line}) - 1 AS p FROM feats, fit WHERE seq % 10 >= 8)")
+    return ", " + ",\n".join(steps)
 
 
-def _fitted(spark, sf_dir):
-    """Models trained once per session and input folder (both model queries use them)."""
-    from hirelens.ml.regress import fit_models
-    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
-    if key not in _FITTED:
-        _FITTED[key] = fit_models(_feats(spark, sf_dir))
-    return _FITTED[key]
+OLS_METRICS = """round_even(1 - sum((y - p) ^ 2) / sum((y - (SELECT avg(y) FROM pred)) ^ 2), 5) AS r2,
+      round_even(sqrt(avg((y - p) ^ 2)), 2) AS rmse, round_even(avg(abs(y - p)), 2) AS mae"""
 
 
-@register("reg_compare")
+@register("reg_linear_metrics", with_clean(FEATS_SQL + _gauss_sql() + f"""
+    SELECT round_even((SELECT b0 FROM fit), 5) AS intercept,
+      {", ".join(f"round_even((SELECT b{i + 1} FROM fit), 5) AS {c}" for i, c in enumerate(OLS_COLUMNS))}, {OLS_METRICS} FROM pred"""))
+def q_reg_linear_metrics(spark, sf_dir):
+    """ML-2/3/6: OLS of log salary on all six features (train: seq % 10 < 8)."""
+    from hirelens.ml.regress import ols
+    m = ols(_feats(spark, sf_dir))
+    return m.select(*[F.bround(c, 5).alias(c) for c in ["intercept", *OLS_COLUMNS, "r2"]], F.bround("rmse", 2).alias("rmse"), F.bround("mae", 2).alias("mae"))
+
+
+@register("reg_compare", with_clean(FEATS_SQL + _gauss_sql() + f""",
+    n AS (SELECT count(*) FILTER (WHERE seq % 10 < 8) AS n_train, count(*) FILTER (WHERE seq % 10 >= 8) AS n_test FROM feats),
+    o AS (SELECT {OLS_METRICS} FROM pred)
+    SELECT m AS model, n_train, n_test, CASE WHEN m = 'LinearRegression' THEN r2 END AS linear_r2,
+      CASE WHEN m = 'LinearRegression' THEN rmse END AS linear_rmse, 5 AS cv_folds, 1 AS n_best, true AS best_has_max_r2,
+      true AS metrics_finite
+    FROM (VALUES ('LinearRegression'), ('RandomForest'), ('GBT')) t(m), n, o"""))
 def q_reg_compare(spark, sf_dir):
-    """ML-4..ML-6: three models, test metrics and 5-fold CV R2 (rows-only check)."""
+    """ML-4..ML-6, TOP-3: three models with test metrics and 5-fold CV R2.
+    What does not depend on a tree learner is compared: split sizes, folds,
+    the linear model's metrics, and one best model, that of the largest R2."""
     from hirelens.ml.regress import compare_models
-    return compare_models(spark, None, with_cv=True, fitted_bundle=_fitted(spark, sf_dir))[0]
-
-
-@register("reg_importance")
+    comp = compare_models(spark, _feats(spark, sf_dir))
+    lin = F.col("model") == "LinearRegression"
+    top = Window.partitionBy(F.lit(0))  # three rows
+    finite = F.abs("r2") + F.abs("rmse") + F.abs("mae") + F.abs("cv_r2")
+    return comp.select(
+        "model", "n_train", "n_test", F.when(lin, F.bround("r2", 5)).alias("linear_r2"), F.when(lin, F.bround("rmse", 2)).alias("linear_rmse"),
+        "cv_folds", F.sum(F.col("best").cast("int")).over(top).cast("int").alias("n_best"),
+        (F.max(F.when(F.col("best"), F.col("r2"))).over(top) == F.max("r2").over(top)).alias("best_has_max_r2"),
+        (finite < float("inf")).alias("metrics_finite"))
+
+
+@register("reg_importance", """
+    SELECT model, 6 AS n_features, 1.0::DOUBLE AS total, true AS none_negative FROM (VALUES ('RandomForest'), ('GBT')) t(model)""")
 def q_reg_importance(spark, sf_dir):
-    """ML-7: tree feature importances, sorted (rows-only check)."""
-    from hirelens.ml.features import FEATURES
-    _ests, fitted, _train, _test = _fitted(spark, sf_dir)
-    rows = [(name, f, float(v)) for name in ("RandomForest", "GBT")
-            for f, v in zip(FEATURES, fitted[name].featureImportances.toArray())]
-    return spark.createDataFrame(rows, "model string, feature string, importance double").orderBy(
-        "model", F.desc("importance"))
+    """ML-7: tree feature importances: six of each model, none negative, their
+    sum one."""
+    from hirelens.ml.regress import importances
+    imp = importances(spark, _feats(spark, sf_dir))
+    return imp.groupBy("model").agg(F.count(F.lit(1)).cast("int").alias("n_features"), F.bround(F.sum("importance"), 6).alias("total"),
+                                    (F.min("importance") >= 0).alias("none_negative"))
 
 
 TFIDF_SQL = f""",
@@ -105,8 +131,7 @@ grams AS (SELECT seq, unnest(t) AS term FROM toks
 tf AS (SELECT seq, term, count(*) AS tf FROM grams GROUP BY seq, term),
 nd AS (SELECT count(*) AS n FROM docs),
 v AS (SELECT term, count(*) AS df, sum(tf) AS cf FROM tf GROUP BY term
-      HAVING count(*) >= {dims.TFIDF_MIN_DF} AND count(*) <= {dims.TFIDF_MAX_DF} * (SELECT n FROM nd)
-      ORDER BY cf DESC, term LIMIT {dims.TFIDF_MAX_FEATURES}),
+      HAVING count(*) >= {dims.TFIDF_MIN_DF} AND count(*) <= {dims.TFIDF_MAX_DF} * (SELECT n FROM nd)),
 vi AS (SELECT term, df, row_number() OVER (ORDER BY cf DESC, term) - 1 AS idx FROM v),
 w AS (SELECT tf.seq, tf.term, vi.idx, (1 + ln(tf.tf)) * (ln((1 + (SELECT n FROM nd)) / (1 + vi.df)) + 1) AS w
       FROM tf JOIN vi USING (term)),
@@ -119,9 +144,14 @@ def _weights(spark, sf_dir):
     return tfidf(skill_text(valid_salary(cleaned(spark, sf_dir))))
 
 
-@register("tfidf_terms", with_clean(TFIDF_SQL + "\nSELECT seq, term, round_even(weight, 6) AS weight FROM wn"))
+@register("tfidf_terms", with_clean(TFIDF_SQL + "\nSELECT seq, idx, round_even(weight, 6) AS weight FROM wn"))
 def q_tfidf_terms(spark, sf_dir):
-    return _weights(spark, sf_dir).select("seq", "term", F.bround("weight", 6).alias("weight"))
+    from hirelens.ml.tfidf import weight_rows
+    return weight_rows(_weights(spark, sf_dir)).select("seq", F.col("idx").cast("long").alias("idx"), F.bround("weight", 6).alias("weight"))
+
+
+def _width(weights) -> int:
+    return int(weights.agg(F.max(F.array_max("ii"))).first()[0] or 0) + 1
 
 
 @register("svd_gram", with_clean(TFIDF_SQL + """
@@ -129,27 +159,50 @@ def q_tfidf_terms(spark, sf_dir):
     FROM wn a JOIN wn b ON a.seq = b.seq AND a.idx <= b.idx GROUP BY a.idx, b.idx"""))
 def q_svd_gram(spark, sf_dir):
     from hirelens.ml.tfidf import gram
-    g = gram(_weights(spark, sf_dir))
+    from hirelens.session import materialize
+    w = materialize(_weights(spark, sf_dir), "tfidf-weights")
+    g = gram(w, _width(w))
     return g.select(F.col("i").cast("long").alias("i"), F.col("j").cast("long").alias("j"), F.bround("g", 6).alias("g"))
 
 
 def _svd_coords(spark, sf_dir):
+    """(coordinates, share of the variance that each component explains)"""
     from hirelens.ml.tfidf import gram, project, svd_components
     from hirelens.session import materialize
     # the weights feed the Gram aggregate and the projection: write them once
     w = materialize(_weights(spark, sf_dir), "tfidf-weights")
-    k = int(w.agg(F.max("idx")).first()[0] or 0) + 1
-    comps, _vals = svd_components(gram(w, dims.TFIDF_MAX_FEATURES).collect(), dims.TFIDF_MAX_FEATURES)
-    return project(w, comps[:dims.TFIDF_MAX_FEATURES]), k
+    k = _width(w)
+    comps, vals, shares = svd_components(gram(w, k).collect(), k)
+    return project(w, comps), vals, shares
 
 
-@register("svd_project")
+@register("svd_project", with_clean(TFIDF_SQL + """,
+    nn AS (SELECT (SELECT count(*) FROM docs) AS n_rows, (SELECT sum(weight * weight) FROM wn) AS total)
+    SELECT n_rows, round_even(total, 4) AS total_energy, true AS energy_matches, true AS shares_match, true AS ordered,
+      true AS uncorrelated FROM nn"""))
 def q_svd_project(spark, sf_dir):
-    """ML-9: 5-dim projection of the TF-IDF rows (signs are arbitrary: rows-only)."""
-    coords, _ = _svd_coords(spark, sf_dir)
+    """ML-9: the 5-dim projection, by what does not depend on signs: the energy
+    of each coordinate is its squared singular value, the shares that the
+    components explain come in order, and the coordinates are uncorrelated
+    about the origin."""
+    coords, vals, shares = _svd_coords(spark, sf_dir)
     cols = [c for c in coords.columns if c.startswith("skill_dim")]
+    total = float(vals[0] / shares[0])
     # documents without any vocabulary term sit at the origin
-    return _feats(spark, sf_dir).select("seq").join(coords, "seq", "left").fillna(0.0, subset=cols)
+    rows = _feats(spark, sf_dir).select("seq").join(coords, "seq", "left").fillna(0.0, subset=cols)
+    tol = 1e-6 * total
+    energy, ordered, flat = F.lit(True), F.lit(True), F.lit(True)
+    sums = {f"s_{a}_{b}": F.sum(F.col(a) * F.col(b)) for i, a in enumerate(cols) for b in cols[i:]}
+    one = rows.agg(F.count(F.lit(1)).alias("n_rows"), *[e.alias(n) for n, e in sums.items()])
+    for c, v in zip(cols, vals):
+        energy = energy & (F.abs(F.col(f"s_{c}_{c}") - float(v)) < tol)
+    for a, b in zip(cols, cols[1:]):
+        ordered = ordered & (F.col(f"s_{a}_{a}") >= F.col(f"s_{b}_{b}") - tol)
+        flat = flat & (F.abs(F.col(f"s_{a}_{b}")) < 1e-3 * total)
+    share = F.lit(bool(abs(sum(shares) - sum(vals) / total) < 1e-9 and all(0 <= x <= 1 for x in shares)))
+    return one.select("n_rows", F.lit(total).alias("t"), energy.alias("energy_matches"), share.alias("shares_match"),
+                      ordered.alias("ordered"), flat.alias("uncorrelated")).select(
+        "n_rows", F.bround("t", 4).alias("total_energy"), "energy_matches", "shares_match", "ordered", "uncorrelated")
 
 
 SCALE_SQL = """
@@ -212,22 +265,67 @@ def q_silhouette_fixed(spark, sf_dir):
     return s.select("vec_id", F.col("cluster").cast("long").alias("cluster"), F.bround("silhouette", 5).alias("silhouette"))
 
 
-@register("kmeans_scan")
-def q_kmeans_scan(spark, sf_dir):
-    """ML-11: K = 2..9 on standardized numeric + SVD skill features (rows-only)."""
+def _cluster_features(spark, sf_dir):
+    """(seq, features), written once: every fit reads it again."""
     from pyspark.ml.feature import VectorAssembler
-    from hirelens.ml.cluster import kmeans_scan
     from hirelens.ml.features import standardize
-    coords, _ = _svd_coords(spark, sf_dir)
+    from hirelens.session import materialize
+    coords, _vals, _shares = _svd_coords(spark, sf_dir)
     dims_cols = [c for c in coords.columns if c.startswith("skill_dim")]
     f = _feats(spark, sf_dir).join(coords, "seq", "left").fillna(0.0, subset=dims_cols)
     cols = ["salary_avg", "exp_avg", "education_enc"] + dims_cols
-    z = standardize(f, cols)
-    feats = VectorAssembler(inputCols=[f"{c}_z" for c in cols], outputCol="features").transform(z).select("seq", "features")
-    feats = feats.cache()
-    rows, _chosen = kmeans_scan(feats)
+    z = materialize(standardize(f, cols).select("seq", *[f"{c}_z" for c in cols]), "cluster-features")
+    return VectorAssembler(inputCols=[f"{c}_z" for c in cols], outputCol="features").transform(z).select("seq", "features").cache()
+
+
+@register("kmeans_scan", """
+    SELECT k::INTEGER AS k, true AS cost_positive, true AS silhouette_in_range, 1 AS n_chosen, true AS chosen_by_rule FROM range(2, 10) t(k)""")
+def q_kmeans_scan(spark, sf_dir):
+    """ML-11: K = 2..9 on standardized numeric + SVD skill features, ten starts
+    each; what the seeds leave free is not compared, the rule of the choice is."""
+    from hirelens.ml.cluster import kmeans_scan
+    feats = _cluster_features(spark, sf_dir)
+    rows, _chosen, _model = kmeans_scan(feats)
+    feats.unpersist()
+    scan = spark.createDataFrame(rows, "k int, inertia double, silhouette double, chosen boolean")
+    every = Window.partitionBy(F.lit(0))  # eight rows
+    best = F.max(F.when(F.col("k") >= 3, F.struct("silhouette", -F.col("k")))).over(every)
+    rule = F.when(F.max("silhouette").over(every) >= dims.SILHOUETTE_FLOOR, -best["col2"]).otherwise(dims.KMEANS_FALLBACK_K)
+    return scan.select("k", (F.col("inertia") > 0).alias("cost_positive"), F.col("silhouette").between(-1, 1).alias("silhouette_in_range"),
+                       F.sum(F.col("chosen").cast("int")).over(every).cast("int").alias("n_chosen"),
+                       (F.max(F.when(F.col("chosen"), F.col("k"))).over(every) == rule).alias("chosen_by_rule"))
+
+
+@register("cluster_final", with_clean(FEATS_SQL + """
+    SELECT count(*) AS n_rows, count(*) AS labelled, 0 AS bad_sizes, 0 AS unnamed, true AS percent_is_whole, true AS cost_matches FROM feats"""))
+def q_cluster_final(spark, sf_dir):
+    """ML-12 / ML-13 / SNK-10: the chosen K's best model labels every row; the
+    labelled rows are written and read back, and their clusters are profiled.
+    The sizes of the profiles, and the model's cost against the rows' distances
+    to their centres, are recomputed from the labels."""
+    from hirelens.ml.cluster import kmeans_scan
+    from hirelens.ml.features import valid_salary
+    from hirelens.ml.profile import cluster_profiles
+    from hirelens.session import materialize
+    feats = _cluster_features(spark, sf_dir)
+    _rows, _chosen, model = kmeans_scan(feats)
+    from pyspark.ml.functions import vector_to_array
+    centres = F.array(*[F.array(*[F.lit(float(x)) for x in c]) for c in model.clusterCenters()])
+    own = F.zip_with(vector_to_array("features"), F.element_at(centres, F.col("prediction") + 1), lambda a, b: (a - b) * (a - b))
+    labels = model.transform(feats).select("seq", F.col("prediction").alias("cluster"), F.aggregate(own, F.lit(0.0), lambda a, x: a + x).alias("d"))
+    rows = materialize(valid_salary(cleaned(spark, sf_dir)).join(labels, "seq", "left"), "clustered-rows")
+    cost = float(model.summary.trainingCost)
     feats.unpersist()
-    return spark.createDataFrame(rows, "k int, inertia double, silhouette double, chosen boolean")
+    sizes = rows.groupBy("cluster").agg(F.count(F.lit(1)).alias("n"))
+    prof = cluster_profiles(rows, "cluster")
+    checked = prof.join(sizes, "cluster", "full").agg(
+        F.count(F.when(~F.col("count").eqNullSafe(F.col("n")), 1)).alias("bad_sizes"),
+        F.count(F.when(F.col("cluster_name").isNull(), 1)).alias("unnamed"), (F.abs(F.sum("percentage") - 100) <= 1).alias("percent_is_whole"))
+    total = rows.agg(F.count(F.lit(1)).alias("n_rows"), F.count("cluster").alias("labelled"),
+                     (F.abs(F.sum("d") - cost) <= 1e-6 * cost).alias("cost_matches"))
+    return total.crossJoin(F.broadcast(checked)).select(  # one row each
+        "n_rows", "labelled", F.col("bad_sizes").cast("int").alias("bad_sizes"), F.col("unnamed").cast("int").alias("unnamed"),
+        "percent_is_whole", "cost_matches")
 
 
 def _segment_sql():

@@ -12,23 +12,40 @@ from hirelens.sources.fixtures import RAW_COLUMNS, RAW_POSTINGS_SQL
 
 # ------------------------------------------------------------------ validation
 VALIDATE_ORACLE = """
-    SELECT seq,
-      (CASE WHEN seq % 97 = 0 THEN 1 ELSE 0 END + CASE WHEN nk % 9 = 4 THEN 1 ELSE 0 END
-       + CASE WHEN seq % 23 = 0 THEN 1 ELSE 0 END + CASE WHEN ck % 8 = 6 THEN 1 ELSE 0 END
-       + CASE WHEN year(publish_date) < 2000 OR year(publish_date) > 2030 THEN 1 ELSE 0 END) AS n_issues,
-      concat_ws(',', CASE WHEN seq % 97 = 0 THEN 'title_empty' END, CASE WHEN nk % 9 = 4 THEN 'city_unknown' END,
-                CASE WHEN seq % 23 = 0 THEN 'date_format' END,
-                CASE WHEN year(publish_date) < 2000 OR year(publish_date) > 2030 THEN 'date_year' END,
-                CASE WHEN ck % 8 = 6 THEN 'education_domain' END)
-        AS issue_codes
-    FROM parsed"""
+    SELECT seq, CAST(len(issues) AS INTEGER) AS n_issues,
+      array_to_string(list_transform(issues, lambda x: x[1]), ',') AS issue_codes,
+      array_to_string(list_transform(issues, lambda x: x[2]), '; ') AS issue_details
+    FROM (SELECT seq, list_filter([
+        CASE WHEN seq % 97 = 0 THEN ['title_empty', 'no title'] END,
+        CASE WHEN smin > smax THEN ['salary_min_gt_max', 'minimum ' || CAST(smin AS VARCHAR) || ' above maximum ' || CAST(smax AS VARCHAR)] END,
+        CASE WHEN smin <= 0 AND smax IS NOT NULL THEN ['salary_min_nonpositive', 'minimum not positive: ' || CAST(smin AS VARCHAR)] END,
+        CASE WHEN smax > 1000000 AND smin IS NOT NULL THEN ['salary_too_high', 'maximum too high: ' || CAST(smax AS VARCHAR)] END,
+        CASE WHEN city = '珠海' THEN ['city_unknown', 'city not known: 珠海'] END,
+        CASE WHEN seq % 23 = 0 THEN ['date_format', 'not a date: bad-date'] END,
+        CASE WHEN year(publish_date) < 2000 OR year(publish_date) > 2030
+             THEN ['date_year', 'year out of range: ' || strftime(publish_date, '%Y-%m-%d')] END,
+        CASE WHEN ck % 8 = 6 THEN ['education_domain', 'education not known: MBA'] END,
+        CASE WHEN seq % 43 = 4 THEN ['url_empty', 'no url'] END], lambda x: x IS NOT NULL) AS issues
+      FROM (SELECT *, CASE WHEN seq % 31 = 1 THEN salary_max + 1 WHEN seq % 37 = 2 THEN 0.0 ELSE salary_min END AS smin,
+              CASE WHEN seq % 41 = 3 THEN 12000000.0 ELSE salary_max END AS smax FROM parsed))"""
+
+
+def _flawed(spark, sf_dir):
+    """The parsed postings with the flaws that the raw texts never have; the
+    numbers arrive as text, as from a file."""
+    from hirelens.operators.quality import parsed_postings
+    p = parsed_postings(raw(spark, sf_dir))
+    low = F.when(F.col("seq") % 31 == 1, F.col("salary_max") + 1).when(F.col("seq") % 37 == 2, F.lit(0.0)).otherwise(F.col("salary_min"))
+    high = F.when(F.col("seq") % 41 == 3, F.lit(12000000.0)).otherwise(F.col("salary_max"))
+    return p.withColumns({"salary_min": low.cast("string"), "salary_max": high.cast("string"),
+                          "job_url": F.when(F.col("seq") % 43 == 4, F.lit("")).otherwise(F.col("job_url"))})
 
 
 @register("validate_rows", with_parsed(VALIDATE_ORACLE))
 def q_validate_rows(spark, sf_dir):
-    from hirelens.operators.quality import parsed_postings, validate
-    v = validate(parsed_postings(raw(spark, sf_dir)))
-    return v.select("seq", F.col("n_issues").cast("int").alias("n_issues"), "issue_codes")
+    from hirelens.operators.quality import validate
+    v = validate(_flawed(spark, sf_dir))
+    return v.select("seq", F.col("n_issues").cast("int").alias("n_issues"), "issue_codes", "issue_details")
 
 
 @register("validate_summary", with_parsed(f""", v AS ({VALIDATE_ORACLE})
@@ -38,8 +55,8 @@ def q_validate_rows(spark, sf_dir):
     UNION ALL SELECT '_clean', count(*) FILTER (WHERE n_issues = 0) FROM v
     UNION ALL SELECT '_issues', count(*) FILTER (WHERE n_issues > 0) FROM v"""))
 def q_validate_summary(spark, sf_dir):
-    from hirelens.operators.quality import parsed_postings, validate, validation_summary
-    return validation_summary(validate(parsed_postings(raw(spark, sf_dir))))
+    from hirelens.operators.quality import validate, validation_summary
+    return validation_summary(validate(_flawed(spark, sf_dir)))
 
 
 # --------------------------------------------------- swap, reparse, outliers
@@ -70,8 +87,8 @@ SWAP_BASE_SQL = """
 def q_swap_and_outliers(spark, sf_dir):
     from hirelens.operators.clean import clean_salary, remove_outliers
     from hirelens.session import table
-    table(spark, sf_dir, "lineitem").createOrReplaceTempView("lineitem")
-    base = spark.sql(SWAP_BASE_SQL).withColumn(
+    sql = SWAP_BASE_SQL.replace("FROM lineitem", "FROM {lineitem}")
+    base = spark.sql(sql, lineitem=table(spark, sf_dir, "lineitem")).withColumn(
         "salary_avg", F.bround((F.col("salary_min") + F.col("salary_max")) / 2, 0))
     out = remove_outliers(clean_salary(base))
     return out.select("l_orderkey", "l_linenumber", *[F.bround(c, 2).alias(c) for c in
@@ -145,44 +162,56 @@ def q_detail_enrich(spark, sf_dir):
     todo AS (SELECT r.*, seq // {dims.PAGE_SIZE} AS page FROM r
              WHERE keyword <> '数据分析' AND seq // {dims.PAGE_SIZE} > 2
                AND ({" OR ".join(f"contains(coalesce(city, ''), '{c}')" for c in dims.TARGET_CITIES)})
-               AND job_url NOT IN (SELECT job_url FROM stored)),
-    ranked AS (SELECT *, row_number() OVER (PARTITION BY keyword ORDER BY page, seq) AS rn FROM todo)
-    SELECT seq, keyword, page, job_url FROM ranked WHERE rn <= {dims.JOBS_PER_KEYWORD}""")
+               AND job_url NOT IN (SELECT job_url FROM stored))
+    SELECT seq, keyword, page, job_url FROM todo""")
 def q_resume_anti(spark, sf_dir):
-    from hirelens.operators.joins import contains_any, first_n_per_group, skip_done
+    from hirelens.operators.joins import contains_any, skip_done
     r = raw(spark, sf_dir).withColumn("page", F.floor(F.col("seq") / dims.PAGE_SIZE).cast("long"))
     done_keywords = spark.createDataFrame([("数据分析",)], "keyword string")   # finished keyword set
     stored = r.where(F.col("seq") % 3 == 0).select("job_url")               # URLs of a previous run
     todo = skip_done(r, done_keywords, "keyword", bounded=True).where(F.col("page") > 2)  # resume after page 2
     todo = todo.where(contains_any("city", dims.TARGET_CITIES))
     todo = skip_done(todo, stored, "job_url")
-    out = first_n_per_group(todo, "keyword", [F.col("page"), F.col("seq")], dims.JOBS_PER_KEYWORD)
-    return out.select("seq", "keyword", "page", "job_url")
+    return todo.select("seq", "keyword", "page", "job_url")
+
+
+@register("keyword_first_n", f"""
+    WITH r AS ({RAW_POSTINGS_SQL}),
+    ranked AS (SELECT *, row_number() OVER (PARTITION BY keyword ORDER BY seq) AS rn FROM r)
+    SELECT 20 AS n, seq, keyword FROM ranked WHERE rn <= 20
+    UNION ALL SELECT 800, seq, keyword FROM ranked WHERE rn <= 800
+    UNION ALL SELECT 0, seq, keyword FROM ranked""")
+def q_keyword_first_n(spark, sf_dir):
+    """WIN-7: the first postings of each keyword, for two limits and none (0)."""
+    from hirelens.operators.joins import first_n_per_group
+    r = raw(spark, sf_dir).select("seq", "keyword")
+    parts = [first_n_per_group(r, "keyword", [F.col("seq")], n or None).select(F.lit(n).alias("n"), "seq", "keyword") for n in (20, 800, 0)]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
 
 @register("skill_bridge", with_clean("""
     SELECT seq AS job_id, trim(t) AS skill_name
     FROM clean, unnest(string_split(skill_tags, ',')) AS u(t)
-    WHERE skill_tags IS NOT NULL AND trim(t) <> '' AND city_tier = '一线'"""))
+    WHERE skill_tags IS NOT NULL AND trim(t) <> '' AND seq % 5 <> 0"""))
 def q_skill_bridge(spark, sf_dir):
     from hirelens.operators.joins import skill_bridge
     c = cleaned(spark, sf_dir)
     bridge = skill_bridge(c)
-    # FK integrity: keep bridge rows whose job exists in the filtered posting set
-    jobs = c.where(F.col("city_tier") == "一线").select(F.col("seq").alias("job_id"))
+    # FK integrity: bridge rows of postings that are missing from the job table go
+    jobs = c.where(F.col("seq") % 5 != 0).select(F.col("seq").alias("job_id"))
     return bridge.join(jobs, "job_id", "left_semi")
 
 
 UPSERT_BATCHES = """
   b AS (SELECT seq, job_url, 1 AS batch, salary_avg FROM parsed WHERE seq % 3 <> 0
-        UNION ALL SELECT seq, job_url, 2 AS batch, salary_avg + 1000 FROM parsed WHERE seq % 2 = 0)"""
+        UNION ALL SELECT seq, job_url, 2 AS batch, salary_avg + 1000 FROM parsed WHERE seq % 2 = 0 OR seq % 3 = 0)"""
 
 
 def _batches(spark, sf_dir):
     from hirelens.functions.salary import with_salary
     p = with_salary(raw(spark, sf_dir)).select("seq", "job_url", "salary_avg")
     b1 = p.where(F.col("seq") % 3 != 0).withColumn("_batch", F.lit(1))
-    b2 = (p.where(F.col("seq") % 2 == 0).withColumn("_batch", F.lit(2))
+    b2 = (p.where((F.col("seq") % 2 == 0) | (F.col("seq") % 3 == 0)).withColumn("_batch", F.lit(2))
            .withColumn("salary_avg", F.col("salary_avg") + 1000))
     return b1, b2
 

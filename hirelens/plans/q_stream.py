@@ -6,27 +6,40 @@ from __future__ import annotations
 from hirelens import dims
 from hirelens.plans.catalog import raw, register
 from hirelens.plans.q_crawl import STREAK_ORACLE
-from hirelens.session import table
+from hirelens.session import table, unique_dir
 from hirelens.sources.fixtures import RAW_POSTINGS_SQL
 
+FILES = 4   # of a drop, and so of a micro-batch
+DROPS = 4
+
+
+def _dropped(df, by):
+    """(folder of drops, schema, work folder, files a trigger): ``df`` as
+    successive file drops."""
+    from hirelens.streaming.jobs import stage_slices
+    base = unique_dir(df.sparkSession, "stream")
+    stage_slices(df, by, DROPS, f"{base}/drops", FILES)
+    return f"{base}/drops", df.schema, f"{base}/work", FILES
+
 
 @register("stream_dedup", f"WITH r AS ({RAW_POSTINGS_SQL}) SELECT DISTINCT job_url FROM r")
 def q_stream_dedup(spark, sf_dir):
     from hirelens.streaming.jobs import stream_dedup
-    return stream_dedup(spark, raw(spark, sf_dir)).select("job_url")
+    return stream_dedup(spark, *_dropped(raw(spark, sf_dir), "seq")).select("job_url")
 
 
 @register("stream_weekly", """
     SELECT CAST(date_trunc('week', ts) AS DATE) AS week_start, count(*) AS count FROM events GROUP BY 1""")
 def q_stream_weekly(spark, sf_dir):
     from hirelens.streaming.jobs import stream_weekly
-    return stream_weekly(spark, table(spark, sf_dir, "events"))
+    return stream_weekly(spark, *_dropped(table(spark, sf_dir, "events"), "ts"))
 
 
 @register("stream_breaker", STREAK_ORACLE)
 def q_stream_breaker(spark, sf_dir):
     from hirelens.streaming.jobs import stream_breaker
-    return stream_breaker(spark, table(spark, sf_dir, "events"))
+    events = table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type")
+    return stream_breaker(spark, *_dropped(events, "ts"))
 
 
 @register("stream_upsert", f"""
@@ -35,14 +48,19 @@ def q_stream_breaker(spark, sf_dir):
     WHERE rn = 1""")
 def q_stream_upsert(spark, sf_dir):
     from hirelens.streaming.jobs import stream_upsert
-    return stream_upsert(spark, raw(spark, sf_dir).select("seq", "job_url", "salary_text")).select("job_url", "seq")
+    postings = raw(spark, sf_dir).select("seq", "job_url", "salary_text")
+    return stream_upsert(spark, *_dropped(postings, "seq")).select("job_url", "seq")
+
+
+IN_CITY = " OR ".join(f"contains(coalesce(city, ''), '{c}')" for c in dims.TARGET_CITIES)
 
 
 @register("stream_funnel", f"""
-    WITH r AS ({RAW_POSTINGS_SQL})
-    SELECT seq // {dims.PAGE_SIZE} AS page, count(*) AS fetched,
-      count(*) FILTER (WHERE {" OR ".join(f"contains(coalesce(city, ''), '{c}')" for c in dims.TARGET_CITIES)}) AS in_city
-    FROM r GROUP BY 1""")
+    WITH r AS (SELECT *, ({IN_CITY}) AS inside FROM ({RAW_POSTINGS_SQL})),
+    f AS (SELECT min(seq) // {dims.PAGE_SIZE} AS page FROM r WHERE inside GROUP BY job_url),
+    n AS (SELECT page, count(*) AS new FROM f GROUP BY page),
+    p AS (SELECT seq // {dims.PAGE_SIZE} AS page, count(*) AS fetched, count(*) FILTER (WHERE inside) AS in_city FROM r GROUP BY 1)
+    SELECT p.page, fetched, in_city, coalesce(new, 0) AS new FROM p LEFT JOIN n ON p.page = n.page""")
 def q_stream_funnel(spark, sf_dir):
     from hirelens.streaming.jobs import stream_funnel
-    return stream_funnel(spark, raw(spark, sf_dir), dims.PAGE_SIZE, dims.TARGET_CITIES)
+    return stream_funnel(spark, *_dropped(raw(spark, sf_dir).select("seq", "city", "job_url"), "seq"), dims.PAGE_SIZE, dims.TARGET_CITIES)

@@ -14,26 +14,57 @@ TABLES = [
 ]
 
 
+def _given_settings() -> dict[str, str]:
+    """What is set before a session exists: by ``spark-submit`` (its JVM runs
+    already), else by ``PYSPARK_SUBMIT_ARGS`` and ``spark-defaults.conf``, which
+    are read here because the JVM's memory is fixed when it starts."""
+    import shlex
+
+    from pyspark import SparkConf, SparkContext
+    if "PYSPARK_GATEWAY_PORT" in os.environ:
+        SparkContext._ensure_initialized()
+        return dict(SparkConf().getAll())
+    out = {}
+    home = os.environ.get("SPARK_CONF_DIR") or os.path.join(os.environ.get("SPARK_HOME", ""), "conf")
+    defaults = os.path.join(home, "spark-defaults.conf")
+    if os.path.isfile(defaults):
+        with open(defaults, encoding="utf-8") as f:
+            pairs = [line.split(None, 1) for line in f if line.strip() and not line.lstrip().startswith("#")]
+        out.update({p[0]: p[1].strip() for p in pairs if len(p) == 2})
+    words = shlex.split(os.environ.get("PYSPARK_SUBMIT_ARGS", ""))
+    for name, value in zip(words, words[1:]):
+        if name == "--conf" and "=" in value:
+            out.update([value.split("=", 1)])
+        elif name in ("--master", "--driver-memory"):
+            out["spark." + name[2:].replace("-", ".")] = value
+    return out
+
+
 def get_spark(master: str | None = None, app: str = "hirelens",
               shuffle_partitions: int | None = None) -> SparkSession:
-    """Session tuned for this workload.
-
-    On a cluster the master, memory and shuffle width come from
-    ``spark-submit``; the settings here only fill in what is unset.
-    """
+    """The session of a program. Settings that ``spark-submit`` or the
+    environment gave win; only what is unset gets a value here, and without a
+    submitted master the session runs on ``local[$BENCH_CPUS]``."""
+    given = _given_settings()
+    active = SparkSession.getActiveSession()
     cpus = os.environ.get("BENCH_CPUS", "8")
     b = SparkSession.builder.appName(app)
-    if master or not os.environ.get("SPARK_MASTER"):
-        b = b.master(master or f"local[{cpus}]")
-    parts = shuffle_partitions or int(cpus)
-    b = (b.config("spark.sql.shuffle.partitions", str(parts))
-         .config("spark.sql.adaptive.enabled", "true")
-         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
-         .config("spark.sql.adaptive.skewJoin.enabled", "true")
-         .config("spark.sql.session.timeZone", "UTC")
-         .config("spark.ui.enabled", "false")
-         .config("spark.driver.memory", "16g")
-         .config("spark.sql.execution.arrow.pyspark.enabled", "true"))
+    local = given.get("spark.master", "local").startswith("local")
+    wanted = {
+        "spark.master": master or os.environ.get("SPARK_MASTER") or f"local[{cpus}]",
+        "spark.sql.shuffle.partitions": str(shuffle_partitions or cpus) if local else None,
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.session.timeZone": "UTC",
+        "spark.ui.enabled": "false",
+        "spark.driver.memory": "16g" if local else None,
+        "spark.sql.execution.arrow.pyspark.enabled": "true",
+    }
+    if active is None:
+        for key, value in wanted.items():
+            if value is not None and key not in given:
+                b = b.config(key, value)
     spark = b.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return spark
@@ -45,8 +76,9 @@ _LOCAL_BASE: str | None = None
 def shared_base(spark: SparkSession) -> str:
     """The cluster's shared folder named by ``spark.checkpoint.dir``.
 
-    Only when that setting is absent (local tests) is a scratch folder made,
-    once per process, and installed as the checkpoint directory.
+    Only on a local master without that setting (tests) is a scratch folder
+    made, once per process, and installed as the checkpoint directory; on a
+    cluster a folder of one machine would lose data, so there it is an error.
     """
     global _LOCAL_BASE
     sc = spark.sparkContext
@@ -55,6 +87,8 @@ def shared_base(spark: SparkSession) -> str:
         if not sc.getCheckpointDir():
             sc.setCheckpointDir(base)
         return base
+    if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     if _LOCAL_BASE is None:
         _LOCAL_BASE = tempfile.mkdtemp(prefix="hirelens-ckpt-")
     if not sc.getCheckpointDir():
@@ -73,17 +107,6 @@ def unique_dir(spark: SparkSession, prefix: str) -> str:
     return shared_dir(spark, f"{prefix}-{uuid.uuid4().hex[:12]}")
 
 
-def load_tables(spark: SparkSession, sf_dir: str, names=None) -> dict:
-    """Register the driver tables as temp views and return them."""
-    out = {}
-    for t in names or TABLES:
-        path = f"{sf_dir.rstrip('/')}/{t}.parquet"
-        df = spark.read.parquet(path)
-        df.createOrReplaceTempView(t)
-        out[t] = df
-    return out
-
-
 def table(spark: SparkSession, sf_dir: str, name: str):
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
@@ -102,3 +125,11 @@ def materialize(df, name: str):
     path = unique_dir(spark, name)
     df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
+
+
+def checked_broadcast(df, most_rows: int = 100_000):
+    """``df`` marked for broadcast if it has at most ``most_rows`` rows, else
+    as it is, so that Spark picks a join with shuffles."""
+    from pyspark.sql import functions as F
+    few = df.limit(most_rows + 1).count() <= most_rows
+    return F.broadcast(df) if few else df

@@ -6,6 +6,7 @@ folder under the shared checkpoint directory.
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -18,16 +19,20 @@ JSON_EXPORT_COLUMNS = [
 
 
 def write_csv(df: DataFrame, path: str, fieldnames=None, append: bool = False) -> None:
-    """SNK-1: header CSV; only ``fieldnames`` (extra columns ignored)."""
+    """SNK-1: header CSV as Python's csv module writes it (quotes doubled
+    inside a quoted field, line feeds kept); only ``fieldnames`` (extra
+    columns ignored)."""
     cols = [c for c in (fieldnames or df.columns) if c in df.columns]
-    df.select(*cols).write.mode("append" if append else "overwrite").option("header", True).csv(path)
+    df.select(*cols).write.mode("append" if append else "overwrite").option("header", True).option("escape", '"').csv(path)
 
 
 def read_csv(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
     """SRC-1 / SRC-2: header CSV with a declared schema (a UTF-8 BOM is
-    stripped by the reader); numeric columns that fail to parse become null."""
+    stripped by the reader); fields may hold doubled quotes and line feeds;
+    numeric columns that fail to parse become null. A file with quoted line
+    feeds can't be split, so a folder is read a file per task."""
     return (spark.read.schema(schema).option("header", True).option("mode", "PERMISSIVE")
-            .option("encoding", "UTF-8").csv(path))
+            .option("quote", '"').option("escape", '"').option("multiLine", True).option("encoding", "UTF-8").csv(path))
 
 
 def write_json_records(df: DataFrame, path: str, columns=None) -> None:
@@ -41,19 +46,20 @@ def read_json(spark: SparkSession, path: str, schema: StructType, multiline: boo
     return spark.read.schema(schema).option("multiLine", multiline).json(path)
 
 
-def write_result_document(df: DataFrame, path: str, name: str) -> None:
-    """SNK-9: one named analysis result as a single JSON document
-    ``{"name": ..., "rows": [...]}``; meant for small, already-aggregated results."""
-    doc = df.agg(F.collect_list(F.struct(*df.columns)).alias("rows")).select(
-        F.lit(name).alias("name"), "rows")
-    doc.coalesce(1).write.mode("overwrite").json(path)
+def write_result_documents(results: dict[str, DataFrame], path: str) -> None:
+    """SNK-9: named analysis results merged into one folder of JSON lines,
+    ``{"name": ..., "row": {...}}`` with the row's place: however many rows a
+    result has, none is gathered into one cell or task."""
+    for i, (name, df) in enumerate(results.items()):
+        row = F.to_json(F.struct(*df.columns), {"ignoreNullFields": "false"})
+        df.select(F.lit(name).alias("name"), row.alias("row")).write.mode("overwrite" if i == 0 else "append").json(path)
 
 
-def count_rows(df: DataFrame) -> int:
-    """SRC-10."""
-    return df.count()
-
-
-def field_names(df: DataFrame) -> list[str]:
-    """SRC-10."""
-    return list(df.columns)
+def read_result_documents(spark: SparkSession, path: str) -> DataFrame:
+    """(name, row) of merged results; a missing folder gives no rows."""
+    try:
+        return spark.read.schema("name string, row string").json(path)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], "name string, row string")

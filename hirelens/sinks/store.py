@@ -13,26 +13,14 @@ from pyspark.sql import functions as F
 from hirelens.operators.clean import first_per_key
 from hirelens.session import unique_dir
 
-# Column whitelist of the stored posting table (PRJ-8).
-TABLE_COLUMNS = [
-    "job_title", "job_url", "keyword", "salary_text", "salary_min", "salary_max", "salary_avg",
-    "city", "district", "city_tier", "education", "experience", "exp_min", "exp_max",
-    "company_name", "company_size", "industry", "skill_tags", "publish_date",
-]
-
-
-def whitelist(df: DataFrame, wanted=None) -> DataFrame:
-    """PRJ-8: keep only known columns that are present."""
-    wanted = wanted or TABLE_COLUMNS
-    return df.select(*[c for c in wanted if c in df.columns])
-
-
 def upsert(current: DataFrame | None, batch: DataFrame, key: str, order_cols=("_batch", "seq")) -> DataFrame:
     """SNK-5 / SNK-8 / WIN-8: last write wins per key (largest batch, then
-    largest seq inside a batch)."""
+    largest seq inside a batch; the pair is unique within a key). The pair is
+    compared as one number."""
     frames = batch if current is None else current.unionByName(batch, allowMissingColumns=True)
-    packed_order = F.struct(*[F.col(c) for c in order_cols])
-    tmp = frames.withColumn("_ord", packed_order)
+    major, minor = F.col(order_cols[0]).cast("decimal(18,0)"), F.col(order_cols[1]).cast("decimal(19,0)")
+    step = F.lit("10000000000000000000").cast("decimal(20,0)")  # over any long
+    tmp = frames.withColumn("_ord", (major * step + minor).cast("decimal(38,0)"))
     return first_per_key(tmp, [key], "_ord", keep="last").drop("_ord")
 
 
@@ -55,7 +43,3 @@ def write_version(spark: SparkSession, df: DataFrame, name: str, partition_by=No
     w.parquet(path)
     return path
 
-
-def truncate(spark: SparkSession, schema) -> DataFrame:
-    """SNK-6: an empty version with the same schema."""
-    return spark.createDataFrame([], schema)

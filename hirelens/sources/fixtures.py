@@ -47,8 +47,9 @@ RAW_COLUMNS = [
 
 
 def raw_postings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Scan orders + customer and derive the raw posting rows."""
+    """Scan orders + customer and derive the raw posting rows. The tables are
+    bound to this one statement; no view of the caller is touched."""
     base = sf_dir.rstrip("/")
-    spark.read.parquet(f"{base}/orders.parquet").createOrReplaceTempView("orders")
-    spark.read.parquet(f"{base}/customer.parquet").createOrReplaceTempView("customer")
-    return spark.sql(RAW_POSTINGS_SQL)
+    sql = RAW_POSTINGS_SQL.replace("FROM orders o JOIN customer c", "FROM {orders} o JOIN {customer} c")
+    return spark.sql(sql, orders=spark.read.parquet(f"{base}/orders.parquet"),
+                     customer=spark.read.parquet(f"{base}/customer.parquet"))
