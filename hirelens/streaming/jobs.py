@@ -13,13 +13,12 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-from hirelens.session import unique_dir
-
 
 def use_rocksdb_state(spark: SparkSession) -> None:
     """Keep large keyed state (all seen URLs) off the JVM heap."""
@@ -27,30 +26,22 @@ def use_rocksdb_state(spark: SparkSession) -> None:
                    "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
 
 
-def stage_slices(df: DataFrame, slice_col: str, n_slices: int, name: str, cluster_col: str | None = None) -> str:
-    """Write ``df`` as ``n_slices`` successive file drops (one write per
-    slice, in ``slice_col`` order), the way a crawler drops pages into a
-    folder. Inside a slice rows are hash-clustered by ``cluster_col`` so a
-    key's rows of one slice sit in one file."""
-    spark = df.sparkSession
-    path = unique_dir(spark, name)
-    lo, hi = df.agg(F.min(slice_col), F.max(slice_col)).first()
-    if lo is None:
-        df.limit(0).write.parquet(path)
-        return path
-    span = (hi - lo) / n_slices if hi > lo else 1
-    for i in range(n_slices):
-        a = lo + span * i
-        cond = (F.col(slice_col) >= a) & ((F.col(slice_col) < lo + span * (i + 1)) if i < n_slices - 1 else F.lit(True))
-        part = df.where(cond)
-        if cluster_col:
-            part = part.repartition(cluster_col)
-        part.write.mode("append").parquet(path)
-    return path
-
-
-def _files_per_slice(spark: SparkSession) -> int:
-    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+def stage_slices(df: DataFrame, slice_col: str, n_slices: int, path: str, files_per_drop: int = 4,
+                 only: range | None = None) -> None:
+    """Write ``df`` to ``path`` as ``n_slices`` successive drops of
+    ``files_per_drop`` files each, in the order of ``slice_col`` (a number or a
+    time), the way a crawler drops pages into a folder. Rows with a null
+    ``slice_col`` come with the last drop. ``only``: the drops to write now."""
+    key = F.col(slice_col)
+    if df.schema[slice_col].dataType.simpleString().startswith("timestamp"):
+        key = key.cast("timestamp")
+    key = key.cast("double")
+    lo, hi = df.agg(F.min(key), F.max(key)).first()
+    span = (hi - lo) / n_slices if lo is not None and hi > lo else 1
+    place = F.least(F.lit(n_slices - 1), F.floor((key - F.lit(lo)) / F.lit(span))) if lo is not None else F.lit(None)
+    numbered = df.withColumn("_drop", F.coalesce(place.cast("int"), F.lit(n_slices - 1)))
+    for i in only if only is not None else range(n_slices):
+        numbered.where(F.col("_drop") == i).drop("_drop").repartition(files_per_drop).write.mode("append").parquet(path)
 
 
 def read_stream(spark: SparkSession, path: str, schema, files_per_trigger: int | None = None) -> DataFrame:
@@ -60,12 +51,11 @@ def read_stream(spark: SparkSession, path: str, schema, files_per_trigger: int |
     return r.load(path)
 
 
-def run_to_parquet(df: DataFrame, mode: str, name: str) -> str:
-    """Drain a streaming frame into a Parquet folder with a checkpoint; for
-    complete/update modes each batch replaces/extends a versioned folder."""
-    spark = df.sparkSession
-    out = unique_dir(spark, f"{name}-out")
-    ckpt = unique_dir(spark, f"{name}-ckpt")
+def run_to_parquet(df: DataFrame, mode: str, work: str) -> str:
+    """Drain a streaming frame into ``work``/out with its position and state in
+    ``work``/checkpoint: called again with the same ``work``, it goes on where
+    it ended. In update mode each batch writes a folder of its own."""
+    out, ckpt = f"{work}/out", f"{work}/checkpoint"
     if mode == "append":
         q = (df.writeStream.format("parquet").option("path", out).option("checkpointLocation", ckpt)
                .outputMode("append").trigger(availableNow=True).start())
@@ -79,114 +69,132 @@ def run_to_parquet(df: DataFrame, mode: str, name: str) -> str:
     return out
 
 
+def latest_rows(spark: SparkSession, out: str, keys: list[str]) -> DataFrame:
+    """The last emitted row of each key of an update-mode output."""
+    from hirelens.operators.clean import first_per_key
+    return first_per_key(spark.read.parquet(out), keys, "batch", keep="last").drop("batch")
+
+
 # ----------------------------------------------------------- STM-1 / STM-2
-def stream_dedup(spark: SparkSession, postings: DataFrame) -> DataFrame:
+def stream_dedup(spark: SparkSession, drops: str, schema, work: str, files_per_trigger: int) -> DataFrame:
     """Process each URL once across all file drops (exact: state keeps every
     URL of the run; ``dropDuplicatesWithinWatermark`` is the bounded variant
     when a publish-time horizon is acceptable)."""
     use_rocksdb_state(spark)
-    src = stage_slices(postings, "seq", 4, "postings-drop")
-    s = read_stream(spark, src, postings.schema, _files_per_slice(spark))
-    out = run_to_parquet(s.dropDuplicates(["job_url"]), "append", "stream-dedup")
-    return spark.read.parquet(out)
+    s = read_stream(spark, drops, schema, files_per_trigger)
+    return spark.read.parquet(run_to_parquet(s.dropDuplicates(["job_url"]), "append", work))
 
 
 # ------------------------------------------------------------------ STM-3
-def stream_weekly(spark: SparkSession, events: DataFrame) -> DataFrame:
+def stream_weekly(spark: SparkSession, drops: str, schema, work: str, files_per_trigger: int,
+                  delay: str = "1 day") -> DataFrame:
     """Monday-based weekly counts: 7-day tumbling windows shifted by 4 days
-    (the epoch was a Thursday), event time with a watermark."""
-    src = stage_slices(events, "event_id", 4, "events-drop")
-    s = read_stream(spark, src, events.schema, _files_per_slice(spark))
-    s = s.withColumn("ets", F.col("ts").cast("timestamp")).withWatermark("ets", "1 day")
+    (the epoch was a Thursday). A window's state goes once event time has
+    passed its end by ``delay``; rows that come later than that are dropped."""
+    s = read_stream(spark, drops, schema, files_per_trigger)
+    s = s.withColumn("ets", F.col("ts").cast("timestamp")).withWatermark("ets", delay)
     agg = s.groupBy(F.window("ets", "7 days", "7 days", "4 days").alias("w")).agg(F.count(F.lit(1)).alias("count"))
-    out = run_to_parquet(agg, "complete", "stream-weekly")
-    res = spark.read.parquet(out)
-    last = res.agg(F.max("batch")).scalar()
-    return res.where(F.col("batch") == last).select(F.to_date(F.col("w.start")).alias("week_start"), "count")
+    flat = agg.select(F.to_date(F.col("w.start")).alias("week_start"), "count")
+    return latest_rows(spark, run_to_parquet(flat, "update", work), ["week_start"])
 
 
 # ------------------------------------------------------------------ STM-4
-BREAKER_STATE = "streak long, max_streak long, trips long, cooldowns long, give_ups long, n_events long, n_failures long"
+BREAKER_STATE = "last double, streak long, max_streak long, trips long, cooldowns long, give_ups long, n_events long, n_failures long"
 BREAKER_OUT = ("user_id long, n_events long, n_failures long, max_streak long, breaker_trips long, "
                "cooldowns long, give_ups long")
 
 
 def _breaker(key, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
     """Per source: consecutive failures (reset on success); counts when the
-    run reaches 2 (breaker opens), 3 (cool-down) and 5 (give up).
+    run reaches 2 (breaker opens), 3 (cool-down) and 5 (give up). An event
+    older than the last one of an earlier batch comes too late to be put into
+    a run that is already counted: it counts as an event and as a failure, but
+    not in a run.
     Vectorized per micro-batch: a success starts a new run; a failure's
     streak is its rank among the failures of its run, plus the open streak
     carried in from earlier batches for the first run."""
-    import numpy as np
     if state.exists:
-        streak, mx, trips, cools, gives, n, nf = state.get
+        last, streak, mx, trips, cools, gives, n, nf = state.get
     else:
-        streak = mx = trips = cools = gives = n = nf = 0
+        last, streak, mx, trips, cools, gives, n, nf = -np.inf, 0, 0, 0, 0, 0, 0, 0
     batch = pd.concat(list(pdfs), ignore_index=True).sort_values(["ts", "event_id"])
     err = (batch["event_type"] == "error").to_numpy()
+    n += len(err)
+    nf += int(err.sum())
+    when = batch["ts"].astype("int64").to_numpy().astype(float)
+    err = err[when >= last]
     if len(err):
+        last = max(last, float(when.max()))
         run = np.cumsum(~err)
         ranks = pd.Series(err.astype(np.int64)).groupby(run).cumsum().to_numpy()
         s = np.where(err, ranks + np.where(run == 0, streak, 0), 0)
-        n += len(err)
-        nf += int(err.sum())
         mx = max(mx, int(s.max()))
         trips += int((s == 2).sum())
         cools += int((s == 3).sum())
         gives += int((s == 5).sum())
         streak = int(s[-1])
-    state.update((streak, mx, trips, cools, gives, n, nf))
+    state.update((last, streak, mx, trips, cools, gives, n, nf))
     yield pd.DataFrame([{"user_id": key[0], "n_events": n, "n_failures": nf, "max_streak": mx,
                          "breaker_trips": trips, "cooldowns": cools, "give_ups": gives}])
 
 
-def stream_breaker(spark: SparkSession, events: DataFrame) -> DataFrame:
+def stream_breaker(spark: SparkSession, drops: str, schema, work: str, files_per_trigger: int) -> DataFrame:
     """Stateful per-source failure breaker over the event stream; the last
-    emitted state per source is the answer. A source's events of one drop
-    sit in one file and drops are read in order, so each key sees its events
-    in time order; inside a micro-batch they are sorted by (ts, event_id)."""
-    src = stage_slices(events.select("event_id", "ts", "user_id", "event_type"), "event_id", 4,
-                       "breaker-drop", cluster_col="user_id")
-    schema = events.select("event_id", "ts", "user_id", "event_type").schema
-    s = read_stream(spark, src, schema, _files_per_slice(spark))
+    emitted state per source is the answer. Drops come in event time; inside
+    a micro-batch a source's events are sorted by (ts, event_id)."""
+    s = read_stream(spark, drops, schema, files_per_trigger)
     out_df = s.groupBy("user_id").applyInPandasWithState(
         _breaker, BREAKER_OUT, BREAKER_STATE, "update", GroupStateTimeout.NoTimeout)
-    out = run_to_parquet(out_df, "update", "stream-breaker")
-    res = spark.read.parquet(out)
-    from hirelens.operators.clean import first_per_key
-    latest = first_per_key(res, ["user_id"], "batch", keep="last")
-    return latest.drop("batch")
+    return latest_rows(spark, run_to_parquet(out_df, "update", work), ["user_id"])
 
 
 # ------------------------------------------------------------------ STM-5
-def stream_upsert(spark: SparkSession, postings: DataFrame) -> DataFrame:
-    """Each micro-batch is upserted into a versioned Parquet table keyed by
-    job_url (last write wins: later batch, then larger seq)."""
-    from hirelens.sinks.store import upsert, write_version
-    src = stage_slices(postings, "seq", 3, "upsert-drop")
-    s = read_stream(spark, src, postings.schema, _files_per_slice(spark))
-    ckpt = unique_dir(spark, "stream-upsert-ckpt")
-    current = {"path": None}
+def _versions(spark: SparkSession, table: str) -> list[int]:
+    """Batch ids of the complete versions of a table, ascending."""
+    jvm, conf = spark._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    root = jvm.org.apache.hadoop.fs.Path(table)
+    fs = root.getFileSystem(conf)
+    if not fs.exists(root):
+        return []
+    names = [s.getPath().getName() for s in fs.listStatus(root)]
+    return sorted(int(n[1:]) for n in names if n.startswith("v") and fs.exists(jvm.org.apache.hadoop.fs.Path(f"{table}/{n}/_SUCCESS")))
+
+
+def stream_upsert(spark: SparkSession, drops: str, schema, work: str, files_per_trigger: int) -> DataFrame:
+    """Each micro-batch is upserted into a table keyed by job_url (last write
+    wins: later batch, then larger seq). The version of batch b is
+    ``work``/table/v<b>; a complete one has its success mark, so the files
+    alone say which is current, also after a restart, and a repeated batch
+    starts from the version before it."""
+    from hirelens.sinks.store import upsert
+    table = f"{work}/table"
+    s = read_stream(spark, drops, schema, files_per_trigger)
 
     def sink(batch: DataFrame, batch_id: int) -> None:
         b = batch.withColumn("_batch", F.lit(batch_id))
-        cur = spark.read.parquet(current["path"]) if current["path"] else None
-        current["path"] = write_version(spark, upsert(cur, b, "job_url"), f"stream-upsert-v{batch_id}")
+        before = [v for v in _versions(spark, table) if v < batch_id]
+        cur = spark.read.parquet(f"{table}/v{before[-1]}") if before else None
+        upsert(cur, b, "job_url").write.mode("overwrite").parquet(f"{table}/v{batch_id}")
 
-    q = s.writeStream.foreachBatch(sink).option("checkpointLocation", ckpt).trigger(availableNow=True).start()
+    q = (s.writeStream.foreachBatch(sink).option("checkpointLocation", f"{work}/checkpoint")
+         .trigger(availableNow=True).start())
     q.awaitTermination()
-    return spark.read.parquet(current["path"]).drop("_batch")
+    return spark.read.parquet(f"{table}/v{_versions(spark, table)[-1]}").drop("_batch")
 
 
 # ------------------------------------------------------------------ STM-6
-def stream_funnel(spark: SparkSession, postings: DataFrame, page_size: int, cities) -> DataFrame:
-    """Per-page fetched / in-city counters maintained by a streaming aggregate."""
+def stream_funnel(spark: SparkSession, drops: str, schema, work: str, files_per_trigger: int, page_size: int,
+                  cities) -> DataFrame:
+    """Per-page counters of streaming aggregates: fetched, in city, and new
+    (URLs of the city whose first posting is on the page)."""
     from hirelens.operators.joins import contains_any
-    src = stage_slices(postings, "seq", 4, "funnel-drop")
-    s = read_stream(spark, src, postings.schema, _files_per_slice(spark))
-    s = s.withColumn("page", F.floor(F.col("seq") / page_size).cast("long")).withColumn("in_city", contains_any("city", cities))
+    s = read_stream(spark, drops, schema, files_per_trigger)
+    page = F.floor(F.col("seq") / page_size).cast("long")
+    s = s.withColumn("page", page).withColumn("in_city", contains_any("city", cities))
     agg = s.groupBy("page").agg(F.count(F.lit(1)).alias("fetched"), F.count(F.when(F.col("in_city"), 1)).alias("in_city"))
-    out = run_to_parquet(agg, "update", "stream-funnel")
-    res = spark.read.parquet(out)
-    from hirelens.operators.clean import first_per_key
-    return first_per_key(res, ["page"], "batch", keep="last").drop("batch")
+    pages = latest_rows(spark, run_to_parquet(agg, "update", f"{work}/pages"), ["page"])
+    use_rocksdb_state(spark)
+    firsts = s.where("in_city").groupBy("job_url").agg(F.min("seq").alias("seq"))
+    urls = latest_rows(spark, run_to_parquet(firsts, "update", f"{work}/urls"), ["job_url"])
+    new = urls.groupBy(page.alias("page")).agg(F.count(F.lit(1)).alias("new"))
+    return pages.join(new, "page", "left").select("page", "fetched", "in_city", F.coalesce("new", F.lit(0)).alias("new"))
