@@ -72,19 +72,32 @@ def silhouette(df: DataFrame, vec: str, label: str = "cluster") -> DataFrame:
     return d.withColumn("silhouette", s).drop("_v", "_q", "_terms")
 
 
-def kmeans_scan(feats: DataFrame, features_col: str = "features", k_values=None, seed: int = dims.SEED):
-    """ML-11: KMeans (k-means|| init) for each K; training cost (inertia) and
-    squared-Euclidean silhouette; K chosen as the best silhouette among
-    K >= 3, or 4 when no K reaches 0.2 (the documented rule)."""
+def best_of(feats: DataFrame, k: int, starts: int = dims.KMEANS_STARTS, features_col: str = "features",
+            seed: int = dims.SEED):
+    """The KMeans model of least cost of ``starts`` runs from different seeds,
+    fitted a few at a time."""
+    from concurrent.futures import ThreadPoolExecutor
+
+    def one(i):
+        return KMeans(k=k, seed=seed + i, maxIter=dims.KMEANS_MAX_ITER, featuresCol=features_col).fit(feats)
+    with ThreadPoolExecutor(max_workers=4) as ex:
+        return min(ex.map(one, range(starts)), key=lambda m: m.summary.trainingCost)
+
+
+def kmeans_scan(feats: DataFrame, features_col: str = "features", k_values=None, seed: int = dims.SEED,
+                starts: int = dims.KMEANS_STARTS):
+    """ML-11: for each K the best of ``starts`` KMeans runs; training cost
+    (inertia) and squared-Euclidean silhouette; K chosen as the best silhouette
+    among K >= 3, or 4 when no K reaches 0.2 (the documented rule). Returns
+    (rows, chosen K, its model)."""
     k_values = k_values or dims.KMEANS_K_RANGE
     ev = ClusteringEvaluator(featuresCol=features_col, predictionCol="prediction",
                              distanceMeasure="squaredEuclidean")
-    rows = []
+    rows, fitted = [], {}
     for k in k_values:
-        m = KMeans(k=k, seed=seed, maxIter=dims.KMEANS_MAX_ITER, featuresCol=features_col).fit(feats)
-        sil = ev.evaluate(m.transform(feats))
-        rows.append((k, float(m.summary.trainingCost), float(sil)))
+        m = fitted[k] = best_of(feats, k, starts, features_col, seed)
+        rows.append((k, float(m.summary.trainingCost), float(ev.evaluate(m.transform(feats)))))
     cand = [r for r in rows if r[0] >= 3] or rows
     best = max(cand, key=lambda r: r[2])
     chosen = best[0] if max(r[2] for r in rows) >= dims.SILHOUETTE_FLOOR else dims.KMEANS_FALLBACK_K
-    return [(k, inertia, sil, k == chosen) for k, inertia, sil in rows], chosen
+    return [(k, inertia, sil, k == chosen) for k, inertia, sil in rows], chosen, fitted[chosen]

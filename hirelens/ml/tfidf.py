@@ -1,22 +1,25 @@
 """TF-IDF over skill text (ML-8) and the Gram matrix / SVD projection (ML-9).
 
-Long form throughout: (doc, term) rows, grouped by term for document
-frequencies, by doc for the L2 norm. The vocabulary is capped at 100 terms,
-so it is the only broadcast side. The Gram matrix is accumulated per
-partition into a dense 100x100 block (numpy inside ``mapInPandas``) and the
-blocks are summed by a grouped aggregate; no (term, term) pairs are emitted
-per document.
+A document is one row with its terms in an array; term counts, weights and
+norm are computed inside the row, and only document frequencies are shuffled.
+The Gram matrix is accumulated per partition into a dense block (numpy inside
+``mapInPandas``) and the blocks are summed by a grouped aggregate; no (term,
+term) pairs are emitted per document.
 """
 
 from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from hirelens import dims
 
+#: terms up to which the vocabulary travels as one map (about 60 bytes each),
+#: and columns of a dense Gram block (k x k doubles per task)
+VOCABULARY_IN_A_MAP = 20_000
+GRAM_COLUMNS = 2_000
 TOKEN = r"[\p{L}\p{N}_]{2,}"
 
 
@@ -28,49 +31,69 @@ def skill_text(df: DataFrame) -> DataFrame:
     return df.select("seq", F.when(F.size(tags) > 0, F.array_join(tags, " ")).otherwise(F.lit("无")).alias("text"))
 
 
-def terms(docs: DataFrame) -> DataFrame:
-    """(seq, term, tf): lower-cased tokens of >= 2 word characters, 1- and 2-grams."""
+def term_counts(docs: DataFrame) -> DataFrame:
+    """(seq, tf): lower-cased tokens of >= 2 word characters, 1- and 2-grams,
+    as an array of (term, n) in the row."""
     toks = F.regexp_extract_all(F.lower("text"), F.lit(TOKEN), 0)
     d = docs.select("seq", toks.alias("t"))
-    bigrams = F.transform(F.sequence(F.lit(1), F.greatest(F.size("t") - 1, F.lit(0))),
-                          lambda i: F.concat_ws(" ", F.element_at("t", i), F.element_at("t", i + 1)))
+    bigrams = F.zip_with(F.slice("t", 1, F.greatest(F.size("t") - 1, F.lit(0))), F.slice("t", 2, F.greatest(F.size("t") - 1, F.lit(0))),
+                         lambda a, b: F.concat_ws(" ", a, b))
     grams = F.when(F.size("t") > 1, F.concat("t", bigrams)).otherwise(F.col("t"))
-    return d.select("seq", F.explode(grams).alias("term")).groupBy("seq", "term").agg(F.count(F.lit(1)).alias("tf"))
+    d = d.select("seq", grams.alias("g"))
+    return d.select("seq", F.transform(F.array_distinct("g"), lambda x: F.struct(
+        x.alias("term"), F.size(F.filter("g", lambda y: y == x)).alias("n"))).alias("tf"))
 
 
-def vocabulary(tf: DataFrame, n_docs) -> DataFrame:
-    """min_df 2, max_df 0.8 (share of docs), then the 100 most frequent terms
-    (corpus count desc, term asc); rank 0..99 is the column index."""
-    by_term = tf.groupBy("term").agg(F.count(F.lit(1)).alias("df"), F.sum("tf").alias("cf"))
+def vocabulary(tf: DataFrame, n_docs, max_features: int | None = None) -> DataFrame:
+    """(term, df, idx): terms with min_df 2 and max_df 0.8 (share of docs), in
+    order of corpus count (ties by term); all of them, or the first
+    ``max_features``."""
+    each = tf.select(F.explode("tf").alias("t")).select("t.term", "t.n")
+    by_term = each.groupBy("term").agg(F.count(F.lit(1)).alias("df"), F.sum("n").alias("cf"))
     kept = by_term.where((F.col("df") >= dims.TFIDF_MIN_DF) & (F.col("df") <= F.lit(dims.TFIDF_MAX_DF) * n_docs))
-    top = kept.orderBy(F.desc("cf"), "term").limit(dims.TFIDF_MAX_FEATURES)
-    from pyspark.sql import Window
-    return top.withColumn("idx", F.row_number().over(Window.orderBy(F.desc("cf"), "term")) - 1)
-
-
-def tfidf(docs: DataFrame) -> DataFrame:
-    """(seq, term, idx, weight): sublinear tf x smooth idf, L2-normalized per doc."""
-    tf = terms(docs)
-    n = docs.agg(F.count(F.lit(1))).scalar()
-    vocab = vocabulary(tf, n)
-    # the vocabulary holds at most 100 rows
-    j = tf.join(F.broadcast(vocab.select("term", "df", "idx")), "term")
-    w = (1 + F.log("tf")) * (F.log((1 + n) / (1 + F.col("df"))) + 1)
-    j = j.withColumn("w", w)
-    norm = j.groupBy("seq").agg(F.sqrt(F.sum(F.col("w") ** 2)).alias("norm"))
-    return j.join(norm, "seq").select("seq", "term", "idx", (F.col("w") / F.col("norm")).alias("weight"))
-
-
-def gram(weights: DataFrame, k: int = dims.TFIDF_MAX_FEATURES) -> DataFrame:
+    if max_features is not None:
+        kept = kept.orderBy(F.desc("cf"), "term").limit(max_features)
+    return kept.withColumn("idx", F.row_number().over(Window.orderBy(F.desc("cf"), "term")) - 1)
+
+
+def tfidf(docs: DataFrame, max_features: int | None = None) -> DataFrame:
+    """(seq, ii, ww): indices and weights of each document's known terms;
+    sublinear tf x smooth idf, L2-normalized. A document is one row all along;
+    only document frequencies are shuffled. The vocabulary reaches the rows as
+    one map if it is small, else by a join per term."""
+    from hirelens.session import materialize
+    tf = materialize(term_counts(docs), "term-counts")
+    n = tf.count()
+    vocab = materialize(vocabulary(tf, n, max_features).select(
+        "term", "idx", (F.log((1 + F.lit(n)) / (1 + F.col("df"))) + 1).alias("idf")), "vocabulary")
+    if vocab.limit(VOCABULARY_IN_A_MAP + 1).count() <= VOCABULARY_IN_A_MAP:
+        one = vocab.agg(F.map_from_entries(F.collect_list(F.struct("term", F.struct("idx", "idf")))).alias("vocab"))
+        known = F.filter(F.transform("tf", lambda t: F.struct(t["n"].alias("n"), F.element_at("vocab", t["term"]).alias("v"))),
+                         lambda t: t["v"].isNotNull())
+        rows = tf.crossJoin(F.broadcast(one)).select("seq", known.alias("k"))  # one row
+    else:
+        rows = (tf.select("seq", F.explode("tf").alias("t")).join(vocab, F.col("t.term") == F.col("term"))
+                .groupBy("seq").agg(F.collect_list(F.struct(F.col("t.n").alias("n"), F.struct("idx", "idf").alias("v"))).alias("k")))
+    raw = F.transform("k", lambda t: (1 + F.log(t["n"])) * t["v"]["idf"])
+    rows = rows.where(F.size("k") > 0).select("seq", F.transform("k", lambda t: t["v"]["idx"]).alias("ii"), raw.alias("w"))
+    norm = F.sqrt(F.aggregate("w", F.lit(0.0), lambda a, x: a + x * x))
+    return rows.withColumn("norm", norm).select("seq", "ii", F.transform("w", lambda x: x / F.col("norm")).alias("ww"))
+
+
+def weight_rows(weights: DataFrame) -> DataFrame:
+    """(seq, idx, weight) of each document's terms."""
+    return weights.select("seq", F.explode(F.arrays_zip("ii", "ww")).alias("z")).select("seq", F.col("z.ii").alias("idx"), F.col("z.ww").alias("weight"))
+
+
+def gram(weights: DataFrame, k: int) -> DataFrame:
     """XᵀX of the doc x term weight matrix as (i, j, g) for i <= j.
 
-    Each document's (<= 100) entries are gathered into two aligned arrays;
-    every Arrow batch of documents is scattered into a dense block and
-    multiplied once (one BLAS call per batch), the per-partition 100x100
-    result is summed by a grouped aggregate."""
-    per_doc = (weights.groupBy("seq").agg(F.collect_list(F.struct("idx", "weight")).alias("v"))
-                      .select(F.transform("v", lambda x: x["idx"]).alias("ii"),
-                              F.transform("v", lambda x: x["weight"]).alias("ww")))
+    Every Arrow batch of documents is scattered into a block of ``k`` columns
+    and multiplied once (one BLAS call per batch), the per-partition result is
+    summed by a grouped aggregate. A dense k x k block has a bound, so a larger
+    vocabulary needs ``max_features`` and is an error here."""
+    if k > GRAM_COLUMNS:
+        raise ValueError(f"{k} terms: give max_features of at most {GRAM_COLUMNS}")
 
     def block(batches):
         g = np.zeros((k, k))
@@ -87,27 +110,29 @@ def gram(weights: DataFrame, k: int = dims.TFIDF_MAX_FEATURES) -> DataFrame:
         i, j = np.nonzero(np.triu(g))
         yield pd.DataFrame({"i": i.astype("int64"), "j": j.astype("int64"), "g": g[i, j]})
 
-    parts = per_doc.mapInPandas(block, "i long, j long, g double")
+    parts = weights.select("ii", "ww").mapInPandas(block, "i long, j long, g double")
     return parts.groupBy("i", "j").agg(F.sum("g").alias("g"))
 
 
 def svd_components(g_rows, k: int, dim: int = dims.SVD_DIM):
-    """Top right-singular vectors of X from its (small) Gram matrix."""
+    """(components, squared singular values, share of the total they explain)
+    of X from its (small) Gram matrix."""
     g = np.zeros((k, k))
     for r in g_rows:
         g[r["i"], r["j"]] = r["g"]
         g[r["j"], r["i"]] = r["g"]
     vals, vecs = np.linalg.eigh(g)
     order = np.argsort(vals)[::-1][:dim]
-    return vecs[:, order], vals[order]
+    return vecs[:, order], vals[order], vals[order] / max(vals.sum(), 1e-300)
 
 
 def project(weights: DataFrame, comps) -> DataFrame:
-    """Doc coordinates on the components: sum_t w_t * V[t, c] (V is bounded
-    by 100 x 5 and inlined as literals)."""
+    """Doc coordinates on the components: sum_t w_t * V[t, c], in the row (V is
+    bounded by GRAM_COLUMNS x dim and inlined as literals)."""
     k, dim = comps.shape
-    out = weights
+    cols = []
     for c in range(dim):
-        col = F.element_at(F.array(*[F.lit(float(comps[t, c])) for t in range(k)]), F.col("idx") + 1)
-        out = out.withColumn(f"_p{c}", F.col("weight") * col)
-    return out.groupBy("seq").agg(*[F.sum(f"_p{c}").alias(f"skill_dim{c + 1}") for c in range(dim)])
+        axis = F.array(*[F.lit(float(comps[t, c])) for t in range(k)])
+        terms = F.zip_with("ii", "ww", lambda i, w: w * F.element_at(axis, (i + 1).cast("int")))
+        cols.append(F.aggregate(terms, F.lit(0.0), lambda a, x: a + x).alias(f"skill_dim{c + 1}"))
+    return weights.select("seq", *cols)
