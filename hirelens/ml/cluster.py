@@ -86,6 +86,12 @@ def best_of(feats: DataFrame, k: int, starts: int = dims.KMEANS_STARTS, features
 
 def kmeans_scan(feats: DataFrame, features_col: str = "features", k_values=None, seed: int = dims.SEED,
                 starts: int = dims.KMEANS_STARTS):
+    """ML-11: (rows of k, inertia, silhouette, chosen; the chosen K)."""
+    return fitted_scan(feats, features_col, k_values, seed, starts)[:2]
+
+
+def fitted_scan(feats: DataFrame, features_col: str = "features", k_values=None, seed: int = dims.SEED,
+                starts: int = dims.KMEANS_STARTS):
     """ML-11: for each K the best of ``starts`` KMeans runs; training cost
     (inertia) and squared-Euclidean silhouette; K chosen as the best silhouette
     among K >= 3, or 4 when no K reaches 0.2 (the documented rule). Returns

@@ -141,7 +141,10 @@ def fill_missing(df: DataFrame, approx_global: bool = False, keep_flag: bool = F
     negotiable ratio (on the deduplicated rows) exceeds 0.3 -> global median
     of the adjusted column; then city -> 未知, exp -> 0. ``keep_flag`` keeps
     a ``bumped`` column marking the rows that got the x1.1 factor."""
-    stats = city_salary_stats(df)
+    from hirelens.session import checked_broadcast, materialize
+    # written first, so that its true size decides the join; beyond a broadcast
+    # both sides are plain scans and AQE splits a hot city
+    stats = checked_broadcast(materialize(city_salary_stats(df), "city-stats"))
     j = df.join(stats, on="city", how="left")
     high = F.coalesce(F.col("neg_ratio") > dims.NEGOTIABLE_RATIO_LIMIT, F.lit(False))
     bump = high & F.coalesce(F.col("salary_text").contains(dims.NEGOTIABLE_MARK), F.lit(False))

@@ -39,7 +39,9 @@ def global_sequence(df: DataFrame, order_cols: list[str], out: str = "seq_no") -
     each range adds the row count of all earlier ranges; that offset table
     has one row per range and is the only thing broadcast.
     """
+    from hirelens.session import materialize
     spark = df.sparkSession
+    df = materialize(df, "sequence-input")  # read for the cuts, the counts and the numbers
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     lead = order_cols[0]
     probs = [i / n for i in range(1, n)]

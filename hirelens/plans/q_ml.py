@@ -176,11 +176,21 @@ def _svd_coords(spark, sf_dir):
     return project(w, comps), vals, shares
 
 
-@register("svd_project", with_clean(TFIDF_SQL + """,
+@register("svd_project")
+def q_svd_project(spark, sf_dir):
+    """ML-9: 5-dim projection of the TF-IDF rows (signs are arbitrary: rows-only;
+    ``svd_checks`` compares what does not depend on them)."""
+    coords, _vals, _shares = _svd_coords(spark, sf_dir)
+    cols = [c for c in coords.columns if c.startswith("skill_dim")]
+    # documents without any vocabulary term sit at the origin
+    return _feats(spark, sf_dir).select("seq").join(coords, "seq", "left").fillna(0.0, subset=cols)
+
+
+@register("svd_checks", with_clean(TFIDF_SQL + """,
     nn AS (SELECT (SELECT count(*) FROM docs) AS n_rows, (SELECT sum(weight * weight) FROM wn) AS total)
     SELECT n_rows, round_even(total, 4) AS total_energy, true AS energy_matches, true AS shares_match, true AS ordered,
       true AS uncorrelated FROM nn"""))
-def q_svd_project(spark, sf_dir):
+def q_svd_checks(spark, sf_dir):
     """ML-9: the 5-dim projection, by what does not depend on signs: the energy
     of each coordinate is its squared singular value, the shares that the
     components explain come in order, and the coordinates are uncorrelated
@@ -285,7 +295,7 @@ def q_kmeans_scan(spark, sf_dir):
     each; what the seeds leave free is not compared, the rule of the choice is."""
     from hirelens.ml.cluster import kmeans_scan
     feats = _cluster_features(spark, sf_dir)
-    rows, _chosen, _model = kmeans_scan(feats)
+    rows, _chosen = kmeans_scan(feats)
     feats.unpersist()
     scan = spark.createDataFrame(rows, "k int, inertia double, silhouette double, chosen boolean")
     every = Window.partitionBy(F.lit(0))  # eight rows
@@ -303,12 +313,12 @@ def q_cluster_final(spark, sf_dir):
     labelled rows are written and read back, and their clusters are profiled.
     The sizes of the profiles, and the model's cost against the rows' distances
     to their centres, are recomputed from the labels."""
-    from hirelens.ml.cluster import kmeans_scan
+    from hirelens.ml.cluster import fitted_scan
     from hirelens.ml.features import valid_salary
     from hirelens.ml.profile import cluster_profiles
     from hirelens.session import materialize
     feats = _cluster_features(spark, sf_dir)
-    _rows, _chosen, model = kmeans_scan(feats)
+    _rows, _chosen, model = fitted_scan(feats)
     from pyspark.ml.functions import vector_to_array
     centres = F.array(*[F.array(*[F.lit(float(x)) for x in c]) for c in model.clusterCenters()])
     own = F.zip_with(vector_to_array("features"), F.element_at(centres, F.col("prediction") + 1), lambda a, b: (a - b) * (a - b))
