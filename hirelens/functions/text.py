@@ -246,3 +246,17 @@ def count_text_value(col) -> Column:
     wan = F.regexp_extract(c, r"^([0-9]+(?:\.[0-9]+)?)(万?)$", 2)
     v = F.when(num != "", num.try_cast("double"))
     return F.when(wan == "万", F.bround(v * 10000, 0)).otherwise(v)
+
+
+def last_counts(text, *known) -> Column:
+    """STR-15: (plays, comments) of a video card's text: its last two lines that
+    are not blank and are none of ``known`` (title, author, label); with one such
+    line comments are empty, with none both."""
+    lines = F.filter(F.transform(F.split(F.coalesce(_c(text), F.lit("")), "\n"), py_strip), lambda x: x != "")
+    if known:
+        others = F.array(*[_c(k) for k in known])
+        lines = F.filter(lines, lambda x: ~F.coalesce(F.array_contains(others, x), F.lit(False)))
+    n = F.size(lines)
+    last = F.try_element_at(lines, F.lit(-1))
+    return F.struct(F.coalesce(F.when(n >= 2, F.try_element_at(lines, F.lit(-2))).otherwise(last), F.lit("")).alias("plays"),
+                    F.coalesce(F.when(n >= 2, last), F.lit("")).alias("comments"))

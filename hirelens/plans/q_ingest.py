@@ -220,6 +220,54 @@ API_CODES = ['"code": 403', '"code": 0, "status": 500', '"code": false, "errno":
 API_REASONS = ["api_code:403", "api_code:500", None, "api_code:-1", None]
 
 
+@register("html_job_cards", """
+    SELECT o_orderkey // 50 AS page, row_number() OVER (PARTITION BY o_orderkey // 50 ORDER BY o_orderkey) - 1 AS pos,
+      CASE WHEN o_orderkey % 9 = 0 THEN '' ELSE 'Job ' || o_orderpriority END AS job_title,
+      CASE WHEN o_orderkey % 7 = 0 THEN '' ELSE CAST(o_orderkey % 9 + 8 AS VARCHAR) || '-' || CAST(o_orderkey % 9 + 20 AS VARCHAR) || 'K' END AS salary_text,
+      'Company ' || CAST(o_custkey AS VARCHAR) AS company_name, CASE WHEN o_orderkey % 2 = 0 THEN '广州·天河区' ELSE '' END AS city,
+      CASE WHEN o_orderkey % 7 = 0 THEN NULL ELSE (o_orderkey % 9 + 8) * 1000.0 END::DOUBLE AS salary_min,
+      CASE WHEN o_orderkey % 7 = 0 THEN NULL ELSE (o_orderkey % 9 + 20) * 1000.0 END::DOUBLE AS salary_max
+    FROM orders""")
+def q_html_job_cards(spark, sf_dir):
+    """SRC-6: list pages of up to 50 job cards, with missing fields, nested
+    markup and fields in another order."""
+    from hirelens.sources.html import card_rows
+    o = table(spark, sf_dir, "orders")
+    k = F.col("o_orderkey")
+    s = lambda x: x.cast("string")
+    title = F.when(k % 9 != 0, F.concat(F.lit('<div class="job-info"><a class="jname at" href="#"><em>Job</em> '), F.col("o_orderpriority"), F.lit("</a></div>"))).otherwise(F.lit(""))
+    salary = F.when(k % 7 != 0, F.concat(F.lit('<span class="sal shrink-0">'), s(k % 9 + 8), F.lit("-"), s(k % 9 + 20), F.lit("K</span>"))).otherwise(F.lit(""))
+    company = F.concat(F.lit('<p class="com-box">\n Company  '), s(F.col("o_custkey")), F.lit("</p>"))
+    area = F.when(k % 2 == 0, F.lit('<div class="area">广州·天河区</div>')).otherwise(F.lit('<div class="zone">x</div>'))
+    body = F.when(k % 3 == 0, F.concat(salary, title, area, company)).otherwise(F.concat(title, salary, company, area))
+    card = F.concat(F.lit('<div class="list job-card top">'), body, F.lit("</div>"))
+    # 50 cards per page at most: a bounded group
+    pages = o.select(F.floor(k / 50).cast("long").alias("page"), k.alias("k"), card.alias("card")).groupBy("page") \
+        .agg(F.array_sort(F.collect_list(F.struct("k", "card"))).alias("c"))
+    html = F.concat(F.lit("<html><h1 class='title'>jobs</h1>"), F.array_join(F.transform("c", lambda x: x["card"]), "\n"), F.lit("</html>"))
+    rows = card_rows(pages.select("page", html.alias("html")))
+    return rows.select("page", F.col("pos").cast("long").alias("pos"), "job_title", "salary_text", "company_name", "city", "salary_min", "salary_max")
+
+
+@register("video_card_counts", """
+    SELECT event_id, CASE event_id % 4 WHEN 3 THEN '' WHEN 2 THEN CAST(user_id AS VARCHAR) ELSE CAST(user_id AS VARCHAR) || '.5万' END AS plays,
+      CASE WHEN event_id % 4 < 2 THEN CAST(event_id % 97 AS VARCHAR) ELSE '' END AS comments,
+      CASE event_id % 4 WHEN 3 THEN NULL WHEN 2 THEN CAST(user_id AS DOUBLE) ELSE user_id * 10000.0 + 5000 END::DOUBLE AS plays_number
+    FROM events""")
+def q_video_card_counts(spark, sf_dir):
+    """STR-15: the last two lines of a video card that are neither title nor
+    author nor label are plays and comments."""
+    from hirelens.functions.text import count_text_value, last_counts
+    e = table(spark, sf_dir, "events")
+    i, user = F.col("event_id"), F.col("user_id").cast("string")
+    two = F.concat(user, F.lit(".5万\n  \n"), (i % 97).cast("string"), F.lit(" \n"))
+    tail = F.when(i % 4 == 3, F.lit("")).when(i % 4 == 2, user).otherwise(two)
+    text = F.concat(F.lit("A title\n label \n"), F.col("event_type"), F.lit("\n\n"), tail)
+    c = last_counts(text, F.lit("A title"), F.col("event_type"), F.lit("label"))
+    return e.select("event_id", c["plays"].alias("plays"), c["comments"].alias("comments")) \
+        .withColumn("plays_number", count_text_value("plays"))
+
+
 def _fetched(spark, sf_dir):
     p = table(spark, sf_dir, "pages")
     pid = F.col("page_id")

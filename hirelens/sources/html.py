@@ -36,3 +36,28 @@ def parse_pages(pages: DataFrame, html_col: str = "html") -> DataFrame:
         strip_tags(F.regexp_extract(h, "(?s)<footer>(.*?)</footer>", 1)).alias("footer"),
         F.length(h).alias("n_chars"),
     )
+
+
+# class-name parts that mark a card's fields; the first element of a card whose
+# class holds one of them gives the field
+CARD_FIELDS = {"job_title": ["name", "title"], "salary_text": ["sal"], "company_name": ["com", "cname"], "city": ["area"]}
+
+
+def card_rows(pages: DataFrame, html_col: str = "html", card_class: str = "job-card") -> DataFrame:
+    """SRC-6: a row per job card of a list page: the page's other columns,
+    ``pos`` (from 0), title, salary text and numbers, company and area; a missing
+    field is empty. A card starts at a tag whose class holds ``card_class`` and
+    ends where the next one starts. Pages without cards give no rows."""
+    from hirelens.functions.salary import with_salary
+    start = rf'<[a-zA-Z]+[^>]*class="[^"]*{card_class}[^"]*"[^>]*>'
+    # what follows the start tags; the first piece is before any card
+    pieces = F.slice(F.split(F.col(html_col), start), 2, F.size(F.split(F.col(html_col), start)))
+    cards = pages.select(*[c for c in pages.columns if c != html_col], F.posexplode(pieces).alias("pos", "_card"))
+
+    def field(parts: list[str]) -> Column:
+        alternatives = "|".join(parts)
+        found = F.regexp_extract(F.col("_card"), rf'(?s)<([a-zA-Z0-9]+)[^>]*class="[^"]*(?:{alternatives})[^"]*"[^>]*>(.*?)</\1>', 2)
+        return strip_tags(found)
+
+    out = cards.select(*[c for c in cards.columns if c != "_card"], *[field(p).alias(n) for n, p in CARD_FIELDS.items()])
+    return with_salary(out)
