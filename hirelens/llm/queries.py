@@ -61,6 +61,22 @@ def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept_text").cast("binary"), 256).alias("kept_sha256"))
 
 
+OP2_SQL = r"""
+WITH w AS (SELECT doc_id, coalesce(regexp_extract_all(text, '[^\x20\x09-\x0D]+'), []) AS ws FROM documents),
+x AS (SELECT doc_id, i, array_to_string(ws[i:i + 19], ' ') AS k
+      FROM (SELECT doc_id, ws, unnest(range(1, len(ws) - 18)) AS i FROM w WHERE len(ws) >= 20)),
+r AS (SELECT doc_id, i FROM (SELECT *, row_number() OVER (PARTITION BY k ORDER BY doc_id, i) AS n FROM x) WHERE n > 1),
+v AS (SELECT doc_id, unnest(ws) AS word, generate_subscripts(ws, 1) AS j FROM w),
+m AS (SELECT v.doc_id, word, j, max(CASE WHEN r.i IS NULL THEN 0 ELSE 1 END)
+        OVER (PARTITION BY v.doc_id ORDER BY j ROWS BETWEEN 19 PRECEDING AND CURRENT ROW) AS gone
+      FROM v LEFT JOIN r ON v.doc_id = r.doc_id AND v.j = r.i),
+g AS (SELECT doc_id, count(*) AS n_words, count(*) FILTER (gone = 1) AS n_removed,
+        string_agg(word, ' ' ORDER BY j) FILTER (gone = 0) AS kept FROM m GROUP BY doc_id)
+SELECT w.doc_id, coalesce(n_words, 0) AS n_words, coalesce(n_removed, 0) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+FROM w LEFT JOIN g ON w.doc_id = g.doc_id
+"""
+
+
 # ----------------------------------------------------------- 3: embeddings
 
 def op3_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -68,6 +84,19 @@ def op3_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_table(spark, sf_dir, "embeddings"), cosine=0.95)
 
 
+#: brute force, which the approximate search meets exactly where its recall is 1
+OP3_SQL = """
+WITH RECURSIVE e AS (SELECT vec_id, embedding::DOUBLE[] AS v FROM embeddings
+    WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND list_sum(list_transform(embedding, lambda x: abs(x))) > 0),
+p AS (SELECT a.vec_id AS a, b.vec_id AS b FROM e a JOIN e b ON a.vec_id <> b.vec_id AND len(a.v) = len(b.v) AND list_cosine_similarity(a.v, b.v) >= 0.95),
+c AS (SELECT a AS node, b AS other FROM p UNION SELECT c.node, p.b FROM c JOIN p ON c.other = p.a),
+l AS (SELECT node, least(node, min(other)) AS component_id FROM c GROUP BY node),
+n AS (SELECT a AS node, count(*) AS n_links FROM p GROUP BY a)
+SELECT vec_id, coalesce(n_links, 0) AS n_links, coalesce(component_id, vec_id) AS component_id, coalesce(component_id, vec_id) = vec_id AS kept
+FROM embeddings LEFT JOIN n ON vec_id = n.node LEFT JOIN l ON vec_id = l.node
+"""
+
+
 # -------------------------------------------------------------- 4: quality
 
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -221,6 +250,8 @@ QUERIES = {
 
 ORACLE = {
     "op1_license_scan": _op1_sql(),
+    "op2_substring_dedup": OP2_SQL,
+    "op3_embedding_dedup": OP3_SQL,
     "op6_url_filter": OP6_SQL,
     "op7_source_mix": OP7_SQL,
     "op9_line_dedup": OP9_SQL,
