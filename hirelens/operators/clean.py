@@ -20,6 +20,7 @@ from hirelens.functions.salary import is_negotiable, py_strip, with_salary
 from hirelens.functions.skills import clean_tags, is_blank_tags, tags_text, with_extracted_skills
 from hirelens.functions.text import (city_tier, clean_experience, normalize_date,
                                      normalize_education, with_city)
+from hirelens.operators.quantiles import quantiles
 
 SALARY_COLS = ["salary_min", "salary_max", "salary_avg"]
 
@@ -127,13 +128,12 @@ def deduplicate(df: DataFrame) -> DataFrame:
 
 
 def city_salary_stats(df: DataFrame) -> DataFrame:
-    """AGG-8 + WIN-2/JON-9 inputs in one per-city aggregate: negotiable ratio
-    and exact medians (linear interpolation) of the three salary columns."""
+    """AGG-8 + WIN-2/JON-9 inputs per city: negotiable ratio and exact medians
+    (linear interpolation) of the three salary columns."""
     neg = F.coalesce(F.col("salary_text").contains(dims.NEGOTIABLE_MARK), F.lit(False))
-    return (df.where(F.col("city").isNotNull())
-              .groupBy("city")
-              .agg(F.avg(neg.cast("double")).alias("neg_ratio"),
-                   *[F.percentile(F.col(c), F.lit(0.5)).alias(f"med_{c}") for c in SALARY_COLS]))
+    named = df.where(F.col("city").isNotNull())
+    ratio = named.groupBy("city").agg(F.avg(neg.cast("double")).alias("neg_ratio"))
+    return ratio.join(quantiles(named, ["city"], {f"med_{c}": (c, 0.5) for c in SALARY_COLS}), "city", "left")
 
 
 def fill_missing(df: DataFrame, approx_global: bool = False, keep_flag: bool = False) -> DataFrame:
@@ -142,10 +142,16 @@ def fill_missing(df: DataFrame, approx_global: bool = False, keep_flag: bool = F
     of the adjusted column; then city -> 未知, exp -> 0. ``keep_flag`` keeps
     a ``bumped`` column marking the rows that got the x1.1 factor."""
     from hirelens.session import checked_broadcast, materialize
-    # written first, so that its true size decides the join; beyond a broadcast
-    # both sides are plain scans and AQE splits a hot city
-    stats = checked_broadcast(materialize(city_salary_stats(df), "city-stats"))
-    j = df.join(stats, on="city", how="left")
+    # written first, so that its true size decides: a broadcast, or a join in
+    # which a city's rows are dealt by a salt to as many copies of its figures
+    stats = materialize(city_salary_stats(df), "city-stats")
+    small = checked_broadcast(stats)
+    if small is not stats:
+        j = df.join(small, on="city", how="left")
+    else:
+        n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        salted = stats.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(n - 1))))
+        j = df.withColumn("_salt", F.pmod(F.xxhash64("seq"), F.lit(n)).cast("int")).join(salted, ["city", "_salt"], "left").drop("_salt")
     high = F.coalesce(F.col("neg_ratio") > dims.NEGOTIABLE_RATIO_LIMIT, F.lit(False))
     bump = high & F.coalesce(F.col("salary_text").contains(dims.NEGOTIABLE_MARK), F.lit(False))
     staged = j.withColumn("bumped", bump).withColumns({
@@ -156,11 +162,11 @@ def fill_missing(df: DataFrame, approx_global: bool = False, keep_flag: bool = F
     if not keep_flag:
         staged = staged.drop("bumped")
     if approx_global:
-        med = lambda c: F.percentile_approx(F.col(c), 0.5, 10000)
+        one = staged.agg(*[F.percentile_approx(F.col(c), 0.5, 10000).alias(c) for c in SALARY_COLS])
     else:
-        med = lambda c: F.percentile(F.col(c), F.lit(0.5))
-    # one single-row aggregate, evaluated once as a scalar subquery into one column
-    glob = staged.agg(F.struct(*[med(c).alias(c) for c in SALARY_COLS]).alias("g")).scalar()
+        one = quantiles(staged, [], {c: (c, 0.5) for c in SALARY_COLS})
+    # one row, evaluated once as a scalar subquery into one column
+    glob = one.select(F.struct(*SALARY_COLS).alias("g")).scalar()
     filled = staged.withColumn("_g", glob)
     filled = filled.withColumns({c: F.coalesce(F.col(c), F.col("_g")[c]) for c in SALARY_COLS}).drop("_g")
     return filled.withColumns({
