@@ -31,21 +31,19 @@ def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan(_table(spark, sf_dir, "documents"))
 
 
-def _op1_sql() -> str:
-    from hirelens.llm.license_texts import EQUIVALENT, KNOWN
-    quote = lambda x: "'" + x.replace("'", "''") + "'"
-    known = ", ".join(f"({quote(n)}, {quote(t)})" for n, t in KNOWN)
-    same = ", ".join(f"{quote(a)}: {quote(b)}" for a, b in EQUIVALENT.items())
-    lines = f"""list_filter(list_transform(string_split(regexp_replace(regexp_replace(lower(text),
-        '(?m)^[^\\p{{L}}\\p{{N}}\\n]*(?:(?:copyright|©)[^\\n]*(?:(?:19|20)[0-9]{{2}}|©|\\(c\\))[^\\n]*|(?:\\(c\\)|©)[^\\n]*|all rights reserved[^\\p{{L}}\\p{{N}}\\n]*)$',
-        '', 'g'), '[^\\p{{L}}\\p{{N}}\\n]+', ' ', 'g'), chr(10)),
-        lambda l: array_to_string(list_transform(string_split(trim(l), ' '), lambda w: coalesce(same[w], w)), ' ')),
-        lambda x: x <> '')""".replace("\\\\", "\\")
-    return f"""
-WITH e AS (SELECT MAP {{{same}}} AS same),
+CANONICAL_LINES_SQL = r"""
+  list_filter(list_transform(
+    string_split(regexp_replace(regexp_replace(lower(text),
+      '(?m)^[^\p{L}\p{N}\n]*(?:(?:copyright|©)[^\n]*(?:(?:19|20)[0-9]{2}|©|\(c\))[^\n]*|(?:\(c\)|©)[^\n]*|all rights reserved[^\p{L}\p{N}\n]*)$',
+      '', 'g'), '[^\p{L}\p{N}\n]+', ' ', 'g'), chr(10)),
+    lambda l: array_to_string(list_transform(string_split(trim(l), ' '), lambda w: coalesce(same[w], w)), ' ')),
+  lambda x: x <> '')"""
+
+OP1_SQL = """
+WITH e AS (SELECT MAP {@same} AS same),
 k AS (SELECT sha256(array_to_string(lines, ' ')) AS digest, min(license) AS license
-      FROM (SELECT license, {lines} AS lines FROM (VALUES {known}) t(license, text), e) WHERE len(lines) > 0 GROUP BY 1),
-d AS (SELECT doc_id, {lines} AS lines FROM documents, e),
+      FROM (SELECT license, @lines AS lines FROM (VALUES @known) t(license, text), e) WHERE len(lines) > 0 GROUP BY 1),
+d AS (SELECT doc_id, @lines AS lines FROM documents, e),
 u AS (SELECT doc_id, unnest(lines) AS line FROM d),
 f AS (SELECT doc_id, string_agg(DISTINCT license, ',' ORDER BY license) AS names FROM u JOIN k ON sha256(line) = k.digest GROUP BY doc_id)
 SELECT d.doc_id, sha256(array_to_string(d.lines, ' ')) AS digest, k.license, coalesce(f.names, '') AS line_licenses
@@ -53,6 +51,17 @@ FROM d LEFT JOIN k ON sha256(array_to_string(d.lines, ' ')) = k.digest LEFT JOIN
 """
 
 
+def _op1_sql() -> str:
+    from hirelens.llm.license_texts import EQUIVALENT, KNOWN
+
+    def quote(x: str) -> str:
+        return "'" + x.replace("'", "''") + "'"
+
+    known = ", ".join(f"({quote(n)}, {quote(t)})" for n, t in KNOWN)
+    same = ", ".join(f"{quote(a)}: {quote(b)}" for a, b in EQUIVALENT.items())
+    return OP1_SQL.replace("@lines", CANONICAL_LINES_SQL).replace("@same", same).replace("@known", known)
+
+
 # ---------------------------------------------------------- 2: substrings
 
 def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
