@@ -220,11 +220,12 @@ def _batches(spark, sf_dir):
     SELECT job_url, seq, batch, salary_avg FROM (
       SELECT *, row_number() OVER (PARTITION BY job_url ORDER BY batch DESC, seq DESC) AS rn FROM b) WHERE rn = 1"""))
 def q_upsert_latest(spark, sf_dir):
-    from hirelens.sinks.store import upsert, write_version
-    b1, b2 = _batches(spark, sf_dir)
-    v1 = spark.read.parquet(write_version(spark, upsert(None, b1, "job_url"), "job-table"))
-    v2 = spark.read.parquet(write_version(spark, upsert(v1, b2, "job_url"), "job-table"))
-    return v2.select("job_url", "seq", F.col("_batch").alias("batch"), "salary_avg")
+    from hirelens.session import unique_dir
+    from hirelens.sinks.store import BucketTable
+    table_ = BucketTable(spark, unique_dir(spark, "job-table"), "job_url")
+    for version, batch in enumerate(_batches(spark, sf_dir)):
+        table_.upsert(batch, version)
+    return table_.read().select("job_url", "seq", F.col("_batch").alias("batch"), "salary_avg")
 
 
 @register("insert_new", with_parsed(f""", {UPSERT_BATCHES},

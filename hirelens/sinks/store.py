@@ -43,3 +43,50 @@ def write_version(spark: SparkSession, df: DataFrame, name: str, partition_by=No
     w.parquet(path)
     return path
 
+
+class BucketTable:
+    """A keyed table of hash buckets under ``path`` (SNK-5, STM-5).
+
+    Version b is the folder ``v<b>`` with a subfolder for each bucket that batch
+    b touched, and a success mark once it is complete. The table is, for each
+    bucket, the latest complete version that has it: a batch reads and rewrites
+    only the buckets of its keys, and the files alone say what is current, also
+    after a restart. The number of buckets is fixed when the table is made."""
+
+    def __init__(self, spark: SparkSession, path: str, key: str, n_buckets: int = 64):
+        self.spark, self.path, self.key, self.n = spark, path.rstrip("/"), key, n_buckets
+
+    def _bucket(self):
+        return F.pmod(F.xxhash64(self.key), F.lit(self.n)).cast("int")
+
+    def _latest(self, below: int | None = None) -> dict[int, str]:
+        """The folder of each bucket, of versions below ``below``."""
+        path = self.spark._jvm.org.apache.hadoop.fs.Path
+        root = path(self.path)
+        fs = root.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+        if not fs.exists(root):
+            return {}
+        names = [s.getPath().getName() for s in fs.listStatus(root)]
+        versions = sorted(int(n[1:]) for n in names if n.startswith("v") and n[1:].isdigit())
+        out = {}
+        for v in versions:
+            if (below is None or v < below) and fs.exists(path(f"{self.path}/v{v}/_SUCCESS")):
+                for s in fs.listStatus(path(f"{self.path}/v{v}")):
+                    if s.getPath().getName().startswith("_bucket="):
+                        out[int(s.getPath().getName().split("=")[1])] = f"{self.path}/v{v}/{s.getPath().getName()}"
+        return out
+
+    def read(self) -> DataFrame | None:
+        """All rows, or None before the first version."""
+        folders = sorted(self._latest().values())
+        return self.spark.read.parquet(*folders) if folders else None
+
+    def upsert(self, batch: DataFrame, version: int, order_cols=("_batch", "seq")) -> None:
+        """Last write wins per key. Repeating a version starts from the ones
+        before it, so it is safe."""
+        batch = batch.withColumn("_bucket", self._bucket())
+        touched = {r[0] for r in batch.select("_bucket").distinct().collect()}  # at most n
+        held = [p for b, p in sorted(self._latest(version).items()) if b in touched]
+        now = self.spark.read.parquet(*held).withColumn("_bucket", self._bucket()) if held else None
+        merged = upsert(now, batch, self.key, order_cols)
+        merged.write.mode("overwrite").partitionBy("_bucket").parquet(f"{self.path}/v{version}")

@@ -149,37 +149,21 @@ def stream_breaker(spark: SparkSession, drops: str, schema, work: str, files_per
 
 
 # ------------------------------------------------------------------ STM-5
-def _versions(spark: SparkSession, table: str) -> list[int]:
-    """Batch ids of the complete versions of a table, ascending."""
-    jvm, conf = spark._jvm, spark.sparkContext._jsc.hadoopConfiguration()
-    root = jvm.org.apache.hadoop.fs.Path(table)
-    fs = root.getFileSystem(conf)
-    if not fs.exists(root):
-        return []
-    names = [s.getPath().getName() for s in fs.listStatus(root)]
-    return sorted(int(n[1:]) for n in names if n.startswith("v") and fs.exists(jvm.org.apache.hadoop.fs.Path(f"{table}/{n}/_SUCCESS")))
-
-
 def stream_upsert(spark: SparkSession, drops: str, schema, work: str, files_per_trigger: int) -> DataFrame:
-    """Each micro-batch is upserted into a table keyed by job_url (last write
-    wins: later batch, then larger seq). The version of batch b is
-    ``work``/table/v<b>; a complete one has its success mark, so the files
-    alone say which is current, also after a restart, and a repeated batch
-    starts from the version before it."""
-    from hirelens.sinks.store import upsert
-    table = f"{work}/table"
+    """Each micro-batch is upserted into a bucketed table keyed by job_url (last
+    write wins: later batch, then larger seq); a batch rewrites the buckets it
+    touches. A restart finds the table's state in its files."""
+    from hirelens.sinks.store import BucketTable
+    table = BucketTable(spark, f"{work}/table", "job_url")
     s = read_stream(spark, drops, schema, files_per_trigger)
 
     def sink(batch: DataFrame, batch_id: int) -> None:
-        b = batch.withColumn("_batch", F.lit(batch_id))
-        before = [v for v in _versions(spark, table) if v < batch_id]
-        cur = spark.read.parquet(f"{table}/v{before[-1]}") if before else None
-        upsert(cur, b, "job_url").write.mode("overwrite").parquet(f"{table}/v{batch_id}")
+        table.upsert(batch.withColumn("_batch", F.lit(batch_id)), batch_id)
 
     q = (s.writeStream.foreachBatch(sink).option("checkpointLocation", f"{work}/checkpoint")
          .trigger(availableNow=True).start())
     q.awaitTermination()
-    return spark.read.parquet(f"{table}/v{_versions(spark, table)[-1]}").drop("_batch")
+    return table.read().drop("_batch")
 
 
 # ------------------------------------------------------------------ STM-6

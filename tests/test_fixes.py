@@ -137,3 +137,30 @@ def test_tfidf_vocabulary_is_all_terms_unless_capped(spark, cap):
     for r in w:
         norm[r["seq"]] = norm.get(r["seq"], 0) + r["weight"] ** 2
     assert all(abs(v - 1) < 1e-9 for v in norm.values())
+
+
+def test_an_upsert_rewrites_only_the_buckets_it_touches(spark, tmp_path):
+    import os
+
+    from hirelens.sinks.store import BucketTable
+    t = BucketTable(spark, str(tmp_path / "t"), "k", n_buckets=16)
+    assert t.read() is None
+    rows = [(f"k{i}", 0, i, "old") for i in range(200)] + [(None, 0, 1, "old")]
+    t.upsert(spark.createDataFrame(rows, "k string, _batch int, seq long, v string"), 0)
+    t.upsert(spark.createDataFrame([("k7", 1, 0, "new"), ("k7", 1, 5, "newer"), ("x", 1, 1, "new")], "k string, _batch int, seq long, v string"), 1)
+    got = {r["k"]: r["v"] for r in t.read().collect()}
+    assert len(got) == 202 and got["k7"] == "newer" and got["x"] == "new" and got["k8"] == "old" and got[None] == "old"
+    assert len([x for x in os.listdir(tmp_path / "t" / "v1") if x.startswith("_bucket=")]) <= 2
+    t.upsert(spark.createDataFrame([("k7", 1, 9, "again")], "k string, _batch int, seq long, v string"), 1)  # repeated version
+    assert {r["k"]: r["v"] for r in t.read().collect()}["k7"] == "again"
+
+
+def test_quantiles_equal_percentile(spark):
+    from hirelens.operators.quantiles import quantiles
+    import random
+    rng = random.Random(4)
+    rows = [(rng.choice(["a", "b", None]), rng.choice([None, *(float(x) for x in range(9))])) for _ in range(300)] + [("c", None)]
+    df = spark.createDataFrame(rows, "g string, x double")
+    want = {r["g"]: (r["p"], r["q"]) for r in df.groupBy("g").agg(F.percentile("x", F.lit(0.5)).alias("p"), F.percentile("x", F.lit(0.27)).alias("q")).collect()}
+    got = {r["g"]: (r["p"], r["q"]) for r in quantiles(df, ["g"], {"p": ("x", 0.5), "q": ("x", 0.27)}).collect()}
+    assert got == {g: v for g, v in want.items() if v[0] is not None}
