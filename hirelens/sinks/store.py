@@ -51,9 +51,10 @@ class BucketTable:
     b touched, and a success mark once it is complete. The table is, for each
     bucket, the latest complete version that has it: a batch reads and rewrites
     only the buckets of its keys, and the files alone say what is current, also
-    after a restart. The number of buckets is fixed when the table is made."""
+    after a restart. The number of buckets is fixed when the table is made; one
+    bucket is one task's work, so a large table asks for thousands."""
 
-    def __init__(self, spark: SparkSession, path: str, key: str, n_buckets: int = 64):
+    def __init__(self, spark: SparkSession, path: str, key: str, n_buckets: int = 16):
         self.spark, self.path, self.key, self.n = spark, path.rstrip("/"), key, n_buckets
 
     def _bucket(self):
@@ -89,4 +90,4 @@ class BucketTable:
         held = [p for b, p in sorted(self._latest(version).items()) if b in touched]
         now = self.spark.read.parquet(*held).withColumn("_bucket", self._bucket()) if held else None
         merged = upsert(now, batch, self.key, order_cols)
-        merged.write.mode("overwrite").partitionBy("_bucket").parquet(f"{self.path}/v{version}")
+        merged.repartition("_bucket").write.mode("overwrite").partitionBy("_bucket").parquet(f"{self.path}/v{version}")
