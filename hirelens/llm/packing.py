@@ -65,7 +65,9 @@ def column_generation(size: np.ndarray, need: np.ndarray, room: int, gap: float
     problem: as few sequences as possible with at least ``need`` pieces of
     each class (sizes ascending). A basis has a column per class: a pattern, or
     the surplus of a class, which costs nothing and makes prices nonnegative.
-    Any basis is feasible, so stopping early costs only padding."""
+    Any basis is feasible, so stopping early costs only padding; the same holds
+    for what rounding adds up to, since whole patterns are counted against the
+    need itself (``whole_patterns``)."""
     m = len(size)
     basis = np.diag(room // size).astype(float)  # a row per column of the program
     cost = np.ones(m)
@@ -97,9 +99,6 @@ def column_generation(size: np.ndarray, need: np.ndarray, room: int, gap: float
         row = inverse[r] / step[r]
         inverse -= np.outer(step, row)
         inverse[r] = row
-        if k % 250 == 249:  # against rounding
-            inverse = np.linalg.inv(basis.T)
-            used = np.maximum(inverse @ need, 0)
     real = cost > 0
     return basis[real].astype(np.int64), used[real]
 
