@@ -13,8 +13,11 @@
 3. Node pairs that may hold a link are decided exactly in double precision:
    all members at once where the triangle inequality settles it, else member by
    member in blocks, counted and not listed.
-4. Recall is audited against brute force on a bounded sample of queries; below
-   the goal the search is repeated with more buckets and longer lists.
+4. Recall is audited against brute force, query by query, on nodes drawn until
+   enough of them have links outside their ball; where links are too rare for
+   that, a further search has to agree. Below the goal the search is repeated
+   with more buckets and longer lists, and the links of all searches count; if
+   it stays below, the operator fails.
 """
 
 from __future__ import annotations
@@ -35,9 +38,15 @@ TABLES = 6
 BUCKET = 64
 BLOCK = 512
 BALL_ROUNDS = 3
-#: queries of the audit (their vectors travel with the task) and its goal
+#: queries of the audit: in its first and its largest pass (their vectors travel
+#: with the task), those with links that it wants, and those it asks at most
 AUDIT_QUERIES = 400
+AUDIT_STEP = 3200
+AUDIT_LINKED = 100
+AUDIT_MOST = 16_000
+#: the goal, and searches (each with twice the tables and lists) to reach it
 AUDIT_RECALL = 0.95
+ATTEMPTS = 5
 
 
 # ---------------------------------------------------------------- batches
@@ -312,25 +321,53 @@ def _links(graph: DataFrame, nodes: DataFrame, members: DataFrame, units: DataFr
     return counts, edges, inside
 
 
-def _audit(units: DataFrame, counts: DataFrame, cosine: float) -> float:
-    """Links found over links that brute force finds, for the queries with the
-    smallest hashes of their id; all vectors are compared, in blocks."""
-    asked = units.orderBy(F.xxhash64("id"), "id").limit(AUDIT_QUERIES).select("id", "v").toArrow()
-    if not asked.num_rows:
-        return 1.0
-    q, who = _matrix(asked["v"], np.float64), asked["id"].to_numpy()
+def _outer(n: str):
+    """Links of a node's vector that its own ball does not give for free."""
+    return F.greatest(F.lit(0), F.coalesce(F.col(n), F.lit(0)) - (F.col("size") - 1))
 
-    def brute(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        n = np.zeros(len(who), np.int64)
-        for batch in batches:
-            if batch.num_rows:
-                hit = _matrix(batch["v"], np.float64) @ q.T >= cosine
-                n += (hit & (batch["id"].to_numpy()[:, None] != who[None, :])).sum(axis=0)
-        yield pa.RecordBatch.from_arrays([pa.array(who), pa.array(n)], names=["id", "true"])
 
-    true = units.mapInArrow(brute, "id long, true long").groupBy("id").agg(F.sum("true").alias("true"))
-    got = true.join(counts, "id", "left").agg(F.sum("true").alias("t"), F.sum(F.least("true", F.coalesce("n", F.lit(0)))).alias("f")).first()
-    return got["f"] / got["t"] if got["t"] else 1.0
+def _audit(nodes: DataFrame, units: DataFrame, counts: DataFrame, cosine: float) -> tuple[float, bool]:
+    """(mean over queries of the share of a query's links that was found,
+    whether the queries suffice).
+
+    A query is a node: a ball asks once, whatever its number of copies, and
+    only links that leave the ball count. Nodes are drawn by the hash of their
+    id until AUDIT_LINKED of them have such links; fewer suffice only if all
+    nodes were asked. All vectors are compared with them, in blocks.
+    """
+    order = nodes.select("id", "v", F.xxhash64("id").alias("h"))
+    share, linked, asked, step, last = 0.0, 0, 0, AUDIT_QUERIES, None
+    while linked < AUDIT_LINKED and asked < AUDIT_MOST:
+        rest = order if last is None else order.where((F.col("h") > last[0]) | (F.col("h") == last[0]) & (F.col("id") > last[1]))
+        drawn = rest.orderBy("h", "id").limit(step).toArrow()
+        if not drawn.num_rows:
+            return (share / linked if linked else 1.0), True
+        last = drawn["h"][-1].as_py(), drawn["id"][-1].as_py()
+        q, who = _matrix(drawn["v"], np.float64), drawn["id"].to_numpy()
+
+        def brute(batches: Iterator[pa.RecordBatch], q=q, who=who) -> Iterator[pa.RecordBatch]:
+            n = np.zeros(len(who), np.int64)
+            for batch in batches:
+                for lo in range(0, batch.num_rows, BLOCK):
+                    part = batch.slice(lo, BLOCK)
+                    hit = _matrix(part["v"], np.float64) @ q.T >= cosine
+                    n += (hit & (part["id"].to_numpy()[:, None] != who[None, :])).sum(axis=0)
+            yield pa.RecordBatch.from_arrays([pa.array(who), pa.array(n)], names=["id", "true"])
+
+        true = units.mapInArrow(brute, "id long, true long").groupBy("id").agg(F.sum("true").alias("true"))
+        got = true.join(nodes.select("id", "size"), "id").join(counts, "id", "left").where(_outer("true") > 0) \
+            .agg(F.count(F.lit(1)).alias("k"), F.sum(F.least(_outer("true"), _outer("n")) / _outer("true")).alias("share")).first()
+        share, linked, asked = share + (got["share"] or 0.0), linked + got["k"], asked + drawn.num_rows
+        step = min(2 * step, AUDIT_STEP)
+    return (share / linked if linked else 1.0), linked >= AUDIT_LINKED
+
+
+def _agreement(nodes: DataFrame, before: DataFrame, now: DataFrame) -> float:
+    """Mean over the nodes with links by now of the share that was found
+    before."""
+    both = nodes.select("id", "size").join(now, "id").join(before.withColumnRenamed("n", "old"), "id", "left").where(_outer("n") > 0)
+    share = both.agg(F.avg(F.least(_outer("old"), _outer("n")) / _outer("n"))).first()[0]
+    return 1.0 if share is None else share
 
 
 def near_duplicates(vectors: DataFrame, cosine: float = 0.95, id_col: str = "vec_id", vec_col: str = "embedding",
@@ -350,13 +387,27 @@ def near_duplicates(vectors: DataFrame, cosine: float = 0.95, id_col: str = "vec
     members, nodes = _balls(units, dim, n, angle, seed)
     n_nodes = nodes.count()
     tables, keep = TABLES, LIST
-    for attempt in range(3):
-        graph = _graph(nodes, dim, n_nodes, angle, tables, keep, seed + 1000 * attempt)
+    graph = before = None
+    for attempt in range(ATTEMPTS):
+        more = _graph(nodes, dim, n_nodes, angle, tables, keep, seed + 1000 * attempt)
+        if graph is None:
+            graph = more
+        else:
+            both = written(graph.select("a", "b", "cos").unionByName(more.select("a", "b", "cos"))
+                           .groupBy("a", "b").agg(F.max("cos").alias("cos")), "nn-graphs")
+            drop(graph, more)
+            graph = both
         counts, edges, inside = _links(graph, nodes, members, units, cosine)
         counts = written(counts, "nn-counts")
-        if _audit(units, counts, cosine) >= AUDIT_RECALL:
+        recall, enough = _audit(nodes, units, counts, cosine)
+        if not enough and recall >= AUDIT_RECALL:
+            # links too rare to draw: a further search has to find no others
+            recall = 0.0 if before is None else _agreement(nodes, before, counts)
+        if recall >= AUDIT_RECALL:
             break
-        tables, keep = tables * 2, keep * 2
+        before, tables, keep = counts, tables * 2, keep * 2
+    else:
+        raise RuntimeError(f"near_duplicates: recall {recall:.3f} after {ATTEMPTS} searches, the goal is {AUDIT_RECALL}")
     of = components(edges, "nn-components")
     label = written(inside.join(of, "node", "left").select("id", F.coalesce("component", "node").alias("component")), "nn-labels")
     every = vectors.select(vectors[id_col].cast("long").alias("vec_id"))

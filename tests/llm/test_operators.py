@@ -7,6 +7,7 @@ import re
 import numpy as np
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
 import edge
 
@@ -127,6 +128,38 @@ def test_embeddings_empty(spark):
     assert sorted((r["vec_id"], r["n_links"], r["component_id"], r["kept"]) for r in lone) == [(3, 0, 3, True), (4, 0, 4, True)]
 
 
+def test_embeddings_audit_sees_lost_pairs(spark):
+    """A huge group of copies and rare links do not hide what is not found."""
+    from hirelens.llm import embeddings as E
+    rng = np.random.default_rng(8)
+    rows = [(i, [1.0] * 16) for i in range(600)]
+    for i in range(150):  # pairs beyond half the angle, so that no ball joins them
+        e = rng.standard_normal(16)
+        o = rng.standard_normal(16)
+        o -= e * (o @ e) / (e @ e)
+        a = 0.25
+        rows += [(1000 + 2 * i, e.tolist()), (1001 + 2 * i, (e * np.cos(a) + o * np.sin(a) * np.linalg.norm(e) / np.linalg.norm(o)).tolist())]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    out = {r["vec_id"]: r["n_links"] for r in E.near_duplicates(table).collect()}
+    assert all(out[i] == 599 for i in range(600))
+    assert sum(out[1000 + i] >= 1 for i in range(300)) >= 0.95 * 300
+
+    units, dim = E._units(table, "vec_id", "embedding")
+    members, nodes = E._balls(units, dim, len(rows), np.arccos(0.95), 11)
+    free = nodes.select("id", "size").join(members.groupBy("center").count(), F.col("id") == F.col("center"), "left") \
+        .select("id", F.coalesce("count", F.lit(0)).alias("n"))
+    recall, enough = E._audit(nodes, units, free, 0.95)
+    assert recall < 0.05 and enough
+
+
+def test_embeddings_fail_below_the_goal(spark, monkeypatch):
+    from hirelens.llm import embeddings as E
+    monkeypatch.setattr(E, "_audit", lambda *a: (0.5, True))
+    monkeypatch.setattr(E, "ATTEMPTS", 2)
+    with pytest.raises(RuntimeError, match="recall 0.500"):
+        E.near_duplicates(vectors(spark, [(i, [float(i), 1.0], 0, 1, "", "") for i in range(6)])).collect()
+
+
 # ------------------------------------------------------------------ 4
 
 def brute_stats(text):
