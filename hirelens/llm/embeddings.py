@@ -15,7 +15,8 @@
    member in blocks, counted and not listed.
 4. Recall is audited against brute force, query by query, on nodes drawn until
    enough of them have links outside their ball; where links are too rare for
-   that, a further search has to agree. Below the goal the search is repeated
+   that, a further search has to agree. Each length of vectors has its own
+   buckets and its own audit. Below the goal the search is repeated
    with more buckets and longer lists, and the links of all searches count; if
    it stays below, the operator fails.
 """
@@ -27,6 +28,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -72,6 +74,30 @@ def _planes(dim: int, bits: int, seed: int) -> np.ndarray:
     return np.random.default_rng(seed).standard_normal((dim, max(bits, 1)))
 
 
+def _by_length(batch, column: str = "v"):
+    """The rows of a batch or table, cut by the length of their vectors (lists
+    or bytes); the order within a length stays."""
+    col = batch[column]
+    size = np.asarray(pc.list_value_length(col) if pa.types.is_list(col.type) else pc.binary_length(col))
+    lengths = np.unique(size)
+    if len(lengths) == 1:
+        yield batch
+        return
+    for n in lengths:
+        yield batch.filter(pa.array(size == n))
+
+
+def _counts(vectors: DataFrame) -> dict[int, int]:
+    """Vectors of each length."""
+    rows = vectors.groupBy((F.octet_length("v") / 8).cast("int").alias("d")).count().collect()
+    return {r["d"]: r["count"] for r in rows}
+
+
+def _bits(vectors: DataFrame) -> dict[int, int]:
+    """Hyperplanes for each length, for some BUCKET vectors a bucket."""
+    return {d: max(0, math.ceil(math.log2(n / BUCKET))) for d, n in _counts(vectors).items()}
+
+
 def _sorted_groups(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[pa.Table]:
     """Whole groups of consecutive equal keys, several to a table."""
     held: list[pa.RecordBatch] = []
@@ -93,63 +119,67 @@ def _sorted_groups(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[pa.T
 
 # ------------------------------------------------------------ preparation
 
-def _units(df: DataFrame, id_col: str, vec_col: str) -> tuple[DataFrame, int]:
-    """(id, v: the unit vector's doubles) of the vectors that can link, and
-    their dimension: the most frequent length (of equal counts the larger)."""
+def _units(df: DataFrame, id_col: str, vec_col: str) -> DataFrame:
+    """(id, v: the unit vector's doubles) of the vectors that can link."""
     one = df.where(df[id_col].isNotNull()).groupBy(df[id_col].cast("long").alias("id")) \
         .agg(F.min(df[vec_col].cast("array<double>")).alias("e"))
-    dims = one.where("e IS NOT NULL AND size(e) > 0").groupBy(F.size("e").alias("d")).count() \
-        .orderBy(F.desc("count"), F.desc("d")).limit(1).collect()
-    dim = dims[0]["d"] if dims else 0
 
     def unit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            col = batch.column(1)
-            flat = np.asarray(col.flatten().fill_null(math.nan), float).reshape(batch.num_rows, -1)
-            top = np.abs(flat).max(axis=1, keepdims=True) if flat.size else np.zeros((0, 1))
-            ok = np.isfinite(flat).all(axis=1) & (top[:, 0] > 0)
-            x = flat[ok] / top[ok]
-            x /= np.sqrt((x * x).sum(axis=1, keepdims=True))
-            if len(x):
-                yield pa.RecordBatch.from_arrays([batch.column(0).filter(pa.array(ok)), _binary(x)], names=["id", "v"])
-
-    return written(one.where(F.size("e") == dim).mapInArrow(unit, "id long, v binary"), "nn-units"), dim
-
-
-def _bucketed(vectors: DataFrame, dim: int, bits: int, seeds: list[int]) -> DataFrame:
-    """(id, v, bucket) once per seed; a bucket is the signs of ``bits``
-    projections."""
+        for whole in batches:
+            for batch in _by_length(whole, "e") if whole.num_rows else ():
+                flat = np.asarray(batch.column(1).flatten().fill_null(math.nan), float).reshape(batch.num_rows, -1)
+                top = np.abs(flat).max(axis=1, keepdims=True)
+                ok = np.isfinite(flat).all(axis=1) & (top[:, 0] > 0)
+                x = flat[ok] / top[ok]
+                x /= np.sqrt((x * x).sum(axis=1, keepdims=True))
+                if len(x):
+                    yield pa.RecordBatch.from_arrays([batch.column(0).filter(pa.array(ok)), _binary(x)], names=["id", "v"])
+
+    return written(one.where("e IS NOT NULL AND size(e) > 0").mapInArrow(unit, "id long, v binary"), "nn-units")
+
+
+def _bucketed(vectors: DataFrame, bits: dict[int, int], seeds: list[int]) -> DataFrame:
+    """(id, v, bucket) once per seed; a bucket is the length of the vector and
+    the signs of that length's projections."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        planes = [_planes(dim, bits, s) for s in seeds]
-        power = (1 << np.arange(max(bits, 1), dtype=np.int64)) if bits else np.zeros(1, np.int64)
-        for batch in batches:
-            x = _matrix(batch["v"], np.float64)
-            for t, p in enumerate(planes):
-                key = ((x @ p > 0) @ power).astype(np.int64) * len(seeds) + t
-                yield pa.RecordBatch.from_arrays([batch["id"], batch["v"], pa.array(key)], names=["id", "v", "bucket"])
+        planes = {}
+        for whole in batches:
+            for batch in _by_length(whole):
+                x = _matrix(batch["v"], np.float64)
+                if not len(x):
+                    continue
+                dim = x.shape[1]
+                b = bits[dim]
+                if dim not in planes:
+                    planes[dim] = [_planes(dim, b, s) for s in seeds]
+                power = (1 << np.arange(max(b, 1), dtype=np.int64)) if b else np.zeros(1, np.int64)
+                for t, p in enumerate(planes[dim]):
+                    key = (((x @ p > 0) @ power).astype(np.int64) * len(seeds) + t << 28) + dim
+                    yield pa.RecordBatch.from_arrays([batch["id"], batch["v"], pa.array(key)], names=["id", "v", "bucket"])
 
     return vectors.mapInArrow(run, "id long, v binary, bucket long")
 
 
 # ------------------------------------------------------------------ balls
 
-def _balls(units: DataFrame, dim: int, n: int, angle: float, seed: int) -> tuple[DataFrame, DataFrame]:
+def _balls(units: DataFrame, angle: float, seed: int) -> tuple[DataFrame, DataFrame]:
     """(members: id, center, angle), (nodes: id, v, radius, size)."""
     half = angle / 2 - 1e-9
-    bits = max(0, math.ceil(math.log2(max(n, 1) / BUCKET)))
+    bits = _bits(units)
 
     def near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            dot = np.einsum("ij,ij->i", _matrix(batch["v"], np.float64), _matrix(batch["cv"], np.float64)) \
-                if batch.num_rows else np.zeros(0)
-            a = np.arccos(np.clip(dot, -1, 1))
-            ok = pa.array(a <= half)
-            yield pa.RecordBatch.from_arrays([batch["id"].filter(ok), batch["center"].filter(ok), pa.array(a).filter(ok)],
-                                             names=["id", "center", "angle"])
+        for whole in batches:
+            for batch in _by_length(whole):
+                dot = np.einsum("ij,ij->i", _matrix(batch["v"], np.float64), _matrix(batch["cv"], np.float64)) \
+                    if batch.num_rows else np.zeros(0)
+                a = np.arccos(np.clip(dot, -1, 1))
+                ok = pa.array(a <= half)
+                yield pa.RecordBatch.from_arrays([batch["id"].filter(ok), batch["center"].filter(ok), pa.array(a).filter(ok)],
+                                                 names=["id", "center", "angle"])
 
     pool, found, stale = units, [], []
     for r in range(BALL_ROUNDS):
-        keyed = written(_bucketed(pool, dim, bits, [seed + r]), "nn-pool")
+        keyed = written(_bucketed(pool, bits, [seed + r]), "nn-pool")
         first = keyed.groupBy("bucket").agg(F.min("id").alias("center"), F.count(F.lit(1)).alias("k")).where("k > 1")
         lead = written(first.join(keyed.select(F.col("id").alias("center"), F.col("v").alias("cv")), "center")
                        .select("bucket", "center", "cv"), "nn-centers")
@@ -182,12 +212,12 @@ def _top(edges: DataFrame, k: DataFrame) -> DataFrame:
     return best.withColumn("r", rank).join(k, best["a"] == k["id"]).where("r <= k").select("a", "b", "cos", "fresh")
 
 
-def _start(nodes: DataFrame, dim: int, n: int, tables: int, keep: int, seed: int) -> DataFrame:
+def _start(nodes: DataFrame, tables: int, keep: int, seed: int) -> DataFrame:
     """First lists: the nearest of each bucket, over several bucketings. Large
     buckets are cut into chunks at random."""
-    bits = max(0, math.ceil(math.log2(max(n, 1) / BUCKET)))
-    keyed = _bucketed(nodes.select("id", "v"), dim, bits, [seed + 100 + t for t in range(tables)])
-    size = written(_bucketed(nodes.select("id", "v"), dim, bits, [seed + 100 + t for t in range(tables)])
+    bits = _bits(nodes)
+    keyed = _bucketed(nodes.select("id", "v"), bits, [seed + 100 + t for t in range(tables)])
+    size = written(_bucketed(nodes.select("id", "v"), bits, [seed + 100 + t for t in range(tables)])
                    .groupBy("bucket").count().where(F.col("count") > BLOCK), "nn-large")
     cut = keyed.join(size, "bucket", "left").withColumn(
         "chunk", F.pmod(F.xxhash64("id", "bucket"), F.coalesce(F.ceil(F.col("count") / BLOCK), F.lit(1)))) \
@@ -223,7 +253,7 @@ def _refine(graph: DataFrame, nodes: DataFrame, k: DataFrame, parts: int) -> Dat
         .repartition(parts, "u").sortWithinPartitions("u")
 
     def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for table in _sorted_groups(batches, "u"):
+        for table in (part for whole in _sorted_groups(batches, "u") for part in _by_length(whole)):
             u, a = table["u"].to_numpy(), table["a"].to_numpy()
             fresh, floor = table["fresh"].to_numpy(), table["floor"].to_numpy()
             x = _matrix(table["v"], np.float64)
@@ -244,24 +274,28 @@ def _refine(graph: DataFrame, nodes: DataFrame, k: DataFrame, parts: int) -> Dat
     return rows.mapInArrow(pairs, "a long, b long, cos double")
 
 
-def _graph(nodes: DataFrame, dim: int, n: int, angle: float, tables: int, keep: int, seed: int) -> DataFrame:
+def _graph(nodes: DataFrame, angle: float, tables: int, keep: int, seed: int) -> DataFrame:
     """(a, b, cos): the neighbour lists after NN-descent."""
     spark = nodes.sparkSession
     parts = shuffle_width(spark)
+    sizes = _counts(nodes)
+    n = sum(sizes.values())
     k = written(nodes.select("id", F.lit(keep).cast("long").alias("k")), "nn-k")
     fresh = F.lit(True)
-    graph = written(_top(_start(nodes, dim, n, tables, keep, seed).withColumn("fresh", fresh), k), "nn-graph")
+    graph = written(_top(_start(nodes, tables, keep, seed).withColumn("fresh", fresh), k), "nn-graph")
     widest = nodes.agg(F.max("radius")).first()[0] or 0.0
     for _ in range(30):
         found = _refine(graph, nodes, k, parts).withColumn("fresh", fresh)
         new = written(_top(graph.withColumn("fresh", F.lit(False)).unionByName(found), k), "nn-graph")
         drop(graph)
         graph = new
-        entered = graph.where("fresh").count()
-        full = graph.groupBy("a").agg(F.count(F.lit(1)).alias("n"), F.min("cos").alias("worst")).join(nodes, F.col("a") == nodes["id"])
+        full = written(graph.groupBy("a").agg(F.count(F.lit(1)).alias("n"), F.min("cos").alias("worst"), F.count_if("fresh").alias("entered"))
+                       .join(nodes, F.col("a") == nodes["id"]).select("id", "n", "worst", "entered", "radius", F.octet_length("v").alias("bytes")), "nn-full")
+        entered = {r["bytes"] // 8: r["entered"] for r in full.groupBy("bytes").agg(F.sum("entered").alias("entered")).collect()}
         can = F.cos(F.least(F.lit(math.pi), F.lit(angle) + F.col("radius") + F.lit(widest)))
         saturated = written(full.join(k, "id").where((F.col("n") >= F.col("k")) & (F.col("worst") >= can) & (F.col("n") < n - 1))
                             .select("id"), "nn-saturated")
+        drop(full)
         if saturated.limit(1).count():
             wider = written(k.join(saturated.withColumn("s", F.lit(True)), "id", "left")
                             .select("id", F.when(F.col("s"), F.col("k") * 2).otherwise(F.col("k")).alias("k")), "nn-k")
@@ -270,7 +304,7 @@ def _graph(nodes: DataFrame, dim: int, n: int, angle: float, tables: int, keep:
                             .select("a", "b", "cos", (F.col("fresh") | F.coalesce("s", F.lit(False))).alias("fresh")), "nn-graph")
             drop(k, graph, saturated)
             k, graph = wider, again
-        elif entered <= 0.002 * n * keep:
+        elif all(entered.get(d, 0) <= 0.002 * m * keep for d, m in sizes.items()):
             break
     return graph
 
@@ -375,21 +409,20 @@ def near_duplicates(vectors: DataFrame, cosine: float = 0.95, id_col: str = "vec
     """vec_id, n_links, component_id, kept for every row of ``vectors``.
 
     Two vectors are linked if found with a cosine of at least ``cosine`` in
-    double precision. Null and zero vectors, those with null or non-finite
-    components and those of another length than most link with nothing: no
-    links, a component of their own. Rows with the same id count as one vector
+    double precision. Null and zero vectors and those with null or
+    non-finite components link with nothing: no links, a component of their
+    own. Vectors of different lengths do not link. Rows with the same id count as one vector
     (the smallest, if they differ). A null id has no links and no component.
     An empty table gives no rows; other columns are ignored.
     """
     angle = math.acos(cosine)
-    units, dim = _units(vectors, id_col, vec_col)
-    n = units.count()
-    members, nodes = _balls(units, dim, n, angle, seed)
-    n_nodes = nodes.count()
+    units = _units(vectors, id_col, vec_col)
+    members, nodes = _balls(units, angle, seed)
     tables, keep = TABLES, LIST
+    lengths = _counts(nodes)
     graph = before = None
     for attempt in range(ATTEMPTS):
-        more = _graph(nodes, dim, n_nodes, angle, tables, keep, seed + 1000 * attempt)
+        more = _graph(nodes, angle, tables, keep, seed + 1000 * attempt)
         if graph is None:
             graph = more
         else:
@@ -399,10 +432,17 @@ def near_duplicates(vectors: DataFrame, cosine: float = 0.95, id_col: str = "vec
             graph = both
         counts, edges, inside = _links(graph, nodes, members, units, cosine)
         counts = written(counts, "nn-counts")
-        recall, enough = _audit(nodes, units, counts, cosine)
-        if not enough and recall >= AUDIT_RECALL:
-            # links too rare to draw: a further search has to find no others
-            recall = 0.0 if before is None else _agreement(nodes, before, counts)
+        recall = 1.0
+        for length in sorted(lengths):
+            of_length = F.octet_length("v") == 8 * length
+            own = nodes.where(of_length)
+            found, enough = _audit(own, units.where(of_length), counts, cosine)
+            if not enough and found >= AUDIT_RECALL:
+                # links too rare to draw: a further search has to find no others
+                found = 0.0 if before is None else _agreement(own, before, counts)
+            recall = min(recall, found)
+            if recall < AUDIT_RECALL:
+                break
         if recall >= AUDIT_RECALL:
             break
         before, tables, keep = counts, tables * 2, keep * 2

@@ -144,14 +144,31 @@ def test_embeddings_audit_sees_lost_pairs(spark):
     assert all(out[i] == 599 for i in range(600))
     assert sum(out[1000 + i] >= 1 for i in range(300)) >= 0.95 * 300
 
-    units, dim = E._units(table, "vec_id", "embedding")
-    members, nodes = E._balls(units, dim, len(rows), np.arccos(0.95), 11)
+    units = E._units(table, "vec_id", "embedding")
+    members, nodes = E._balls(units, np.arccos(0.95), 11)
     free = nodes.select("id", "size").join(members.groupBy("center").count(), F.col("id") == F.col("center"), "left") \
         .select("id", F.coalesce("count", F.lit(0)).alias("n"))
     recall, enough = E._audit(nodes, units, free, 0.95)
     assert recall < 0.05 and enough
 
 
+def test_embeddings_of_two_lengths(spark):
+    from hirelens.llm.embeddings import near_duplicates
+    rng = np.random.default_rng(9)
+    rows, want = [], {}
+    for length, many in ((8, 40), (12, 25), (1, 2)):
+        for _ in range(many):  # a copy, a scaled copy and a near copy
+            e = rng.standard_normal(length) if length > 1 else np.array([1.0])
+            group = range(len(rows), len(rows) + 4)
+            rows += [(i, v.tolist()) for i, v in zip(group, (e, e, 3 * e, e + 0.02 * rng.standard_normal(length)))]
+    unit = {i: np.array(e) / np.linalg.norm(e) for i, e in rows}
+    for i, x in unit.items():
+        want[i] = sum(j != i and len(y) == len(x) and x @ y >= 0.95 for j, y in unit.items())
+    got = near_duplicates(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect()
+    assert {r["vec_id"]: r["n_links"] for r in got} == want
+    assert all(r["component_id"] // 4 == r["vec_id"] // 4 or r["vec_id"] >= 260 for r in got) and min(want.values()) >= 3
+
+
 def test_embeddings_fail_below_the_goal(spark, monkeypatch):
     from hirelens.llm import embeddings as E
     monkeypatch.setattr(E, "_audit", lambda *a: (0.5, True))
