@@ -2,7 +2,8 @@ r"""Line dedup by a deletion-neighbourhood join, in DataFrame operations only.
 
 Lines are the ``\n``-separated pieces of a text that hold a word. A line goes
 if an equal line, or one within one character edit, starts earlier in the
-corpus (smaller document id, then smaller position); the earliest stays.
+corpus (smaller document id, then, where ids repeat or are null, smaller hash
+of the text, then smaller position); the earliest stays.
 
 * Equal lines are one class (a 128-bit key and the place of the first).
 * Two lines within one edit agree on the half before or the half after the
@@ -37,11 +38,10 @@ def _checked(df: DataFrame) -> DataFrame:
     return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
 
 
-def _place(doc_id: Column, pos: Column) -> Column:
-    """The order of lines as one number; null ids come first."""
-    lowest = F.lit("-9223372036854775809").cast("decimal(20,0)")
-    at = F.coalesce(doc_id.cast("decimal(20,0)"), lowest) * F.lit(1 << 31).cast("decimal(10,0)")
-    return (at + pos.cast("decimal(10,0)")).cast("decimal(31,0)")
+def _row(doc_id: Column, text: Column) -> list[Column]:
+    """What tells documents apart, in their order: null ids first, then the id,
+    then the hash of the text."""
+    return [doc_id.isNotNull().alias("has"), F.coalesce(doc_id.cast("long"), F.lit(0).cast("long")).alias("id"), F.xxhash64(text).alias("text")]
 
 
 def _half_keys(line: Column, n: Column) -> list[Column]:
@@ -57,14 +57,14 @@ def _half_keys(line: Column, n: Column) -> list[Column]:
 
 
 def repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, gone: positions from 0 of the lines to remove) for the
-    documents that lose lines."""
-    text = docs.select(docs[id_col].alias("doc_id"), docs[text_col].alias("text"))
-    pieces = text.select("doc_id", F.posexplode(F.split("text", "\n")).alias("pos", "line"))
+    """(has, id, text: see ``_row``, gone: positions from 0 of the lines to
+    remove) for the documents that lose lines."""
+    text = docs.select(F.struct(*_row(docs[id_col], docs[text_col])).alias("row"), docs[text_col].alias("text"))
+    pieces = text.select("row", F.posexplode(F.split("text", "\n")).alias("pos", "line"))
     worded = pieces.where(F.col("line").rlike(_HAS_WORD))
     n = F.char_length("line")
     lines = written(worded.select(
-        "doc_id", "pos", _place(F.col("doc_id"), F.col("pos")).alias("place"), F.xxhash64("line").alias("h1"),
+        F.struct("row.has", "row.id", "row.text", "pos").alias("place"), F.xxhash64("line").alias("h1"),
         F.xxhash64(F.lit(1), "line").alias("h2"), n.alias("n"), *_half_keys(F.col("line"), n)), "lines")
     # every row of a class has the same length and halves
     classes = written(lines.groupBy("h1", "h2").agg(
@@ -81,11 +81,12 @@ def repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     wanted = written(keyed.join(shared, "half").groupBy("place").agg(
         F.min(F.when(front, middle + 1).otherwise(1)).alias("lo"),
         F.max(F.when(front, F.col("n")).otherwise(middle + 1)).alias("hi")), "line-wanted")
-    where = written(wanted.join(lines.select("doc_id", "pos", "place"), "place").distinct(), "line-where")
+    where = wanted.select("place", "lo", "hi", F.struct("place.has", "place.id", "place.text").alias("at"))
+    # repeated rows (same id, same text) have the same places
     spelled = written(
         text.where("text IS NOT NULL")
-        .join(_checked(where), text["doc_id"].eqNullSafe(where["doc_id"]))
-        .select("place", "lo", "hi", F.element_at(F.split("text", "\n"), F.col("pos") + 1).alias("line"))
+        .join(_checked(where), F.col("row") == F.col("at"))
+        .select("place", "lo", "hi", F.element_at(F.split("text", "\n"), F.col("place.pos") + 1).alias("line"))
         .dropDuplicates(["place"]), "line-candidates")
 
     # their variants, and the earliest line at each
@@ -112,11 +113,11 @@ def repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     # a class goes whole if it has an earlier near line, else all but its first place
     bad = written(classes.join(near_classes, "place", "left")
                   .where("near OR last > place").select("h1", "h2", F.col("place").alias("first"), "near"), "line-bad")
-    gone = lines.select("doc_id", "place", "pos", "h1", "h2").join(bad, ["h1", "h2"]) \
-        .where("near OR place > first") \
-        .groupBy("doc_id").agg(F.collect_set("pos").alias("gone"))
+    gone = lines.select("place", "h1", "h2").join(bad, ["h1", "h2"]) \
+        .where("near OR place > first").select("place.*") \
+        .groupBy("has", "id", "text").agg(F.collect_set("pos").alias("gone"))
     out = written(gone, "line-gone")
-    drop(lines, classes, shared, wanted, where, spelled, variants, first, whole, claims, near_classes, bad)
+    drop(lines, classes, shared, wanted, spelled, variants, first, whole, claims, near_classes, bad)
     return out
 
 
@@ -125,16 +126,19 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     order, plus ``__n_lines`` and ``__n_removed``.
 
     Lines without a word stay. A null text stays null and has no lines; an
-    empty text has one, which stays. Rows with the same id count as one
-    document, so repeated rows lose the same lines. Lines of fewer than
+    empty text has one, which stays. Rows with the same id and text count as one
+    document, so repeated rows lose the same lines; rows with the same id (or
+    none) and different texts are documents in the order of the texts' hashes.
+    Lines of fewer than
     NEAR_CHARS characters go only if an equal line is earlier. An empty table
     gives no rows.
     """
-    gone = repeated_lines(docs, id_col, text_col).toDF("gone_id", "gone")
+    gone = repeated_lines(docs, id_col, text_col).toDF("gone_has", "gone_id", "gone_text", "gone")
     named = docs.toDF(*[f"c{i}" for i in range(len(docs.columns))])
     at = docs.columns.index(text_col)
     own, key = F.col(f"c{at}"), F.col(f"c{docs.columns.index(id_col)}")
-    joined = named.join(_checked(gone), key.eqNullSafe(F.col("gone_id")), "left")
+    has, number, digest = _row(key, own)
+    joined = named.join(_checked(gone), (has == F.col("gone_has")) & (number == F.col("gone_id")) & (digest == F.col("gone_text")), "left")
     parts = F.split(own, "\n")
     kept = F.filter(parts, lambda line, i: ~F.array_contains("gone", i))
     text = F.when(F.col("gone").isNull(), own).otherwise(F.array_join(kept, "\n"))

@@ -512,6 +512,20 @@ def test_lines(spark, case):
         assert r["__n_lines"] == n
 
 
+def test_lines_of_repeated_and_null_ids(spark):
+    from hirelens.llm.lines import dedup_lines
+    same = "the very same line in two rows"
+    rows = [(None, same + "\nonly the first row has this one"), (None, same + "\nnothing like it stands anywhere else"),
+            (None, "a line without a second, of its own\n" + same), (7, "short\n" + same + "!"), (7, "short\nthe other text of seven, alone"),
+            (8, "the other text of seven, alonf\nlast"), (8, "the other text of seven, alonf\nlast"), (8, "last\nand not least, eight again")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    hashed = {r["text"]: r["h"] for r in docs.select("text", F.xxhash64("text").alias("h")).collect()}
+    order = sorted(set(rows), key=lambda r: (r[0] is not None, r[0] or 0, hashed[r[1]]))
+    want = brute_lines([(i, r[1]) for i, r in enumerate(order)])
+    got = sorted(((r["doc_id"], r["text"]) for r in dedup_lines(docs).collect()), key=repr)
+    assert got == sorted(((r[0], want[order.index(r)]) for r in rows), key=repr)
+
+
 # ------------------------------------------------------------------ 1
 
 def test_licenses(spark):
