@@ -74,20 +74,21 @@ def fingerprints_of(data: np.ndarray, offsets: np.ndarray, words: int) -> np.nda
 
 
 def fingerprints(docs: DataFrame, words: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, fp) per row: A-Z lower-cased, shingles of ``words`` words with
+    """(id, h: the hash of the text, fp) per row: A-Z lower-cased, shingles of ``words`` words with
     repeats; fp is a signed long with the fingerprint's bits. Texts without
     words (null too) have 0."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         start_task("hash")
         for batch in batches:
-            data, offsets = text_bytes(batch.column(1))
+            data, offsets = text_bytes(batch["text"])
             parts = [fingerprints_of(data[offsets[lo]:offsets[hi]], offsets[lo:hi + 1] - offsets[lo], words)
                      for lo, hi in steps(offsets)]
             fp = np.concatenate(parts) if parts else np.zeros(0, np.int64)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fp)], names=["id", "fp"])
+            yield pa.RecordBatch.from_arrays([batch["id"], batch["h"], pa.array(fp)], names=["id", "h", "fp"])
 
     kind = docs.schema[id_col].dataType.simpleString()
-    return docs.select(docs[id_col].alias("id"), docs[text_col].alias("text")).mapInArrow(run, f"id {kind}, fp long")
+    return docs.select(docs[id_col].alias("id"), F.xxhash64(docs[text_col]).alias("h"), docs[text_col].alias("text")) \
+        .mapInArrow(run, f"id {kind}, h long, fp long")
 
 
 def _segments(most: int) -> list[tuple[int, int]]:
@@ -128,6 +129,22 @@ def linked(fps: DataFrame, most: int = 3) -> DataFrame:
             .select(F.least("t.fp", "p.fp").alias("a"), F.greatest("t.fp", "p.fp").alias("b")).distinct())
 
 
+def _labelled(docs: DataFrame, words: int, most: int, id_col: str, text_col: str) -> DataFrame:
+    """Per row: id, h, fp, root (a fingerprint that names the component) and
+    component."""
+    rows = written(fingerprints(docs, words, id_col, text_col), "simhash")
+    classes = written(rows.groupBy("fp").agg(F.min("id").alias("rep")), "simhash-classes")
+    edges = linked(classes, most)
+    of = written(components(edges, "simhash-links"), "simhash-components")
+    root = classes.join(of, classes["fp"] == of["node"], "left") \
+        .select("fp", "rep", F.coalesce("component", "fp").alias("root"))
+    root = written(root, "simhash-roots")
+    least = written(root.groupBy("root").agg(F.min("rep").alias("component")), "simhash-least")
+    label = written(root.join(least, "root").select("fp", "root", "component"), "simhash-labels")
+    drop(classes, of, root, least)
+    return rows.join(label, "fp").select("id", "h", "fp", "root", "component")
+
+
 def near_duplicates(docs: DataFrame, words: int = 3, most: int = 3,
                     id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per row of ``docs``: id, fp, component (the smallest id reachable by
@@ -138,29 +155,23 @@ def near_duplicates(docs: DataFrame, words: int = 3, most: int = 3,
     An empty table gives no rows; other columns are ignored; repeated rows
     each come back.
     """
-    rows = written(fingerprints(docs, words, id_col, text_col), "simhash")
-    classes = written(rows.groupBy("fp").agg(F.min("id").alias("rep")), "simhash-classes")
-    edges = linked(classes, most)
-    of = written(components(edges, "simhash-links"), "simhash-components")
-    root = classes.join(of, classes["fp"] == of["node"], "left") \
-        .select("fp", "rep", F.coalesce("component", "fp").alias("root"))
-    root = written(root, "simhash-roots")
-    least = written(root.groupBy("root").agg(F.min("rep").alias("component")), "simhash-least")
-    label = written(root.join(least, "root").select("fp", "component"), "simhash-labels")
-    drop(classes, of, root, least)
-    return rows.join(label, "fp").select("id", "fp", "component")
+    return _labelled(docs, words, most, id_col, text_col).select("id", "fp", "component")
 
 
 def keep_first(docs: DataFrame, words: int = 3, most: int = 3,
                id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` without near duplicates: of each component the row with the
-    smallest id stays, once if it is repeated. An id any of whose rows loses
-    goes. Rows with a null id stay: no decision can name them. Columns and
-    their order stay."""
-    label = written(near_duplicates(docs, words, most, id_col, text_col).where("id IS NOT NULL"), "simhash-label")
-    losers = label.where("id <> component").select(F.col("id").alias(id_col)).distinct()
-    kept = docs.join(losers, id_col, "left_anti").select(*docs.columns)
-    if label.groupBy("id").count().where("count > 1").limit(1).count():
-        kept = kept.where(F.col(id_col).isNotNull()).dropDuplicates([id_col]) \
-            .unionByName(kept.where(F.col(id_col).isNull()))
+    smallest id stays (of equal ids that with the smallest hash of its text),
+    once if it is repeated. Rows with the same id and different texts are
+    decided each in its own component. Rows with a null id stay: no decision
+    can name them. Columns and their order stay."""
+    label = written(_labelled(docs, words, most, id_col, text_col).where("id IS NOT NULL"), "simhash-label")
+    row = F.struct("id", "h")
+    first = written(label.groupBy("root").agg(F.min(row).alias("first")), "simhash-first")
+    losers = label.join(first, "root").where(row != F.col("first")).select(F.col("id").alias("__id"), F.col("h").alias("__h")).distinct()
+    digest = F.xxhash64(docs[text_col])
+    kept = docs.join(losers, (docs[id_col] == F.col("__id")) & (digest == F.col("__h")), "left_anti").select(*docs.columns)
+    if label.groupBy("id", "h").count().where("count > 1").limit(1).count():
+        one = kept.where(F.col(id_col).isNotNull()).withColumn("__h", F.xxhash64(text_col)).dropDuplicates([id_col, "__h"])
+        kept = one.select(*docs.columns).unionByName(kept.where(F.col(id_col).isNull()))
     return kept

@@ -285,6 +285,15 @@ def test_simhash(spark, case):
     assert ids.count(None) == sum(i is None for i, _ in fps)
 
 
+def test_keep_first_decides_by_row(spark):
+    from hirelens.llm.simhash import keep_first
+    a, b, c = (" ".join(f"{k}{i * i % 89}" for i in range(200)) for k in "abc")
+    # 5 loses to 1 with text a; with text b it is the first of its group; 9 has two texts that both stay
+    rows = [(1, a), (5, a), (5, b), (6, b), (8, b), (9, c), (9, "quite another text, " + c[::-1]), (9, c)]
+    got = keep_first(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()
+    assert sorted((r["doc_id"], r["text"]) for r in got) == sorted([(1, a), (5, b), (9, c), (9, "quite another text, " + c[::-1])])
+
+
 def test_multi_index_finds_every_pair(spark):
     from hirelens.llm.simhash import linked
     rng = random.Random(9)
