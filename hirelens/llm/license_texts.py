@@ -1,8 +1,12 @@
 """Known licence texts and notices, and spellings that count as equal.
 
-Fixed values: the public texts themselves, in natural order.
+Fixed values: the public texts themselves, in natural order; the long ones are
+the files in ``license_files``.
 """
 
+import re
+from importlib.resources import files
+
 #: words with the word they count as
 EQUIVALENT = {
     "acknowledgement": "acknowledgment", "analogue": "analog", "analyse": "analyze", "artefact": "artifact",
@@ -162,3 +166,65 @@ along with this program. If not, see <https://www.gnu.org/licenses/>."""),
     ("CC-BY-NC-4.0", "Licensed under CC BY-NC 4.0."),
     ("CC-BY-4.0", "This work is licensed under a Creative Commons Attribution 4.0 International License."),
 ]
+
+#: file of a whole text with its licence
+_FILES = {
+    "Apache-2.0": "Apache-2.0", "Artistic": "Artistic-1.0-Perl", "BSD": "BSD-3-Clause", "CC0-1.0": "CC0-1.0",
+    "GFDL-1.2": "GFDL-1.2", "GFDL-1.3": "GFDL-1.3", "GPL-1": "GPL-1.0", "GPL-2": "GPL-2.0", "GPL-3": "GPL-3.0",
+    "LGPL-2": "LGPL-2.0", "LGPL-2.1": "LGPL-2.1", "LGPL-3": "LGPL-3.0", "MPL-1.1": "MPL-1.1", "MPL-2.0": "MPL-2.0",
+}
+
+#: where the advice on using a licence begins, after its terms
+_APPENDIX = re.compile(r"^ *(?:APPENDIX: How to apply|ADDENDUM: How to use|Appendix: How to Apply|How to Apply These Terms"
+                       r"|EXHIBIT A -|Exhibit A - )", re.M)
+_END = re.compile(r"^ *END OF TERMS AND CONDITIONS *$", re.M)
+
+
+def _variants(text: str) -> list[str]:
+    """A whole text with and without its appendix, its end mark and its title
+    (the first paragraph)."""
+    out = [text]
+    if found := _APPENDIX.search(text):
+        out.append(text[:found.start()])
+    out += [x[:found.start()] for x in list(out[1:]) if (found := _END.search(x))]
+    return out + [x.lstrip().split("\n\n", 1)[1] for x in out]
+
+
+KNOWN += [(name, text) for file, name in _FILES.items()
+          for text in _variants((files("hirelens.llm") / "license_files" / file).read_text("utf-8"))]
+
+#: the names by which notices call a licence
+_NAMES = {
+    "MIT": ["the MIT License", "MIT"],
+    "Apache-2.0": ["the Apache License, Version 2.0", "the Apache License 2.0", "Apache 2.0", "Apache-2.0"],
+    "BSD-2-Clause": ["the BSD 2-Clause License", "the 2-Clause BSD License", "the Simplified BSD License", "BSD-2-Clause"],
+    "BSD-3-Clause": ["the BSD 3-Clause License", "the 3-Clause BSD License", "the New BSD License", "BSD-3-Clause"],
+    "ISC": ["the ISC License"], "0BSD": ["the Zero-Clause BSD License", "0BSD"], "Zlib": ["the zlib License"],
+    "Unlicense": ["the Unlicense"], "CC0-1.0": ["CC0 1.0", "CC0 1.0 Universal"],
+    "BSL-1.0": ["the Boost Software License, Version 1.0", "BSL-1.0"],
+    "MPL-1.1": ["the Mozilla Public License, Version 1.1", "the Mozilla Public License 1.1", "MPL 1.1"],
+    "MPL-2.0": ["the Mozilla Public License, Version 2.0", "the Mozilla Public License 2.0", "MPL 2.0"],
+    "EPL-1.0": ["the Eclipse Public License, Version 1.0", "the Eclipse Public License 1.0", "EPL 1.0"],
+    "EPL-2.0": ["the Eclipse Public License, Version 2.0", "the Eclipse Public License 2.0", "EPL 2.0"],
+}
+for _short, _long, _versions in (
+        ("GPL", "GNU General Public License", ("1", "2", "3")), ("AGPL", "GNU Affero General Public License", ("3",)),
+        ("LGPL", "GNU Lesser General Public License", ("2.1", "3")), ("LGPL", "GNU Library General Public License", ("2",)),
+        ("GFDL", "GNU Free Documentation License", ("1.2", "1.3"))):
+    for _v in _versions:
+        _NAMES[f"{_short}-{_v if '.' in _v else _v + '.0'}"] = [
+            f"the {_long}, version {_v}", f"the {_long} version {_v}", f"the {_long} v{_v}", f"the {_short} version {_v}",
+            f"{_short}v{_v}", f"{_short} {_v}"] + ([f"the {_long}, version {_v}.0", f"the {_long} v{_v}.0", f"{_short}-{_v}.0"] if "." not in _v else [])
+for _terms, _words in (("BY", "Attribution"), ("BY-SA", "Attribution-ShareAlike"), ("BY-NC", "Attribution-NonCommercial"),
+                       ("BY-ND", "Attribution-NoDerivatives"), ("BY-NC-SA", "Attribution-NonCommercial-ShareAlike"),
+                       ("BY-NC-ND", "Attribution-NonCommercial-NoDerivatives")):
+    for _v, _port in (("2.0", "Generic"), ("2.5", "Generic"), ("3.0", "Unported"), ("4.0", "International")):
+        _NAMES[f"CC-{_terms}-{_v}"] = [f"CC {_terms} {_v}", f"a Creative Commons {_words} {_v} {_port} License",
+                                       f"the Creative Commons {_words} {_v} {_port} License", f"a Creative Commons {_words} {_v} License"]
+
+_SEEN = set(KNOWN)
+KNOWN += [(name, text) for name, called in _NAMES.items() for call in called
+          for text in (f"{opening} under {terms}{call}." for opening in (
+              "Released", "Licensed", "Distributed", "This work is licensed", "This project is licensed",
+              "This software is licensed", "This software is released") for terms in ("", "the terms of "))
+          if (name, text) not in _SEEN]

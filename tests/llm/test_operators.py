@@ -561,6 +561,21 @@ def test_licenses(spark):
     assert "Python" not in plan and "Arrow" not in plan
 
 
+def test_whole_licences_and_notices(spark):
+    from pathlib import Path
+
+    from hirelens.llm.licenses import scan
+    whole = {"Apache-2.0": "Apache-2.0", "GPL-2": "GPL-2.0", "GPL-3": "GPL-3.0", "LGPL-2.1": "LGPL-2.1", "MPL-2.0": "MPL-2.0", "CC0-1.0": "CC0-1.0"}
+    texts = {k: (Path("/usr/share/common-licenses") / k).read_text() for k in whole}
+    apache = texts["Apache-2.0"]
+    notices = {"Licensed under CC BY-SA 4.0.": "CC-BY-SA-4.0", "Released under the Mozilla Public License, Version 2.0.": "MPL-2.0",
+               "This work is licensed under the GNU General Public License, version 2.": "GPL-2.0",
+               "Licensed under the GNU Lesser General Public Licence, version 3.": "LGPL-3.0", "Licensed under the BSD 3-Clause License.": "BSD-3-Clause"}
+    rows = [(i, t) for i, t in enumerate([*texts.values(), apache[:apache.index("APPENDIX")], *notices])]
+    got = {r["doc_id"]: r for r in scan(edge.docs(spark, rows)).collect()}
+    assert [got[i]["license"] for i in range(len(rows))] == [*whole.values(), "Apache-2.0", *notices.values()]
+
+
 # ----------------------------------------------------------------- pipeline
 
 def test_pipeline_stage_by_stage(spark):
