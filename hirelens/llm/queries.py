@@ -1,4 +1,4 @@
-"""The registered queries of the ten operators: thin digests of their results.
+"""The registered queries of the operators: thin digests of their results.
 
 Each applies its operator with production parameters to its whole table.
 ``ORACLE`` has DuckDB SQL where SQL can express the same rows.
@@ -244,6 +244,99 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_token_files(spark, folder, with_ids=False)
 
 
+# ------------------------------------------------------ 11: spelling variants
+
+def op11_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from hirelens.llm.spelling import variant_groups
+    return variant_groups(_table(spark, sf_dir, "documents"))
+
+
+#: crc32 of the bytes of x, by the rule of its polynomial
+CRC32_SQL = """
+  (xor(list_reduce(list_prepend(4294967295, list_transform(range(1, octet_length(encode(@x)) + 1),
+     lambda i: ('0x' || substr(hex(encode(@x)), 2 * i - 1, 2))::BIGINT)),
+     lambda c, b: xor(c >> 8, crc.t[(xor(c, b) & 255) + 1])), 4294967295))"""
+CRC32_TABLE_SQL = """
+crc AS (SELECT list_transform(range(256), lambda i: list_reduce(list_prepend(i, range(8)),
+     lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS t)"""
+
+OP11_SQL = (r"""
+WITH RECURSIVE @table,
+u AS (SELECT id, run, count(*) AS n FROM (
+        SELECT coalesce(doc_id::VARCHAR, '') AS id, unnest(regexp_extract_all(
+          translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[A-Za-z\x{00C0}-\x{00FF}]+')) AS run
+        FROM documents) GROUP BY id, run),
+h AS (SELECT run, n, @crc AS h FROM (SELECT *, id || ':' || run AS x FROM u), crc),
+k AS (SELECT CASE WHEN h % 97 = 0 THEN left(run, (h % length(run))::BIGINT) || substr(run, (h % length(run))::BIGINT + 2) ELSE run END AS word, n FROM h),
+w AS (SELECT word, sum(n)::BIGINT AS n FROM k WHERE length(word) >= 5 GROUP BY word HAVING sum(n) >= 3),
+v AS (SELECT word, n, i, left(word, i) || substr(word, i + 2) AS rest FROM (SELECT word, n, unnest(range(0, length(word))) AS i FROM w)),
+p AS (SELECT a.word, b.word AS other, b.n AS other_n FROM v a JOIN v b ON a.rest = b.rest AND a.i = b.i AND a.word <> b.word
+      UNION SELECT v.word, w.word, w.n FROM v JOIN w ON v.rest = w.word
+      UNION SELECT w.word, v.word, v.n FROM v JOIN w ON v.rest = w.word),
+b AS (SELECT word, count(*) AS n_near, arg_min(other, (-other_n, other)) AS best, max(other_n) AS best_n FROM p GROUP BY word),
+f AS (SELECT w.word, w.n, coalesce(n_near, 0) AS n_near, CASE WHEN best_n >= 2 * w.n THEN best END AS form,
+        CASE WHEN best_n >= 2 * w.n THEN best_n END AS form_n FROM w LEFT JOIN b ON w.word = b.word),
+r AS (SELECT word, word AS tip, form AS next FROM f UNION ALL SELECT r.word, f.word, f.form FROM r JOIN f ON r.next = f.word)
+SELECT f.word, form, r.tip AS root, n, n_near, form_n FROM f JOIN r ON f.word = r.word WHERE r.next IS NULL
+""").replace("@table", CRC32_TABLE_SQL.strip()).replace("@crc", CRC32_SQL.replace("@x", "x"))
+
+
+# ------------------------------------------------------------ 12: resampling
+
+def op12_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from hirelens.llm.resampling import resample
+    return resample(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
+FOLDED_WORDS_SQL = r"""coalesce(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'), [])"""
+
+OP12_SQL = (r"""
+WITH @table,
+d AS (SELECT doc_id, row_number() OVER () AS r, @words AS ws FROM documents),
+e AS (SELECT r, unnest(ws) AS x FROM d),
+g AS (SELECT unnest(@words) AS x FROM benchmark),
+c AS (SELECT x, @crc % 10000 AS b FROM (SELECT x FROM e UNION SELECT x FROM g), crc),
+s AS (SELECT b, count(*) AS s FROM e JOIN c USING (x) GROUP BY b),
+t AS (SELECT b, count(*) AS t FROM g JOIN c USING (x) GROUP BY b),
+a AS (SELECT (SELECT count(*) FROM e) AS s_all, (SELECT count(*) FROM g) AS t_all),
+gain AS (SELECT x.b, floor(1000 * ln((coalesce(t, 0) + 1)::DOUBLE * (s_all + 10000) / ((coalesce(s, 0) + 1)::DOUBLE * (t_all + 10000))))::BIGINT AS gain
+         FROM (SELECT unnest(range(10000)) AS b) x LEFT JOIN s ON x.b = s.b LEFT JOIN t ON x.b = t.b, a),
+m AS (SELECT r, sum(gain)::BIGINT AS total, count(*) AS n FROM e JOIN c USING (x) JOIN gain ON c.b = gain.b GROUP BY r),
+q AS (SELECT doc_id, d.r, len(ws) AS n_features, CASE WHEN n IS NULL THEN 0 ELSE (total - ((total % n) + n) % n) // n END AS weight,
+        ('0x' || substr(sha256('2024:' || coalesce(doc_id::VARCHAR, '')), 1, 8))::BIGINT AS h FROM d LEFT JOIN m ON d.r = m.r),
+z AS (SELECT *, weight + floor(-1000 * ln(-ln((h + 0.5::DOUBLE) / 4294967296::DOUBLE)))::BIGINT AS score FROM q),
+k AS (SELECT r, row_number() OVER (ORDER BY score DESC, doc_id) AS n FROM z WHERE n_features >= 20),
+o AS (SELECT r, n FROM k WHERE n <= (SELECT count(*) * 10 // 100 FROM k))
+SELECT doc_id, n_features::BIGINT AS n_features, weight::BIGINT AS weight, score::BIGINT AS score, o.n::BIGINT AS rank FROM z LEFT JOIN o ON z.r = o.r
+""").replace("@table", CRC32_TABLE_SQL.strip()).replace("@words", FOLDED_WORDS_SQL).replace("@crc", CRC32_SQL.replace("@x", "x"))
+
+
+# ------------------------------------------------------- 13: decontamination
+
+def op13_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from hirelens.llm.decontamination import find_leaks
+    found = find_leaks(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"), words=10)
+    return found.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
+
+
+OP13_SQL = r"""
+WITH d AS (SELECT doc_id, row_number() OVER () AS r, @words AS ws FROM documents),
+i AS (SELECT item_id::VARCHAR AS item, @words AS ws FROM benchmark),
+win AS (SELECT DISTINCT item, len(part) AS m, array_to_string(part, ' ') AS part FROM (
+          SELECT item, ws[x:x + 9] AS part FROM (SELECT item, ws, unnest(range(1, len(ws) - 8)) AS x FROM i WHERE len(ws) >= 10)
+          UNION ALL SELECT item, ws FROM i WHERE len(ws) BETWEEN 1 AND 9)),
+pos AS (SELECT r, m, x, array_to_string(ws[x:x + m - 1], ' ') AS part FROM (
+         SELECT r, ws, m, unnest(range(1, len(ws) - m + 2)) AS x FROM d, (SELECT DISTINCT m FROM win) WHERE len(ws) >= m)),
+hit AS (SELECT r, x, pos.m, item FROM pos JOIN win ON pos.m = win.m AND pos.part = win.part),
+n AS (SELECT r, count(DISTINCT j) AS n_hit FROM (SELECT r, unnest(range(x, x + m)) AS j FROM (SELECT DISTINCT r, x, m FROM hit)) GROUP BY r),
+o AS (SELECT r, count(DISTINCT item) AS n_items, string_agg(DISTINCT item, ',' ORDER BY item) AS items FROM hit GROUP BY r)
+SELECT doc_id, len(ws)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
+  sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN n ON d.r = n.r LEFT JOIN o ON d.r = o.r
+""".replace("@words", FOLDED_WORDS_SQL)
+
+
 QUERIES = {
     "op1_license_scan": op1_license_scan,
     "op2_substring_dedup": op2_substring_dedup,
@@ -255,6 +348,9 @@ QUERIES = {
     "op8_packing": op8_packing,
     "op9_line_dedup": op9_line_dedup,
     "op10_token_files": op10_token_files,
+    "op11_spelling": op11_spelling,
+    "op12_resampling": op12_resampling,
+    "op13_decontamination": op13_decontamination,
 }
 
 ORACLE = {
@@ -264,4 +360,7 @@ ORACLE = {
     "op6_url_filter": OP6_SQL,
     "op7_source_mix": OP7_SQL,
     "op9_line_dedup": OP9_SQL,
+    "op11_spelling": OP11_SQL,
+    "op12_resampling": OP12_SQL,
+    "op13_decontamination": OP13_SQL,
 }
