@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from hirelens.llm.common import written
-from hirelens.llm.tokens import encoder, some_texts
+from hirelens.llm.tokens import encoder, shipped, some_texts
 
 CAPACITY = 4096
 GRID = 8
@@ -166,8 +166,10 @@ class Packing:
 
 
 def pack(docs: DataFrame, tokenizer: str, end_id: int, capacity: int = CAPACITY, grid: int = GRID,
-         id_col: str = "doc_id", text_col: str = "text") -> Packing:
+         id_col: str = "doc_id", text_col: str = "text", special_as_text: bool = False) -> Packing:
     """Pack all rows of ``docs``; a null or empty text has just its end id.
+    ``tokenizer``: the path of a ``tokenizers`` file where the job is planned;
+    a special token's string in a text is that token unless ``special_as_text``.
 
     Sequences hold at most ``capacity`` ids, pieces follow one another without
     gaps, every id of every row lies in exactly one piece. Where a sequence
@@ -177,11 +179,12 @@ def pack(docs: DataFrame, tokenizer: str, end_id: int, capacity: int = CAPACITY,
     """
     spark = docs.sparkSession
     kind = docs.schema[id_col].dataType.simpleString()
+    file = shipped(spark, tokenizer)
 
     def tokenize(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
         part = TaskContext.get().partitionId()
-        enc = encoder(tokenizer)
+        enc = encoder(file.value, special_as_text)
         end = np.array([end_id], enc.dtype).tobytes()
         width = enc.dtype.itemsize
         count = np.zeros(capacity // grid + 2, np.int64)

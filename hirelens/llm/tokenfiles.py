@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from hirelens.llm.tokens import encoder, some_texts
+from hirelens.llm.tokens import encoder, shipped, some_texts
 
 SHARD = "shard int, name string, n_docs long, n_null long, n_tokens long"
 
@@ -46,9 +46,11 @@ def _store(where: str):
 
 
 def write_token_files(docs: DataFrame, folder: str, tokenizer: str, end_id: int,
-                      id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+                      id_col: str = "doc_id", text_col: str = "text", special_as_text: bool = False) -> DataFrame:
     """Write ``docs`` as token files under ``folder`` (in a store that driver
-    and executors share) and return the manifest.
+    and executors share) and return the manifest. ``tokenizer``: the path of a
+    ``tokenizers`` file where the job is planned; a special token's string in a
+    text is that token unless ``special_as_text``.
 
     A null text has no ids but its end id. Documents are in ascending order of
     id, null ids first; rows with the same id follow a hash of their text, so
@@ -61,11 +63,12 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer: str, end_id: int,
                        F.xxhash64(docs[text_col]).alias("h"))
     ordered = rows.repartitionByRange("doc_id", "h").sortWithinPartitions("doc_id", "h").drop("h")
     run = uuid.uuid4().hex[:8]
+    file = shipped(spark, tokenizer)
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
         task = TaskContext.get()
-        enc, out = encoder(tokenizer), None
+        enc, out = encoder(file.value, special_as_text), None
         end = np.array([end_id], enc.dtype).tobytes()
         name = f"{run}-{task.partitionId():06d}-{task.taskAttemptId()}"
         lengths: list[np.ndarray] = []

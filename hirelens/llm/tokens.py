@@ -12,7 +12,12 @@ ids equal those of encoding the text in one call (a test compares them):
 * between a letter and a final run of marks, both kinds cut.
 
 Texts with other white space than space, tab, line feed and carriage return,
-or with the opening of a special token, are encoded in one call.
+or with the opening of a special token (``<|`` in these files), are encoded in
+one call. A special token's string in a text is that token, as the library has
+it, unless ``special_as_text`` is asked for.
+
+The file is read where the job is planned and travels to the workers as bytes
+(a few MB); they open no path.
 """
 
 from __future__ import annotations
@@ -20,6 +25,7 @@ from __future__ import annotations
 import gc
 import json
 import re
+import zlib
 from itertools import accumulate, chain, pairwise
 
 import numpy as np
@@ -42,9 +48,13 @@ def id_dtype(vocab_size: int) -> np.dtype:
     return np.dtype("<u2") if vocab_size <= 1 << 16 else np.dtype("<u4")
 
 
-def _kind(path: str) -> str:
-    with open(path, encoding="utf-8") as f:
-        spec = json.load(f)
+def shipped(spark, path: str):
+    """The tokenizer file as a broadcast."""
+    with open(path, "rb") as f:
+        return spark.sparkContext.broadcast(f.read())
+
+
+def _kind(spec: dict) -> str:
     pre = spec.get("pre_tokenizer") or {}
     if pre.get("type") == "ByteLevel" and pre.get("use_regex", True) and not pre.get("add_prefix_space") \
             and not spec.get("normalizer"):
@@ -57,15 +67,18 @@ def _kind(path: str) -> str:
 
 
 class Encoder:
-    def __init__(self, path: str):
+    def __init__(self, blob: bytes, special_as_text: bool = False):
         import os
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their strings are ordinary text
+        self.tokenizer = Tokenizer.from_buffer(blob)
+        self.tokenizer.encode_special_tokens = special_as_text
+        spec = json.loads(blob)
         self.dtype = id_dtype(self.tokenizer.get_vocab_size())
-        self.kind = _kind(path)
+        special = [t["content"] for t in spec.get("added_tokens", [])]
+        # a text is cut into chunks only if each special token shows by its opening
+        self.kind = _kind(spec) if all("<|" in t for t in special) else "whole"
         self.known: dict[str | bytes, bytes | None] = {}
         self.before: dict[str | bytes, bytes | None] = {}
 
@@ -134,13 +147,14 @@ def _lower_words(text: str) -> list[bytes]:
     return text.encode().lower().split()
 
 
-def encoder(path: str) -> Encoder:
+def encoder(blob: bytes, special_as_text: bool = False) -> Encoder:
     """The worker's encoder of a file; the file is loaded once per process."""
     start_task("encode")
     cache = process_cache()
-    if ("encoder", path) not in cache:
-        cache[("encoder", path)] = Encoder(path)
-    return cache[("encoder", path)]
+    key = ("encoder", zlib.crc32(blob), len(blob), special_as_text)
+    if key not in cache:
+        cache[key] = Encoder(blob, special_as_text)
+    return cache[key]
 
 
 def some_texts(texts: list[str | None], most: int = 4 << 20):

@@ -10,9 +10,21 @@ from hirelens.llm.queries import END_ID, tokenizer_path
 from hirelens.llm.tokenfiles import manifest, mapped, read_token_files, write_token_files
 
 NASTY = ["", None, "  a  b", "foo\n\n\nbar. ", "x y z", "a \n<|endoftext|> b", "İ. İI, İ.", "tab\t\tx\r\ny", "  x",
+         "a b <|endoftext|> c<|startoftext|>d <|endoftext|>", "<|endoftext|>", "<| endoftext |>", "x<|endof\ntext|>",
          "Å. " + "q" * 500, "\x1cfoo\x1d bar", "don't. we're, it's ok...,", "é. ñ, İ.", "1,000.5, x2.", "(so)\" *b* c%%%"]
 
 
+def library(name):
+    """The library's tokenizer as the file gives it."""
+    from tokenizers import Tokenizer
+    return Tokenizer.from_file(tokenizer_path(name))
+
+
+def file_bytes(name):
+    with open(tokenizer_path(name), "rb") as f:
+        return f.read()
+
+
 def whole(tokenizer, texts):
     return [np.array(e.ids, "<u2").tobytes() for e in tokenizer.encode_batch([t or "" for t in texts], add_special_tokens=False)]
 
@@ -25,19 +37,28 @@ def test_chunked_ids_equal_those_of_whole_texts(spark, name, monkeypatch):
     pieces = [" ", "\n", "  ", "\t", ".", ",", "'s", "é", "Ab", "c", "7", "<|", " ", "İ", "\x1f", "-", "漢", "!?"]
     texts += ["".join(rng.choice(pieces) for _ in range(40)) for _ in range(400)]
     monkeypatch.setattr(tokens, "REMEMBERED", 500)
-    enc = tokens.Encoder(tokenizer_path(name))
-    want = whole(enc.tokenizer, texts)
+    enc = tokens.Encoder(file_bytes(name))
+    want = whole(library(name), texts)
+    assert want[texts.index("<|endoftext|>")] == np.array([library(name).token_to_id("<|endoftext|>")], "<u2").tobytes()
     for lo, hi in tokens.some_texts(texts, 5000):
         assert enc.encode(texts[lo:hi]) == want[lo:hi]
 
 
+@pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json"])
+def test_special_marks_as_text_on_request(name):
+    plain = library(name)
+    plain.encode_special_tokens = True
+    enc = tokens.Encoder(file_bytes(name), special_as_text=True)
+    assert enc.encode(NASTY) == whole(plain, NASTY)
+    assert len(enc.encode(["<|endoftext|>"])[0]) > 2
+
+
 def test_token_files_round_trip(spark, tmp_path):
     path = tokenizer_path("byte_bpe_50k.json")
-    rows = edge.nasty()
+    rows = edge.nasty() + [(100 + i, t) for i, t in enumerate(NASTY)]
     folder = str(tmp_path / "files")
     write_token_files(edge.docs(spark, rows), folder, path, END_ID)
-    enc = tokens.Encoder(path)
-    want = sorted((r[0] is not None, r[0] or 0, b) for r, b in zip(rows, whole(enc.tokenizer, [r[1] for r in rows])))
+    want = sorted((r[0] is not None, r[0] or 0, b) for r, b in zip(rows, whole(library("byte_bpe_50k.json"), [r[1] for r in rows])))
     got = sorted(read_token_files(spark, folder).collect(), key=lambda r: r["start"])
     assert [r["doc_id"] for r in got] == [k if some else None for some, k, _ in want]
     at = 0
