@@ -23,6 +23,7 @@
 
 from __future__ import annotations
 
+import logging
 import math
 from collections.abc import Iterator
 
@@ -49,6 +50,10 @@ AUDIT_MOST = 16_000
 #: the goal, and searches (each with twice the tables and lists) to reach it
 AUDIT_RECALL = 0.95
 ATTEMPTS = 5
+#: rounds of one search, after which it fails
+MOST_ROUNDS = 200
+
+_LOG = logging.getLogger(__name__)
 
 
 # ---------------------------------------------------------------- batches
@@ -120,22 +125,36 @@ def _sorted_groups(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[pa.T
 # ------------------------------------------------------------ preparation
 
 def _units(df: DataFrame, id_col: str, vec_col: str) -> DataFrame:
-    """(id, v: the unit vector's doubles) of the vectors that can link."""
-    one = df.where(df[id_col].isNotNull()).groupBy(df[id_col].cast("long").alias("id")) \
-        .agg(F.min(df[vec_col].cast("array<double>")).alias("e"))
+    """(id, vec_id, h, v: the unit vector's doubles) of the different vectors
+    that can link. ``id`` is the vector's own id; where an id has several
+    vectors, all but the one of smallest hash get a hash of both as theirs."""
+    e = df[vec_col].cast("array<double>")
+    every = df.where(df[id_col].isNotNull()).select(df[id_col].cast("long").alias("vec_id"), e.alias("e"), F.xxhash64(e).alias("h")) \
+        .groupBy("vec_id", "h").agg(F.first("e").alias("e"))
+    several = written(every.groupBy("vec_id").agg(F.count(F.lit(1)).alias("k"), F.min("h").alias("first")).where("k > 1"), "nn-several")
+    if several.limit(1).count():
+        every = every.join(several.select("vec_id", "first"), "vec_id", "left") \
+            .withColumn("id", F.when(F.col("first").isNull() | (F.col("h") == F.col("first")), F.col("vec_id")).otherwise(F.xxhash64("vec_id", "h")))
+    else:
+        every = every.withColumn("id", F.col("vec_id"))
 
     def unit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for batch in _by_length(whole, "e") if whole.num_rows else ():
-                flat = np.asarray(batch.column(1).flatten().fill_null(math.nan), float).reshape(batch.num_rows, -1)
+                flat = np.asarray(batch["e"].flatten().fill_null(math.nan), float).reshape(batch.num_rows, -1)
                 top = np.abs(flat).max(axis=1, keepdims=True)
                 ok = np.isfinite(flat).all(axis=1) & (top[:, 0] > 0)
                 x = flat[ok] / top[ok]
                 x /= np.sqrt((x * x).sum(axis=1, keepdims=True))
                 if len(x):
-                    yield pa.RecordBatch.from_arrays([batch.column(0).filter(pa.array(ok)), _binary(x)], names=["id", "v"])
+                    keep = pa.array(ok)
+                    yield pa.RecordBatch.from_arrays([batch["id"].filter(keep), batch["vec_id"].filter(keep), batch["h"].filter(keep), _binary(x)],
+                                                     names=["id", "vec_id", "h", "v"])
 
-    return written(one.where("e IS NOT NULL AND size(e) > 0").mapInArrow(unit, "id long, v binary"), "nn-units")
+    out = written(every.where("e IS NOT NULL AND size(e) > 0").select("id", "vec_id", "h", "e")
+                  .mapInArrow(unit, "id long, vec_id long, h long, v binary"), "nn-units")
+    drop(several)
+    return out
 
 
 def _bucketed(vectors: DataFrame, bits: dict[int, int], seeds: list[int]) -> DataFrame:
@@ -284,7 +303,7 @@ def _graph(nodes: DataFrame, angle: float, tables: int, keep: int, seed: int) ->
     fresh = F.lit(True)
     graph = written(_top(_start(nodes, tables, keep, seed).withColumn("fresh", fresh), k), "nn-graph")
     widest = nodes.agg(F.max("radius")).first()[0] or 0.0
-    for _ in range(30):
+    for round_ in range(1, MOST_ROUNDS + 1):
         found = _refine(graph, nodes, k, parts).withColumn("fresh", fresh)
         new = written(_top(graph.withColumn("fresh", F.lit(False)).unionByName(found), k), "nn-graph")
         drop(graph)
@@ -305,8 +324,9 @@ def _graph(nodes: DataFrame, angle: float, tables: int, keep: int, seed: int) ->
             drop(k, graph, saturated)
             k, graph = wider, again
         elif all(entered.get(d, 0) <= 0.002 * m * keep for d, m in sizes.items()):
-            break
-    return graph
+            _LOG.info("nn-descent: %d nodes, %d tables, lists from %d: %d rounds", n, tables, keep, round_)
+            return graph
+    raise RuntimeError(f"near_duplicates: the neighbour graph of {n} nodes does not settle in {MOST_ROUNDS} rounds")
 
 
 # ------------------------------------------------------------------ links
@@ -404,6 +424,13 @@ def _agreement(nodes: DataFrame, before: DataFrame, now: DataFrame) -> float:
     return 1.0 if share is None else share
 
 
+def _likely(nodes: DataFrame, graph: DataFrame) -> DataFrame:
+    """The nodes whose best neighbour is nearest: where links are rare, these
+    are the ones to ask."""
+    best = graph.groupBy("a").agg(F.max("cos").alias("best"))
+    return nodes.join(best, nodes["id"] == best["a"]).orderBy(F.desc("best"), "id").limit(AUDIT_STEP).select(*nodes.columns)
+
+
 def near_duplicates(vectors: DataFrame, cosine: float = 0.95, id_col: str = "vec_id", vec_col: str = "embedding",
                     seed: int = 11) -> DataFrame:
     """vec_id, n_links, component_id, kept for every row of ``vectors``.
@@ -411,8 +438,10 @@ def near_duplicates(vectors: DataFrame, cosine: float = 0.95, id_col: str = "vec
     Two vectors are linked if found with a cosine of at least ``cosine`` in
     double precision. Null and zero vectors and those with null or
     non-finite components link with nothing: no links, a component of their
-    own. Vectors of different lengths do not link. Rows with the same id count as one vector
-    (the smallest, if they differ). A null id has no links and no component.
+    own. Vectors of different lengths do not link. Equal rows count as one
+    vector; rows with the same id and different vectors are vectors of their
+    own. A null id has no links and no component. The recall that the audit
+    finds is logged.
     An empty table gives no rows; other columns are ignored.
     """
     angle = math.acos(cosine)
@@ -438,8 +467,12 @@ def near_duplicates(vectors: DataFrame, cosine: float = 0.95, id_col: str = "vec
             own = nodes.where(of_length)
             found, enough = _audit(own, units.where(of_length), counts, cosine)
             if not enough and found >= AUDIT_RECALL:
-                # links too rare to draw: a further search has to find no others
-                found = 0.0 if before is None else _agreement(own, before, counts)
+                # links too rare to draw: those nodes are asked that have the nearest
+                # neighbours, and a further search has to find no others
+                likely = written(_likely(own, graph), "nn-likely")
+                found = min(_audit(likely, units.where(of_length), counts, cosine)[0], 0.0 if before is None else _agreement(own, before, counts))
+                drop(likely)
+            _LOG.info("nn-descent: recall %.4f of the vectors of %d numbers after %d searches", found, length, attempt + 1)
             recall = min(recall, found)
             if recall < AUDIT_RECALL:
                 break
@@ -449,10 +482,12 @@ def near_duplicates(vectors: DataFrame, cosine: float = 0.95, id_col: str = "vec
     else:
         raise RuntimeError(f"near_duplicates: recall {recall:.3f} after {ATTEMPTS} searches, the goal is {AUDIT_RECALL}")
     of = components(edges, "nn-components")
-    label = written(inside.join(of, "node", "left").select("id", F.coalesce("component", "node").alias("component")), "nn-labels")
-    every = vectors.select(vectors[id_col].cast("long").alias("vec_id"))
-    out = every.join(counts, every["vec_id"] == counts["id"], "left").drop("id")
-    out = out.join(label, out["vec_id"] == label["id"], "left").drop("id")
+    label = written(inside.join(of, "node", "left").select("id", F.coalesce("component", "node").alias("root"))
+                    .join(units.select("id", "vec_id", "h"), "id"), "nn-labels")
+    least = written(label.groupBy("root").agg(F.min("vec_id").alias("component")), "nn-least")
+    known = written(label.join(least, "root").join(counts, "id", "left").select("vec_id", "h", "component", "n").withColumnRenamed("vec_id", "own"), "nn-known")
+    every = vectors.select(vectors[id_col].cast("long").alias("vec_id"), F.xxhash64(vectors[vec_col].cast("array<double>")).alias("row_h"))
+    out = every.join(known, (every["vec_id"] == known["own"]) & (every["row_h"] == known["h"]), "left")
     component = F.coalesce("component", "vec_id")
     return out.select("vec_id", F.coalesce("n", F.lit(0)).cast("long").alias("n_links"), component.alias("component_id"),
                       F.col("vec_id").eqNullSafe(component).alias("kept"))
