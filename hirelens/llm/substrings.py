@@ -2,7 +2,7 @@
 
 A window is a run of consecutive words of one document; its key is 128 bits
 (two independent 64-bit hashes of its words). Documents are dealt to blocks by
-a hash of their id, windows to shards by a hash of their key.
+a hash of their id and text, windows to shards by a hash of their key.
 
 First pass: each block sketches its windows. A count-min sketch has ``depth``
 rows of cells; the cells that a block's windows hit travel, sorted and
@@ -92,6 +92,7 @@ class Block:
                             ~np.asarray(ids.is_null().combine_chunks())))
         table = table.take(pa.array(order))
         self.ids = table.column("doc_id")
+        self.h = np.asarray(table.column("h").combine_chunks())
         self.data, self.offsets = text_bytes(table.column("text"))
         spans, keys = [], [[], []]
         for lo, hi in steps(self.offsets):
@@ -180,7 +181,7 @@ def dedup_windows(docs: DataFrame, words: int = 20, depth: int = DEPTH, cells: i
     bits = max(16, int(max(1, total // 4) * cells).bit_length())
     source = docs.select(docs[id_col].cast("long").alias("doc_id"), docs[text_col].alias("text"),
                          F.xxhash64(docs[text_col]).alias("h")) \
-        .withColumn("block", F.pmod(F.xxhash64("doc_id"), F.lit(blocks)).cast("int")) \
+        .withColumn("block", F.pmod(F.xxhash64("doc_id", "h"), F.lit(blocks)).cast("int")) \
         .repartition(blocks, "block")
 
     def sketch(key, table):
@@ -248,8 +249,8 @@ def dedup_windows(docs: DataFrame, words: int = 20, depth: int = DEPTH, cells: i
         named, whether an earlier document of another block has it."""
         get = lambda n, kind: [np.frombuffer(x, kind) for x in table.column(n).to_pylist()]
         his, los, docs_ = get("hi", np.uint64), get("lo", np.uint64), get("owner", np.uint64)
-        hi, lo, doc = np.concatenate(his), np.concatenate(los), np.concatenate(docs_)
-        order = np.lexsort((doc, lo, hi))
+        hi, lo, doc = np.concatenate(his), np.concatenate(los), np.concatenate(docs_).reshape(-1, 2)
+        order = np.lexsort((doc[:, 1], doc[:, 0], lo, hi))
         later = np.zeros(len(hi), bool)
         h, l_ = hi[order], lo[order]
         later[order[1:]] = (h[1:] == h[:-1]) & (l_[1:] == l_[:-1])
@@ -299,10 +300,13 @@ def dedup_windows(docs: DataFrame, words: int = 20, depth: int = DEPTH, cells: i
 
 
 def _doc_order(block: Block) -> np.ndarray:
-    """The rows' ids as unsigned integers in their order, null lowest."""
+    """The rows' (id, hash of the text) as two unsigned integers each, in their
+    order, null ids lowest. Rows equal in both are in one block."""
     ids = block.ids.combine_chunks() if isinstance(block.ids, pa.ChunkedArray) else block.ids
-    value = np.asarray(ids.fill_null(0)).astype(np.int64).view(np.uint64) ^ np.uint64(1 << 63)
-    return np.where(np.asarray(ids.is_null()), np.uint64(0), np.maximum(value, np.uint64(1)))
+    top = np.uint64(1 << 63)
+    value = np.asarray(ids.fill_null(0)).astype(np.int64).view(np.uint64) ^ top
+    first = np.where(np.asarray(ids.is_null()), np.uint64(0), np.maximum(value, np.uint64(1)))
+    return np.stack([first, block.h.astype(np.int64).view(np.uint64) ^ top], axis=1)
 
 
 def _joined(block: Block, kept: np.ndarray) -> pa.Array:
