@@ -29,9 +29,11 @@ def words_in(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)).cast("long"), F.lit(0).cast("long"))
 
 
-def doc_hash(doc_id: Column) -> Column:
-    """The first 60 bits of the id's MD5; a null id has one too."""
-    text = F.coalesce(doc_id.cast("string"), F.lit(""))
+def doc_hash(doc_id: Column, text: Column | None = None) -> Column:
+    """The first 60 bits of the MD5 of the id, or of id and text, which deals
+    apart rows that share an id or have none; a null id has one too."""
+    name = F.coalesce(doc_id.cast("string"), F.lit(""))
+    text = name if text is None else F.concat(name, F.lit(":"), F.xxhash64(text).cast("string"))
     return F.conv(F.substring(F.md5(text.cast("binary")), 1, 15), 16, 10).cast("long")
 
 
@@ -91,10 +93,11 @@ class Mix:
             .drop("full", "rest", "before", "words", "at")
 
 
-def _keyed(docs: DataFrame, id_col: str, text_col: str, source_col: str) -> list[Column]:
+def _keyed(docs: DataFrame, id_col: str, text_col: str, source_col: str, by_text: bool = False) -> list[Column]:
     source = docs[source_col].cast("string")
     return [source.alias("source"), words_in(docs[text_col]).alias("size"),
-            F.coalesce(F.concat(F.lit("s"), source), F.lit("n")).alias("key"), doc_hash(docs[id_col]).alias("h")]
+            F.coalesce(F.concat(F.lit("s"), source), F.lit("n")).alias("key"),
+            doc_hash(docs[id_col], docs[text_col] if by_text else None).alias("h")]
 
 
 def budgets(rows: DataFrame, weights: list[float], most: int, cut: bool) -> Mix:
@@ -156,10 +159,12 @@ def mixed(docs: DataFrame, weights: list[float] = (1, 2, 3), most: int = 3,
           id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
     """``docs`` as the mix takes them: whole documents, each as often as it is
     taken; documents without words, which count for nothing, are not taken.
-    Columns and their order stay; texts are not shuffled."""
-    sizes = written(docs.select(*_keyed(docs, id_col, text_col, source_col)), "mix-sizes")
+    Rows of one id (or none) are drawn apart by their texts; equal rows are
+    taken alike. Columns and their order stay; texts are not shuffled."""
+    keyed = _keyed(docs, id_col, text_col, source_col, by_text=True)
+    sizes = written(docs.select(*keyed), "mix-sizes")
     plan = budgets(sizes, list(weights), most, cut=False)
     names = [f"c{i}" for i in range(len(docs.columns))]
-    rows = docs.select(*[docs[c].alias(n) for c, n in zip(docs.columns, names)], *_keyed(docs, id_col, text_col, source_col))
+    rows = docs.select(*[docs[c].alias(n) for c, n in zip(docs.columns, names)], *keyed)
     copies = plan.taken(rows).where("taken > 0").withColumn("__copy", F.explode(F.sequence(F.lit(1).cast("long"), F.floor(F.col("taken") / F.col("size")))))
     return copies.select(*[F.col(n).alias(c) for c, n in zip(docs.columns, names)])

@@ -106,6 +106,58 @@ FROM embeddings LEFT JOIN n ON vec_id = n.node LEFT JOIN l ON vec_id = l.node
 """
 
 
+#: vectors with links that are known: of each vector of the table itself, a
+#: scaled copy, two that lean away from it (one within the cosine, one mostly
+#: beyond), one of a hub, and for some a second vector with the same id
+LINKED_SQL = """
+SELECT vec_id * 8 AS vec_id, list_transform(embedding, lambda x: x::DOUBLE) AS embedding FROM embeddings
+UNION ALL SELECT vec_id * 8 + 1, list_transform(embedding, lambda x: x::DOUBLE * 3) FROM embeddings WHERE vec_id % 3 = 0
+UNION ALL SELECT vec_id * 8 + 2, list_transform(range(1, 1 + len(embedding)), lambda i: embedding[i]::DOUBLE * (1 + (i + vec_id) % 3 * 0.2)) FROM embeddings WHERE vec_id % 2 = 0
+UNION ALL SELECT vec_id * 8 + 3, list_transform(range(1, 1 + len(embedding)), lambda i: embedding[i]::DOUBLE * (1 + (i + vec_id) % 2 * 0.9)) FROM embeddings WHERE vec_id % 2 = 1
+UNION ALL SELECT vec_id * 8 + 4, list_transform(range(1, 1 + len(embedding)), lambda i: hub[i]::DOUBLE * (1 + (i * i + vec_id) % 7 * 0.03))
+  FROM embeddings, (SELECT embedding AS hub FROM embeddings ORDER BY vec_id LIMIT 1) h WHERE vec_id % 3 = 1
+UNION ALL SELECT vec_id * 8, list_transform(range(1, 1 + len(embedding)), lambda i: embedding[1 + len(embedding) - i]::DOUBLE) FROM embeddings WHERE vec_id % 5 = 0"""
+
+
+def linked_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """LINKED_SQL in Spark."""
+    e = _table(spark, sf_dir, "embeddings").select("vec_id", F.col("embedding").cast("array<double>").alias("e"))
+    i = F.col("vec_id")
+    hub = e.orderBy("vec_id").limit(1).select(F.col("e").alias("hub"))  # one row
+
+    def kind(part: DataFrame, at: int, vector) -> DataFrame:
+        return part.select((i * 8 + at).alias("vec_id"), vector.alias("embedding"))
+    one = F.lit(1.0)
+    parts = [
+        kind(e, 0, F.col("e")), kind(e.where(i % 3 == 0), 1, F.transform("e", lambda x: x * 3)),
+        kind(e.where(i % 2 == 0), 2, F.transform("e", lambda x, k: x * (one + (k + 1 + i) % 3 * 0.2))),
+        kind(e.where(i % 2 == 1), 3, F.transform("e", lambda x, k: x * (one + (k + 1 + i) % 2 * 0.9))),
+        kind(e.where(i % 3 == 1).crossJoin(F.broadcast(hub)), 4, F.transform("hub", lambda x, k: x * (one + ((k + 1) * (k + 1) + i) % 7 * 0.03))),
+        kind(e.where(i % 5 == 0), 0, F.reverse("e"))]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+def embedding_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The operator of op3 where there is something to find."""
+    from hirelens.llm.common import written
+    from hirelens.llm.embeddings import near_duplicates
+    return near_duplicates(written(linked_vectors(spark, sf_dir), "linked-vectors"), cosine=0.95)
+
+
+EMBEDDING_LINKS_SQL = f"""
+WITH RECURSIVE e AS (SELECT row_number() OVER () AS r, vec_id, embedding AS v FROM ({LINKED_SQL})),
+p AS (SELECT a.r AS a, b.r AS b FROM e a JOIN e b ON a.r <> b.r AND (a.vec_id <> b.vec_id OR a.v <> b.v) AND list_cosine_similarity(a.v, b.v) >= 0.95),
+c AS (SELECT a AS node, b AS other FROM p UNION SELECT c.node, p.b FROM c JOIN p ON c.other = p.a),
+l AS (SELECT node, min(e.vec_id) AS least FROM c JOIN e ON c.other = e.r GROUP BY node),
+n AS (SELECT a AS node, count(*) AS n_links FROM p GROUP BY a)
+SELECT vec_id, coalesce(n_links, 0) AS n_links, least(vec_id, coalesce(least, vec_id)) AS component_id, vec_id <= coalesce(least, vec_id) AS kept
+FROM e LEFT JOIN n ON e.r = n.node LEFT JOIN l ON e.r = l.node
+"""
+
+
 # -------------------------------------------------------------- 4: quality
 
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -351,6 +403,7 @@ QUERIES = {
     "op11_spelling": op11_spelling,
     "op12_resampling": op12_resampling,
     "op13_decontamination": op13_decontamination,
+    "embedding_links": embedding_links,
 }
 
 ORACLE = {
@@ -363,4 +416,5 @@ ORACLE = {
     "op11_spelling": OP11_SQL,
     "op12_resampling": OP12_SQL,
     "op13_decontamination": OP13_SQL,
+    "embedding_links": EMBEDDING_LINKS_SQL,
 }

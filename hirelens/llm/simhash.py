@@ -161,17 +161,18 @@ def near_duplicates(docs: DataFrame, words: int = 3, most: int = 3,
 def keep_first(docs: DataFrame, words: int = 3, most: int = 3,
                id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` without near duplicates: of each component the row with the
-    smallest id stays (of equal ids that with the smallest hash of its text),
-    once if it is repeated. Rows with the same id and different texts are
-    decided each in its own component. Rows with a null id stay: no decision
-    can name them. Columns and their order stay."""
-    label = written(_labelled(docs, words, most, id_col, text_col).where("id IS NOT NULL"), "simhash-label")
-    row = F.struct("id", "h")
+    smallest id stays (null ids after all others; of equal ids that with the
+    smallest hash of its text), once if it is repeated. Rows with the same id,
+    or none, and different texts are decided each in its own component.
+    Columns and their order stay, whatever their names."""
+    label = written(_labelled(docs, words, most, id_col, text_col), "simhash-label")
+    row = F.struct(F.col("id").isNull().alias("none"), F.coalesce("id", F.lit(0).cast("long")).alias("id"), "h")
     first = written(label.groupBy("root").agg(F.min(row).alias("first")), "simhash-first")
-    losers = label.join(first, "root").where(row != F.col("first")).select(F.col("id").alias("__id"), F.col("h").alias("__h")).distinct()
-    digest = F.xxhash64(docs[text_col])
-    kept = docs.join(losers, (docs[id_col] == F.col("__id")) & (digest == F.col("__h")), "left_anti").select(*docs.columns)
-    if label.groupBy("id", "h").count().where("count > 1").limit(1).count():
-        one = kept.where(F.col(id_col).isNotNull()).withColumn("__h", F.xxhash64(text_col)).dropDuplicates([id_col, "__h"])
-        kept = one.select(*docs.columns).unionByName(kept.where(F.col(id_col).isNull()))
-    return kept
+    losers = label.join(first, "root").where(row != F.col("first")).select(row.alias("lost")).distinct()
+    named = docs.toDF(*[f"c{i}" for i in range(len(docs.columns))])
+    key, text = (F.col(f"c{docs.columns.index(c)}") for c in (id_col, text_col))
+    own = F.struct(key.isNull().alias("none"), F.coalesce(key.cast("long"), F.lit(0).cast("long")).alias("id"), F.xxhash64(text).alias("h"))
+    kept = named.join(losers, own == F.col("lost"), "left_anti")
+    if label.groupBy(row.alias("row")).count().where("count > 1").limit(1).count():
+        kept = kept.withColumn("own", own).dropDuplicates(["own"]).drop("own")
+    return kept.toDF(*docs.columns)
