@@ -30,8 +30,10 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    out = lines.dedup_lines(docs).drop("__n_lines", "__n_removed")
-    return out.select(*[F.char_length("text").cast(t).alias(c) if c == "n_chars" else c for c, t in docs.dtypes])
+    out = lines.dedup_lines(docs)  # the columns of docs, then two counts
+    out = out.toDF(*[f"c{i}" for i in range(len(out.columns))])
+    size = F.char_length(f"c{docs.columns.index('text')}")
+    return out.select(*[(size.cast(t) if c == "n_chars" else F.col(f"c{i}")).alias(c) for i, (c, t) in enumerate(docs.dtypes)])
 
 
 def simhash_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -59,7 +61,13 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``; the packed pieces."""
+    """All stages over ``documents``; the packed pieces.
+
+    Null and empty texts fail the quality rules; a null id is carried through
+    and counts after all others where one row of a group stays; equal rows are
+    judged alike, and one of them is left after the near-dedup; other columns of
+    any name pass through unchanged; an empty table gives no pieces.
+    """
     docs = _table(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
         after = written(stage(spark, docs, sf_dir), f"pipeline-{name}")
