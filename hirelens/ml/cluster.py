@@ -1,15 +1,19 @@
 """Clustering (ML-10..ML-12): nearest-center assignment, squared-Euclidean
-silhouette in linear time, and the K scan with Spark ML KMeans.
+silhouette in linear time, and the K scan by batched Lloyd rounds.
 
 Centers and per-cluster sums are bounded by k x dim, so they are the only
-values inlined into the plan; every per-point computation is a column
-expression over the full table.
+values inlined into the plan. The scan fits every start of every K at the same
+time: a round is one pass over the points, in which each batch is compared
+with the centres of all fits that still move, and a task sends one row of sums
+a centre.
 """
 
 from __future__ import annotations
 
-from pyspark.ml.clustering import KMeans
-from pyspark.ml.evaluation import ClusteringEvaluator
+from dataclasses import dataclass
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -72,38 +76,215 @@ def silhouette(df: DataFrame, vec: str, label: str = "cluster") -> DataFrame:
     return d.withColumn("silhouette", s).drop("_v", "_q", "_terms")
 
 
-def best_of(feats: DataFrame, k: int, starts: int = dims.KMEANS_STARTS, features_col: str = "features",
-            seed: int = dims.SEED):
-    """The KMeans model of least cost of ``starts`` runs from different seeds,
-    fitted a few at a time."""
-    from concurrent.futures import ThreadPoolExecutor
+# ---------------------------------------------------------- batched Lloyd
+
+#: points compared with all centres at once
+_STEP = 4096
+#: rounds of k-means|| and points drawn in each, in expectation, per cluster wanted
+SEED_ROUNDS = 4
+SEED_FACTOR = 2
+
+
+@dataclass
+class Fit:
+    """One start of one K: its centres, sizes and cost, and whether it stands still."""
+    centers: np.ndarray
+    sizes: np.ndarray
+    cost: float = float("inf")
+    still: bool = False
+
+    @property
+    def k(self) -> int:
+        return len(self.centers)
+
+
+def _points(batch) -> np.ndarray:
+    vectors = batch.column("features")
+    off = np.asarray(vectors.offsets)
+    return np.asarray(vectors.values)[off[0]:off[-1]].astype(float).reshape(batch.num_rows, -1)
+
+
+def _distances(x: np.ndarray, centers: np.ndarray) -> np.ndarray:
+    """Squared distances, as sums of squared differences."""
+    out = np.zeros((len(x), len(centers)))
+    for i in range(x.shape[1]):
+        out += (x[:, i, None] - centers[None, :, i]) ** 2
+    return out
+
+
+def _pass(points: DataFrame, fits: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """One pass with the centres of all fits: per centre (points, sum of the
+    points, sum of their squared norms, sum of their squared distances)."""
+    every = np.concatenate(fits)
+    ends = np.cumsum([0, *map(len, fits)])
+    dim = every.shape[1]
+
+    def run(batches):
+        n, q, cost = np.zeros(len(every), np.int64), np.zeros(len(every)), np.zeros(len(every))
+        total = np.zeros((len(every), dim))
+        for batch in batches:
+            whole = _points(batch)
+            for lo in range(0, len(whole), _STEP):
+                x = whole[lo:lo + _STEP]
+                norm, d = (x * x).sum(axis=1), _distances(x, every)
+                for a, b in zip(ends[:-1], ends[1:]):
+                    own = d[:, a:b].argmin(axis=1)
+                    n[a:b] += np.bincount(own, minlength=b - a)
+                    q[a:b] += np.bincount(own, norm, minlength=b - a)
+                    cost[a:b] += np.bincount(own, d[np.arange(len(x)), a + own], minlength=b - a)
+                    for i in range(dim):
+                        total[a:b, i] += np.bincount(own, x[:, i], minlength=b - a)
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(every))), pa.array(n), pa.array(q), pa.array(cost), *[pa.array(total[:, i]) for i in range(dim)]],
+                                         names=["c", "n", "q", "d", *[f"s{i}" for i in range(dim)]])
+
+    cols = ["n", "q", "d", *[f"s{i}" for i in range(dim)]]
+    schema = "c long, n long, " + ", ".join(f"{c} double" for c in cols[1:])
+    got = points.select("features").mapInArrow(run, schema).groupBy("c").agg(*[F.sum(c).alias(c) for c in cols]).toArrow()
+    at = got["c"].to_numpy()
+    out = []
+    for c in cols:
+        full = np.zeros(len(every), np.int64 if c == "n" else float)
+        full[at] = got[c].to_numpy()
+        out.append(full)
+    return out[0], np.stack(out[3:], axis=1), out[1], out[2]
+
+
+def lloyd(points: DataFrame, starts: list, max_iter: int = dims.KMEANS_MAX_ITER, tol: float = 1e-8) -> tuple[list[Fit], int]:
+    """(a fit for each list of first centres, passes over the points). All move
+    in the same passes; a fit whose centres move by ``tol`` at most, squared,
+    leaves. A centre without points stays where it is. Ties go to the lower
+    centre. A fit's sizes and cost belong to its last assignment."""
+    fits = [Fit(np.array(s, float), np.zeros(len(s), np.int64)) for s in starts]
+    passes = 0
+    while passes <= max_iter:
+        moving = [f for f in fits if not f.still]
+        if not moving:
+            break
+        n, total, _, cost = _pass(points, [f.centers for f in moving])
+        passes += 1
+        lo = 0
+        for f in moving:
+            part = slice(lo, lo + f.k)
+            lo += f.k
+            f.sizes, f.cost = n[part], float(cost[part].sum())
+            after = np.where(n[part, None] > 0, total[part] / np.maximum(n[part, None], 1), f.centers)
+            shift = ((after - f.centers) ** 2).sum(axis=1).max()
+            if shift <= tol or passes > max_iter:
+                f.still = True
+            else:
+                f.centers = after
+    return fits, passes
+
+
+def _scrambled(h: np.ndarray, salt: int) -> np.ndarray:
+    """Numbers from 0 to 1 from 64-bit hashes and a salt."""
+    x = (h.astype(np.int64).view(np.uint64) + np.uint64(salt) * np.uint64(0x9E3779B97F4A7C15))
+    for shift, factor in ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB), (31, 1)):
+        x = (x ^ (x >> np.uint64(shift))) * np.uint64(factor)
+    return (x >> np.uint64(11)) / float(1 << 53)
+
+
+def first_centers(points: DataFrame, key: str, starts: int, most: int, seed: int) -> list[np.ndarray]:
+    """k-means||: for each start the candidates from which its centres are
+    chosen, drawn by hashes of ``key`` in passes that serve all starts: about
+    SEED_FACTOR * ``most`` a round in expectation, whatever the size of the data."""
+    hashed = points.select("features", F.xxhash64(key).alias("h"))
+    heads = hashed.agg(*[F.min_by("features", F.xxhash64("h", F.lit(seed + s))).alias(f"f{s}") for s in range(starts)]).first()
+    found = [np.array([heads[f"f{s}"]], float) for s in range(starts)]
+    for r in range(SEED_ROUNDS):
+        cost = _pass(points, found)[3]
+        ends = np.cumsum([0, *map(len, found)])
+        share = [SEED_FACTOR * most / max(cost[a:b].sum(), 1e-300) for a, b in zip(ends[:-1], ends[1:])]
+        now = list(found)
+
+        def draw(batches, now=now, share=share, r=r):
+            for batch in batches:
+                whole, h = _points(batch), np.asarray(batch.column("h"))
+                for lo in range(0, len(whole), _STEP):
+                    x = whole[lo:lo + _STEP]
+                    for s, centers in enumerate(now):
+                        at = np.flatnonzero(_scrambled(h[lo:lo + _STEP], (seed + s) * 1000 + r) < share[s] * _distances(x, centers).min(axis=1))
+                        if len(at):
+                            ends = pa.array(np.arange(len(at) + 1, dtype=np.int32) * x.shape[1])
+                            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(at), s)), pa.ListArray.from_arrays(ends, pa.array(x[at].ravel()))],
+                                                             names=["s", "features"])
+        for row in hashed.mapInArrow(draw, "s long, features array<double>").orderBy("s", "features").collect():
+            found[row["s"]] = np.vstack([found[row["s"]], row["features"]])
+    return [np.unique(f, axis=0) for f in found]
+
+
+def _chosen(candidates: np.ndarray, weight: np.ndarray, k: int, rng: np.random.Generator) -> np.ndarray:
+    """k-means++ over weighted candidates; fewer than k if there are fewer."""
+    out = [candidates[rng.choice(len(candidates), p=weight / weight.sum())]]
+    while len(out) < k:
+        p = weight * _distances(candidates, np.array(out)).min(axis=1)
+        if p.sum() <= 0:
+            break
+        out.append(candidates[rng.choice(len(candidates), p=p / p.sum())])
+    return np.array(out)
+
+
+def _silhouettes(points: DataFrame, fits: list[Fit]) -> list[float]:
+    """Mean squared-Euclidean silhouette of each fit's assignment, two passes
+    for all (see :func:`silhouette`)."""
+    n, total, q, _ = _pass(points, [f.centers for f in fits])
+    every, ends = np.concatenate([f.centers for f in fits]), np.cumsum([0, *(f.k for f in fits)])
+
+    def run(batches):
+        out, rows = np.zeros(len(fits)), 0
+        for batch in batches:
+            whole = _points(batch)
+            rows += len(whole)
+            for lo in range(0, len(whole), _STEP):
+                x = whole[lo:lo + _STEP]
+                d, norm = _distances(x, every), (x * x).sum(axis=1)
+                for i, (a, b) in enumerate(zip(ends[:-1], ends[1:])):
+                    own, pick = d[:, a:b].argmin(axis=1), np.arange(len(x))
+                    t = n[a:b] * norm[:, None] - 2 * x @ total[a:b].T + q[a:b]
+                    size = n[a:b][own]
+                    near = t[pick, own] / np.maximum(size - 1, 1)
+                    with np.errstate(divide="ignore", invalid="ignore"):
+                        others = np.where(n[a:b] > 0, t / n[a:b], np.inf)
+                    others[pick, own] = np.inf
+                    far = others.min(axis=1)
+                    top = np.maximum(near, far)
+                    s = np.where((size > 1) & np.isfinite(far) & (top > 0), (far - near) / np.where(top > 0, top, 1), 0.0)
+                    out[i] += s.sum()
+        yield pa.RecordBatch.from_arrays([pa.array([rows]), *[pa.array([v]) for v in out]], names=["n", *[f"f{i}" for i in range(len(fits))]])
 
-    def one(i):
-        return KMeans(k=k, seed=seed + i, maxIter=dims.KMEANS_MAX_ITER, featuresCol=features_col).fit(feats)
-    with ThreadPoolExecutor(max_workers=4) as ex:
-        return min(ex.map(one, range(starts)), key=lambda m: m.summary.trainingCost)
+    cols = ["n", *[f"f{i}" for i in range(len(fits))]]
+    got = points.select("features").mapInArrow(run, "n long, " + ", ".join(f"{c} double" for c in cols[1:])).agg(*[F.sum(c) for c in cols]).first()
+    return [v / got[0] for v in got[1:]]
 
 
-def kmeans_scan(feats: DataFrame, features_col: str = "features", k_values=None, seed: int = dims.SEED,
-                starts: int = dims.KMEANS_STARTS):
-    """ML-11: (rows of k, inertia, silhouette, chosen; the chosen K)."""
-    return fitted_scan(feats, features_col, k_values, seed, starts)[:2]
+@dataclass
+class Scan:
+    """The K scan: (k, inertia, silhouette, chosen) rows, the best fit of each
+    K, the chosen K and the passes over the points that the fits took."""
+    rows: list[tuple]
+    fits: dict[int, Fit]
+    chosen: int
+    passes: int
 
 
-def fitted_scan(feats: DataFrame, features_col: str = "features", k_values=None, seed: int = dims.SEED,
-                starts: int = dims.KMEANS_STARTS):
-    """ML-11: for each K the best of ``starts`` KMeans runs; training cost
-    (inertia) and squared-Euclidean silhouette; K chosen as the best silhouette
-    among K >= 3, or 4 when no K reaches 0.2 (the documented rule). Returns
-    (rows, chosen K, its model)."""
+def kmeans_scan(points: DataFrame, key: str = "seq", k_values=None, seed: int = dims.SEED, starts: int = dims.KMEANS_STARTS) -> Scan:
+    """ML-11: for each K the cheapest of ``starts`` fits; inertia and
+    squared-Euclidean silhouette; K chosen as the best silhouette among K >= 3,
+    or 4 when no K reaches 0.2 (the documented rule). ``points`` has ``key``
+    and features (array<double>); it is read once a round, so it should be a
+    written table. A K of which the points have fewer distinct ones gets as
+    many clusters as there are."""
     k_values = k_values or dims.KMEANS_K_RANGE
-    ev = ClusteringEvaluator(featuresCol=features_col, predictionCol="prediction",
-                             distanceMeasure="squaredEuclidean")
-    rows, fitted = [], {}
-    for k in k_values:
-        m = fitted[k] = best_of(feats, k, starts, features_col, seed)
-        rows.append((k, float(m.summary.trainingCost), float(ev.evaluate(m.transform(feats)))))
-    cand = [r for r in rows if r[0] >= 3] or rows
-    best = max(cand, key=lambda r: r[2])
-    chosen = best[0] if max(r[2] for r in rows) >= dims.SILHOUETTE_FLOOR else dims.KMEANS_FALLBACK_K
-    return [(k, inertia, sil, k == chosen) for k, inertia, sil in rows], chosen, fitted[chosen]
+    candidates = first_centers(points, key, starts, max(k_values), seed)
+    weight = np.split(_pass(points, candidates)[0], np.cumsum([len(c) for c in candidates])[:-1])
+    plan = [(k, s) for k in k_values for s in range(starts)]
+    fits, passes = lloyd(points, [_chosen(candidates[s], weight[s].astype(float), k, np.random.default_rng([seed, s, k])) for k, s in plan])
+    best: dict[int, Fit] = {}
+    for (k, _), f in zip(plan, fits):
+        if k not in best or f.cost < best[k].cost:
+            best[k] = f
+    silhouettes = dict(zip(best, _silhouettes(points, list(best.values()))))
+    among = [k for k in best if k >= 3] or list(best)
+    top = max(among, key=lambda k: (silhouettes[k], -k))
+    chosen = top if max(silhouettes.values()) >= dims.SILHOUETTE_FLOOR else dims.KMEANS_FALLBACK_K
+    return Scan([(k, best[k].cost, silhouettes[k], k == chosen) for k in best], best, chosen, passes)

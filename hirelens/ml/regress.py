@@ -92,22 +92,14 @@ def _rows(feats: DataFrame) -> DataFrame:
     return materialize(feats.withColumn("_train", split_flag()), "model-rows")
 
 
-def importances(spark, feats: DataFrame) -> DataFrame:
-    """ML-7: (model, feature, importance) of the tree models fitted on the
-    train split, at the same time."""
+def compare_models(spark, feats: DataFrame, folds: int = 5) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """ML-6, ML-7: (per model split sizes, test metrics, CV R2 and whether it is
+    the best by test R2; (model, feature, importance) of the tree models; the
+    written test predictions of all). Each model is fitted once on the train
+    split, the models at the same time."""
     from concurrent.futures import ThreadPoolExecutor
-    train = _rows(feats).where("_train")
-    ests = {k: e for k, e in models().items() if hasattr(e, "getMaxDepth")}
-    with ThreadPoolExecutor(max_workers=len(ests)) as ex:
-        fitted = list(ex.map(lambda e: e.fit(prepared(e, train)), ests.values()))
-    rows = [(name, f, float(v)) for name, m in zip(ests, fitted) for f, v in zip(FEATURES, m.featureImportances.toArray())]
-    return spark.createDataFrame(rows, "model string, feature string, importance double")
-
 
-def compare_models(spark, feats: DataFrame, folds: int = 5) -> DataFrame:
-    """ML-6: per model split sizes, test metrics, CV R2 and whether it is the
-    best by test R2. The models are fitted at the same time."""
-    from concurrent.futures import ThreadPoolExecutor
+    from hirelens.session import materialize
     data = _rows(feats)
     train, test = data.where("_train"), data.where(~F.col("_train"))
     n_train, n_test = train.count(), test.count()
@@ -115,13 +107,21 @@ def compare_models(spark, feats: DataFrame, folds: int = 5) -> DataFrame:
     def run(item):
         name, est = item
         model = est.fit(prepared(est, train))
-        m = metrics(model.transform(assemble(test))).first()
-        return name, n_train, n_test, float(m["r2"]), float(m["rmse"]), float(m["mae"]), cv_r2(est, train, folds), folds
+        said = materialize(model.transform(assemble(test)).select(F.lit(name).alias("model"), "seq", "salary_log", "prediction"), f"predicted-{name}")
+        m = metrics(said).first()
+        weights = [float(v) for v in model.featureImportances.toArray()] if hasattr(model, "featureImportances") else []
+        return (name, n_train, n_test, float(m["r2"]), float(m["rmse"]), float(m["mae"]), cv_r2(est, train, folds), folds), said, weights
 
     ests = models()
     with ThreadPoolExecutor(max_workers=len(ests)) as ex:
         done = list(ex.map(run, ests.items()))
-    best = max(done, key=lambda r: r[3])[0]
-    return spark.createDataFrame([(*r, r[0] == best) for r in done],
-                                 "model string, n_train long, n_test long, r2 double, rmse double, mae double, "
-                                 "cv_r2 double, cv_folds int, best boolean")
+    best = max((r for r, _, _ in done), key=lambda r: r[3])[0]
+    table = spark.createDataFrame([(*r, r[0] == best) for r, _, _ in done],
+                                  "model string, n_train long, n_test long, r2 double, rmse double, mae double, "
+                                  "cv_r2 double, cv_folds int, best boolean")
+    shares = spark.createDataFrame([(r[0], f, w) for r, _, weights in done for f, w in zip(FEATURES, weights)],
+                                   "model string, feature string, importance double")
+    predicted = done[0][1]
+    for _, said, _ in done[1:]:
+        predicted = predicted.unionByName(said)
+    return table, shares, predicted

@@ -1,4 +1,5 @@
-"""TF-IDF over skill text (ML-8) and the Gram matrix / SVD projection (ML-9).
+"""TF-IDF over skill text (ML-8) and the Gram matrix of small vocabularies
+(ML-9; see ``svd`` for the decomposition).
 
 A document is one row with its terms in an array; term counts, weights and
 norm are computed inside the row, and only document frequencies are shuffled.
@@ -11,10 +12,11 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from hirelens import dims
+from hirelens.operators.crawl import global_sequence
 
 #: terms up to which the vocabulary travels as one map (about 60 bytes each),
 #: and columns of a dense Gram block (k x k doubles per task)
@@ -53,7 +55,9 @@ def vocabulary(tf: DataFrame, n_docs, max_features: int | None = None) -> DataFr
     kept = by_term.where((F.col("df") >= dims.TFIDF_MIN_DF) & (F.col("df") <= F.lit(dims.TFIDF_MAX_DF) * n_docs))
     if max_features is not None:
         kept = kept.orderBy(F.desc("cf"), "term").limit(max_features)
-    return kept.withColumn("idx", F.row_number().over(Window.orderBy(F.desc("cf"), "term")) - 1)
+    # numbered by ranges: the terms are never in one task
+    numbered = global_sequence(kept.withColumn("_less", -F.col("cf")), ["_less", "term"], "idx")
+    return numbered.withColumn("idx", F.col("idx") - 1).drop("_less")
 
 
 def tfidf(docs: DataFrame, max_features: int | None = None) -> DataFrame:
@@ -124,15 +128,3 @@ def svd_components(g_rows, k: int, dim: int = dims.SVD_DIM):
     vals, vecs = np.linalg.eigh(g)
     order = np.argsort(vals)[::-1][:dim]
     return vecs[:, order], vals[order], vals[order] / max(vals.sum(), 1e-300)
-
-
-def project(weights: DataFrame, comps) -> DataFrame:
-    """Doc coordinates on the components: sum_t w_t * V[t, c], in the row (V is
-    bounded by GRAM_COLUMNS x dim and inlined as literals)."""
-    k, dim = comps.shape
-    cols = []
-    for c in range(dim):
-        axis = F.array(*[F.lit(float(comps[t, c])) for t in range(k)])
-        terms = F.zip_with("ii", "ww", lambda i, w: w * F.element_at(axis, (i + 1).cast("int")))
-        cols.append(F.aggregate(terms, F.lit(0.0), lambda a, x: a + x).alias(f"skill_dim{c + 1}"))
-    return weights.select("seq", *cols)

@@ -84,38 +84,79 @@ def q_reg_linear_metrics(spark, sf_dir):
     return m.select(*[F.bround(c, 5).alias(c) for c in ["intercept", *OLS_COLUMNS, "r2"]], F.bround("rmse", 2).alias("rmse"), F.bround("mae", 2).alias("mae"))
 
 
-@register("reg_compare", with_clean(FEATS_SQL + _gauss_sql() + f""",
+_MODELS: dict = {}
+
+
+def _fitted(spark, sf_dir):
+    """(comparison, importances, test predictions) of the three models, fitted
+    once a session and folder."""
+    from hirelens.ml.regress import compare_models
+    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
+    if key not in _MODELS:
+        _MODELS[key] = compare_models(spark, _feats(spark, sf_dir))
+    return _MODELS[key]
+
+
+#: the test rows, and the metrics of a model that always says the train mean
+TEST_SQL = f""",
     n AS (SELECT count(*) FILTER (WHERE seq % 10 < 8) AS n_train, count(*) FILTER (WHERE seq % 10 >= 8) AS n_test FROM feats),
-    o AS (SELECT {OLS_METRICS} FROM pred)
-    SELECT m AS model, n_train, n_test, CASE WHEN m = 'LinearRegression' THEN r2 END AS linear_r2,
-      CASE WHEN m = 'LinearRegression' THEN rmse END AS linear_rmse, 5 AS cv_folds, 1 AS n_best, true AS best_has_max_r2,
-      true AS metrics_finite
-    FROM (VALUES ('LinearRegression'), ('RandomForest'), ('GBT')) t(m), n, o"""))
+    o AS (SELECT {OLS_METRICS} FROM pred),
+    mean AS (SELECT exp(avg(salary_log)) - 1 AS p FROM feats WHERE seq % 10 < 8),
+    base AS (SELECT round_even(sqrt(avg((y - mean.p) ^ 2)), 2) AS rmse FROM pred, mean)"""
+
+
+@register("reg_compare", with_clean(FEATS_SQL + _gauss_sql() + TEST_SQL + """
+    SELECT m AS model, n_train, n_test, CASE WHEN m = 'LinearRegression' THEN o.r2 END AS linear_r2,
+      CASE WHEN m = 'LinearRegression' THEN o.rmse END AS linear_rmse, 5 AS cv_folds, base.rmse AS mean_rmse, true AS beats_the_mean,
+      true AS metrics_recomputed, 1 AS n_best, true AS best_has_max_r2
+    FROM (VALUES ('LinearRegression'), ('RandomForest'), ('GBT')) t(m), n, o, base"""))
 def q_reg_compare(spark, sf_dir):
-    """ML-4..ML-6, TOP-3: three models with test metrics and 5-fold CV R2.
-    What does not depend on a tree learner is compared: split sizes, folds,
-    the linear model's metrics, and one best model, that of the largest R2."""
-    from hirelens.ml.regress import compare_models
-    comp = compare_models(spark, _feats(spark, sf_dir))
+    """ML-4..ML-6, TOP-3, SNK-10: three models with test metrics and 5-fold CV
+    R2, written as the comparison file and read back. What does not depend on
+    a tree learner is compared: split sizes, folds, the linear model's metrics,
+    the error of the train mean, which each model has to beat; that the tree
+    models' metrics are those of their stored predictions; and the best model."""
+    from hirelens.ml.regress import metrics
+    from hirelens.session import unique_dir
+    from hirelens.sinks.files import read_csv, write_csv
+    comp, _, predicted = _fitted(spark, sf_dir)
+    path = unique_dir(spark, "model-comparison")
+    write_csv(comp, path)
+    comp = read_csv(spark, path, comp.schema)
+    again = None
+    for name in ("LinearRegression", "RandomForest", "GBT"):
+        one = metrics(predicted.where(F.col("model") == name)).select(F.lit(name).alias("model"), F.col("r2").alias("r2_again"), F.col("rmse").alias("rmse_again"))
+        again = one if again is None else again.unionByName(one)
+    mean = _feats(spark, sf_dir).where("seq % 10 < 8").agg(F.expm1(F.avg("salary_log")).alias("p")).scalar()
+    base = predicted.where("model = 'GBT'").agg(F.sqrt(F.avg((F.expm1("salary_log") - mean) ** 2)).alias("b")).scalar()
     lin = F.col("model") == "LinearRegression"
     top = Window.partitionBy(F.lit(0))  # three rows
-    finite = F.abs("r2") + F.abs("rmse") + F.abs("mae") + F.abs("cv_r2")
-    return comp.select(
+    return comp.join(F.broadcast(again), "model").select(
         "model", "n_train", "n_test", F.when(lin, F.bround("r2", 5)).alias("linear_r2"), F.when(lin, F.bround("rmse", 2)).alias("linear_rmse"),
-        "cv_folds", F.sum(F.col("best").cast("int")).over(top).cast("int").alias("n_best"),
-        (F.max(F.when(F.col("best"), F.col("r2"))).over(top) == F.max("r2").over(top)).alias("best_has_max_r2"),
-        (finite < float("inf")).alias("metrics_finite"))
+        "cv_folds", F.bround(base, 2).alias("mean_rmse"), (F.col("rmse") < base).alias("beats_the_mean"),
+        ((F.abs(F.col("r2") - F.col("r2_again")) < 1e-9) & (F.abs(F.col("rmse") - F.col("rmse_again")) < 1e-6)).alias("metrics_recomputed"),
+        F.sum(F.col("best").cast("int")).over(top).cast("int").alias("n_best"),
+        (F.max(F.when(F.col("best"), F.col("r2"))).over(top) == F.max("r2").over(top)).alias("best_has_max_r2"))
 
 
-@register("reg_importance", """
-    SELECT model, 6 AS n_features, 1.0::DOUBLE AS total, true AS none_negative FROM (VALUES ('RandomForest'), ('GBT')) t(model)""")
+@register("reg_importance", with_clean(FEATS_SQL + """,
+    v AS (SELECT unnest(['city_tier_enc', 'education_enc', 'exp_avg', 'skill_count', 'is_face', 'company_size_enc']) AS feature,
+            unnest([count(DISTINCT city_tier_enc), count(DISTINCT education_enc), count(DISTINCT exp_avg), count(DISTINCT skill_count),
+                    count(DISTINCT is_face), count(DISTINCT company_size_enc)]) AS n_values FROM feats WHERE seq % 10 < 8)
+    SELECT model, feature, n_values > 1 AS can_split, true AS used_only_if_it_can, 1.0::DOUBLE AS total FROM (VALUES ('RandomForest'), ('GBT')) t(model), v"""))
 def q_reg_importance(spark, sf_dir):
-    """ML-7: tree feature importances: six of each model, none negative, their
-    sum one."""
-    from hirelens.ml.regress import importances
-    imp = importances(spark, _feats(spark, sf_dir))
-    return imp.groupBy("model").agg(F.count(F.lit(1)).cast("int").alias("n_features"), F.bround(F.sum("importance"), 6).alias("total"),
-                                    (F.min("importance") >= 0).alias("none_negative"))
+    """ML-7: tree feature importances. A feature with one value splits nothing
+    and has importance 0; the importances of a model are not negative and sum
+    to one."""
+    imp = _fitted(spark, sf_dir)[1]
+    cols = ["city_tier_enc", "education_enc", "exp_avg", "skill_count", "is_face", "company_size_enc"]
+    train = _feats(spark, sf_dir).where("seq % 10 < 8")
+    values = train.agg(*[F.count_distinct(c).alias(c) for c in cols]).select(
+        F.explode(F.array(*[F.struct(F.lit(c).alias("feature"), F.col(c).alias("n")) for c in cols])).alias("v")).select("v.*")
+    return imp.join(F.broadcast(values), "feature").select(  # six rows
+        "model", "feature", (F.col("n") > 1).alias("can_split"),
+        F.when(F.col("n") > 1, F.col("importance") >= 0).otherwise(F.col("importance") == 0).alias("used_only_if_it_can"),
+        F.bround(F.sum("importance").over(Window.partitionBy("model")), 6).alias("total"))
 
 
 TFIDF_SQL = f""",
@@ -165,25 +206,30 @@ def q_svd_gram(spark, sf_dir):
     return g.select(F.col("i").cast("long").alias("i"), F.col("j").cast("long").alias("j"), F.bround("g", 6).alias("g"))
 
 
+_SVD: dict = {}
+
+
 def _svd_coords(spark, sf_dir):
-    """(coordinates, share of the variance that each component explains)"""
-    from hirelens.ml.tfidf import gram, project, svd_components
+    """((seq, skill_dim1..), squared singular values, shares), fitted once a
+    session and folder: the projection is a written table."""
+    from hirelens.ml.svd import multiply, truncated_svd
     from hirelens.session import materialize
-    # the weights feed the Gram aggregate and the projection: write them once
-    w = materialize(_weights(spark, sf_dir), "tfidf-weights")
-    k = _width(w)
-    comps, vals, shares = svd_components(gram(w, k).collect(), k)
-    return project(w, comps), vals, shares
+    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
+    if key not in _SVD:
+        w = materialize(_weights(spark, sf_dir), "tfidf-weights")
+        comps, vals, shares = truncated_svd(w, _width(w))
+        at = [F.coalesce(F.get("p", F.lit(i)), F.lit(0.0)).alias(f"skill_dim{i + 1}") for i in range(dims.SVD_DIM)]
+        # documents without any vocabulary term sit at the origin
+        coords = _feats(spark, sf_dir).select("seq").join(multiply(w, comps), "seq", "left").select("seq", *at)
+        _SVD[key] = materialize(coords, "svd-coordinates"), vals, shares
+    return _SVD[key]
 
 
 @register("svd_project")
 def q_svd_project(spark, sf_dir):
     """ML-9: 5-dim projection of the TF-IDF rows (signs are arbitrary: rows-only;
-    ``svd_checks`` compares what does not depend on them)."""
-    coords, _vals, _shares = _svd_coords(spark, sf_dir)
-    cols = [c for c in coords.columns if c.startswith("skill_dim")]
-    # documents without any vocabulary term sit at the origin
-    return _feats(spark, sf_dir).select("seq").join(coords, "seq", "left").fillna(0.0, subset=cols)
+    ``svd_checks`` compares what does not depend on them, a test the rest)."""
+    return _svd_coords(spark, sf_dir)[0]
 
 
 @register("svd_checks", with_clean(TFIDF_SQL + """,
@@ -195,11 +241,9 @@ def q_svd_checks(spark, sf_dir):
     of each coordinate is its squared singular value, the shares that the
     components explain come in order, and the coordinates are uncorrelated
     about the origin."""
-    coords, vals, shares = _svd_coords(spark, sf_dir)
-    cols = [c for c in coords.columns if c.startswith("skill_dim")]
+    rows, vals, shares = _svd_coords(spark, sf_dir)
+    cols = [c for c in rows.columns if c.startswith("skill_dim")]
     total = float(vals[0] / shares[0])
-    # documents without any vocabulary term sit at the origin
-    rows = _feats(spark, sf_dir).select("seq").join(coords, "seq", "left").fillna(0.0, subset=cols)
     tol = 1e-6 * total
     energy, ordered, flat = F.lit(True), F.lit(True), F.lit(True)
     sums = {f"s_{a}_{b}": F.sum(F.col(a) * F.col(b)) for i, a in enumerate(cols) for b in cols[i:]}
@@ -275,57 +319,101 @@ def q_silhouette_fixed(spark, sf_dir):
     return s.select("vec_id", F.col("cluster").cast("long").alias("cluster"), F.bround("silhouette", 5).alias("silhouette"))
 
 
-def _cluster_features(spark, sf_dir):
-    """(seq, features), written once: every fit reads it again."""
-    from pyspark.ml.feature import VectorAssembler
-    from hirelens.ml.features import standardize
-    from hirelens.session import materialize
-    coords, _vals, _shares = _svd_coords(spark, sf_dir)
-    dims_cols = [c for c in coords.columns if c.startswith("skill_dim")]
-    f = _feats(spark, sf_dir).join(coords, "seq", "left").fillna(0.0, subset=dims_cols)
-    cols = ["salary_avg", "exp_avg", "education_enc"] + dims_cols
-    z = materialize(standardize(f, cols).select("seq", *[f"{c}_z" for c in cols]), "cluster-features")
-    return VectorAssembler(inputCols=[f"{c}_z" for c in cols], outputCol="features").transform(z).select("seq", "features").cache()
+_SCAN: dict = {}
 
 
-@register("kmeans_scan", """
-    SELECT k::INTEGER AS k, true AS cost_positive, true AS silhouette_in_range, 1 AS n_chosen, true AS chosen_by_rule FROM range(2, 10) t(k)""")
+def _cluster_scan(spark, sf_dir):
+    """((seq, features), the K scan over them), once a session and folder."""
+    from hirelens.ml.cluster import kmeans_scan
+    from hirelens.ml.features import standardize
+    from hirelens.session import materialize
+    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
+    if key not in _SCAN:
+        coords = _svd_coords(spark, sf_dir)[0]
+        dims_cols = [c for c in coords.columns if c.startswith("skill_dim")]
+        f = _feats(spark, sf_dir).join(coords, "seq", "left").fillna(0.0, subset=dims_cols)
+        cols = ["salary_avg", "exp_avg", "education_enc"] + dims_cols
+        points = materialize(standardize(f, cols).select("seq", F.array(*[f"{c}_z" for c in cols]).alias("features")), "cluster-features")
+        _SCAN[key] = points, kmeans_scan(points)
+    return _SCAN[key]
+
+
+@register("kmeans_scan", with_clean(FEATS_SQL + """
+    SELECT k::INTEGER AS k, (SELECT count(*) FROM feats) AS n_rows, (SELECT count(*) FROM feats) * 8.0::DOUBLE AS total_inertia, true AS sizes_add_up,
+      true AS cheaper_than_before, true AS silhouette_in_range, 1 AS n_chosen, true AS chosen_by_rule FROM range(2, 10) t(k)"""))
 def q_kmeans_scan(spark, sf_dir):
     """ML-11: K = 2..9 on standardized numeric + SVD skill features, ten starts
-    each; what the seeds leave free is not compared, the rule of the choice is."""
-    from hirelens.ml.cluster import kmeans_scan
-    feats = _cluster_features(spark, sf_dir)
-    rows, _chosen = kmeans_scan(feats)
-    feats.unpersist()
-    scan = spark.createDataFrame(rows, "k int, inertia double, silhouette double, chosen boolean")
+    each. What the starts leave free is not compared (``kmeans_rounds`` compares
+    Lloyd rounds from given centres); the number of rows, their inertia about
+    one centre (as many as there are standardized numbers), falling inertia
+    and the rule of the choice are."""
+    from hirelens.ml.cluster import lloyd
+    points, scan = _cluster_scan(spark, sf_dir)
+    (one,), _ = lloyd(points, [[[0.0] * len(points.select("features").first()[0])]])
+    fits = [(k, int(scan.fits[k].sizes.sum()), inertia, sil, chosen) for k, inertia, sil, chosen in scan.rows]
+    rows = spark.createDataFrame(fits, "k int, n long, inertia double, silhouette double, chosen boolean")
     every = Window.partitionBy(F.lit(0))  # eight rows
     best = F.max(F.when(F.col("k") >= 3, F.struct("silhouette", -F.col("k")))).over(every)
     rule = F.when(F.max("silhouette").over(every) >= dims.SILHOUETTE_FLOOR, -best["col2"]).otherwise(dims.KMEANS_FALLBACK_K)
-    return scan.select("k", (F.col("inertia") > 0).alias("cost_positive"), F.col("silhouette").between(-1, 1).alias("silhouette_in_range"),
+    before = F.coalesce(F.lag("inertia").over(every.orderBy("k")), F.lit(one.cost))
+    return rows.select("k", F.lit(int(one.sizes.sum())).cast("long").alias("n_rows"), F.bround(F.lit(one.cost), 3).alias("total_inertia"),
+                       (F.col("n") == int(one.sizes.sum())).alias("sizes_add_up"), (F.col("inertia") < before).alias("cheaper_than_before"),
+                       F.col("silhouette").between(-1, 1).alias("silhouette_in_range"),
                        F.sum(F.col("chosen").cast("int")).over(every).cast("int").alias("n_chosen"),
                        (F.max(F.when(F.col("chosen"), F.col("k"))).over(every) == rule).alias("chosen_by_rule"))
 
 
+ROUNDS = 3
+
+
+def _rounds_sql() -> str:
+    """Lloyd rounds in SQL: K = 2..9 from the first K vectors, one batch of
+    centres (k, ci, i, x) after another."""
+    steps = ["v AS (SELECT vec_id, unnest(embedding)::DOUBLE AS x, generate_subscripts(embedding, 1) AS i FROM embeddings)",
+             "o AS (SELECT vec_id, row_number() OVER (ORDER BY vec_id) - 1 AS ci FROM embeddings)",
+             "c0 AS (SELECT k, ci, i, x FROM o JOIN v USING (vec_id), range(2, 10) t(k) WHERE ci < k)"]
+    for r in range(ROUNDS):
+        steps.append(f"a{r} AS (SELECT k, vec_id, min(d) AS d, arg_min(ci, (d, ci)) AS ci FROM (SELECT k, ci, vec_id, sum((v.x - c.x) ^ 2) AS d "
+                     f"FROM c{r} c JOIN v USING (i) GROUP BY k, ci, vec_id) GROUP BY k, vec_id)")
+        steps.append(f"c{r + 1} AS (SELECT c.k, c.ci, c.i, coalesce(m.x, c.x) AS x FROM c{r} c LEFT JOIN "
+                     f"(SELECT k, ci, i, avg(x) AS x FROM a{r} JOIN v USING (vec_id) GROUP BY k, ci, i) m USING (k, ci, i))")
+    ends = " UNION ALL ".join(f"SELECT k, {r + 1} AS round, ci, d FROM a{r}" for r in range(ROUNDS))
+    return f"WITH {', '.join(steps)} SELECT k::INTEGER AS k, round, round_even(sum(d), 4) AS inertia, count(*) FILTER (ci = 0) AS first_size FROM ({ends}) GROUP BY k, round"
+
+
+@register("kmeans_rounds", _rounds_sql())
+def q_kmeans_rounds(spark, sf_dir):
+    """ML-11: the first Lloyd rounds from given centres (the first K vectors),
+    K = 2..9 in the same passes: inertia and the first cluster's size after each."""
+    from hirelens.ml.cluster import first_k_centers, lloyd
+    from hirelens.session import materialize
+    e = table(spark, sf_dir, "embeddings")
+    points = materialize(e.select("vec_id", F.col("embedding").cast("array<double>").alias("features")), "round-points")
+    heads = first_k_centers(e, "vec_id", "embedding", max(dims.KMEANS_K_RANGE))
+    rows = []
+    for r in range(ROUNDS):
+        fits, _ = lloyd(points, [heads[:k] for k in dims.KMEANS_K_RANGE], max_iter=r, tol=-1.0)
+        rows += [(f.k, r + 1, f.cost, int(f.sizes[0])) for f in fits]
+    out = spark.createDataFrame(rows, "k int, round int, inertia double, first_size long")
+    return out.withColumn("inertia", F.bround("inertia", 4))
+
+
 @register("cluster_final", with_clean(FEATS_SQL + """
     SELECT count(*) AS n_rows, count(*) AS labelled, 0 AS bad_sizes, 0 AS unnamed, true AS percent_is_whole, true AS cost_matches FROM feats"""))
 def q_cluster_final(spark, sf_dir):
-    """ML-12 / ML-13 / SNK-10: the chosen K's best model labels every row; the
+    """ML-12 / ML-13 / SNK-10: the chosen K's best fit labels every row; the
     labelled rows are written and read back, and their clusters are profiled.
-    The sizes of the profiles, and the model's cost against the rows' distances
+    The sizes of the profiles, and the fit's cost against the rows' distances
     to their centres, are recomputed from the labels."""
-    from hirelens.ml.cluster import fitted_scan
+    from hirelens.ml.cluster import assign_nearest
     from hirelens.ml.features import valid_salary
     from hirelens.ml.profile import cluster_profiles
     from hirelens.session import materialize
-    feats = _cluster_features(spark, sf_dir)
-    _rows, _chosen, model = fitted_scan(feats)
-    from pyspark.ml.functions import vector_to_array
-    centres = F.array(*[F.array(*[F.lit(float(x)) for x in c]) for c in model.clusterCenters()])
-    own = F.zip_with(vector_to_array("features"), F.element_at(centres, F.col("prediction") + 1), lambda a, b: (a - b) * (a - b))
-    labels = model.transform(feats).select("seq", F.col("prediction").alias("cluster"), F.aggregate(own, F.lit(0.0), lambda a, x: a + x).alias("d"))
+    points, scan = _cluster_scan(spark, sf_dir)
+    fit = scan.fits[scan.chosen]
+    labels = assign_nearest(points, "features", fit.centers.tolist()).select("seq", "cluster", F.col("dist").alias("d"))
     rows = materialize(valid_salary(cleaned(spark, sf_dir)).join(labels, "seq", "left"), "clustered-rows")
-    cost = float(model.summary.trainingCost)
-    feats.unpersist()
+    cost = fit.cost
     sizes = rows.groupBy("cluster").agg(F.count(F.lit(1)).alias("n"))
     prof = cluster_profiles(rows, "cluster")
     checked = prof.join(sizes, "cluster", "full").agg(
