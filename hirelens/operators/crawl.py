@@ -30,47 +30,28 @@ def global_sequence(df: DataFrame, order_cols: list[str], out: str = "seq_no") -
     """WIN-3: a gap-free 1..N number in ``order_cols`` order without a
     single-partition sort.
 
-    The (numeric) leading order column is cut into ``shuffle.partitions``
-    ranges at approximate quantiles computed once; a leading value that
-    covers several quantiles (a hot page) gets extra cuts on the second order
-    column, so it is split over several ranges as well. The cut list is
-    bounded by the partition count and baked into the plan, so every branch
-    assigns a row to the same range. Rows are numbered inside their range and
-    each range adds the row count of all earlier ranges; that offset table
-    has one row per range and is the only thing broadcast.
+    Rows are dealt to ranges of the whole order key (Spark samples the rows and
+    compares them as tuples), followed by a hash of the row and its place in
+    the written input: neither a hot leading value nor rows equal in every
+    order column, or in all columns, gather in one range. A row's number is its
+    place in its range after the rows of the ranges before; only the size of
+    each range leaves the tasks. Columns of any sortable type may order; nulls
+    come first. Rows equal in the order columns are numbered by their hash.
     """
     from hirelens.session import materialize
     spark = df.sparkSession
-    df = materialize(df, "sequence-input")  # read for the cuts, the counts and the numbers
-    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    lead = order_cols[0]
-    probs = [i / n for i in range(1, n)]
-    raw_bounds = df.approxQuantile(lead, probs, 0.001) if n > 1 else []
-    cuts = []  # (lead value, second value or None): a row is above a cut when its key is larger
-    for v in sorted(set(raw_bounds)):
-        k = raw_bounds.count(v)
-        if k > 1 and len(order_cols) > 1:
-            sub = df.where(F.col(lead) == v).approxQuantile(order_cols[1], [j / k for j in range(1, k)], 0.001)
-            cuts += [(float(v), float(x)) for x in sorted(set(sub))]
-        cuts.append((float(v), None))
-    lv = F.col(lead).cast("double")
-    above = []
-    for v, second in cuts:
-        if second is None:
-            above.append(F.when(lv > v, 1).otherwise(0))
-        else:
-            sv = F.col(order_cols[1]).cast("double")
-            above.append(F.when((lv > v) | ((lv == v) & (sv > second)), 1).otherwise(0))
-    bucket = sum(above[1:], above[0]) if above else F.lit(0)
-    b = df.withColumn("_b", bucket)
-    local = b.withColumn("_local", F.row_number().over(Window.partitionBy("_b").orderBy(*order_cols)))
-    counts = b.groupBy("_b").agg(F.count(F.lit(1)).alias("_n"))
-    offsets = counts.withColumn(
-        "_off", F.sum("_n").over(Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)))
-    offsets = offsets.select("_b", F.coalesce(F.col("_off"), F.lit(0)).alias("_off"))
-    return (local.join(F.broadcast(offsets), "_b")
-                 .withColumn(out, F.col("_local") + F.col("_off"))
-                 .drop("_b", "_local", "_off"))
+    keyed = materialize(df.withColumn("_tie", F.xxhash64(*df.columns)).withColumn("_row", F.monotonically_increasing_id()), "sequence-input")
+    order = [*order_cols, "_tie", "_row"]
+    ranges = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    # the id after the sort is (number of the range, place in it)
+    placed = materialize(keyed.repartitionByRange(ranges, *order).sortWithinPartitions(*order)
+                         .withColumn("_place", F.monotonically_increasing_id()).drop("_tie", "_row"), "sequence-ranges")
+    part = F.shiftright("_place", 33).cast("int")
+    sizes = placed.groupBy(part.alias("_part")).agg(F.count(F.lit(1)).alias("_n"))  # one row a range
+    before = sizes.withColumn("_off", F.coalesce(F.sum("_n").over(
+        Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).drop("_n")
+    return placed.withColumn("_part", part).join(F.broadcast(before), "_part") \
+        .withColumn(out, F.col("_off") + F.col("_place").bitwiseAND(F.lit((1 << 33) - 1)) + 1).select(*df.columns, out)
 
 
 def failure_streaks(events: DataFrame, key: str = "user_id", ts: str = "ts", tie: str = "event_id",
@@ -124,3 +105,16 @@ def streak_summary(streaks: DataFrame, key: str = "user_id", trip: int = 2, cool
         F.count(F.when(s == trip, 1)).alias("breaker_trips"),
         F.count(F.when(s == cool, 1)).alias("cooldowns"),
         F.count(F.when(s == give_up, 1)).alias("give_ups"))
+
+
+def stopped(streaks: DataFrame, after: int = 8, key: str = "user_id", ts: str = "ts", tie: str = "event_id") -> DataFrame:
+    """WIN-6: per key the event at which its run of failures first reaches
+    ``after``, at which it stops (null: never), and the events up to it and
+    behind it. The first such event per key is a hash aggregate, and every
+    event is compared with it without a window."""
+    from hirelens.session import checked_broadcast, materialize
+    place = F.struct(ts, tie)
+    stops = materialize(streaks.where(F.col("streak") == after).groupBy(F.col(key).alias("_key")).agg(F.min(place).alias("_stop")), "stops")
+    joined = streaks.join(checked_broadcast(stops), streaks[key].eqNullSafe(F.col("_key")), "left")
+    behind = F.coalesce(place > F.col("_stop"), F.lit(False))
+    return joined.groupBy(key).agg(F.max(f"_stop.{tie}").alias("stop_event"), F.count_if(~behind).alias("n_processed"), F.count_if(behind).alias("n_skipped"))

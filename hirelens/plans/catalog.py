@@ -32,16 +32,40 @@ def raw(spark, sf_dir) -> DataFrame:
     return raw_postings(spark, sf_dir)
 
 
+_WRITTEN: dict = {}
+
+
+def _version(spark, sf_dir) -> tuple:
+    """The postings' input files with their times and sizes: what is written
+    for one state of them is not used for another."""
+    files = spark.read.format("binaryFile").load([f"{sf_dir.rstrip('/')}/{t}.parquet" for t in ("orders", "customer")])
+    rows = files.select("path", "modificationTime", "length").collect()
+    return (spark.sparkContext.applicationId, sf_dir.rstrip("/"), tuple(sorted((r[0], str(r[1]), r[2]) for r in rows)))
+
+
+def _once(spark, sf_dir, name, make):
+    """``make()``'s result, made once per session and state of the input."""
+    key = (name, _version(spark, sf_dir))
+    if key not in _WRITTEN:
+        _WRITTEN[key] = make()
+    return _WRITTEN[key]
+
+
 def standardized(spark, sf_dir) -> DataFrame:
+    """The standardized postings, parsed and written once per session."""
     from hirelens.operators.clean import standardize
-    return standardize(raw(spark, sf_dir))
+    from hirelens.session import materialize
+    return _once(spark, sf_dir, "standardized", lambda: materialize(standardize(raw(spark, sf_dir)), "standardized"))
 
 
-_CLEANED: dict = {}
+def deduplicated(spark, sf_dir) -> DataFrame:
+    from hirelens.operators.clean import deduplicate
+    from hirelens.session import materialize
+    return _once(spark, sf_dir, "deduplicated", lambda: materialize(deduplicate(standardized(spark, sf_dir)), "dedup-postings"))
 
 
 def cleaned(spark, sf_dir) -> DataFrame:
-    """The cleaned postings table (SNK-2), written once per session and input folder.
+    """The cleaned postings table (SNK-2), written once per session and input.
 
     Like the clean -> analyze split of the original tool, the cleaning job
     runs once and writes Parquet (partitioned by keyword, the dashboard's
@@ -50,15 +74,22 @@ def cleaned(spark, sf_dir) -> DataFrame:
     cuts the long lineage, so a lost executor re-reads Parquet instead of
     recomputing the whole cleaning plan.
     """
-    from hirelens.operators.clean import clean_postings
+    from hirelens.operators.clean import fill_missing, remove_outliers
     from hirelens.session import unique_dir
-    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
-    path = _CLEANED.get(key)
-    if path is None:
+
+    def make():
         path = unique_dir(spark, "cleaned-postings")
-        clean_postings(raw(spark, sf_dir)).write.mode("overwrite").partitionBy("keyword").parquet(path)
-        _CLEANED[key] = path
-    return spark.read.parquet(path)
+        remove_outliers(fill_missing(deduplicated(spark, sf_dir))).write.mode("overwrite").partitionBy("keyword").parquet(path)
+        return path
+    return spark.read.parquet(_once(spark, sf_dir, "cleaned", make))
+
+
+def cleaned_sketches(spark, sf_dir) -> DataFrame:
+    """(keyword, n, companies, industries: sketches) stored beside the cleaned table."""
+    from hirelens.operators.quality import distinct_sketches
+    from hirelens.session import materialize
+    return _once(spark, sf_dir, "sketches", lambda: materialize(
+        distinct_sketches(cleaned(spark, sf_dir), "keyword", {"companies": "company_name", "industries": "industry"}), "cleaned-sketches"))
 
 
 # ------------------------------------------------------------- text parsers
@@ -115,8 +146,7 @@ def q_skill_tags_clean(spark, sf_dir):
 @register("dedup_first", with_clean("SELECT seq, company_name, job_title, salary_avg FROM ("
                                     "SELECT seq, company_name, job_title, salary_avg FROM dedup)"))
 def q_dedup_first(spark, sf_dir):
-    from hirelens.operators.clean import deduplicate
-    return deduplicate(standardized(spark, sf_dir)).select("seq", "company_name", "job_title", "salary_avg")
+    return deduplicated(spark, sf_dir).select("seq", "company_name", "job_title", "salary_avg")
 
 
 @register("negotiable_ratio", with_clean("""
@@ -125,19 +155,16 @@ def q_dedup_first(spark, sf_dir):
            avg(CASE WHEN neg THEN 1.0 ELSE 0.0 END) > 0.3 AS above_limit
     FROM dedup WHERE city IS NOT NULL GROUP BY city"""))
 def q_negotiable_ratio(spark, sf_dir):
-    from hirelens.operators.clean import deduplicate
     from hirelens.operators.quality import negotiable_ratio
-    return negotiable_ratio(deduplicate(standardized(spark, sf_dir)))
+    return negotiable_ratio(deduplicated(spark, sf_dir))
 
 
 @register("impute_salary", with_clean("""
     SELECT seq, city, round_even(f_min, 4) AS salary_min, round_even(f_max, 4) AS salary_max,
            round_even(f_avg, 4) AS salary_avg, bump AS bumped FROM filled"""))
 def q_impute_salary(spark, sf_dir):
-    from hirelens.operators.clean import deduplicate, fill_missing
-    from hirelens.session import materialize
-    d = materialize(deduplicate(standardized(spark, sf_dir)), "dedup-postings")
-    f = fill_missing(d, keep_flag=True)
+    from hirelens.operators.clean import fill_missing
+    f = fill_missing(deduplicated(spark, sf_dir), keep_flag=True)
     return f.select("seq", F.when(F.col("city") == "未知", None).otherwise(F.col("city")).alias("city"),
                     F.bround("salary_min", 4).alias("salary_min"), F.bround("salary_max", 4).alias("salary_max"),
                     F.bround("salary_avg", 4).alias("salary_avg"), "bumped")
@@ -170,3 +197,16 @@ def q_clean_pipeline(spark, sf_dir):
 def q_clean_counters(spark, sf_dir):
     from hirelens.operators.quality import pipeline_counters
     return pipeline_counters(raw(spark, sf_dir))
+
+
+@register("clean_sketches", with_clean("""
+    SELECT coalesce(keyword, '_all') AS part, count(*) AS n, count(DISTINCT company_name) AS companies, count(DISTINCT industry) AS industries
+    FROM clean GROUP BY ROLLUP (keyword)"""))
+def q_clean_sketches(spark, sf_dir):
+    """AGG-17 by sketches: distinct companies and industries of each partition
+    of the cleaned table, and of all by merging; no row is read again. Up to
+    some 16,000 values a sketch holds them one by one, so it is exact here."""
+    from hirelens.operators.quality import merged_sketches
+    s = cleaned_sketches(spark, sf_dir)
+    each = merged_sketches(s, ["companies", "industries"], "keyword").withColumnRenamed("keyword", "part")
+    return each.unionByName(merged_sketches(s, ["companies", "industries"]).withColumn("part", F.lit("_all")))

@@ -69,20 +69,20 @@ def q_result_cache(spark, sf_dir):
     re-run of one analysis replaces its rows only. A row per result row, so
     no result is gathered into one cell."""
     from hirelens.functions.text import bin_label
-    from hirelens.sinks.store import upsert, write_version
+    from hirelens.sinks.store import replace_partitions
     c = cleaned(spark, sf_dir)
 
     def entry(name, df, version):
         row = F.to_json(F.struct(*df.columns), {"ignoreNullFields": "false"})
-        return df.select(F.concat_ws("|", F.lit(name), F.col("item")).alias("entry"), F.lit(name).alias("result_name"),
-                         F.lit(version).alias("_batch"), F.lit(0).alias("seq"), row.alias("json"))
+        return df.select(F.lit(name).alias("result_name"), F.lit(version).alias("version"), row.alias("json"))
 
     city = c.groupBy(F.col("city").alias("item")).agg(F.count("salary_avg").alias("n"))
     bins = c.withColumn("item", bin_label("exp_min", dims.DASH_EXP_BINS)).where("item IS NOT NULL").groupBy("item").agg(F.count(F.lit(1)).alias("n"))
-    p1 = write_version(spark, upsert(None, entry("city_salary", city, 1).unionByName(entry("experience_bins", bins, 1)), "entry"), "result-cache")
-    p2 = write_version(spark, upsert(spark.read.parquet(p1), entry("city_salary", city, 2), "entry"), "result-cache")
-    cache = spark.read.parquet(p2).withColumn("r", F.from_json("json", "item STRING, n BIGINT"))
-    return cache.select("result_name", F.col("_batch").alias("version"), F.col("r.item").alias("item"), F.col("r.n").alias("n"))
+    path = unique_dir(spark, "result-cache")
+    replace_partitions(entry("city_salary", city, 1).unionByName(entry("experience_bins", bins, 1)), path, "result_name")
+    replace_partitions(entry("city_salary", city, 2), path, "result_name")  # the other result's files are not touched
+    cache = spark.read.parquet(path).withColumn("r", F.from_json("json", "item STRING, n BIGINT"))
+    return cache.select("result_name", "version", F.col("r.item").alias("item"), F.col("r.n").alias("n"))
 
 
 @register("value_counts_report", with_clean("""

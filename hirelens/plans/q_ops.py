@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from hirelens import dims
-from hirelens.plans.catalog import cleaned, raw, register
+from hirelens.plans.catalog import cleaned, raw, register, standardized
 from hirelens.plans.oracle_base import with_clean, with_parsed
 from hirelens.sources.fixtures import RAW_COLUMNS, RAW_POSTINGS_SQL
 
@@ -192,14 +192,70 @@ def q_keyword_first_n(spark, sf_dir):
 @register("skill_bridge", with_clean("""
     SELECT seq AS job_id, trim(t) AS skill_name
     FROM clean, unnest(string_split(skill_tags, ',')) AS u(t)
-    WHERE skill_tags IS NOT NULL AND trim(t) <> '' AND seq % 5 <> 0"""))
+    WHERE skill_tags IS NOT NULL AND trim(t) <> ''"""))
 def q_skill_bridge(spark, sf_dir):
+    """JON-6: the bridge of all standardized postings; rows of postings that
+    cleaning took out of the job table refer to nothing and go."""
     from hirelens.operators.joins import skill_bridge
-    c = cleaned(spark, sf_dir)
-    bridge = skill_bridge(c)
-    # FK integrity: bridge rows of postings that are missing from the job table go
-    jobs = c.where(F.col("seq") % 5 != 0).select(F.col("seq").alias("job_id"))
-    return bridge.join(jobs, "job_id", "left_semi")
+    jobs = cleaned(spark, sf_dir).select(F.col("seq").alias("job_id"))
+    return skill_bridge(standardized(spark, sf_dir)).join(jobs, "job_id", "left_semi")
+
+
+TABLE_PARTS = 8
+
+
+@register("job_tables", with_parsed(""",
+    jobs AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY job_url ORDER BY seq) AS rn FROM parsed) WHERE rn = 1),
+    skills AS (SELECT seq, job_url, publish_date, trim(t) AS skill FROM parsed, unnest(string_split(skill_tags, ',')) AS u(t) WHERE trim(t) <> ''),
+    held AS (SELECT s.* FROM skills s JOIN jobs j ON s.seq = j.seq)
+    SELECT 'duplicate urls' AS what, count(*) AS n FROM (SELECT job_url FROM parsed GROUP BY job_url HAVING count(*) > 1)
+    UNION ALL SELECT 'titles missing', 0
+    UNION ALL SELECT 'dates missing', count(*) FROM jobs WHERE publish_date IS NULL
+    UNION ALL SELECT 'jobs', count(*) FROM jobs
+    UNION ALL SELECT 'orphan skills', (SELECT count(*) FROM skills) - (SELECT count(*) FROM held)
+    UNION ALL SELECT 'skills', count(*) FROM held
+    UNION ALL SELECT 'jobs after', count(*) FROM jobs WHERE publish_date IS NOT NULL
+    UNION ALL SELECT 'skills after', count(*) FROM held WHERE publish_date IS NOT NULL
+    UNION ALL SELECT 'orphans after', 0
+    UNION ALL SELECT 'results', 2
+    UNION ALL SELECT 'top skill of the results', max(n) FROM (SELECT count(*) AS n FROM held WHERE publish_date IS NOT NULL GROUP BY skill)"""))
+def q_job_tables(spark, sf_dir):
+    """SNK-7: the three tables. Jobs come with repeated URLs (the first stays)
+    and skills with rows of jobs that were not taken; both are found as
+    violations. Jobs without a date are deleted with their skills; the results
+    table has one row a name."""
+    from hirelens.operators.joins import skill_bridge
+    from hirelens.operators.keys import delete_cascade, duplicate_keys, missing_values, orphans, write_placed
+    from hirelens.session import unique_dir
+    from hirelens.sinks.store import insert_table, replace_partitions, table_rows
+    base = unique_dir(spark, "tables")
+    rows = standardized(spark, sf_dir).select("seq", "job_title", "job_url", "publish_date", "skill_tags")
+    counts = {"duplicate urls": duplicate_keys(rows, "job_url").count()}
+    insert_table(spark, f"{base}/incoming", rows, "job_url")
+    write_placed(table_rows(spark, f"{base}/incoming"), f"{base}/job_listing", "seq", TABLE_PARTS)
+    jobs = spark.read.parquet(f"{base}/job_listing")
+    empty = {r["column"]: r["n"] for r in missing_values(jobs, "job_title", "publish_date").collect()}
+    counts |= {"titles missing": empty.get("job_title", 0), "dates missing": empty.get("publish_date", 0), "jobs": jobs.count()}
+    skills = skill_bridge(rows)
+    lost = orphans(skills, "job_id", jobs, "seq")
+    counts["orphan skills"] = lost.count()
+    write_placed(skills.join(jobs, F.col("job_id") == F.col("seq"), "left_semi"), f"{base}/job_skill", "job_id", TABLE_PARTS)
+    counts["skills"] = spark.read.parquet(f"{base}/job_skill").count()
+    delete_cascade(spark, f"{base}/job_listing", "seq", {f"{base}/job_skill": "job_id"},
+                   jobs.where("publish_date IS NULL").select(F.col("seq").alias("id")), TABLE_PARTS)
+    jobs, skills = spark.read.parquet(f"{base}/job_listing"), spark.read.parquet(f"{base}/job_skill")
+    counts |= {"jobs after": jobs.count(), "skills after": skills.count(), "orphans after": orphans(skills, "job_id", jobs, "seq").count()}
+
+    def result(name, df):
+        return df.agg(F.to_json(F.struct(F.max("n").alias("most"))).alias("data")).withColumn("result_name", F.lit(name))
+    by_skill = skills.groupBy("skill_name").agg(F.count(F.lit(1)).alias("n"))
+    replace_partitions(result("jobs", jobs.groupBy("seq").agg(F.count(F.lit(1)).alias("n"))), f"{base}/analysis_result", "result_name")
+    for _ in range(2):  # the second writes over the first
+        replace_partitions(result("skills", by_skill), f"{base}/analysis_result", "result_name")
+    results = spark.read.parquet(f"{base}/analysis_result")
+    counts["results"] = results.count() if not duplicate_keys(results, "result_name").count() else -1
+    counts["top skill of the results"] = int(results.where("result_name = 'skills'").select(F.get_json_object("data", "$.most")).first()[0])
+    return spark.createDataFrame(list(counts.items()), "what string, n long")
 
 
 UPSERT_BATCHES = """
@@ -208,8 +264,10 @@ UPSERT_BATCHES = """
 
 
 def _batches(spark, sf_dir):
+    """Two overlapping batches of the parsed postings, parsed once."""
     from hirelens.functions.salary import with_salary
-    p = with_salary(raw(spark, sf_dir)).select("seq", "job_url", "salary_avg")
+    from hirelens.session import materialize
+    p = materialize(with_salary(raw(spark, sf_dir)).select("seq", "job_url", "salary_avg"), "parsed-salaries")
     b1 = p.where(F.col("seq") % 3 != 0).withColumn("_batch", F.lit(1))
     b2 = (p.where((F.col("seq") % 2 == 0) | (F.col("seq") % 3 == 0)).withColumn("_batch", F.lit(2))
            .withColumn("salary_avg", F.col("salary_avg") + 1000))
@@ -221,11 +279,11 @@ def _batches(spark, sf_dir):
       SELECT *, row_number() OVER (PARTITION BY job_url ORDER BY batch DESC, seq DESC) AS rn FROM b) WHERE rn = 1"""))
 def q_upsert_latest(spark, sf_dir):
     from hirelens.session import unique_dir
-    from hirelens.sinks.store import BucketTable
-    table_ = BucketTable(spark, unique_dir(spark, "job-table"), "job_url")
-    for version, batch in enumerate(_batches(spark, sf_dir)):
-        table_.upsert(batch, version)
-    return table_.read().select("job_url", "seq", F.col("_batch").alias("batch"), "salary_avg")
+    from hirelens.sinks.store import table_rows, upsert_table
+    path = unique_dir(spark, "job-table")
+    for batch in _batches(spark, sf_dir):
+        upsert_table(spark, path, batch, "job_url")
+    return table_rows(spark, path).select("job_url", "seq", F.col("_batch").alias("batch"), "salary_avg")
 
 
 @register("insert_new", with_parsed(f""", {UPSERT_BATCHES},
@@ -236,11 +294,12 @@ def q_upsert_latest(spark, sf_dir):
     SELECT job_url, seq, batch, salary_avg FROM first1
     UNION ALL SELECT job_url, seq, batch, salary_avg FROM first2 WHERE job_url NOT IN (SELECT job_url FROM first1)"""))
 def q_insert_new(spark, sf_dir):
-    from hirelens.sinks.store import insert_ignore, write_version
-    b1, b2 = _batches(spark, sf_dir)
-    v1 = spark.read.parquet(write_version(spark, insert_ignore(None, b1, "job_url"), "job-table"))
-    v2 = spark.read.parquet(write_version(spark, insert_ignore(v1, b2, "job_url"), "job-table"))
-    return v2.select("job_url", "seq", F.col("_batch").alias("batch"), "salary_avg")
+    from hirelens.session import unique_dir
+    from hirelens.sinks.store import insert_table, table_rows
+    path = unique_dir(spark, "job-table")
+    for batch in _batches(spark, sf_dir):
+        insert_table(spark, path, batch, "job_url")
+    return table_rows(spark, path).select("job_url", "seq", F.col("_batch").alias("batch"), "salary_avg")
 
 
 @register("page_funnel", f"""

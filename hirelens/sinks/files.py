@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-# the 15 columns of the JSON export (SNK-3)
+# fixed values: the 15 columns of the JSON export (SNK-3)
 JSON_EXPORT_COLUMNS = [
     "job_title", "salary_min", "salary_max", "salary_avg", "city", "city_tier", "education",
     "exp_min", "exp_max", "company_name", "company_size", "industry", "skill_tags", "publish_date", "keyword",
@@ -42,8 +42,21 @@ def write_json_records(df: DataFrame, path: str, columns=None) -> None:
 
 
 def read_json(spark: SparkSession, path: str, schema: StructType, multiline: bool = False) -> DataFrame:
-    """SRC-3: JSON records or one whole-file document (``multiline``)."""
-    return spark.read.schema(schema).option("multiLine", multiline).json(path)
+    """SRC-3: JSON records or whole-file documents (``multiline``: an object or
+    an array of them a file); a missing document gives no rows."""
+    try:
+        return spark.read.schema(schema).option("multiLine", multiline).json(path)
+    except AnalysisException as e:
+        if not multiline or e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], schema)
+
+
+def write_whole_document(df: DataFrame, path: str) -> None:
+    """SNK-9: a small result (it is one cell of one file) as a whole-file JSON
+    array, a record a line."""
+    one = df.agg(F.collect_list(F.to_json(F.struct(*df.columns), {"ignoreNullFields": "false"})).alias("rows"))
+    one.select(F.concat(F.lit("[\n  "), F.array_join("rows", ",\n  "), F.lit("\n]")).alias("value")).coalesce(1).write.mode("overwrite").text(path)
 
 
 def write_result_documents(results: dict[str, DataFrame], path: str) -> None:

@@ -1,17 +1,24 @@
 """Keyed storage on Parquet (SNK-4..8, WIN-8, PRJ-8).
 
-No table format with MERGE is available offline, so a keyed write produces
-a new version folder: the new batch is unioned with the current version and
-one row per key survives. Readers always open a complete version.
+No table format with MERGE is available offline. A keyed table is a plain
+partitioned Parquet folder: its partitions are hash ranges of the key, and a
+batch rewrites only those that its keys fall into, by Spark's dynamic partition
+overwrite. The number of partitions comes from the size of the first batch and
+stands in the table's own partition columns, so any reader finds it.
 """
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hirelens.operators.clean import first_per_key
-from hirelens.session import unique_dir
+from hirelens.session import checked_broadcast, materialize
+
+#: rows of the first batch for which the table gets one partition
+PARTITION_ROWS = 250_000
+
 
 def upsert(current: DataFrame | None, batch: DataFrame, key: str, order_cols=("_batch", "seq")) -> DataFrame:
     """SNK-5 / SNK-8 / WIN-8: last write wins per key (largest batch, then
@@ -25,69 +32,64 @@ def upsert(current: DataFrame | None, batch: DataFrame, key: str, order_cols=("_
 
 
 def insert_ignore(current: DataFrame | None, batch: DataFrame, key: str, order_col: str = "seq") -> DataFrame:
-    """SNK-4: insert rows whose key is new; the first row per key in the
-    batch is the one inserted, existing rows are never changed."""
+    """SNK-4: the rows of ``batch`` whose key is new; the first row per key in
+    the batch is the one inserted, existing rows are never changed."""
     first = first_per_key(batch, [key], order_col, keep="first")
     if current is None:
         return first
-    new = first.join(current.select(key).distinct(), key, "left_anti")
-    return current.unionByName(new, allowMissingColumns=True)
-
-
-def write_version(spark: SparkSession, df: DataFrame, name: str, partition_by=None) -> str:
-    """Write a complete new version to the shared folder and return its path."""
-    path = unique_dir(spark, name)
-    w = df.write.mode("overwrite")
-    if partition_by:
-        w = w.partitionBy(*partition_by)
-    w.parquet(path)
-    return path
-
-
-class BucketTable:
-    """A keyed table of hash buckets under ``path`` (SNK-5, STM-5).
-
-    Version b is the folder ``v<b>`` with a subfolder for each bucket that batch
-    b touched, and a success mark once it is complete. The table is, for each
-    bucket, the latest complete version that has it: a batch reads and rewrites
-    only the buckets of its keys, and the files alone say what is current, also
-    after a restart. The number of buckets is fixed when the table is made; one
-    bucket is one task's work, so a large table asks for thousands."""
-
-    def __init__(self, spark: SparkSession, path: str, key: str, n_buckets: int = 16):
-        self.spark, self.path, self.key, self.n = spark, path.rstrip("/"), key, n_buckets
-
-    def _bucket(self):
-        return F.pmod(F.xxhash64(self.key), F.lit(self.n)).cast("int")
-
-    def _latest(self, below: int | None = None) -> dict[int, str]:
-        """The folder of each bucket, of versions below ``below``."""
-        path = self.spark._jvm.org.apache.hadoop.fs.Path
-        root = path(self.path)
-        fs = root.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
-        if not fs.exists(root):
-            return {}
-        names = [s.getPath().getName() for s in fs.listStatus(root)]
-        versions = sorted(int(n[1:]) for n in names if n.startswith("v") and n[1:].isdigit())
-        out = {}
-        for v in versions:
-            if (below is None or v < below) and fs.exists(path(f"{self.path}/v{v}/_SUCCESS")):
-                for s in fs.listStatus(path(f"{self.path}/v{v}")):
-                    if s.getPath().getName().startswith("_bucket="):
-                        out[int(s.getPath().getName().split("=")[1])] = f"{self.path}/v{v}/{s.getPath().getName()}"
-        return out
-
-    def read(self) -> DataFrame | None:
-        """All rows, or None before the first version."""
-        folders = sorted(self._latest().values())
-        return self.spark.read.parquet(*folders) if folders else None
-
-    def upsert(self, batch: DataFrame, version: int, order_cols=("_batch", "seq")) -> None:
-        """Last write wins per key. Repeating a version starts from the ones
-        before it, so it is safe."""
-        batch = batch.withColumn("_bucket", self._bucket())
-        touched = {r[0] for r in batch.select("_bucket").distinct().collect()}  # at most n
-        held = [p for b, p in sorted(self._latest(version).items()) if b in touched]
-        now = self.spark.read.parquet(*held).withColumn("_bucket", self._bucket()) if held else None
-        merged = upsert(now, batch, self.key, order_cols)
-        merged.repartition("_bucket").write.mode("overwrite").partitionBy("_bucket").parquet(f"{self.path}/v{version}")
+    held = current.select(F.col(key).alias("_held"))
+    return first.join(held, F.col(key).eqNullSafe(F.col("_held")), "left_anti")
+
+
+def replace_partitions(df: DataFrame, path: str, *columns: str) -> None:
+    """Write ``df`` over those partitions of the table that its rows fall into;
+    the others stay (SNK-5, SNK-8)."""
+    df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*columns).parquet(path)
+
+
+def stored(spark: SparkSession, path: str) -> DataFrame | None:
+    """The table at ``path``, or None if nothing was written there yet."""
+    try:
+        return spark.read.parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            raise
+        return None
+
+
+def _dealt(spark: SparkSession, path: str, batch: DataFrame, key: str) -> tuple[DataFrame, DataFrame | None]:
+    """(the written batch with the table's partition columns, the rows of the
+    partitions that it touches; None without a table)."""
+    now = stored(spark, path)
+    batch = materialize(batch, "keyed-batch")
+    parts = now.select("_of").first()["_of"] if now is not None else batch.count() // PARTITION_ROWS + 1
+    place = F.pmod(F.xxhash64(key), F.lit(parts)).cast("int")
+    dealt = batch.withColumns({"_of": F.lit(parts).cast("int"), "_part": place})
+    if now is None:
+        return dealt, None
+    touched = dealt.select("_part").distinct()
+    return dealt, now.join(checked_broadcast(touched), "_part", "left_semi")
+
+
+def upsert_table(spark: SparkSession, path: str, batch: DataFrame, key: str, order_cols=("_batch", "seq")) -> None:
+    """Last write wins per key in the table at ``path``. The batch is written
+    and read once; partitions without a key of it are not read. Repeating a
+    batch changes nothing."""
+    dealt, held = _dealt(spark, path, batch, key)
+    merged = upsert(held, dealt, key, order_cols)
+    # staged, as a table can't be read while its partitions are replaced
+    replace_partitions(materialize(merged.repartition("_part"), "keyed-merge"), path, "_of", "_part")
+
+
+def insert_table(spark: SparkSession, path: str, batch: DataFrame, key: str, order_col: str = "seq") -> None:
+    """Rows with new keys are appended to their partitions; no stored row is
+    rewritten. Repeating a batch adds nothing."""
+    dealt, held = _dealt(spark, path, batch, key)
+    new = insert_ignore(held, dealt, key, order_col)
+    materialize(new.repartition("_part"), "keyed-new").write.mode("append").partitionBy("_of", "_part").parquet(path)
+
+
+def table_rows(spark: SparkSession, path: str) -> DataFrame | None:
+    """The rows of a keyed table without its partition columns."""
+    now = stored(spark, path)
+    return None if now is None else now.drop("_of", "_part")
