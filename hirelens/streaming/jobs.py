@@ -4,44 +4,26 @@ The original tool polls pages in a loop and keeps its position, seen URLs
 and failure counters in memory. Here the same work is a file-source stream:
 new files in a folder are the new pages, the checkpoint is the saved
 position (resume after a crash or a lost executor), state stores hold the
-seen URLs and per-source breaker state, and ``foreachBatch`` upserts into a
-versioned Parquet table. ``trigger(availableNow=True)`` drains what is there
+seen URLs, and ``foreachBatch`` keeps the breaker's run summaries and upserts into
+a partitioned Parquet table. ``trigger(availableNow=True)`` drains what is there
 and stops, which is also how the tests drive it.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import numpy as np
-import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+
+
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
 def use_rocksdb_state(spark: SparkSession) -> None:
-    """Keep large keyed state (all seen URLs) off the JVM heap."""
-    spark.conf.set("spark.sql.streaming.stateStore.providerClass",
-                   "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
-
-
-def stage_slices(df: DataFrame, slice_col: str, n_slices: int, path: str, files_per_drop: int = 4,
-                 only: range | None = None) -> None:
-    """Write ``df`` to ``path`` as ``n_slices`` successive drops of
-    ``files_per_drop`` files each, in the order of ``slice_col`` (a number or a
-    time), the way a crawler drops pages into a folder. Rows with a null
-    ``slice_col`` come with the last drop. ``only``: the drops to write now."""
-    key = F.col(slice_col)
-    if df.schema[slice_col].dataType.simpleString().startswith("timestamp"):
-        key = key.cast("timestamp")
-    key = key.cast("double")
-    lo, hi = df.agg(F.min(key), F.max(key)).first()
-    span = (hi - lo) / n_slices if lo is not None and hi > lo else 1
-    place = F.least(F.lit(n_slices - 1), F.floor((key - F.lit(lo)) / F.lit(span))) if lo is not None else F.lit(None)
-    numbered = df.withColumn("_drop", F.coalesce(place.cast("int"), F.lit(n_slices - 1)))
-    for i in only if only is not None else range(n_slices):
-        numbered.where(F.col("_drop") == i).drop("_drop").repartition(files_per_drop).write.mode("append").parquet(path)
+    """Keep large keyed state (all seen URLs) off the JVM heap, unless the
+    session was given a provider."""
+    key = "spark.sql.streaming.stateStore.providerClass"
+    if not spark.conf.get(key, ""):
+        spark.conf.set(key, ROCKSDB)
 
 
 def read_stream(spark: SparkSession, path: str, schema, files_per_trigger: int | None = None) -> DataFrame:
@@ -78,13 +60,26 @@ def latest_rows(spark: SparkSession, out: str, keys: list[str]) -> DataFrame:
 # ----------------------------------------------------------- STM-1 / STM-2
 def stream_dedup(spark: SparkSession, drops: str, schema, work: str, files_per_trigger: int) -> DataFrame:
     """Process each URL once across all file drops (exact: state keeps every
-    URL of the run; ``dropDuplicatesWithinWatermark`` is the bounded variant
-    when a publish-time horizon is acceptable)."""
+    URL of the run; see :func:`stream_dedup_within` for the bounded form)."""
     use_rocksdb_state(spark)
     s = read_stream(spark, drops, schema, files_per_trigger)
     return spark.read.parquet(run_to_parquet(s.dropDuplicates(["job_url"]), "append", work))
 
 
+def stream_dedup_within(spark: SparkSession, drops: str, schema, work: str, files_per_trigger: int, keys: list[str], ts: str,
+                        horizon: str) -> DataFrame:
+    """STM-2 with bounded state: a row goes if one with the same keys stayed and
+    is not forgotten. A key is forgotten when the watermark, which is
+    ``horizon`` behind the newest event of the earlier batches, has passed its
+    row by ``horizon``: never within one horizon, surely after two and a batch;
+    the state holds no older keys. A row more than a horizon behind the newest
+    one seen is late and goes too."""
+    use_rocksdb_state(spark)
+    s = read_stream(spark, drops, schema, files_per_trigger)
+    s = s.withColumn("_ets", F.col(ts).cast("timestamp")).withWatermark("_ets", horizon)
+    return spark.read.parquet(run_to_parquet(s.dropDuplicatesWithinWatermark(keys), "append", work)).drop("_ets")
+
+
 # ------------------------------------------------------------------ STM-3
 def stream_weekly(spark: SparkSession, drops: str, schema, work: str, files_per_trigger: int,
                   delay: str = "1 day") -> DataFrame:
@@ -99,71 +94,90 @@ def stream_weekly(spark: SparkSession, drops: str, schema, work: str, files_per_
 
 
 # ------------------------------------------------------------------ STM-4
-BREAKER_STATE = "last double, streak long, max_streak long, trips long, cooldowns long, give_ups long, n_events long, n_failures long"
-BREAKER_OUT = ("user_id long, n_events long, n_failures long, max_streak long, breaker_trips long, "
-               "cooldowns long, give_ups long")
-
-
-def _breaker(key, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-    """Per source: consecutive failures (reset on success); counts when the
-    run reaches 2 (breaker opens), 3 (cool-down) and 5 (give up). An event
-    older than the last one of an earlier batch comes too late to be put into
-    a run that is already counted: it counts as an event and as a failure, but
-    not in a run.
-    Vectorized per micro-batch: a success starts a new run; a failure's
-    streak is its rank among the failures of its run, plus the open streak
-    carried in from earlier batches for the first run."""
-    if state.exists:
-        last, streak, mx, trips, cools, gives, n, nf = state.get
-    else:
-        last, streak, mx, trips, cools, gives, n, nf = -np.inf, 0, 0, 0, 0, 0, 0, 0
-    batch = pd.concat(list(pdfs), ignore_index=True).sort_values(["ts", "event_id"])
-    err = (batch["event_type"] == "error").to_numpy()
-    n += len(err)
-    nf += int(err.sum())
-    when = batch["ts"].astype("int64").to_numpy().astype(float)
-    err = err[when >= last]
-    if len(err):
-        last = max(last, float(when.max()))
-        run = np.cumsum(~err)
-        ranks = pd.Series(err.astype(np.int64)).groupby(run).cumsum().to_numpy()
-        s = np.where(err, ranks + np.where(run == 0, streak, 0), 0)
-        mx = max(mx, int(s.max()))
-        trips += int((s == 2).sum())
-        cools += int((s == 3).sum())
-        gives += int((s == 5).sum())
-        streak = int(s[-1])
-    state.update((last, streak, mx, trips, cools, gives, n, nf))
-    yield pd.DataFrame([{"user_id": key[0], "n_events": n, "n_failures": nf, "max_streak": mx,
-                         "breaker_trips": trips, "cooldowns": cools, "give_ups": gives}])
-
-
-def stream_breaker(spark: SparkSession, drops: str, schema, work: str, files_per_trigger: int) -> DataFrame:
-    """Stateful per-source failure breaker over the event stream; the last
-    emitted state per source is the answer. Drops come in event time; inside
-    a micro-batch a source's events are sorted by (ts, event_id)."""
+def run_summaries(events: DataFrame, key: str, chunk: str, ts: str = "ts", tie: str = "event_id") -> DataFrame:
+    """One row per (key, chunk) of ``events`` (with a boolean ``fail``): events,
+    failures, whether any succeeded, the run of failures before the first
+    success (``lead``; all of them if none), after the last (``trail``), and of
+    the runs behind a success the longest and how many reached 2, 3 and 5.
+    Summaries of chunks in order merge to what the events in order give."""
+    w = Window.partitionBy(key, chunk).orderBy(ts, tie).rowsBetween(Window.unboundedPreceding, 0)
+    runs = events.withColumn("run", F.sum((~F.col("fail")).cast("long")).over(w)) \
+        .groupBy(key, chunk, "run").agg(F.count(F.lit(1)).alias("n"), F.count_if("fail").alias("f"))
+    behind = F.when(F.col("run") > 0, F.col("f"))
+    return runs.groupBy(key, chunk).agg(
+        F.sum("n").alias("n"), F.sum("f").alias("nf"), (F.max("run") > 0).alias("has_ok"),
+        F.coalesce(F.sum(F.when(F.col("run") == 0, F.col("f"))), F.lit(0)).cast("long").alias("lead"),
+        F.coalesce(F.max_by("f", "run"), F.lit(0)).alias("trail"), F.coalesce(F.max(behind), F.lit(0)).alias("longest"),
+        *[F.count_if(behind >= k).alias(f"runs{k}") for k in (2, 3, 5)])
+
+
+def merged_runs(summaries: DataFrame, key: str, chunk: str, pool: Column, trip: int = 2, least_healthy: int = 3) -> DataFrame:
+    """The breaker per key: chunks merged in order, each with the open run that
+    the chunks before leave. A key is healthy while its open run is shorter
+    than ``trip``; a pool of keys with fewer than ``least_healthy`` healthy ones
+    works in degraded mode. A key has one row a chunk here, not its events."""
+    w = Window.partitionBy(key).orderBy(chunk)
+    upto = w.rowsBetween(Window.unboundedPreceding, 0)
+    own = F.when(F.col("has_ok"), F.col("trail")).otherwise(F.col("lead"))
+    s = summaries.withColumn("_since", F.sum(F.col("has_ok").cast("int")).over(upto))
+    s = s.withColumn("_open", F.sum(own).over(Window.partitionBy(key, "_since").orderBy(chunk).rowsBetween(Window.unboundedPreceding, 0)))
+    s = s.withColumn("_carry", F.coalesce(F.lag("_open").over(w), F.lit(0)))
+    first = F.col("_carry") + F.col("lead")  # the run that the chunk's first failures go on with
+    reached = lambda k: F.sum(F.col(f"runs{k}") + ((F.col("_carry") < k) & (first >= k)).cast("int"))
+    per = s.groupBy(key).agg(
+        F.sum("n").alias("n_events"), F.sum("nf").alias("n_failures"),
+        F.max(F.greatest("longest", F.when(F.col("lead") > 0, first).otherwise(0))).alias("max_streak"),
+        reached(2).alias("breaker_trips"), reached(3).alias("cooldowns"), reached(5).alias("give_ups"),
+        F.max_by("_open", chunk).alias("open_streak"))
+    per = per.withColumn("_pool", pool)
+    low = per.groupBy("_pool").agg((F.count_if(F.col("open_streak") < trip) < least_healthy).alias("degraded"))
+    return per.join(low, "_pool").drop("_pool")
+
+
+def stream_breaker(spark: SparkSession, drops: str, schema, work: str, files_per_trigger: int, chunk: str = "hour",
+                   pool: Column | None = None) -> DataFrame:
+    """Failure breaker per source over the event stream. A micro-batch appends
+    its events and summarizes anew the (source, time chunk) pairs that it
+    touches: a late event takes its place in its chunk, and no task sees more
+    than one chunk of a source. The state is these summaries, the latest one
+    of each pair, merged in order when they are read. Each batch writes folders
+    of its own, so a repeated batch changes nothing."""
+    from hirelens.operators.clean import first_per_key
+    from hirelens.session import checked_broadcast
     s = read_stream(spark, drops, schema, files_per_trigger)
-    out_df = s.groupBy("user_id").applyInPandasWithState(
-        _breaker, BREAKER_OUT, BREAKER_STATE, "update", GroupStateTimeout.NoTimeout)
-    return latest_rows(spark, run_to_parquet(out_df, "update", work), ["user_id"])
+
+    def sink(batch: DataFrame, batch_id: int) -> None:
+        e = batch.select("event_id", "ts", "user_id", (F.col("event_type") == "error").alias("fail")) \
+            .withColumn("chunk", F.date_trunc(chunk, F.col("ts").cast("timestamp"))).withColumn("day", F.to_date("chunk"))
+        e.write.mode("overwrite").partitionBy("day").parquet(f"{work}/events/batch={batch_id}")
+        every = spark.read.parquet(f"{work}/events").where(F.col("batch") <= batch_id)
+        touched = every.where(F.col("batch") == batch_id).select("day", "user_id", "chunk").distinct()
+        run_summaries(every.join(checked_broadcast(touched), ["day", "user_id", "chunk"], "left_semi"), "user_id", "chunk") \
+            .write.mode("overwrite").parquet(f"{work}/summaries/batch={batch_id}")
+
+    q = (s.writeStream.foreachBatch(sink).option("checkpointLocation", f"{work}/checkpoint")
+         .trigger(availableNow=True).start())
+    q.awaitTermination()
+    latest = first_per_key(spark.read.parquet(f"{work}/summaries"), ["user_id", "chunk"], "batch", keep="last")
+    return merged_runs(latest, "user_id", "chunk", F.lit(0) if pool is None else pool)
 
 
 # ------------------------------------------------------------------ STM-5
 def stream_upsert(spark: SparkSession, drops: str, schema, work: str, files_per_trigger: int) -> DataFrame:
-    """Each micro-batch is upserted into a bucketed table keyed by job_url (last
-    write wins: later batch, then larger seq); a batch rewrites the buckets it
-    touches. A restart finds the table's state in its files."""
-    from hirelens.sinks.store import BucketTable
-    table = BucketTable(spark, f"{work}/table", "job_url")
+    """Each micro-batch is upserted into a partitioned table keyed by job_url
+    (last write wins: later batch, then larger seq); a batch rewrites the
+    partitions it touches. A restart finds the table in its files."""
+    from hirelens.sinks.store import table_rows, upsert_table
+    path = f"{work}/table"
     s = read_stream(spark, drops, schema, files_per_trigger)
 
     def sink(batch: DataFrame, batch_id: int) -> None:
-        table.upsert(batch.withColumn("_batch", F.lit(batch_id)), batch_id)
+        upsert_table(spark, path, batch.withColumn("_batch", F.lit(batch_id)), "job_url")
 
     q = (s.writeStream.foreachBatch(sink).option("checkpointLocation", f"{work}/checkpoint")
          .trigger(availableNow=True).start())
     q.awaitTermination()
-    return table.read().drop("_batch")
+    return table_rows(spark, path).drop("_batch")
 
 
 # ------------------------------------------------------------------ STM-6
