@@ -39,6 +39,49 @@ def dict_skills(low) -> Column:
     return F.array_compact(F.array(*[F.when(low.contains(w.lower()), F.lit(w)) for w in words]))
 
 
+class GramIndex:
+    """A dictionary indexed by character n-grams: each word under the one of its
+    grams that fewest words have. A text's grams are looked up and only the
+    words found so are searched in it, so the cost is the text's length,
+    whatever the size of the dictionary."""
+
+    def __init__(self, words: list[str]):
+        self.words = [w for w in dict.fromkeys(words) if w]
+        low = [w.lower() for w in self.words]
+        self.n = min((len(w) for w in low), default=1)
+        grams = [{w[i:i + self.n] for i in range(len(w) - self.n + 1)} for w in low]
+        held: dict[str, int] = {}
+        for g in grams:
+            for x in g:
+                held[x] = held.get(x, 0) + 1
+        self.index: dict[str, list[tuple[int, str]]] = {}
+        for at, (w, g) in enumerate(zip(low, grams)):
+            self.index.setdefault(min(g, key=lambda x: (held[x], x)), []).append((at, w))
+
+    def find(self, low: str) -> list[str]:
+        """The words (as written in the dictionary, in its order) that a
+        lower-cased text contains."""
+        index, n = self.index, self.n
+        grams = {low[i:i + n] for i in range(len(low) - n + 1)}
+        return [self.words[at] for at in sorted(at for g in grams if g in index for at, w in index[g] if w in low)]
+
+
+def with_dictionary_hits(df: DataFrame, low: str, out: str, words: list[str] | None = None) -> DataFrame:
+    """STR-8 / JON-10 on long texts and large dictionaries: ``df`` with the
+    array ``out`` of dictionary words (length > 1) that the lower-cased text
+    column ``low`` contains; null for a null text. One pass, no shuffle."""
+    import pyarrow as pa
+    index = GramIndex([w for w in (dims.SKILL_DICT if words is None else words) if len(w) > 1])
+    at = df.columns.index(low)
+
+    def find(batches):
+        for batch in batches:
+            hits = [None if not t.is_valid else index.find(t.as_py()) for t in batch.column(at)]
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(hits, pa.list_(pa.string()))], names=[*batch.schema.names, out])
+    from pyspark.sql.types import ArrayType, StringType, StructField, StructType
+    return df.mapInArrow(find, StructType([*df.schema.fields, StructField(out, ArrayType(StringType()))]))
+
+
 def keyword_skills(keyword) -> Column:
     """STR-9: core skills implied by the search keyword."""
     k = F.coalesce(_c(keyword), F.lit(""))

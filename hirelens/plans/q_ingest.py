@@ -235,12 +235,20 @@ def q_html_job_cards(spark, sf_dir):
     o = table(spark, sf_dir, "orders")
     k = F.col("o_orderkey")
     s = lambda x: x.cast("string")
-    title = F.when(k % 9 != 0, F.concat(F.lit('<div class="job-info"><a class="jname at" href="#"><em>Job</em> '), F.col("o_orderpriority"), F.lit("</a></div>"))).otherwise(F.lit(""))
-    salary = F.when(k % 7 != 0, F.concat(F.lit('<span class="sal shrink-0">'), s(k % 9 + 8), F.lit("-"), s(k % 9 + 20), F.lit("K</span>"))).otherwise(F.lit(""))
+    # nested elements of one name, void and unclosed tags, and a first choice that
+    # is empty or comes later than a second one
+    job = F.concat(F.lit('<em>Job</em><br> <div><div>'), F.col("o_orderpriority"), F.lit("</div></div>"))
+    title = F.when(k % 9 == 0, F.lit('<div class="jname"><div> </div></div>')).otherwise(F.concat(
+        F.lit('<div class="job-info"><img src="x.png"><p>'),
+        F.when(k % 5 == 0, F.concat(F.lit('<div class="jname"> &nbsp;</div><div class="job-title">'), job, F.lit("</div>")))
+         .when(k % 5 == 1, F.concat(F.lit('<div class="sub-title">not this</div><div class="jname at">'), job, F.lit("</div>")))
+         .otherwise(F.concat(F.lit('<div class="jname at"><!-- <div> -->'), job, F.lit("</div>"))), F.lit("</div>")))
+    salary = F.when(k % 7 != 0, F.concat(F.lit('<span class="sal shrink-0"><span>'), s(k % 9 + 8), F.lit("</span>-"), s(k % 9 + 20), F.lit("K</span>"))).otherwise(F.lit(""))
     company = F.concat(F.lit('<p class="com-box">\n Company  '), s(F.col("o_custkey")), F.lit("</p>"))
     area = F.when(k % 2 == 0, F.lit('<div class="area">广州·天河区</div>')).otherwise(F.lit('<div class="zone">x</div>'))
     body = F.when(k % 3 == 0, F.concat(salary, title, area, company)).otherwise(F.concat(title, salary, company, area))
-    card = F.concat(F.lit('<div class="list job-card top">'), body, F.lit("</div>"))
+    # what follows a card is not part of it
+    card = F.concat(F.lit('<div class="list job-card top">'), body, F.lit('</div><div class="area ad">elsewhere</div>'))
     # 50 cards per page at most: a bounded group
     pages = o.select(F.floor(k / 50).cast("long").alias("page"), k.alias("k"), card.alias("card")).groupBy("page") \
         .agg(F.array_sort(F.collect_list(F.struct("k", "card"))).alias("c"))
@@ -282,7 +290,9 @@ def _fetched(spark, sf_dir):
     html = (F.when(pid % 7 == 0, F.concat(F.col("html"), F.lit("<p>15K-20K</p><p>8千</p>")))
              .when(pid % 7 == 1, F.concat(F.col("html"), F.lit("<p>Python 30K</p>")))
              .when(pid % 7 == 2, F.concat(F.lit("<p>滑块</p>"), F.col("html"), F.lit("<p>15K 20K</p>")))
-             .when(pid % 7 == 3, F.concat(F.col("html"), F.lit("<p>Python 搜索发现</p>"))).otherwise(F.col("html")))
+             .when(pid % 7 == 3, F.concat(F.col("html"), F.lit("<p>Python 搜索发现</p>")))
+             .when(pid % 7 == 4, F.concat(F.col("html"), F.repeat(F.lit('<div class="job-card"><b class="name">a job</b></div>'), 2)))
+             .when(pid % 7 == 5, F.concat(F.col("html"), F.lit('<div class="job-card"><b class="name">a job</b></div>'))).otherwise(F.col("html")))
     return p.select("page_id", status.alias("status"), url.alias("url"), body.alias("body"), html.alias("html"))
 
 
@@ -295,7 +305,9 @@ def _fetched(spark, sf_dir):
         CASE WHEN page_id % 19 = 0 THEN NULL WHEN page_id % 13 = 0 THEN substr(html, 1, 60)
              WHEN page_id % 23 = 0 THEN repeat('x', 200) WHEN page_id % 29 = 1 THEN '<p>请稍后再试</p>' || html ELSE html END AS body,
         CASE page_id % 7 WHEN 0 THEN html || '<p>15K-20K</p><p>8千</p>' WHEN 1 THEN html || '<p>Python 30K</p>'
-             WHEN 2 THEN '<p>滑块</p>' || html || '<p>15K 20K</p>' WHEN 3 THEN html || '<p>Python 搜索发现</p>' ELSE html END AS html
+             WHEN 2 THEN '<p>滑块</p>' || html || '<p>15K 20K</p>' WHEN 3 THEN html || '<p>Python 搜索发现</p>'
+             WHEN 4 THEN html || repeat('<div class="job-card"><b class="name">a job</b></div>', 2)
+             WHEN 5 THEN html || '<div class="job-card"><b class="name">a job</b></div>' ELSE html END AS html
       FROM pages),
     c AS (SELECT *, lower(substr(body, 1, 500)) AS low,
             CASE WHEN page_id % 23 = 0 AND page_id % 13 <> 0 AND page_id % 19 <> 0 THEN
@@ -310,14 +322,19 @@ def _fetched(spark, sf_dir):
            ELSE api END AS reason,
       CASE WHEN contains(substr(html, 1, 2000), '滑块') OR contains(lower(substr(html, 1, 2000)), 'aliyun_waf') THEN false
            ELSE len(regexp_extract_all(html, '{dims.SALARY_TOKEN_PATTERN}')) >= 2
+                OR page_id % 7 = 4
                 OR (length(html) > 2000 AND contains(html, 'Python') AND NOT contains(html, '搜索发现')) END AS has_jobs
     FROM c""")
 def q_page_quality(spark, sf_dir):
+    """FLT-10, FLT-11: two job cards make a page of jobs too; their number comes
+    from the card rows."""
     from hirelens.operators.quality import classify_response, page_has_jobs
+    from hirelens.sources.html import card_rows
     f = _fetched(spark, sf_dir)
-    return f.select("page_id", "status",
-                    classify_response(F.col("status"), F.col("url"), F.col("body")).alias("reason"),
-                    page_has_jobs(F.col("html")).alias("has_jobs"))
+    cards = card_rows(f.select(F.col("page_id").alias("card_page"), "html")).groupBy("card_page").agg(F.count(F.lit(1)).alias("cards"))
+    return f.join(cards, F.col("page_id") == F.col("card_page"), "left").select(
+        "page_id", "status", classify_response(F.col("status"), F.col("url"), F.col("body")).alias("reason"),
+        page_has_jobs(F.col("html"), cards=F.col("cards")).alias("has_jobs"))
 
 
 # ------------------------------------------------------------ documents
@@ -337,15 +354,13 @@ def _oracle_skill_pattern():
     SELECT doc_id, 'regex' AS source, skill, count(*) AS n FROM m GROUP BY doc_id, skill
     UNION ALL SELECT doc_id, 'dict', skill, 1 FROM d""")
 def q_skill_extract_documents(spark, sf_dir):
-    from hirelens.functions.skills import dict_skills, regex_skills
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    rx = (docs.select("doc_id", F.explode(regex_skills("text")).alias("skill"))
-              .groupBy("doc_id", "skill").agg(F.count(F.lit(1)).alias("n"))
-              .select("doc_id", F.lit("regex").alias("source"), "skill", "n"))
-    low = docs.select("doc_id", F.lower("text").alias("low"))
-    dx = low.select("doc_id", F.explode(dict_skills("low")).alias("skill")) \
-            .select("doc_id", F.lit("dict").alias("source"), "skill", F.lit(1).cast("long").alias("n"))
-    return rx.unionByName(dx)
+    """STR-7, STR-8: both matches in one scan of the texts."""
+    from hirelens.functions.skills import regex_skills, with_dictionary_hits
+    docs = table(spark, sf_dir, "documents").select("doc_id", regex_skills("text").alias("rx"), F.lower("text").alias("low"))
+    both = with_dictionary_hits(docs, "low", "dx").drop("low")
+    named = lambda c, source: F.transform(F.coalesce(c, F.array().cast("array<string>")), lambda x: F.struct(F.lit(source).alias("source"), x.alias("skill")))
+    hits = both.select("doc_id", F.explode(F.concat(named(F.col("rx"), "regex"), named(F.col("dx"), "dict"))).alias("h"))
+    return hits.select("doc_id", "h.*").groupBy("doc_id", "source", "skill").agg(F.count(F.lit(1)).alias("n"))
 
 
 IP_PORT = "([0-9]{1,3}\\.[0-9]{1,3}\\.[0-9]{1,3}\\.[0-9]{1,3}:[0-9]{2,5})"

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, StringType, StructField, StructType
+from pyspark.sql.types import DoubleType, LongType, StringType, StructField, StructType
 
 from hirelens.plans.catalog import cleaned, register
 from hirelens.plans.oracle_base import with_clean
@@ -67,14 +67,21 @@ def q_csv_rows(spark, sf_dir):
 
 @register("result_documents", with_clean("""
     SELECT 'education' AS name, education AS label, count(*) AS n FROM clean GROUP BY education
-    UNION ALL SELECT 'keyword', keyword, count(*) FROM clean GROUP BY keyword"""))
+    UNION ALL SELECT 'keyword', keyword, count(*) FROM clean GROUP BY keyword
+    UNION ALL SELECT 'tier', city_tier, count(*) FROM clean GROUP BY city_tier"""))
 def q_result_documents(spark, sf_dir):
     """SNK-9 / SRC-3: analysis results merged into one JSON folder and read
-    back; a missing folder gives no rows."""
-    from hirelens.sinks.files import read_result_documents, write_result_documents
+    back, and one (four city tiers at most) as a whole-file document over many
+    lines; a missing folder or file gives no rows."""
+    from hirelens.sinks.files import read_json, read_result_documents, write_result_documents, write_whole_document
     c = cleaned(spark, sf_dir)
     base = unique_dir(spark, "results")
     write_result_documents({k: c.groupBy(F.col(k).alias("label")).agg(F.count(F.lit(1)).alias("n")) for k in ("education", "keyword")}, f"{base}/merged")
     rows = read_result_documents(spark, f"{base}/merged").unionByName(read_result_documents(spark, f"{base}/missing"))
     r = F.from_json("row", "label STRING, n BIGINT")
-    return rows.select("name", r["label"].alias("label"), r["n"].alias("n"))
+    rows = rows.select("name", r["label"].alias("label"), r["n"].alias("n"))
+    write_whole_document(c.groupBy(F.col("city_tier").alias("label")).agg(F.count(F.lit(1)).alias("n")), f"{base}/tiers")
+    schema = StructType([StructField("label", StringType()), StructField("n", LongType())])
+    for path in (f"{base}/tiers", f"{base}/no-tiers"):
+        rows = rows.unionByName(read_json(spark, path, schema, multiline=True).withColumn("name", F.lit("tier")))
+    return rows
