@@ -1,7 +1,6 @@
 """Every query with an oracle equals its DuckDB SQL on sf0.001 (order-insensitive)."""
 
 import math
-import os
 
 import pytest
 
@@ -9,9 +8,7 @@ import __spark_entry__ as E
 from conftest import SF_SMALL
 
 ORACLE = E.oracle_sql()
-# minutes of model fits each, as many on any data; RUN_SLOW=1 runs them too
-SLOW = {"reg_compare", "reg_importance", "kmeans_scan", "cluster_final"}
-NAMES = sorted(n for n in ORACLE if n not in SLOW or os.environ.get("RUN_SLOW"))
+NAMES = sorted(ORACLE)
 
 
 def _norm(v):

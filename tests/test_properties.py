@@ -61,13 +61,10 @@ def test_silhouette_matches_pairwise(spark):
 
 
 def test_kmeans_scan_rule(spark):
-    from pyspark.ml.linalg import Vectors
-
     from hirelens.ml.cluster import kmeans_scan
-    pts = [(Vectors.dense([float(i % 3) * 10 + (i % 5) * 0.01, float(i % 3)]),) for i in range(90)]
-    df = spark.createDataFrame(pts, ["features"])
-    rows, chosen = kmeans_scan(df, k_values=[2, 3, 4])
-    assert len(rows) == 3 and chosen == 3
+    pts = [(i, [float(i % 3) * 10 + (i % 5) * 0.01, float(i % 3)]) for i in range(90)]
+    scan = kmeans_scan(spark.createDataFrame(pts, "seq long, features array<double>"), k_values=[2, 3, 4])
+    assert len(scan.rows) == 3 and scan.chosen == 3
 
 
 def test_svd_project_covers_all_docs(spark):
@@ -100,6 +97,3 @@ def test_global_sequence_splits_hot_leading_value(spark):
     out = global_sequence(df, ["page", "pos"]).orderBy("seq_no").collect()
     assert [r.seq_no for r in out] == list(range(1, 6001))
     assert [(r.page, r.pos) for r in out] == sorted((r.page, r.pos) for r in out)
-    # the hot page's rows land in more than one range
-    parts = df.where("page = 5").approxQuantile("pos", [0.5], 0.001)
-    assert parts and 0 < parts[0] < 3599
