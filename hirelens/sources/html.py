@@ -55,7 +55,7 @@ INLINE_TAGS = ["a", "abbr", "b", "bdi", "bdo", "cite", "code", "em", "font", "i"
                "strong", "sub", "sup", "time", "u", "wbr"]
 
 _TAG = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][a-zA-Z0-9]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<![^>]*>", re.S)
-_CLASS = re.compile(r"\bclass\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))")
+_CLASS = re.compile(r"\bclass\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
 
 
 class TagTree:
