@@ -166,10 +166,13 @@ class Packing:
 
 
 def pack(docs: DataFrame, tokenizer: str, end_id: int, capacity: int = CAPACITY, grid: int = GRID,
-         id_col: str = "doc_id", text_col: str = "text", special_as_text: bool = False) -> Packing:
+         id_col: str = "doc_id", text_col: str = "text", special_as_text: bool = False,
+         remembered: int | None = None) -> Packing:
     """Pack all rows of ``docs``; a null or empty text has just its end id.
     ``tokenizer``: the path of a ``tokenizers`` file where the job is planned;
     a special token's string in a text is that token unless ``special_as_text``.
+    ``remembered``: chunks of text whose ids a worker keeps, twice (some 200
+    bytes each; more are faster), for executors with less memory to spare.
 
     Sequences hold at most ``capacity`` ids, pieces follow one another without
     gaps, every id of every row lies in exactly one piece. Where a sequence
@@ -184,7 +187,7 @@ def pack(docs: DataFrame, tokenizer: str, end_id: int, capacity: int = CAPACITY,
     def tokenize(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
         part = TaskContext.get().partitionId()
-        enc = encoder(file.value, special_as_text)
+        enc = encoder(file, special_as_text, remembered)
         end = np.array([end_id], enc.dtype).tobytes()
         width = enc.dtype.itemsize
         count = np.zeros(capacity // grid + 2, np.int64)

@@ -68,7 +68,7 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer: str, end_id: int,
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
         task = TaskContext.get()
-        enc, out = encoder(file.value, special_as_text), None
+        enc, out = encoder(file, special_as_text), None
         end = np.array([end_id], enc.dtype).tobytes()
         name = f"{run}-{task.partitionId():06d}-{task.taskAttemptId()}"
         lengths: list[np.ndarray] = []

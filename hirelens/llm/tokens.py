@@ -49,12 +49,19 @@ def id_dtype(vocab_size: int) -> np.dtype:
 
 
 def shipped(spark, path: str):
-    """The tokenizer file as a broadcast."""
+    """(the tokenizer file's bytes, its kind) as a broadcast. The kind is told
+    here once: the parsed file is some ten times as large as its bytes."""
     with open(path, "rb") as f:
-        return spark.sparkContext.broadcast(f.read())
+        blob = f.read()
+    return spark.sparkContext.broadcast((blob, kind_of(blob)))
 
 
-def _kind(spec: dict) -> str:
+def kind_of(blob: bytes) -> str:
+    """How texts may be cut; a file of which some special token does not show by
+    its opening allows no cut."""
+    spec = json.loads(blob)
+    if not all("<|" in t["content"] for t in spec.get("added_tokens", [])):
+        return "whole"
     pre = spec.get("pre_tokenizer") or {}
     if pre.get("type") == "ByteLevel" and pre.get("use_regex", True) and not pre.get("add_prefix_space") \
             and not spec.get("normalizer"):
@@ -67,18 +74,16 @@ def _kind(spec: dict) -> str:
 
 
 class Encoder:
-    def __init__(self, blob: bytes, special_as_text: bool = False):
+    def __init__(self, blob: bytes, special_as_text: bool = False, kind: str | None = None, remembered: int | None = None):
         import os
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_buffer(blob)
         self.tokenizer.encode_special_tokens = special_as_text
-        spec = json.loads(blob)
         self.dtype = id_dtype(self.tokenizer.get_vocab_size())
-        special = [t["content"] for t in spec.get("added_tokens", [])]
-        # a text is cut into chunks only if each special token shows by its opening
-        self.kind = _kind(spec) if all("<|" in t for t in special) else "whole"
+        self.kind = kind or kind_of(blob)
+        self.remembered = REMEMBERED if remembered is None else remembered
         self.known: dict[str | bytes, bytes | None] = {}
         self.before: dict[str | bytes, bytes | None] = {}
 
@@ -91,7 +96,7 @@ class Encoder:
     def _learn(self, chunks) -> dict[str | bytes, bytes]:
         """Remembers the ids of ``chunks`` (None where the text must be encoded
         whole) and returns those of chunks too long to be remembered."""
-        if len(self.known) > REMEMBERED:
+        if len(self.known) > self.remembered:
             self.before, self.known = self.known, {}
         known, before = self.known, self.before
         long, stems, tails = {}, {}, []
@@ -147,13 +152,14 @@ def _lower_words(text: str) -> list[bytes]:
     return text.encode().lower().split()
 
 
-def encoder(blob: bytes, special_as_text: bool = False) -> Encoder:
-    """The worker's encoder of a file; the file is loaded once per process."""
+def encoder(file, special_as_text: bool = False, remembered: int | None = None) -> Encoder:
+    """The worker's encoder of a shipped file, loaded once per process."""
     start_task("encode")
     cache = process_cache()
-    key = ("encoder", zlib.crc32(blob), len(blob), special_as_text)
+    blob, kind = file.value
+    key = ("encoder", zlib.crc32(blob), len(blob), special_as_text, remembered)
     if key not in cache:
-        cache[key] = Encoder(blob, special_as_text)
+        cache[key] = Encoder(blob, special_as_text, kind, remembered)
     return cache[key]
 
 
