@@ -21,6 +21,11 @@ from hirelens.llm.common import drop, written
 from hirelens.llm.queries import END_ID, PACK_COLUMNS, tokenizer_path
 
 
+#: chunks that a tokenizing worker keeps, twice; fewer than where packing is all
+#: that an executor does, as the stages before it leave their share of memory
+REMEMBERED = 200_000
+
+
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
@@ -45,7 +50,7 @@ def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return packing.pack(docs, tokenizer_path("word_bpe_49k.json"), END_ID).placed.select(*PACK_COLUMNS)
+    return packing.pack(docs, tokenizer_path("word_bpe_49k.json"), END_ID, remembered=REMEMBERED).placed.select(*PACK_COLUMNS)
 
 
 STAGES = [
