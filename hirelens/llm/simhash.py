@@ -8,7 +8,8 @@ of its segments, the Hamming ball of radius k // m around each segment is
 looked up there, and what is found is verified on all 64 bits.
 
 Equal fingerprints are one row from the start, so a group of copies costs one
-probe. Of two segments that differ in some bits, the ball of one contains the
+probe. Joins of tables with a row a document shuffle: none is built on the
+driver. Of two segments that differ in some bits, the ball of one contains the
 other either way; a probe flips at most one 1-bit fewer than 0-bits (see
 ``_ball``), so that each pair meets once per segment.
 """
@@ -23,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from hirelens.llm.common import components, drop, start_task, steps, text_bytes, word_spans, written
+from hirelens.llm.common import components, drop, shuffled, start_task, steps, text_bytes, word_spans, written
 
 BITS = 64
 _LOWER = np.arange(256, dtype=np.uint8)
@@ -123,7 +124,7 @@ def linked(fps: DataFrame, most: int = 3) -> DataFrame:
     table = fps.select("fp", F.posexplode(F.array(*[_segment(F.col("fp"), *p) for p in parts])).alias("seg", "value"))
     probe = fps.select("fp", F.posexplode(F.array(*[_ball(_segment(F.col("fp"), *p), p[1], radius) for p in parts]))
                        .alias("seg", "values")).select("fp", "seg", F.explode("values").alias("value"))
-    met = table.alias("t").join(probe.alias("p"), ["seg", "value"])
+    met = shuffled(table.alias("t")).join(probe.alias("p"), ["seg", "value"])
     near = F.bit_count(F.col("t.fp").bitwiseXOR(F.col("p.fp")))
     return (met.where((near > 0) & (near <= most))
             .select(F.least("t.fp", "p.fp").alias("a"), F.greatest("t.fp", "p.fp").alias("b")).distinct())
@@ -136,13 +137,13 @@ def _labelled(docs: DataFrame, words: int, most: int, id_col: str, text_col: str
     classes = written(rows.groupBy("fp").agg(F.min("id").alias("rep")), "simhash-classes")
     edges = linked(classes, most)
     of = written(components(edges, "simhash-links"), "simhash-components")
-    root = classes.join(of, classes["fp"] == of["node"], "left") \
+    root = classes.join(shuffled(of), classes["fp"] == of["node"], "left") \
         .select("fp", "rep", F.coalesce("component", "fp").alias("root"))
     root = written(root, "simhash-roots")
     least = written(root.groupBy("root").agg(F.min("rep").alias("component")), "simhash-least")
-    label = written(root.join(least, "root").select("fp", "root", "component"), "simhash-labels")
+    label = written(root.join(shuffled(least), "root").select("fp", "root", "component"), "simhash-labels")
     drop(classes, of, root, least)
-    return rows.join(label, "fp").select("id", "h", "fp", "root", "component")
+    return rows.join(shuffled(label), "fp").select("id", "h", "fp", "root", "component")
 
 
 def near_duplicates(docs: DataFrame, words: int = 3, most: int = 3,
@@ -168,11 +169,11 @@ def keep_first(docs: DataFrame, words: int = 3, most: int = 3,
     label = written(_labelled(docs, words, most, id_col, text_col), "simhash-label")
     row = F.struct(F.col("id").isNull().alias("none"), F.coalesce("id", F.lit(0).cast("long")).alias("id"), "h")
     first = written(label.groupBy("root").agg(F.min(row).alias("first")), "simhash-first")
-    losers = label.join(first, "root").where(row != F.col("first")).select(row.alias("lost")).distinct()
+    losers = label.join(shuffled(first), "root").where(row != F.col("first")).select(row.alias("lost")).distinct()
     named = docs.toDF(*[f"c{i}" for i in range(len(docs.columns))])
     key, text = (F.col(f"c{docs.columns.index(c)}") for c in (id_col, text_col))
     own = F.struct(key.isNull().alias("none"), F.coalesce(key.cast("long"), F.lit(0).cast("long")).alias("id"), F.xxhash64(text).alias("h"))
-    kept = named.join(losers, own == F.col("lost"), "left_anti")
+    kept = named.join(shuffled(losers), own == F.col("lost"), "left_anti")
     if label.groupBy(row.alias("row")).count().where("count > 1").limit(1).count():
         kept = kept.withColumn("own", own).dropDuplicates(["own"]).drop("own")
     return kept.toDF(*docs.columns)
