@@ -49,6 +49,7 @@ def q_stream_dedup(spark, sf_dir):
 
 
 HORIZON_DAYS = 2
+STATE_ROWS = 500_000  # of a state partition, about
 
 
 @register("stream_dedup_within", f"""
@@ -66,10 +67,13 @@ def q_stream_dedup_within(spark, sf_dir):
     up to then goes and one beyond stays."""
     from hirelens.streaming.jobs import stream_dedup_within
     e = table(spark, sf_dir, "events").select("user_id", "event_type", F.date_trunc("day", F.col("ts").cast("timestamp")).alias("day")).distinct()
-    days = e.agg(F.count_distinct("day")).first()[0]
+    e = materialize(e, "stream-days")  # counted, then dealt out
+    days, rows = e.agg(F.count_distinct("day"), F.count(F.lit(1))).first()
     base = unique_dir(spark, "stream")
     stage_slices(e, "day", days, f"{base}/drops", 1)
-    out = stream_dedup_within(spark, f"{base}/drops", e.schema, f"{base}/work", 1, ["user_id", "event_type"], "day", f"{HORIZON_DAYS} days")
+    held = rows * (2 * HORIZON_DAYS + 1) // max(days, 1)  # rows of the days that the state holds
+    parts = max(spark.sparkContext.defaultParallelism, -(-held // STATE_ROWS))
+    out = stream_dedup_within(spark, f"{base}/drops", e.schema, f"{base}/work", 1, ["user_id", "event_type"], "day", f"{HORIZON_DAYS} days", parts)
     return out.select("user_id", "event_type", F.to_date("day").alias("day"))
 
 

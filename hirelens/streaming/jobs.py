@@ -11,6 +11,8 @@ and stops, which is also how the tests drive it.
 
 from __future__ import annotations
 
+from contextlib import contextmanager
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -33,20 +35,36 @@ def read_stream(spark: SparkSession, path: str, schema, files_per_trigger: int |
     return r.load(path)
 
 
-def run_to_parquet(df: DataFrame, mode: str, work: str) -> str:
+@contextmanager
+def state_partitions(spark: SparkSession, n: int | None):
+    """Streams started inside keep their state in ``n`` partitions (None: as
+    many as a shuffle has). A batch opens and commits a store per partition,
+    however few rows it has; a stream keeps the number it started with."""
+    key = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(n or before))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
+def run_to_parquet(df: DataFrame, mode: str, work: str, partitions: int | None = None) -> str:
     """Drain a streaming frame into ``work``/out with its position and state in
     ``work``/checkpoint: called again with the same ``work``, it goes on where
     it ended. In update mode each batch writes a folder of its own."""
     out, ckpt = f"{work}/out", f"{work}/checkpoint"
     if mode == "append":
-        q = (df.writeStream.format("parquet").option("path", out).option("checkpointLocation", ckpt)
-               .outputMode("append").trigger(availableNow=True).start())
+        with state_partitions(df.sparkSession, partitions):
+            q = (df.writeStream.format("parquet").option("path", out).option("checkpointLocation", ckpt)
+                   .outputMode("append").trigger(availableNow=True).start())
     else:
         def sink(batch: DataFrame, batch_id: int) -> None:
             # idempotent per batch id: a retried batch rewrites its own folder
             batch.write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
-        q = (df.writeStream.foreachBatch(sink).option("checkpointLocation", ckpt)
-               .outputMode(mode).trigger(availableNow=True).start())
+        with state_partitions(df.sparkSession, partitions):
+            q = (df.writeStream.foreachBatch(sink).option("checkpointLocation", ckpt)
+                   .outputMode(mode).trigger(availableNow=True).start())
     q.awaitTermination()
     return out
 
@@ -67,17 +85,18 @@ def stream_dedup(spark: SparkSession, drops: str, schema, work: str, files_per_t
 
 
 def stream_dedup_within(spark: SparkSession, drops: str, schema, work: str, files_per_trigger: int, keys: list[str], ts: str,
-                        horizon: str) -> DataFrame:
+                        horizon: str, partitions: int | None = None) -> DataFrame:
     """STM-2 with bounded state: a row goes if one with the same keys stayed and
     is not forgotten. A key is forgotten when the watermark, which is
     ``horizon`` behind the newest event of the earlier batches, has passed its
     row by ``horizon``: never within one horizon, surely after two and a batch;
     the state holds no older keys. A row more than a horizon behind the newest
-    one seen is late and goes too."""
+    one seen is late and goes too. ``partitions``: of the state, as few as hold
+    it well."""
     use_rocksdb_state(spark)
     s = read_stream(spark, drops, schema, files_per_trigger)
     s = s.withColumn("_ets", F.col(ts).cast("timestamp")).withWatermark("_ets", horizon)
-    return spark.read.parquet(run_to_parquet(s.dropDuplicatesWithinWatermark(keys), "append", work)).drop("_ets")
+    return spark.read.parquet(run_to_parquet(s.dropDuplicatesWithinWatermark(keys), "append", work, partitions)).drop("_ets")
 
 
 # ------------------------------------------------------------------ STM-3
