@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from hirelens.llm.common import written
-from hirelens.llm.tokens import encoder, shipped, some_texts
+from hirelens.llm.tokens import encoder, shipped, some_rows
 
 CAPACITY = 4096
 GRID = 8
@@ -192,9 +192,8 @@ def pack(docs: DataFrame, tokenizer: str, end_id: int, capacity: int = CAPACITY,
         width = enc.dtype.itemsize
         count = np.zeros(capacity // grid + 2, np.int64)
         for batch in batches:
-            texts = batch.column(1).to_pylist()
-            for lo, hi in some_texts(texts):
-                raw = [t + end for t in enc.encode(texts[lo:hi])]
+            for lo, texts in some_rows(batch.column(1)):
+                raw = [t + end for t in enc.encode(texts)]
                 size = np.fromiter(map(len, raw), np.int64, len(raw)) // width
                 n = -(-size // capacity)
                 row = np.repeat(np.arange(len(raw)), n)
@@ -211,7 +210,7 @@ def pack(docs: DataFrame, tokenizer: str, end_id: int, capacity: int = CAPACITY,
                 at = np.append(0, np.cumsum(length)) * 4
                 yield pa.RecordBatch.from_arrays([
                     pa.array(np.full(len(row), part, np.int32)), pa.array(rank), pa.array(cls.astype(np.int32)),
-                    batch.column(0).slice(lo, hi - lo).take(pa.array(row)), pa.array(start),
+                    batch.column(0).slice(lo, len(texts)).take(pa.array(row)), pa.array(start),
                     pa.array(length.astype(np.int32)), pa.array(size[row]),
                     pa.Array.from_buffers(pa.binary(), len(row), [None, pa.py_buffer(at.astype(np.int32).tobytes()),
                                                                   pa.py_buffer(wide)])],

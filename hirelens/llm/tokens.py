@@ -163,6 +163,16 @@ def encoder(file, special_as_text: bool = False, remembered: int | None = None)
     return cache[key]
 
 
+def some_rows(column, most: int = 1 << 20, rows: int = 256):
+    """(first row, texts) of an Arrow column in turn, about ``most`` characters
+    and at most ``rows`` rows at a time: what is made of a text takes tens of
+    times its size, and the rest of the column stays in Arrow."""
+    for at in range(0, len(column), rows):
+        texts = column.slice(at, rows).to_pylist()
+        for lo, hi in some_texts(texts, most):
+            yield at + lo, texts[lo:hi]
+
+
 def some_texts(texts: list[str | None], most: int = 4 << 20):
     """Index ranges of about ``most`` characters, to bound what is in memory."""
     lo, size = 0, 0

@@ -77,3 +77,13 @@ def test_token_files_of_an_empty_table(spark, tmp_path):
     folder = str(tmp_path / "none")
     assert write_token_files(edge.docs(spark, []), folder, tokenizer_path("byte_bpe_50k.json"), END_ID).count() == 0
     assert read_token_files(spark, folder).count() == 0
+
+
+def test_texts_are_looked_at_a_little_at_a_time():
+    import pyarrow as pa
+    texts = ["a" * 30, None, "", "b" * 500] + ["c" * (i % 7) for i in range(600)]
+    got = list(tokens.some_rows(pa.array(["x", *texts]).slice(1), most=100, rows=64))
+    assert [t for _, part in got for t in part] == texts
+    assert [at for at, _ in got] == [sum(len(p) for _, p in got[:i]) for i in range(len(got))]
+    assert all(len(p) <= 64 and sum(len(t or "") for t in p[:-1]) < 100 for _, p in got)
+    assert list(tokens.some_rows(pa.array([], pa.string()))) == []
