@@ -80,6 +80,8 @@ def silhouette(df: DataFrame, vec: str, label: str = "cluster") -> DataFrame:
 
 #: points compared with all centres at once
 _STEP = 4096
+#: points times centres of a pass that are looked at together (2 MB of doubles)
+_CELLS = 1 << 18
 #: rounds of k-means|| and points drawn in each, in expectation, per cluster wanted
 SEED_ROUNDS = 4
 SEED_FACTOR = 2
@@ -112,29 +114,86 @@ def _distances(x: np.ndarray, centers: np.ndarray) -> np.ndarray:
     return out
 
 
+@dataclass
+class _Layout:
+    """The centres of all fits in one table, the first of each fit, then the
+    second of each that has one and so on, fits with many centres first:
+    ``fits`` that order, ``rows`` the centres' places before, ``blocks`` the
+    rows (lo, hi) of the j-th centres."""
+    centers: np.ndarray
+    fits: np.ndarray
+    rows: np.ndarray
+    blocks: list[tuple[int, int]]
+    ends: np.ndarray
+
+    @classmethod
+    def of(cls, every: np.ndarray, ends: np.ndarray) -> _Layout:
+        size = np.diff(ends)
+        fits = np.argsort(-size, kind="stable")
+        rows, blocks, lo = [], [], 0
+        for j in range(size.max(initial=0)):
+            some = ends[:-1][fits][size[fits] > j] + j
+            rows.append(some)
+            blocks.append((lo, lo + len(some)))
+            lo += len(some)
+        return cls(every, fits, np.concatenate(rows), blocks, ends)
+
+    def nearest(self, x: np.ndarray) -> np.ndarray:
+        """For each fit, in the order of ``fits``, the nearest centre of each
+        point. One product compares all; where it leaves two centres within its
+        rounding, sums of squared differences decide (ties: the lower)."""
+        c = self.centers[self.rows]
+        square = (c * c).sum(axis=1)
+        score = np.column_stack([-2 * c, square]) @ np.vstack([x.T, np.ones(len(x))])
+        best = score[slice(*self.blocks[0])].copy()
+        second, own = np.full_like(best, np.inf), np.zeros(best.shape, np.int32)
+        for j, (lo, hi) in enumerate(self.blocks[1:], 1):
+            s, b, m = score[lo:hi], best[:hi - lo], hi - lo
+            np.copyto(own[:m], j, where=s < b)
+            np.minimum(second[:m], np.maximum(s, b), out=second[:m])
+            np.minimum(b, s, out=b)
+        unsure = 16 * (x.shape[1] + 4) * np.finfo(float).eps * ((x * x).sum(axis=1) + 2 * square.max())
+        close = ~(second - best > unsure)
+        for i in np.flatnonzero(close.any(axis=1)):
+            f, at = self.fits[i], np.flatnonzero(close[i])
+            own[i, at] = _distances(x[at], self.centers[self.ends[f]:self.ends[f + 1]]).argmin(axis=1)
+        return own
+
+    def sums(self, x: np.ndarray) -> np.ndarray:
+        """A row a centre of all fits: points, their squared norms, their squared
+        distances, the points' sum."""
+        own = self.nearest(x)
+        hot = np.empty((len(self.rows), len(x)))
+        for j, (lo, hi) in enumerate(self.blocks):
+            np.equal(own[:hi - lo], j, out=hot[lo:hi])
+        norm = (x * x).sum(axis=1)
+        got = hot @ np.column_stack([np.ones(len(x)), norm, x])
+        c = self.centers[self.rows]
+        whole = got[:, 1] + got[:, 0] * (c * c).sum(axis=1)
+        cost = whole - 2 * (c * got[:, 2:]).sum(axis=1)
+        # what is left of such a difference is rounding: the points themselves
+        for i in np.flatnonzero((got[:, 0] > 0) & ~(cost > 1e-6 * whole)):
+            cost[i] = _distances(x[hot[i] > 0], c[i:i + 1]).sum()
+        out = np.empty((len(got), got.shape[1] + 1))
+        out[self.rows] = np.column_stack([got[:, :2], cost, got[:, 2:]])
+        return out
+
+
 def _pass(points: DataFrame, fits: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """One pass with the centres of all fits: per centre (points, sum of the
     points, sum of their squared norms, sum of their squared distances)."""
     every = np.concatenate(fits)
-    ends = np.cumsum([0, *map(len, fits)])
-    dim = every.shape[1]
+    layout = _Layout.of(every, np.cumsum([0, *map(len, fits)]))
+    dim, step = every.shape[1], max(64, _CELLS // len(every))
 
     def run(batches):
-        n, q, cost = np.zeros(len(every), np.int64), np.zeros(len(every)), np.zeros(len(every))
-        total = np.zeros((len(every), dim))
+        got = np.zeros((len(every), dim + 3))
         for batch in batches:
             whole = _points(batch)
-            for lo in range(0, len(whole), _STEP):
-                x = whole[lo:lo + _STEP]
-                norm, d = (x * x).sum(axis=1), _distances(x, every)
-                for a, b in zip(ends[:-1], ends[1:]):
-                    own = d[:, a:b].argmin(axis=1)
-                    n[a:b] += np.bincount(own, minlength=b - a)
-                    q[a:b] += np.bincount(own, norm, minlength=b - a)
-                    cost[a:b] += np.bincount(own, d[np.arange(len(x)), a + own], minlength=b - a)
-                    for i in range(dim):
-                        total[a:b, i] += np.bincount(own, x[:, i], minlength=b - a)
-        yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(every))), pa.array(n), pa.array(q), pa.array(cost), *[pa.array(total[:, i]) for i in range(dim)]],
+            for lo in range(0, len(whole), step):
+                got += layout.sums(whole[lo:lo + step])
+        n = np.rint(got[:, 0]).astype(np.int64)
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(every))), pa.array(n), *[pa.array(np.ascontiguousarray(got[:, i])) for i in range(1, dim + 3)]],
                                          names=["c", "n", "q", "d", *[f"s{i}" for i in range(dim)]])
 
     cols = ["n", "q", "d", *[f"s{i}" for i in range(dim)]]

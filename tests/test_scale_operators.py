@@ -173,6 +173,24 @@ def test_lloyd_batches_equal_single_runs(spark):
     df.unpersist()
 
 
+def test_nearest_centres_by_a_product_equal_the_differences():
+    from hirelens.ml.cluster import _distances, _Layout
+    rng = np.random.default_rng(5)
+    # points on a grid and far from the origin: many ties and little left of a difference
+    x = np.concatenate([rng.integers(0, 3, (400, 3)).astype(float), 1e6 + rng.normal(0, 1e-3, (200, 3)), np.zeros((1, 3))])
+    fits = [x[:1], x[[5, 5, 9]], np.array([[0.5, 0, 0], [0, 0.5, 0], [1e6] * 3, [1, 1, 1]]), x[400:402], x[rng.choice(600, 40)]]
+    ends = np.cumsum([0, *map(len, fits)])
+    layout = _Layout.of(np.concatenate(fits), ends)
+    own, sums = layout.nearest(x), layout.sums(x)
+    for i, f in enumerate(layout.fits):
+        d = _distances(x, fits[f])
+        assert (own[i] == d.argmin(axis=1)).all()
+        for j in range(len(fits[f])):
+            mine, row = x[own[i] == j], sums[ends[f] + j]
+            assert row[0] == len(mine) and np.allclose(row[3:], mine.sum(axis=0), rtol=1e-12)
+            assert math.isclose(row[1], (mine * mine).sum(), rel_tol=1e-12, abs_tol=1e-300) and math.isclose(row[2], d[own[i] == j, j].sum(), rel_tol=1e-8, abs_tol=1e-300)
+
+
 # ------------------------------------------------------------ numbering
 
 def test_numbering_of_rows_equal_in_all_order_columns(spark):
