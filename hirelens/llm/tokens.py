@@ -93,14 +93,12 @@ class Encoder:
         at = [0, *accumulate(len(ids) * self.dtype.itemsize for ids in out)]
         return [raw[a:b] for a, b in pairwise(at)]
 
-    def _learn(self, chunks) -> dict[str | bytes, bytes]:
+    def _learn(self, chunks: set[str | bytes]) -> dict[str | bytes, bytes]:
         """Remembers the ids of ``chunks`` (None where the text must be encoded
         whole) and returns those of chunks too long to be remembered."""
-        if len(self.known) > self.remembered:
-            self.before, self.known = self.known, {}
         known, before = self.known, self.before
         long, stems, tails = {}, {}, []
-        for c in chunks - known.keys():
+        for c in [c for c in chunks if c not in known]:  # ``- known.keys()`` walks through all that is known
             if c in before:
                 known[c] = before[c]
                 continue
@@ -132,15 +130,19 @@ class Encoder:
         collects = gc.isenabled()
         gc.disable()  # millions of strings and no cycles
         try:
+            if len(self.known) > self.remembered:
+                self.before, self.known = self.known, {}
+            known = self.known
             parts = [cut(t) for t in texts]
-            long = self._learn(set().union(*parts)) if parts else {}
-            known, out = self.known, []
-            for text, chunks in zip(texts, parts):
-                try:
-                    out.append(b"".join(map(known.__getitem__, chunks)))
-                except (KeyError, TypeError):  # a long chunk, or one that needs the whole text
-                    ids = [long[c] if c in long else known[c] for c in chunks]
-                    out.append(self._plainly([text])[0] if None in ids else b"".join(ids))
+            got = [list(map(known.get, chunks)) for chunks in parts]
+            gaps = [[k for k, ids in enumerate(g) if ids is None] for g in got]
+            long = self._learn({chunks[k] for chunks, gap in zip(parts, gaps) for k in gap})
+            out = []
+            for text, chunks, g, gap in zip(texts, parts, got, gaps):
+                for k in gap:
+                    c = chunks[k]
+                    g[k] = long[c] if c in long else known[c]
+                out.append(self._plainly([text])[0] if gap and None in g else b"".join(g))
         finally:
             if collects:
                 gc.enable()

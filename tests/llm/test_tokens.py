@@ -87,3 +87,17 @@ def test_texts_are_looked_at_a_little_at_a_time():
     assert [at for at, _ in got] == [sum(len(p) for _, p in got[:i]) for i in range(len(got))]
     assert all(len(p) <= 64 and sum(len(t or "") for t in p[:-1]) < 100 for _, p in got)
     assert list(tokens.some_rows(pa.array([], pa.string()))) == []
+
+
+def test_new_chunks_are_told_without_a_walk_through_all_known():
+    """op8_packing: a step's cost depends on its own chunks, not on what the worker remembers."""
+    class Known(dict):
+        def keys(self):
+            raise AssertionError("walked through")
+
+        __iter__ = keys
+
+    e = tokens.Encoder(file_bytes("word_bpe_49k.json"))
+    e.known = Known()
+    for _ in range(2):  # learned, then remembered
+        assert e.encode(NASTY) == whole(library("word_bpe_49k.json"), NASTY)
