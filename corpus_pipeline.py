@@ -23,7 +23,7 @@ from hirelens.llm.queries import END_ID, PACK_COLUMNS, tokenizer_path
 
 #: chunks that a tokenizing worker keeps, twice; fewer than where packing is all
 #: that an executor does, as the stages before it leave their share of memory
-REMEMBERED = 100_000
+REMEMBERED = 40_000
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

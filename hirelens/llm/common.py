@@ -11,6 +11,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -22,7 +23,8 @@ from hirelens.session import unique_dir
 WORD = r"[^\x20\x09-\x0D]+"
 
 #: bytes of text that one vectorized step looks at; a longer text is one step
-STEP_BYTES = 1 << 20
+#: (what is made of them takes some hundred times as much)
+STEP_BYTES = 1 << 18
 
 _IS_WORD_BYTE = np.ones(256, bool)
 _IS_WORD_BYTE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = False
@@ -45,6 +47,19 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return back
 
 
+@contextmanager
+def small_batches(spark: SparkSession, rows: int) -> Iterator[None]:
+    """What is written inside gets its Arrow batches in ``rows`` rows at most,
+    so that whole texts wait in neither the JVM nor its workers."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(min(rows, int(before)) if int(before) > 0 else rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def drop(*frames: DataFrame) -> None:
     """Delete the folders of frames made by :func:`written` that nothing will
     read again."""

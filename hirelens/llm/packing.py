@@ -22,11 +22,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from hirelens.llm.common import written
+from hirelens.llm.common import small_batches, written
 from hirelens.llm.tokens import encoder, shipped, some_rows
 
 CAPACITY = 4096
 GRID = 8
+#: texts that are handed to a worker at once
+TEXTS = 1_000
 #: rows of cut pieces up to which they are broadcast
 BROADCAST_ROWS = 200_000
 
@@ -216,8 +218,9 @@ def pack(docs: DataFrame, tokenizer: str, end_id: int, capacity: int = CAPACITY,
                                                                   pa.py_buffer(wide)])],
                     names=["part", "rank", "class", "doc_id", "start", "length", "doc_tokens", "ids"])
 
-    pieces = written(docs.select(docs[id_col].alias("doc_id"), docs[text_col].alias("text"))
-                     .mapInArrow(tokenize, PIECE.format(id=kind)), "pack-pieces")
+    with small_batches(spark, TEXTS):
+        pieces = written(docs.select(docs[id_col].alias("doc_id"), docs[text_col].alias("text"))
+                         .mapInArrow(tokenize, PIECE.format(id=kind)), "pack-pieces")
     counts = written(pieces.groupBy("part", "class").agg(F.count(F.lit(1)).alias("n")), "pack-counts")
     histogram = {r["class"]: r["n"] for r in counts.groupBy("class").agg(F.sum("n").alias("n")).collect()}
     size = np.array(sorted(histogram), np.int64)
