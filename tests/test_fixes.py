@@ -141,6 +141,15 @@ def test_tfidf_vocabulary_is_all_terms_unless_capped(spark, cap):
     assert all(abs(v - 1) < 1e-9 for v in norm.values())
 
 
+def test_terms_are_counted_and_looked_up_by_batches(spark):
+    from hirelens.ml.tfidf import term_counts, tfidf
+    docs = spark.createDataFrame([(1, "Ab cd ab cd x"), (2, ""), (3, None), (4, "cd")], "seq long, text string")
+    tf = {r["seq"]: r["tf"] and [tuple(t) for t in r["tf"]] for r in term_counts(docs).collect()}
+    assert tf == {1: [("ab", 2), ("cd", 2), ("ab cd", 2), ("cd ab", 1)], 2: [], 3: None, 4: [("cd", 1)]}
+    plan = tfidf(docs)._jdf.queryExecution().toString()
+    assert "MapInArrow" in plan and "element_at" not in plan  # which walks through the map's keys
+
+
 def test_quantiles_equal_percentile(spark):
     from hirelens.operators.quantiles import quantiles
     import random
