@@ -53,6 +53,26 @@ def test_special_marks_as_text_on_request(name):
     assert len(enc.encode(["<|endoftext|>"])[0]) > 2
 
 
+def test_new_words_of_a_byte_level_file_are_encoded_together():
+    class Counting:
+        def __init__(self, tokenizer):
+            self.tokenizer, self.texts = tokenizer, 0
+
+        def encode_batch_fast(self, texts, **kw):
+            self.texts += len(texts)
+            return self.tokenizer.encode_batch_fast(texts, **kw)
+
+    rng = random.Random(3)
+    letters = "abcdefgé漢"
+    texts = [rng.choice(["", " ", "  ", "\t"]).join(rng.choice([" ", "\n", "\n\n", " ", " "]) + "".join(rng.choices(letters, k=9)) + rng.choice(["", ".", "'s", "7"])
+                                                   for _ in range(200)) for _ in range(50)]
+    texts[1:1] = [None, "", " ", "\xa0 a", "\t", "a" * 300, " " + "b" * 300, "a\t\n b \r", "a<|endoftext|> b"]
+    enc = tokens.Encoder(file_bytes("byte_bpe_50k.json"))
+    enc.tokenizer = Counting(enc.tokenizer)
+    assert enc.encode(texts) == whole(library("byte_bpe_50k.json"), texts)
+    assert len(enc.known) > 5000 and enc.tokenizer.texts < 500
+
+
 def test_token_files_round_trip(spark, tmp_path):
     path = tokenizer_path("byte_bpe_50k.json")
     rows = edge.nasty() + [(100 + i, t) for i, t in enumerate(NASTY)]
