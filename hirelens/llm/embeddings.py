@@ -2,7 +2,8 @@
 
 1. Vectors are scaled to length one. Angles obey the triangle inequality, so
    all vectors within half the link angle of one vector (a ball) are linked
-   with one another. Rounds over random-hyperplane buckets gather balls around
+   with one another. Equal directions are a ball each, whatever their number;
+   then rounds over random-hyperplane buckets gather balls around
    each bucket's first vector; a ball is one node from then on, whatever its
    number of copies, and the rest are nodes of their own.
 2. A neighbour graph over the nodes starts from buckets and is refined by
@@ -179,6 +180,17 @@ def _bucketed(vectors: DataFrame, bits: dict[int, int], seeds: list[int]) -> Dat
     return vectors.mapInArrow(run, "id long, v binary, bucket long")
 
 
+def _directions(vectors: DataFrame) -> DataFrame:
+    """(id, v, bucket): a bucket is a direction, to about a millionth."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for batch in _by_length(whole) if whole.num_rows else ():
+                near = np.round(_matrix(batch["v"], np.float64) * 2 ** 20).astype(np.int32)
+                yield pa.RecordBatch.from_arrays([batch["id"], batch["v"], _binary(near)], names=["id", "v", "near"])
+
+    return vectors.mapInArrow(run, "id long, v binary, near binary").select("id", "v", F.xxhash64("near").alias("bucket"))
+
+
 # ------------------------------------------------------------------ balls
 
 def _balls(units: DataFrame, angle: float, seed: int) -> tuple[DataFrame, DataFrame]:
@@ -197,8 +209,8 @@ def _balls(units: DataFrame, angle: float, seed: int) -> tuple[DataFrame, DataFr
                                                  names=["id", "center", "angle"])
 
     pool, found, stale = units, [], []
-    for r in range(BALL_ROUNDS):
-        keyed = written(_bucketed(pool, bits, [seed + r]), "nn-pool")
+    for r in range(-1, BALL_ROUNDS):
+        keyed = written(_directions(pool.select("id", "v")) if r < 0 else _bucketed(pool, bits, [seed + r]), "nn-pool")
         first = keyed.groupBy("bucket").agg(F.min("id").alias("center"), F.count(F.lit(1)).alias("k")).where("k > 1")
         lead = written(first.join(keyed.select(F.col("id").alias("center"), F.col("v").alias("cv")), "center")
                        .select("bucket", "center", "cv"), "nn-centers")

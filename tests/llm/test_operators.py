@@ -1,6 +1,7 @@
 """Each operator against a brute-force version, on small tables."""
 
 import hashlib
+import math
 import random
 import re
 
@@ -121,6 +122,18 @@ def test_embeddings(spark):
     assert sum(r["component_id"] != want[r["vec_id"]][1] for r in got) <= 0.05 * len(got)
 
 
+def test_embeddings_equal_directions_are_one_node(spark):
+    """Copies and scaled copies, more groups in a bucket than there are rounds."""
+    from hirelens.llm import embeddings as E
+    rng = np.random.default_rng(5)
+    base = rng.standard_normal((10, 16))
+    rows = [(10 * k + g, [float(v) for v in base[g] * (1 + k)]) for k in range(6) for g in range(10)]
+    units = E._units(vectors(spark, [(*r, 0, 1, "", "") for r in rows]), "vec_id", "embedding")
+    members, nodes = E._balls(units, math.acos(0.95), 11)
+    assert sorted((r["id"], r["size"]) for r in nodes.collect()) == [(g, 6) for g in range(10)]
+    assert members.count() == 50
+
+
 def test_embeddings_empty(spark):
     from hirelens.llm.embeddings import near_duplicates
     assert near_duplicates(vectors(spark, [])).collect() == []
