@@ -10,7 +10,10 @@
    joining neighbours of neighbours: at each node all pairs of its neighbours
    (forward and reverse) are compared where one of the two is new, and what
    improves a list enters it, until hardly anything does. A node whose list is
-   full of neighbours that could still link is saturated: its list is doubled.
+   full of neighbours that could still link is saturated: its list is doubled,
+   up to LIST_MOST. Nodes that are saturated then are dense: lists of all their
+   neighbours would take the cube of a group's size, so they are compared with
+   all nodes of their region instead, block by block, counted and not listed.
 3. Node pairs that may hold a link are decided exactly in double precision:
    all members at once where the triangle inequality settles it, else member by
    member in blocks, counted and not listed.
@@ -38,6 +41,11 @@ from hirelens.llm.common import components, drop, shuffle_width, written
 
 #: neighbours per list at first, bucket tables, vectors per bucket and block
 LIST = 8
+#: neighbours per list at most (more in a repeated search), nodes of a region
+#: compared at once, and pivots that are drawn for regions at once
+LIST_MOST = 64
+REGION = 1024
+PIVOTS = 4096
 TABLES = 6
 BUCKET = 64
 BLOCK = 512
@@ -299,19 +307,24 @@ def _refine(graph: DataFrame, nodes: DataFrame, k: DataFrame, parts: int) -> Dat
                 i, j = np.nonzero(s > floor[lo:hi, None])
                 if len(i):
                     out.append((a[lo:hi][i], a[lo:hi][j], s[i, j]))
+                if sum(len(c[0]) for c in out[-BLOCK:]) > BLOCK * BLOCK:
+                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*out)], names=["a", "b", "cos"])
+                    out = []
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*out)], names=["a", "b", "cos"])
 
     return rows.mapInArrow(pairs, "a long, b long, cos double")
 
 
-def _graph(nodes: DataFrame, angle: float, tables: int, keep: int, seed: int) -> DataFrame:
-    """(a, b, cos): the neighbour lists after NN-descent."""
+def _graph(nodes: DataFrame, angle: float, tables: int, keep: int, seed: int) -> tuple[DataFrame, DataFrame]:
+    """((a, b, cos): the neighbour lists after NN-descent, (id): the dense
+    nodes, whose longest list does not hold all that could link)."""
     spark = nodes.sparkSession
     parts = shuffle_width(spark)
     sizes = _counts(nodes)
     n = sum(sizes.values())
     k = written(nodes.select("id", F.lit(keep).cast("long").alias("k")), "nn-k")
+    most = max(LIST_MOST, keep)
     fresh = F.lit(True)
     graph = written(_top(_start(nodes, tables, keep, seed).withColumn("fresh", fresh), k), "nn-graph")
     widest = nodes.agg(F.max("radius")).first()[0] or 0.0
@@ -325,37 +338,220 @@ def _graph(nodes: DataFrame, angle: float, tables: int, keep: int, seed: int) ->
         entered = {r["bytes"] // 8: r["entered"] for r in full.groupBy("bytes").agg(F.sum("entered").alias("entered")).collect()}
         can = F.cos(F.least(F.lit(math.pi), F.lit(angle) + F.col("radius") + F.lit(widest)))
         saturated = written(full.join(k, "id").where((F.col("n") >= F.col("k")) & (F.col("worst") >= can) & (F.col("n") < n - 1))
-                            .select("id"), "nn-saturated")
+                            .select("id", "k"), "nn-saturated")
         drop(full)
-        if saturated.limit(1).count():
-            wider = written(k.join(saturated.withColumn("s", F.lit(True)), "id", "left")
+        if saturated.where(F.col("k") < most).limit(1).count():
+            short = saturated.where(F.col("k") < most).select("id")
+            wider = written(k.join(short.withColumn("s", F.lit(True)), "id", "left")
                             .select("id", F.when(F.col("s"), F.col("k") * 2).otherwise(F.col("k")).alias("k")), "nn-k")
             # a longer list looks at all its neighbours' neighbours again
-            again = written(graph.join(saturated.withColumnRenamed("id", "a").withColumn("s", F.lit(True)), "a", "left")
+            again = written(graph.join(short.withColumnRenamed("id", "a").withColumn("s", F.lit(True)), "a", "left")
                             .select("a", "b", "cos", (F.col("fresh") | F.coalesce("s", F.lit(False))).alias("fresh")), "nn-graph")
             drop(k, graph, saturated)
             k, graph = wider, again
         elif all(entered.get(d, 0) <= 0.002 * m * keep for d, m in sizes.items()):
             _LOG.info("nn-descent: %d nodes, %d tables, lists from %d: %d rounds", n, tables, keep, round_)
-            return graph
+            drop(k)
+            return graph, saturated.select("id")
+        else:
+            drop(saturated)
     raise RuntimeError(f"near_duplicates: the neighbour graph of {n} nodes does not settle in {MOST_ROUNDS} rounds")
 
 
+# ---------------------------------------------------------- dense regions
+
+def _leaders(drawn: pa.Table, within: float) -> list[tuple[np.ndarray, np.ndarray]]:
+    """(ids, vectors), one entry a length of vectors: of the drawn nodes, in
+    their order, those without an earlier one ``within`` that angle."""
+    out = []
+    for part in _by_length(drawn):
+        x, ids = _matrix(part["v"], np.float64), part["id"].to_numpy()
+        free, kept = np.ones(len(ids), bool), []
+        for i in range(len(ids)):
+            if free[i]:
+                kept.append(i)
+                free &= x @ x[i] < math.cos(within)
+        out.append((ids[kept], x[kept]))
+    return out
+
+
+def _regions(own: DataFrame, angle: float, widest: float, seed: int):
+    """(id, pivot, apart: the angle between them) of the dense nodes, each with
+    one pivot, and the pivots by length as in :func:`_leaders`. A dense node has
+    many neighbours within ``angle + widest``, so few pivots serve all."""
+    within = min(angle + widest, math.pi / 2)
+    rest, parts, every, round_ = own, [], [], 0
+    while True:
+        drawn = rest.select("id", "v").orderBy(F.xxhash64("id", F.lit(seed + round_)), "id").limit(PIVOTS).toArrow()
+        if not drawn.num_rows:
+            return parts, every
+        found = _leaders(drawn, within)
+        near_of = {x.shape[1]: (ids, x) for ids, x in found}
+
+        def near(batches: Iterator[pa.RecordBatch], near_of=near_of) -> Iterator[pa.RecordBatch]:
+            for whole in batches:
+                for batch in _by_length(whole) if whole.num_rows else ():
+                    x = _matrix(batch["v"], np.float64)
+                    if x.shape[1] not in near_of:
+                        continue
+                    ids, lead = near_of[x.shape[1]]
+                    for lo in range(0, len(x), step := max(1, BLOCK * BLOCK // len(ids))):
+                        s = x[lo:lo + step] @ lead.T
+                        best = s.argmax(axis=1)
+                        a = np.arccos(np.clip(s[np.arange(len(s)), best], -1, 1))
+                        ok = a <= within + 1e-6
+                        yield pa.RecordBatch.from_arrays([batch["id"].slice(lo, step).filter(pa.array(ok)), pa.array(ids[best[ok]]), pa.array(a[ok])],
+                                                         names=["id", "pivot", "apart"])
+
+        got = written(rest.select("id", "v").mapInArrow(near, "id long, pivot long, apart double"), "nn-regions")
+        left = written(rest.join(got.select("id"), "id", "left_anti"), "nn-outside")
+        if rest is not own:
+            drop(rest)
+        rest, round_ = left, round_ + 1
+        parts.append(got)
+        every += found
+
+
+def _joined(hit: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Components of a block's links: for each row and each column the smallest
+    row in its component (the number of rows where it has none)."""
+    none = np.int32(len(hit))
+    row, col = np.arange(len(hit), dtype=np.int32), None
+    while True:
+        col = np.where(hit, row[:, None], none).min(axis=0, initial=none)
+        now = np.minimum(row, np.where(hit, col[None, :], none).min(axis=1, initial=none))
+        if (now == row).all():
+            return row, col
+        row = now
+
+
+def _dense(nodes: DataFrame, dense: DataFrame, angle: float, cosine: float, seed: int) -> DataFrame:
+    """Decides all pairs of nodes of which one is dense at least: (kind, a, b,
+    na, nb), where kind 0 is a's number of links (na) with whole nodes, 1 an
+    edge of the graph's components and 2 a pair that its members have to decide.
+
+    A dense node a meets in its pivot's region all nodes that are as near to the
+    pivot as a link with any of the region's allows (triangle inequality). A
+    region's dense nodes are cut into blocks, the rest of a region streams past
+    each block.
+    """
+    parts = shuffle_width(nodes.sparkSession)
+    own = written(nodes.join(dense, "id"), "nn-dense")
+    widest = nodes.agg(F.max("radius")).first()[0] or 0.0
+    frames, pivots = _regions(own, angle, widest, seed)
+    home = frames[0]
+    for more in frames[1:]:
+        home = home.unionByName(more)
+    home = written(home.join(own, "id"), "nn-home")
+    sizes = written(home.groupBy("pivot").agg(F.count(F.lit(1)).alias("m"), (F.max(F.col("apart") + F.col("radius")) + angle + 1e-6).alias("reach"))
+                    .withColumn("blocks", F.ceil(F.col("m") / REGION).cast("long")), "nn-reach")
+    reach = {r["pivot"]: r["reach"] for r in sizes.select("pivot", "reach").toLocalIterator()}
+    lead: dict[int, list] = {}
+    for ids, x in pivots:
+        some = np.array([i in reach for i in ids.tolist()], bool)
+        if some.any():
+            lead.setdefault(x.shape[1], []).append((ids[some], x[some], np.array([reach[i] for i in ids[some].tolist()])))
+    table = {d: [np.concatenate(c) for c in zip(*some)] for d, some in lead.items()}
+
+    def around(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for batch in _by_length(whole) if whole.num_rows else ():
+                x, radius = _matrix(batch["v"], np.float64), batch["radius"].to_numpy()
+                if x.shape[1] not in table:
+                    continue
+                ids, at, far = table[x.shape[1]]
+                for lo in range(0, len(x), step := max(1, BLOCK * BLOCK // len(ids))):
+                    apart = np.arccos(np.clip(x[lo:lo + step] @ at.T, -1, 1))
+                    i, p = np.nonzero(apart <= far + radius[lo:lo + step, None])
+                    for c in range(0, len(i), 8 * BLOCK):
+                        some = batch.slice(lo, step).take(pa.array(i[c:c + 8 * BLOCK]))
+                        yield pa.RecordBatch.from_arrays([pa.array(ids[p[c:c + 8 * BLOCK]]), *[some[n] for n in ("id", "v", "radius", "size")]],
+                                                         names=["pivot", "id", "v", "radius", "size"])
+
+    cols = ["pivot", "i", "side", "id", "v", "radius", "size", "dense"]
+    blocks = sizes.select("pivot", "blocks")
+    left = home.join(blocks, "pivot").withColumn("i", F.pmod(F.xxhash64("id"), F.col("blocks"))).withColumn("side", F.lit(0)).withColumn("dense", F.lit(True))
+    right = nodes.select("id", "v", "radius", "size").mapInArrow(around, "pivot long, id long, v binary, radius double, size long") \
+        .join(dense.withColumn("d", F.lit(True)), "id", "left").join(blocks, "pivot") \
+        .withColumn("i", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))).withColumn("side", F.lit(1)).withColumn("dense", F.coalesce("d", F.lit(False)))
+    rows = left.select(*cols).unionByName(right.select(*cols)).repartition(parts, "pivot", "i").sortWithinPartitions("pivot", "i", "side")
+
+    def said(kind, a, b=None, na=None, nb=None):
+        zero = np.zeros(len(a), np.int64)
+        return pa.RecordBatch.from_arrays([pa.array(np.full(len(a), kind, np.int32)), *[pa.array(zero if c is None else c.astype(np.int64)) for c in (a, b, na, nb)]],
+                                          names=["kind", "a", "b", "na", "nb"])
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, held, n = None, [], None
+        for batch in batches:
+            pivot, i, side = (batch[c].to_numpy() for c in ("pivot", "i", "side"))
+            cut = np.flatnonzero((pivot[1:] != pivot[:-1]) | (i[1:] != i[:-1]) | (side[1:] != side[:-1])) + 1
+            for lo, hi in zip(np.append(0, cut), np.append(cut, batch.num_rows)):
+                if lo == hi:
+                    continue
+                if key != (pivot[lo], i[lo]):
+                    if n is not None:
+                        yield said(0, held[0], na=n)
+                    key, held, n = (pivot[lo], i[lo]), [], None
+                for at in range(lo, hi, REGION):
+                    part = batch.slice(at, min(REGION, hi - at))
+                    new = [part["id"].to_numpy(), _matrix(part["v"], np.float64), part["radius"].to_numpy(), part["size"].to_numpy()]
+                    if side[lo] == 0:
+                        held.append(new)
+                        continue
+                    if n is None:
+                        held = [np.concatenate(c) for c in zip(*held)]
+                        n = np.zeros(len(held[0]), np.int64)
+                    (a, x, ra, na), (b, y, rb, nb) = held, new
+                    dense_b = part["dense"].to_numpy(zero_copy_only=False)
+                    other, cos = a[:, None] != b[None, :], x @ y.T
+                    hit = other & (cos >= cosine)
+                    if (na > 1).any() or (nb > 1).any():
+                        apart, wide = np.arccos(np.clip(cos, -1, 1)), ra[:, None] + rb[None, :]
+                        balls = (na > 1)[:, None] | (nb > 1)[None, :]
+                        hit = np.where(balls, other & (apart + wide <= angle - 1e-9), hit)
+                        unsure = other & balls & ~hit & (apart <= angle + wide + 1e-9) & (~dense_b[None, :] | (a[:, None] < b[None, :]))
+                        u, v = np.nonzero(unsure)
+                        if len(u):
+                            yield said(2, a[u], b[v], na[u], nb[v])
+                    if not hit.any():
+                        continue
+                    n += hit @ nb
+                    back = np.where(dense_b, 0, na @ hit)
+                    if (back > 0).any():
+                        yield said(0, b[back > 0], na=back[back > 0])
+                    row, col = _joined(hit)
+                    r, c = np.flatnonzero(row != np.arange(len(row))), np.flatnonzero(col < len(row))
+                    yield said(1, np.concatenate([a[r], b[c]]), np.concatenate([a[row[r]], a[col[c]]]))
+        if n is not None:
+            yield said(0, held[0], na=n)
+
+    out = written(rows.mapInArrow(compare, "kind int, a long, b long, na long, nb long"), "nn-dense-links")
+    drop(own, home, sizes, *frames)
+    return out
+
+
 # ------------------------------------------------------------------ links
 
-def _links(graph: DataFrame, nodes: DataFrame, members: DataFrame, units: DataFrame, cosine: float):
+def _links(graph: DataFrame, nodes: DataFrame, members: DataFrame, units: DataFrame, cosine: float, dense: DataFrame, seed: int = 0):
     """(counts: id, n), (edges between nodes: a, b) of the pairs of nodes that
-    the graph names."""
+    the graph names, and of all pairs with a dense node."""
     angle = math.acos(cosine)
     ball = nodes.select("id", "radius", "size")
     pair = graph.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), "cos").dropDuplicates(["a", "b"])
+    some = dense.limit(1).count() > 0
+    if some:
+        pair = pair.join(dense.toDF("a"), "a", "left_anti").join(dense.toDF("b"), "b", "left_anti")
     pair = pair.join(ball.toDF("a", "ra", "na"), "a").join(ball.toDF("b", "rb", "nb"), "b") \
         .withColumn("apart", F.acos(F.greatest(F.lit(-1.0), F.least(F.lit(1.0), F.col("cos")))))
     pair = written(pair.where(F.col("apart") <= angle + F.col("ra") + F.col("rb") + 1e-9), "nn-pairs")
     sure = F.col("apart") + F.col("ra") + F.col("rb") <= angle - 1e-9
     alone = (F.col("na") == 1) & (F.col("nb") == 1)
     linked = pair.where(F.when(alone, F.col("cos") >= cosine).otherwise(sure))
-    open_ = pair.where(~alone & ~sure)
+    open_ = pair.where(~alone & ~sure).select("a", "b", "na", "nb")
+    if some:
+        region = _dense(nodes, dense, angle, cosine, seed)
+        open_ = open_.unionByName(region.where("kind = 2").select("a", "b", "na", "nb"))
 
     inside = members.select(F.col("center").alias("node"), "id").unionByName(nodes.select(F.col("id").alias("node"), "id"))
     held = units.join(inside, "id").select("node", "id", "v")
@@ -378,12 +574,16 @@ def _links(graph: DataFrame, nodes: DataFrame, members: DataFrame, units: DataFr
 
     exact = written(left.unionByName(right).groupBy("a", "b", "i", "j").applyInArrow(compare, "a long, b long, id long, n long"),
                     "nn-exact")
-    whole = linked.select(F.col("a").alias("node"), F.col("nb").alias("n")).unionByName(linked.select(F.col("b").alias("node"), F.col("na").alias("n"))) \
-        .groupBy("node").agg(F.sum("n").alias("n"))
+    whole = linked.select(F.col("a").alias("node"), F.col("nb").alias("n")).unionByName(linked.select(F.col("b").alias("node"), F.col("na").alias("n")))
+    if some:
+        whole = whole.unionByName(region.where("kind = 0").select(F.col("a").alias("node"), F.col("na").alias("n")))
+    whole = whole.groupBy("node").agg(F.sum("n").alias("n"))
     own = inside.join(ball.select(F.col("id").alias("node"), (F.col("size") - 1).alias("own")), "node") \
         .join(whole, "node", "left").select("id", (F.col("own") + F.coalesce("n", F.lit(0))).alias("n"))
     counts = own.unionByName(exact.select("id", "n")).groupBy("id").agg(F.sum("n").alias("n"))
     edges = linked.select("a", "b").unionByName(exact.select("a", "b").distinct())
+    if some:
+        edges = edges.unionByName(region.where("kind = 1").select("a", "b"))
     return counts, edges, inside
 
 
@@ -461,17 +661,18 @@ def near_duplicates(vectors: DataFrame, cosine: float = 0.95, id_col: str = "vec
     members, nodes = _balls(units, angle, seed)
     tables, keep = TABLES, LIST
     lengths = _counts(nodes)
-    graph = before = None
+    graph = before = dense = None
     for attempt in range(ATTEMPTS):
-        more = _graph(nodes, angle, tables, keep, seed + 1000 * attempt)
+        more, full = _graph(nodes, angle, tables, keep, seed + 1000 * attempt)
         if graph is None:
-            graph = more
+            graph, dense = more, full
         else:
+            dense = written(dense.unionByName(full).distinct(), "nn-dense-ids")
             both = written(graph.select("a", "b", "cos").unionByName(more.select("a", "b", "cos"))
                            .groupBy("a", "b").agg(F.max("cos").alias("cos")), "nn-graphs")
             drop(graph, more)
             graph = both
-        counts, edges, inside = _links(graph, nodes, members, units, cosine)
+        counts, edges, inside = _links(graph, nodes, members, units, cosine, dense, seed)
         counts = written(counts, "nn-counts")
         recall = 1.0
         for length in sorted(lengths):

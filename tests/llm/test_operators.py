@@ -751,3 +751,78 @@ def test_mix_draws_rows_without_an_id_apart(spark):
     rows = [(None, f"one two three {i}", "a") for i in range(100)] + [(None, f"four five six {i}", "b") for i in range(100)]
     got = [r["source"] for r in mixed(edge.docs(spark, rows)).collect()]
     assert 60 <= got.count("a") <= 74 and 126 <= got.count("b") <= 140  # a third and two thirds of all
+
+
+def test_embeddings_dense_regions_are_decided_without_lists(spark, monkeypatch):
+    """Groups of vectors that all link, larger than any list: some tight (balls),
+    some at the limit, with neighbours outside the group."""
+    from hirelens.llm import embeddings as E
+    rng = np.random.default_rng(6)
+    wide, tight = rng.normal(0, 1, (2, 12))
+    x = np.concatenate([rng.normal(0, 1, (60, 12)), wide + rng.normal(0, 0.22, (70, 12)), tight + rng.normal(0, 0.13, (60, 12)),
+                        tight + rng.normal(0, 0.02, (12, 12)), wide + rng.normal(0, 0.4, (20, 12)), 3 * (wide + np.zeros((5, 12)))])
+    rows = [(i, [float(v) for v in r]) for i, r in enumerate(x)]
+    seen = {}
+
+    def kept(df, name, inner=E.written):
+        out = inner(df, name)
+        if name in ("nn-k", "nn-dense-links"):
+            seen.setdefault(name, []).append(out.collect())
+        return out
+
+    monkeypatch.setattr(E, "written", kept)
+    for name, value in (("LIST_MOST", 8), ("REGION", 16), ("PIVOTS", 3)):
+        monkeypatch.setattr(E, name, value)
+    got = E.near_duplicates(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), 0.95).orderBy("vec_id").collect()
+    u = x / np.linalg.norm(x, axis=1, keepdims=True)
+    hit = u @ u.T >= 0.95
+    np.fill_diagonal(hit, False)
+    root = np.arange(len(x))
+    while not ((now := np.minimum(root, np.where(hit, root[None, :], len(x)).min(axis=1))) == root).all():
+        root = now
+    assert [r["n_links"] for r in got] == hit.sum(axis=1).tolist() and [r["component_id"] for r in got] == root.tolist()
+    assert max(r["k"] for rows in seen["nn-k"] for r in rows) == 8
+    kinds = {r["kind"] for rows in seen["nn-dense-links"] for r in rows}
+    dense = {r["a"] for rows in seen["nn-dense-links"] for r in rows if r["kind"] == 0}
+    assert kinds >= {0, 1} and len(dense) > 40
+
+
+def test_embeddings_dense_pairs_equal_all_pairs(spark, monkeypatch):
+    """Balls and single nodes, dense and not, against all pairs."""
+    from hirelens.llm import embeddings as E
+    for name, value in (("REGION", 16), ("PIVOTS", 3)):
+        monkeypatch.setattr(E, name, value)
+    rng, angle = np.random.default_rng(8), float(np.arccos(0.95))
+    x = np.concatenate([c + rng.normal(0, 0.2, (70, 8)) for c in rng.normal(0, 1, (3, 8))])
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    n = len(x)
+    size = np.where(np.arange(n) % 5 == 0, 3, 1)
+    radius = np.where(size > 1, rng.uniform(0, angle / 2, n), 0.0)
+    dense = np.arange(n) % 70 < 40
+    ids = [int(i) * 7 + 1 for i in range(n)]
+    nodes = spark.createDataFrame([(i, v.tobytes(), float(r), int(s)) for i, v, r, s in zip(ids, x, radius, size)], "id long, v binary, radius double, size long")
+    said = E._dense(nodes, spark.createDataFrame([(i,) for i, d in zip(ids, dense) if d], "id long"), angle, 0.95, 5).collect()
+    cos = x @ x.T
+    apart, wide = np.arccos(np.clip(cos, -1, 1)), radius[:, None] + radius[None, :]
+    asked = (dense[:, None] | dense[None, :]) & ~np.eye(n, dtype=bool)
+    alone = (size == 1)[:, None] & (size == 1)[None, :]
+    hit = asked & np.where(alone, cos >= 0.95, apart + wide <= angle - 1e-9)
+    unsure = asked & ~alone & ~hit & (apart <= angle + wide + 1e-9)
+    links = dict.fromkeys(ids, 0)
+    for r in said:
+        if r["kind"] == 0:
+            links[r["a"]] += r["na"]
+    assert [links[i] for i in ids] == (hit @ size).tolist()
+    pairs = [tuple(sorted((r["a"], r["b"]))) for r in said if r["kind"] == 2]
+    assert len(pairs) == len(set(pairs)) and set(pairs) == {(ids[i], ids[j]) for i, j in zip(*np.nonzero(np.triu(unsure)))} and len(pairs) > 20
+
+    def roots(edges):
+        root = np.arange(n)
+        while not ((now := np.minimum(root, np.where(edges, root[None, :], n).min(axis=1))) == root).all():
+            root = now
+        return root.tolist()
+    joined, at = np.zeros((n, n), bool), {v: i for i, v in enumerate(ids)}
+    for r in said:
+        if r["kind"] == 1:
+            joined[at[r["a"]], at[r["b"]]] = joined[at[r["b"]], at[r["a"]]] = True
+    assert not (joined & ~np.eye(n, dtype=bool) & (np.array(roots(hit))[:, None] != np.array(roots(hit))[None, :])).any() and roots(joined) == roots(hit)
