@@ -5,7 +5,9 @@ Centers and per-cluster sums are bounded by k x dim, so they are the only
 values inlined into the plan. The scan fits every start of every K at the same
 time: a round is one pass over the points, in which each batch is compared
 with the centres of all fits that still move, and a task sends one row of sums
-a centre.
+a centre. For that the points are packed once into boxes of near ones: where all
+points of a box have the same nearest centre (no other is nearer at any corner),
+the box's sums stand for them, and only the other boxes are looked into.
 """
 
 from __future__ import annotations
@@ -179,16 +181,170 @@ class _Layout:
         return out
 
 
+#: points of a box, and points that are dealt to boxes together
+_LEAF = 64
+_CHUNK = 1 << 18
+#: what a point's distance to one fit's centre takes, as times of that to one of all at once
+_PRODUCT = 2
+
+
+def _leaves(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(an order of the points, ends of boxes in it): halves of the widest side
+    down to _LEAF points; equal points share a box of up to 64 times as many."""
+    order, ends, stack = np.arange(len(x)), [], [(0, len(x))]
+    while stack:
+        lo, hi = stack.pop()
+        part = x[order[lo:hi]]
+        side = np.ptp(part, axis=0)
+        if hi - lo <= _LEAF or side.max() == 0 and hi - lo <= 64 * _LEAF:
+            ends.append(hi)
+            continue
+        mid = (hi - lo) // 2
+        order[lo:hi] = order[lo:hi][np.argpartition(part[:, side.argmax()], mid)]
+        stack += [(lo + mid, hi), (lo, lo + mid)]
+    return order, np.array(ends)
+
+
+def boxed(points: DataFrame, key: str) -> DataFrame:
+    """(head, x, h) of ``points``, written: a row is a box with its figures (size,
+    least and largest coordinates, mean, squared distances to the mean), its
+    points and the hashes of their keys. The points come sorted, so that boxes
+    of a chunk are small."""
+    from hirelens.session import materialize
+    dim = len(points.select("features").first()[0])
+    near = [F.col("features")[i] for i in range(min(dim, 4))]
+    rows = points.select("features", F.xxhash64(key).alias("h"))
+    parts = int(points.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows = rows.repartitionByRange(parts, *near, "h").sortWithinPartitions(*near)
+
+    def packed(x, h):
+        order, ends = _leaves(x)
+        x, h = x[order], h[order]
+        starts = np.append(0, ends[:-1])
+        n = (ends - starts).astype(float)
+        lo, hi = np.minimum.reduceat(x, starts), np.maximum.reduceat(x, starts)
+        mean = np.clip(np.add.reduceat(x, starts) / n[:, None], lo, hi)
+        q = np.add.reduceat(((x - np.repeat(mean, ends - starts, axis=0)) ** 2).sum(axis=1), starts)
+        head = np.column_stack([n, lo, hi, mean, q])
+
+        def column(data, width, ends):
+            at = np.append(0, ends).astype(np.int64) * width
+            return pa.Array.from_buffers(pa.binary(), len(ends), [None, pa.py_buffer(at.astype(np.int32).tobytes()), pa.py_buffer(np.ascontiguousarray(data).tobytes())])
+
+        yield pa.RecordBatch.from_arrays([column(head, head.shape[1] * 8, np.arange(1, len(ends) + 1)), column(x, dim * 8, ends), column(h, 8, ends)], names=["head", "x", "h"])
+
+    def run(batches):
+        held, size = [], 0
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            held.append((_points(batch), np.asarray(batch.column("h"))))
+            size += batch.num_rows
+            if size >= _CHUNK:
+                yield from packed(*map(np.concatenate, zip(*held)))
+                held, size = [], 0
+        if held:
+            yield from packed(*map(np.concatenate, zip(*held)))
+
+    return materialize(rows.mapInArrow(run, "head binary, x binary, h binary"), "kmeans-boxes")
+
+
+@dataclass
+class _Boxes:
+    """The boxes of an Arrow batch; the points of box i are ``x[at[i]:at[i + 1]]``."""
+    n: np.ndarray
+    lo: np.ndarray
+    hi: np.ndarray
+    mean: np.ndarray
+    q: np.ndarray
+    x: np.ndarray
+    h: np.ndarray
+    at: np.ndarray
+
+    @classmethod
+    def of(cls, batch, dim: int) -> _Boxes:
+        def flat(name, kind):
+            column = batch.column(name)
+            off = np.frombuffer(column.buffers()[1], np.int32, len(column) + 1, column.offset * 4)
+            return np.frombuffer(column.buffers()[2], np.uint8)[off[0]:off[-1]].view(kind)
+
+        head = flat("head", np.float64).reshape(batch.num_rows, -1)
+        n = np.rint(head[:, 0]).astype(np.int64)
+        parts = [head[:, 1 + i * dim:1 + (i + 1) * dim] for i in range(3)]
+        return cls(n, *parts, head[:, -1], flat("x", np.float64).reshape(-1, dim), flat("h", np.int64), np.append(0, np.cumsum(n)))
+
+    def inside(self, some: np.ndarray) -> np.ndarray:
+        """The places of the points of some boxes."""
+        n = self.n[some]
+        return np.repeat(self.at[:-1][some] - np.append(0, np.cumsum(n)[:-1]), n) + np.arange(n.sum())
+
+    def sure(self, centers: np.ndarray, own: np.ndarray) -> np.ndarray:
+        """Whether the centre guessed for a box is the nearest of a fit's for all
+        of its points, as no other is as near at any corner."""
+        dim = centers.shape[1]
+        square = (centers * centers).sum(axis=1)
+        middle, half = (self.lo + self.hi) / 2, (self.hi - self.lo) / 2
+        out = np.zeros(len(own), bool)
+        most = (np.abs(self.lo) + np.abs(self.hi)).max(initial=0) + np.abs(centers).max()
+        rounding = 64 * dim * np.finfo(float).eps * most * most * dim
+        for j in range(len(centers)):
+            if len(mine := np.flatnonzero(own == j)):
+                u = centers - centers[j]
+                reach = 2 * (middle[mine] @ u.T + half[mine] @ np.abs(u).T) - (square - square[j])
+                reach[:, j] = -np.inf
+                out[mine] = (reach < -rounding).all(axis=1)
+        return out
+
+    def sums(self, layout: _Layout, every: np.ndarray, step: int) -> np.ndarray:
+        """As ``_Layout.sums`` of all points. A box that few fits have to look
+        into is looked into for these, one that many have to for all at once."""
+        dim, ends = every.shape[1], layout.ends
+        out, d = np.zeros((len(every), dim + 3)), self.near(every)
+        fits = list(zip(ends[:-1], ends[1:]))
+        own = [d[:, a:b].argmin(axis=1) for a, b in fits]
+        sure = np.array([self.sure(every[a:b], o) for (a, b), o in zip(fits, own)])
+        whole = _PRODUCT * (np.diff(ends) @ ~sure) > len(every)
+        norm = (self.mean * self.mean).sum(axis=1)
+        for (a, b), o, ok in zip(fits, own, sure):
+            for j in range(b - a):
+                mine = np.flatnonzero((o == j) & ok & ~whole)
+                n, mean, q = self.n[mine], self.mean[mine], self.q[mine].sum()
+                out[a + j, 0] += n.sum()
+                out[a + j, 1] += q + n @ norm[mine]
+                out[a + j, 2] += q + n @ ((mean - every[a + j]) ** 2).sum(axis=1)
+                out[a + j, 3:] += n @ mean
+            if len(open_ := np.flatnonzero(~ok & ~whole)):
+                x, one = self.x[self.inside(open_)], _Layout.of(every[a:b], np.array([0, b - a]))
+                for lo in range(0, len(x), _STEP):
+                    out[a:b] += one.sums(x[lo:lo + _STEP])
+        if whole.any():
+            x = self.x[self.inside(np.flatnonzero(whole))]
+            for lo in range(0, len(x), step):
+                out += layout.sums(x[lo:lo + step])
+        return out
+
+    def near(self, centers: np.ndarray) -> np.ndarray:
+        """Squared distances of the boxes' means, by a product."""
+        return (self.mean * self.mean).sum(axis=1)[:, None] - 2 * self.mean @ centers.T + (centers * centers).sum(axis=1)
+
+
 def _pass(points: DataFrame, fits: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """One pass with the centres of all fits: per centre (points, sum of the
-    points, sum of their squared norms, sum of their squared distances)."""
+    points, sum of their squared norms, sum of their squared distances).
+    ``points`` may be packed (see ``boxed``)."""
     every = np.concatenate(fits)
-    layout = _Layout.of(every, np.cumsum([0, *map(len, fits)]))
+    ends = np.cumsum([0, *map(len, fits)])
+    boxes = "head" in points.columns
+    layout = _Layout.of(every, ends)
     dim, step = every.shape[1], max(64, _CELLS // len(every))
 
     def run(batches):
         got = np.zeros((len(every), dim + 3))
         for batch in batches:
+            if boxes:
+                for lo in range(0, batch.num_rows, 4 * step):
+                    got += _Boxes.of(batch.slice(lo, 4 * step), dim).sums(layout, every, step)
+                continue
             whole = _points(batch)
             for lo in range(0, len(whole), step):
                 got += layout.sums(whole[lo:lo + step])
@@ -198,7 +354,7 @@ def _pass(points: DataFrame, fits: list[np.ndarray]) -> tuple[np.ndarray, np.nda
 
     cols = ["n", "q", "d", *[f"s{i}" for i in range(dim)]]
     schema = "c long, n long, " + ", ".join(f"{c} double" for c in cols[1:])
-    got = points.select("features").mapInArrow(run, schema).groupBy("c").agg(*[F.sum(c).alias(c) for c in cols]).toArrow()
+    got = points.select(*(["head", "x", "h"] if boxes else ["features"])).mapInArrow(run, schema).groupBy("c").agg(*[F.sum(c).alias(c) for c in cols]).toArrow()
     at = got["c"].to_numpy()
     out = []
     for c in cols:
@@ -243,31 +399,38 @@ def _scrambled(h: np.ndarray, salt: int) -> np.ndarray:
     return (x >> np.uint64(11)) / float(1 << 53)
 
 
-def first_centers(points: DataFrame, key: str, starts: int, most: int, seed: int) -> list[np.ndarray]:
+def first_centers(points: DataFrame, key: str, starts: int, most: int, seed: int, boxes: DataFrame | None = None) -> list[np.ndarray]:
     """k-means||: for each start the candidates from which its centres are
     chosen, drawn by hashes of ``key`` in passes that serve all starts: about
-    SEED_FACTOR * ``most`` a round in expectation, whatever the size of the data."""
+    SEED_FACTOR * ``most`` a round in expectation, whatever the size of the data.
+    ``boxes``: the points, packed."""
+    boxes = boxed(points, key) if boxes is None else boxes
     hashed = points.select("features", F.xxhash64(key).alias("h"))
     heads = hashed.agg(*[F.min_by("features", F.xxhash64("h", F.lit(seed + s))).alias(f"f{s}") for s in range(starts)]).first()
     found = [np.array([heads[f"f{s}"]], float) for s in range(starts)]
     for r in range(SEED_ROUNDS):
-        cost = _pass(points, found)[3]
+        cost = _pass(boxes, found)[3]
         ends = np.cumsum([0, *map(len, found)])
         share = [SEED_FACTOR * most / max(cost[a:b].sum(), 1e-300) for a, b in zip(ends[:-1], ends[1:])]
         now = list(found)
 
         def draw(batches, now=now, share=share, r=r):
             for batch in batches:
-                whole, h = _points(batch), np.asarray(batch.column("h"))
-                for lo in range(0, len(whole), _STEP):
-                    x = whole[lo:lo + _STEP]
-                    for s, centers in enumerate(now):
-                        at = np.flatnonzero(_scrambled(h[lo:lo + _STEP], (seed + s) * 1000 + r) < share[s] * _distances(x, centers).min(axis=1))
-                        if len(at):
-                            ends = pa.array(np.arange(len(at) + 1, dtype=np.int32) * x.shape[1])
-                            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(at), s)), pa.ListArray.from_arrays(ends, pa.array(x[at].ravel()))],
-                                                             names=["s", "features"])
-        for row in hashed.mapInArrow(draw, "s long, features array<double>").orderBy("s", "features").collect():
+                some = _Boxes.of(batch, now[0].shape[1])
+                far = np.sqrt((np.maximum(some.mean - some.lo, some.hi - some.mean) ** 2).sum(axis=1))
+                for s, centers in enumerate(now):
+                    u = _scrambled(some.h, (seed + s) * 1000 + r)
+                    # a box's points are no farther than its mean and its corner; few boxes can have one drawn
+                    d = np.concatenate([_distances(some.mean[lo:lo + _STEP], centers).min(axis=1) for lo in range(0, len(far), _STEP)] or [far])
+                    can = np.repeat(share[s] * (np.sqrt(d) + far) ** 2 * (1 + 1e-9) + 1e-300, some.n)
+                    at = np.flatnonzero(u < can)
+                    x = some.x[at]
+                    x = x[u[at] < share[s] * _distances(x, centers).min(axis=1)]
+                    if len(x):
+                        ends = pa.array(np.arange(len(x) + 1, dtype=np.int32) * x.shape[1])
+                        yield pa.RecordBatch.from_arrays([pa.array(np.full(len(x), s)), pa.ListArray.from_arrays(ends, pa.array(x.ravel()))],
+                                                         names=["s", "features"])
+        for row in boxes.mapInArrow(draw, "s long, features array<double>").orderBy("s", "features").collect():
             found[row["s"]] = np.vstack([found[row["s"]], row["features"]])
     return [np.unique(f, axis=0) for f in found]
 
@@ -330,14 +493,14 @@ def kmeans_scan(points: DataFrame, key: str = "seq", k_values=None, seed: int =
     """ML-11: for each K the cheapest of ``starts`` fits; inertia and
     squared-Euclidean silhouette; K chosen as the best silhouette among K >= 3,
     or 4 when no K reaches 0.2 (the documented rule). ``points`` has ``key``
-    and features (array<double>); it is read once a round, so it should be a
-    written table. A K of which the points have fewer distinct ones gets as
+    and features (array<double>); it is packed into boxes, which each round reads. A K of which the points have fewer distinct ones gets as
     many clusters as there are."""
     k_values = k_values or dims.KMEANS_K_RANGE
-    candidates = first_centers(points, key, starts, max(k_values), seed)
-    weight = np.split(_pass(points, candidates)[0], np.cumsum([len(c) for c in candidates])[:-1])
+    boxes = boxed(points, key)
+    candidates = first_centers(points, key, starts, max(k_values), seed, boxes)
+    weight = np.split(_pass(boxes, candidates)[0], np.cumsum([len(c) for c in candidates])[:-1])
     plan = [(k, s) for k in k_values for s in range(starts)]
-    fits, passes = lloyd(points, [_chosen(candidates[s], weight[s].astype(float), k, np.random.default_rng([seed, s, k])) for k, s in plan])
+    fits, passes = lloyd(boxes, [_chosen(candidates[s], weight[s].astype(float), k, np.random.default_rng([seed, s, k])) for k, s in plan])
     best: dict[int, Fit] = {}
     for (k, _), f in zip(plan, fits):
         if k not in best or f.cost < best[k].cost:

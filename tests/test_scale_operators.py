@@ -191,6 +191,30 @@ def test_nearest_centres_by_a_product_equal_the_differences():
             assert math.isclose(row[1], (mine * mine).sum(), rel_tol=1e-12, abs_tol=1e-300) and math.isclose(row[2], d[own[i] == j, j].sum(), rel_tol=1e-8, abs_tol=1e-300)
 
 
+def test_boxes_give_the_sums_of_their_points(spark):
+    """Packed points: same sums as point by point, few boxes looked into, and
+    the same first centres whatever the partitions."""
+    from hirelens.ml import cluster as C
+    rng = np.random.default_rng(9)
+    x = np.concatenate([c + rng.normal(0, s, (700, 3)) for c, s in zip(rng.normal(0, 4, (4, 3)), (0.2, 0.5, 0.0, 1.5))])
+    df = spark.createDataFrame([(i, [float(a) for a in p]) for i, p in enumerate(x)], "seq long, features array<double>").repartition(3).cache()
+    boxes = C.boxed(df, "seq")
+    got = [C._Boxes.of(b, 3) for b in boxes.toArrow().to_batches() if b.num_rows]
+    assert sorted(map(tuple, np.concatenate([b.x for b in got]))) == sorted(map(tuple, x)) and sum(len(b.n) for b in got) < len(x) / 20
+    near = [x[[0, 700, 1400, 2100]], x[[5, 1400, 1401]]]  # two equal centres: the lower gets all
+    far = [x[rng.choice(len(x), 9)] for _ in range(5)]
+    for fits in (near, far, near + far):
+        for a, b in zip(C._pass(boxes, fits), C._pass(df, fits)):
+            assert np.allclose(a, b, rtol=1e-9, atol=1e-9)
+    looked = [len(b.inside(np.flatnonzero(~b.sure(near[0], b.near(near[0]).argmin(axis=1))))) for b in got]
+    assert sum(looked) < len(x) / 2
+    a, b = (C.first_centers(d, "seq", 2, 3, 1) for d in (df, df.repartition(1)))
+    assert all(p.shape == q.shape and (p == q).all() for p, q in zip(a, b))
+    order, ends = C._leaves(np.repeat(x[:1], 10_000, axis=0))
+    assert sorted(order) == list(range(10_000)) and ends[-1] == 10_000 and len(ends) < 10
+    df.unpersist()
+
+
 # ------------------------------------------------------------ numbering
 
 def test_numbering_of_rows_equal_in_all_order_columns(spark):
